@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
 from tidemark.llm.link_graph import op10_link_graph
+from tidemark.llm.packing import op9_packing
+from tidemark.llm.pii_crf import op1_pii
 from tidemark.llm.quality_rules import op6_quality_rules
 from tidemark.llm.winnowing import op2_winnowing
 
@@ -15,8 +17,10 @@ from tidemark.llm.winnowing import op2_winnowing
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on = lambda f, name: lambda spark, sf_dir: f(table(spark, sf_dir, name))
     return {
+        "op1_pii": on(op1_pii, "documents"),
         "op2_winnowing": on(op2_winnowing, "documents"),
         "op6_quality_rules": on(op6_quality_rules, "documents"),
+        "op9_packing": on(op9_packing, "documents"),
         "op10_link_graph": on(op10_link_graph, "pages"),
     }
 
