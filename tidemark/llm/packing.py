@@ -22,18 +22,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import id_and_text
+from tidemark.llm.common import Remembered, id_and_text
 
 WINDOW, END_ID = 2048, 1
-#: Distinct words whose ids a task remembers; beyond it the memory is emptied. It bounds memory, not results.
-REMEMBERED = 700_000
+#: Distinct words whose ids a worker remembers.
+REMEMBERED = 500_000
 #: Sequence ids are the partition's number times this, plus a running number.
 SEQUENCES = 1 << 40
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 #: Kept by a Python worker from task to task.
-_KNOWN: dict[str, dict[bytes, bytes]] = {}
+_KNOWN: dict[str, Remembered] = {}
 
 
 class WordIds:
@@ -52,25 +52,17 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = _KNOWN.setdefault(path, {})
+        self.known = _KNOWN.setdefault(path, Remembered(REMEMBERED, self.encode))
 
-    def learn(self, words: list[bytes]) -> None:
+    def encode(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
-            some = words[i : i + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
         for text in texts:
-            words = text.encode().split()
-            found = list(map(self.known.get, words))
-            if None in found:
-                if len(self.known) > REMEMBERED:
-                    self.known.clear()
-                self.learn(list({w for w in words if w not in self.known}))
-                found = [self.known[w] for w in words]
-            yield b"".join(found)
+            yield b"".join(self.known.all(text.encode().split()))
 
 
 class Packer:

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import op4_bpe
 from tidemark.llm.common import table
 from tidemark.llm.link_graph import op10_link_graph
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.pii_crf import op1_pii
+from tidemark.llm.quality_gam import op8_quality_gam
 from tidemark.llm.quality_rules import op6_quality_rules
 from tidemark.llm.winnowing import op2_winnowing
 
@@ -19,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": on(op1_pii, "documents"),
         "op2_winnowing": on(op2_winnowing, "documents"),
+        "op4_bpe": on(op4_bpe, "documents"),
         "op6_quality_rules": on(op6_quality_rules, "documents"),
+        "op8_quality_gam": lambda spark, sf_dir: op8_quality_gam(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op9_packing": on(op9_packing, "documents"),
         "op10_link_graph": on(op10_link_graph, "pages"),
     }
