@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import op4_bpe
 from tidemark.llm.common import table
 from tidemark.llm.link_graph import op10_link_graph
+from tidemark.llm.minhash import op7_minhash
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.pii_crf import op1_pii
 from tidemark.llm.quality_gam import op8_quality_gam
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_winnowing": on(op2_winnowing, "documents"),
         "op4_bpe": on(op4_bpe, "documents"),
         "op6_quality_rules": on(op6_quality_rules, "documents"),
+        "op7_minhash": on(op7_minhash, "documents"),
         "op8_quality_gam": lambda spark, sf_dir: op8_quality_gam(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op9_packing": on(op9_packing, "documents"),
         "op10_link_graph": on(op10_link_graph, "pages"),
