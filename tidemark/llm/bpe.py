@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Remembered, id_and_text
+from tidemark.llm.common import Memory, id_and_text
 
 #: Characters of a leaf of the tree over a text, and the most bytes of one over a piece.
 LEAF_CHARS, LEAF_BYTES = 8192, 8
@@ -43,7 +43,7 @@ class Vocabulary:
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.cut: Callable = regex.compile(pattern).finditer
         self.find_all: Callable = regex.compile(pattern).findall
-        self.known = Remembered(REMEMBERED, lambda pieces: [np.array(self.encode_piece(p.encode()), "<i4").tobytes() for p in pieces])
+        self.known = Memory(REMEMBERED, lambda pieces: [np.array(self.encode_piece(p.encode()), "<i4").tobytes() for p in pieces])
         self.merge = lru_cache(300_000)(self._merge)
         self.compatible = lru_cache(200_000)(self._compatible)
 
@@ -122,10 +122,11 @@ class Vocabulary:
             between.append(m.group())
         return left + between
 
-    def encode(self, text: str) -> tuple[np.ndarray, bytes]:
-        """The ids (int32) of ``text`` and the bytes that they decode to."""
-        ids = np.frombuffer(b"".join(self.known.all(self.pieces(text))), "<i4")
-        return ids, self.decode(ids)
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids (int32) of each text."""
+        found = [list(map(self.known.__getitem__, self.pieces(t))) for t in texts]
+        self.known.settle()
+        return [np.frombuffer(b"".join(f), "<i4") for f in found]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of ``ids``, concatenated up the tree."""
@@ -147,9 +148,10 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path, pattern)
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                part = b.slice(k, 512)
-                ids, texts = zip(*map(v.encode, part.column(1).to_pylist()), strict=True)
+            for k in range(0, b.num_rows, 256):
+                part = b.slice(k, 256)
+                ids = v.encode_all(part.column(1).to_pylist())
+                texts = list(map(v.decode, ids))
                 ends = np.cumsum([0, *map(len, ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])

@@ -75,3 +75,31 @@ class Remembered:
                 self.young[k] = v
         self.young.update(zip(unknown, self.make(unknown), strict=True))
         return list(map(self.young.__getitem__, keys))
+
+
+class Memory(dict):
+    """Bytes by key, made by ``make`` for all unknown keys of a batch together; remembers the last used.
+
+    Looking up an unknown key gives an empty place, filled by ``settle``. When more than ``size`` keys are held, all
+    become old; an old key that is asked for becomes young again. It bounds memory, not results.
+    """
+
+    def __init__(self, size: int, make):
+        self.size, self.make, self.old, self.unknown = size, make, {}, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.unknown[key] = bytearray()
+        self[key] = value
+        return value
+
+    def settle(self) -> None:
+        keys = list(self.unknown)
+        for key, value in zip(keys, self.make(keys), strict=True):
+            self.unknown[key][:] = value
+            self[key] = value
+        self.unknown = {}
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()

@@ -14,6 +14,7 @@ from tidemark.llm.packing import op9_packing
 from tidemark.llm.pii_crf import op1_pii
 from tidemark.llm.quality_gam import op8_quality_gam
 from tidemark.llm.quality_rules import op6_quality_rules
+from tidemark.llm.suffix_dedup import op3_suffix_dedup
 from tidemark.llm.winnowing import op2_winnowing
 
 
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": on(op1_pii, "documents"),
         "op2_winnowing": on(op2_winnowing, "documents"),
+        "op3_suffix_dedup": on(op3_suffix_dedup, "documents"),
         "op4_bpe": on(op4_bpe, "documents"),
         "op6_quality_rules": on(op6_quality_rules, "documents"),
         "op7_minhash": on(op7_minhash, "documents"),
