@@ -13,8 +13,13 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,18 +27,31 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import Remembered, id_and_text
+from tidemark.llm.common import Memory, id_and_text
 
 WINDOW, END_ID = 2048, 1
-#: Distinct words whose ids a worker remembers.
-REMEMBERED = 500_000
+#: Distinct words, and parts of words, whose ids a worker remembers.
+REMEMBERED = 300_000
 #: Sequence ids are the partition's number times this, plus a running number.
 SEQUENCES = 1 << 40
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 #: Kept by a Python worker from task to task.
-_KNOWN: dict[str, Remembered] = {}
+_KNOWN: dict[str, Memory] = {}
+
+
+_PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+#: How the vocabulary spells bytes: printable ones of Latin-1 as themselves, the others from 256 on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_OWN}))}
+
+
+def _packed(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 class WordIds:
@@ -52,17 +70,39 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = _KNOWN.setdefault(path, Remembered(REMEMBERED, self.encode))
+        self.model = self.tokenizer.model
+        self.part = lru_cache(REMEMBERED)(self.tokens)
+        self.known = _KNOWN.setdefault(path, Memory(REMEMBERED, self.encode))
 
-    def encode(self, words: list[bytes]) -> Iterator[bytes]:
-        for i in range(0, len(words), 4096):
-            for e in self.tokenizer.encode_batch_fast([w.decode() for w in words[i : i + 4096]], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+    def tokens(self, part: str) -> bytes:
+        """Ids of letters in lower case or of ASCII marks by the vocabulary's merges alone."""
+        return _packed([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_SHOWN))])
 
-    def many(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, words: list[bytes]) -> Iterator[bytes]:
+        """Letters with ASCII marks behind them are two of the pattern's parts at most; other words take the whole way."""
+        hard: list[str] = []
+        out: list[bytes | None] = []
+        for w in words:
+            word = w.decode()
+            m = _PLAIN.fullmatch(word)
+            if m and m[1].isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", word)):
+                low = word[: m.end(1)]
+                low = low.lower() if w.isascii() else "".join(map(str.lower, low))
+                out.append(self.part(low) + (self.part(m[2]) if m[2] else b"") if low.isalpha() else None)
+            else:
+                out.append(None)
+            if out[-1] is None:
+                hard.append(word)
+        rest = iter(self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)) if hard else iter(())
+        for ids in out:
+            yield _packed(next(rest).ids) if ids is None else ids
+
+    def many(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text, in order."""
-        for text in texts:
-            yield b"".join(self.known.all(text.encode().split()))
+        for i in range(0, len(texts), 256):
+            found = [list(map(self.known.__getitem__, t.split())) for t in texts[i : i + 256]]
+            self.known.settle()
+            yield from map(b"".join, found)
 
 
 class Packer:
@@ -75,17 +115,16 @@ class Packer:
 
     def level_for(self, size: int) -> int:
         """The level to add ``size`` ids to, 0 for a new window: of the least sum of squares, then the fullest."""
-        room = self.window - size
-        before = self.counts[: room + 1].copy()
-        before[0] = 0
-        after = self.counts[size : self.window + 1].copy()
-        after[room] = 0  # a full window is closed and counts no more
-        change = 2 * after + 1
-        change[room] = 0
-        change = change - np.where(np.arange(room + 1) > 0, 2 * before - 1, 0)
-        change[1:][before[1:] == 0] = np.iinfo(np.int64).max
-        best = change.min()
-        return int(np.flatnonzero(change == best)[-1])
+        room, counts = self.window - size, self.counts
+        levels = np.flatnonzero(counts[1 : room + 1]) + 1
+        alone = 2 * int(counts[size]) + 1  # a new window
+        if not len(levels):
+            return 0
+        change = 2 * (counts[levels + size] - counts[levels]) + 2
+        if levels[-1] == room:  # a full window is closed and counts no more
+            change[-1] = 1 - 2 * counts[room]
+        best = int(change.min())
+        return 0 if alone < best else int(levels[np.flatnonzero(change == best)[-1]])
 
     def place(self, doc: int | None, start: int, ids: bytes, total: int) -> Iterator[tuple]:
         """Places a rest; yields the rows of a window that it fills."""
@@ -134,7 +173,7 @@ class Packer:
             yield from self.close(window)
 
 
-def pack(batches: Iterable[tuple[list, list[str]]], path: str, part: int, window: int = WINDOW, end_id: int = END_ID) -> Iterator[list[tuple]]:
+def pack(batches: Iterable[tuple[list, list[bytes]]], path: str, part: int, window: int = WINDOW, end_id: int = END_ID) -> Iterator[list[tuple]]:
     """Rows of ``SCHEMA`` for batches of (doc_ids, texts), a list for each batch and one for the end."""
     words, packer = WordIds(path), Packer(window, part * SEQUENCES)
     end = np.array([end_id], "<u4").tobytes()
@@ -158,7 +197,7 @@ def packed(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         columns = [c.split() for c in SCHEMA.split(", ")]
-        given = ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in batches)
+        given = ((b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()) for b in batches)
         for rows in pack(given, path, part):
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=[c for c, _ in columns])
