@@ -1,5 +1,252 @@
-"""Queries."""
+"""Queries over XML files that are built from the driver's tables, their index tables and the checks of these."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import contract as C
+from tidemark.functions import scalars as X
+from tidemark.operators import accessions as A
+from tidemark.operators import index as I
+from tidemark.operators import linkage as L
+from tidemark.operators import sampling as S
+from tidemark.operators import validate as V
+from tidemark.plans.adapters import accessions, in_duckdb, ACC_SQL, xml_files
+from tidemark.plans.table_queries import scratch
+from tidemark.sources import tables as R
+from tidemark.sources import xml_files as P
+from tidemark.streaming.ingest import ingest
+
+SNAPSHOT = "2026-05-16"
+SMALL = ("sample", "study")
+ALL = ("sample", "study", "experiment", "run")
+
+
+def _parsed(spark, sf, *kinds, nodes=False) -> DataFrame:
+    return P.parsed(xml_files(spark, sf, *kinds), SNAPSHOT, nodes)
+
+
+def _records(spark, sf, *kinds) -> DataFrame:
+    return P.entity_records(_parsed(spark, sf, *kinds))
+
+
+def _core(spark, sf, kind) -> DataFrame:
+    return P.core(_records(spark, sf, kind), kind.upper())
+
+
+def _sid(*parts: str) -> str:
+    return "sha1(" + " || chr(31) || ".join(f"({p})" for p in (f"'{SNAPSHOT}'", *parts)) + ")"
+
+
+def _rec(kind: str, source: str, accession: str, directory: str, order: str, **fields: str) -> str:
+    """Entity records of one kind as SQL; all kinds have the same columns."""
+    names = ("alias", "experiment_accession", "sample_accession", "study_accession", "library_strategy", "platform", "instrument_model", "bio_sample_id", "taxon_id", "scientific_name", "bioproject_id", "study_title", "segment")
+    cols = ", ".join(f"{fields.get(n, 'NULL::VARCHAR')} AS {n}" for n in names)
+    inner = f"SELECT '{kind.upper()}' AS entity_type, '{kind}' AS xml_kind, {accession} AS accession, {directory} AS dir, row_number() OVER (PARTITION BY {directory} ORDER BY {order}) AS ord, {cols} FROM {source}"
+    return f"SELECT *, {_sid("dir || '/' || dir || '.' || xml_kind || '.xml'")} AS file_id, {_sid('dir')} AS directory_id FROM ({inner})"
+
+
+_PLATFORM = "CASE o_orderstatus WHEN 'F' THEN 'ILLUMINA' WHEN 'O' THEN 'PACBIO_SMRT' ELSE 'OXFORD_NANOPORE' END"
+_RECS = {
+    "sample": _rec("sample", "customer", "'SRS' || c_custkey", "'D' || c_nationkey", "c_custkey", alias="c_name", bio_sample_id="'SAMN' || c_custkey", taxon_id="c_nationkey::VARCHAR", scientific_name="'species ' || c_nationkey", segment="c_mktsegment"),
+    "study": _rec("study", "nation", "'SRP' || n_nationkey", "'D' || n_nationkey", "n_nationkey", bioproject_id="'PRJNA' || n_nationkey", study_title="n_name"),
+    "experiment": _rec("experiment", "orders JOIN customer ON o_custkey = c_custkey", "'SRX' || o_orderkey", "'D' || c_nationkey", "o_orderkey", sample_accession="'SRS' || o_custkey", study_accession="'SRP' || (o_custkey % 30)", library_strategy="o_orderpriority", platform=_PLATFORM, instrument_model="'model ' || o_orderstatus"),
+    "run": _rec("run", "lineitem", "'SRR' || l_orderkey || '_' || l_linenumber", "'L' || l_suppkey", "l_orderkey, l_linenumber, l_partkey", alias="'p' || l_partkey", experiment_accession="'SRX' || l_orderkey"),
+}
+
+
+def _recs(*kinds: str) -> str:
+    both = " UNION ALL ".join(f"({_RECS[k]})" for k in kinds)
+    return f"(SELECT *, {_sid('file_id', 'entity_type', 'ord::VARCHAR', 'accession')} AS record_id FROM ({both}))"
+
+
+_EDGES = " UNION ALL ".join(f"SELECT entity_type AS src_type, accession AS src, '{name}' AS relation_type, {field} AS dst, '{target}' AS dst_type, {str(internal).lower()} AS internal, record_id, {i} AS o, file_id FROM r WHERE entity_type = '{kind}' AND {field} IS NOT NULL" for i, (kind, name, field, target, internal) in enumerate(I.RELATIONS))
+
+
+def _edges(*kinds: str) -> str:
+    return f"WITH r AS {_recs(*kinds)}, e AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY o) AS ordinal FROM ({_EDGES}))"
+
+
+def _corrupted(d: DataFrame) -> DataFrame:
+    """Planted faults: rows left out, and one column changed, by the accession's last digit."""
+    return d.where(~F.col("sample_accession").endswith("7")).withColumn("taxon_id", F.when(F.col("sample_accession").endswith("3"), "0x").otherwise(F.col("taxon_id")))
 
 
 def register(add) -> None:
-    pass
+    n = F.count(F.lit(1)).alias("n")
+
+    # --- files and records
+
+    files = "relative_file_path, xml_kind, xml_kind_from_filename, xml_kind_from_root_tag, xml_kind_consistency_status, parse_status, root_tag, entity_count, error_type".split(", ")
+    file_sql = f"SELECT dir || '/' || dir || '.' || xml_kind || '.xml' AS relative_file_path, xml_kind, xml_kind AS xml_kind_from_filename, xml_kind AS xml_kind_from_root_tag, 'consistent' AS xml_kind_consistency_status, 'ok' AS parse_status, upper(xml_kind) || '_SET' AS root_tag, count(*) AS entity_count, 'none' AS error_type FROM {_recs(*ALL)} GROUP BY dir, xml_kind"
+    add("p1_file_parse", lambda s, d: P.file_index(_parsed(s, d, *ALL)).select(*files), file_sql)
+    add("p1_broken_files", lambda s, d: P.file_index(_parsed(s, d, "broken")).groupBy("parse_status", "root_tag", "xml_kind_consistency_status").agg(n))
+    add("x10_kind_from_root", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).groupBy("root_tag", "xml_kind_from_root_tag").agg(n), f"SELECT upper(xml_kind) || '_SET' AS root_tag, xml_kind AS xml_kind_from_root_tag, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY xml_kind")
+    mixed_kind = "CASE WHEN xml_kind = 'study' THEN 'run' ELSE xml_kind END"
+    add("x11_kind_consistency", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).select(X.kind_consistency(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("status"), X.effective_kind(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("kind")).groupBy("status", "kind").agg(n), f"SELECT CASE WHEN {mixed_kind} = xml_kind THEN 'consistent' ELSE 'mismatch' END AS status, xml_kind AS kind, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
+    add("p2_entity_records", lambda s, d: _records(s, d, *SMALL).select("entity_record_id", "entity_accession", "entity_type", "entity_path", "entity_ordinal", "accession_source_path", "alias", "file_id", "directory_id", "parse_status"), f"SELECT record_id AS entity_record_id, accession AS entity_accession, entity_type, '//' || entity_type || '[' || ord || ']' AS entity_path, ord AS entity_ordinal, '@accession' AS accession_source_path, alias, file_id, directory_id, 'ok' AS parse_status FROM {_recs(*SMALL)}")
+    add("x12_entity_path", lambda s, d: _records(s, d, "study").select("entity_accession", X.entity_path("entity_type", "entity_ordinal").alias("path")), "SELECT 'SRP' || n_nationkey AS entity_accession, '//STUDY[1]' AS path FROM nation")
+    add("w4_entity_ordinal", lambda s, d: _records(s, d, "experiment").select("entity_accession", "entity_ordinal"), f"SELECT accession AS entity_accession, ord AS entity_ordinal FROM {_recs('experiment')}")
+    add("p3_run_core", lambda s, d: _core(s, d, "run").select("run_accession", "alias", "experiment_accession"), f"SELECT accession AS run_accession, alias, experiment_accession FROM {_recs('run')}")
+    add("p4_experiment_core", lambda s, d: _core(s, d, "experiment").drop("source_snapshot_id"), f"SELECT record_id AS entity_record_id, file_id, accession AS experiment_accession, sample_accession, study_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')}")
+    add("p13_xml_helpers", lambda s, d: _core(s, d, "experiment").groupBy("platform", "instrument_model").agg(n), f"SELECT platform, instrument_model, count(*) AS n FROM {_recs('experiment')} GROUP BY ALL")
+    add("x20_library_layout", lambda s, d: P.experiment_extended(_records(s, d, "experiment")).groupBy("library_layout", "design_description_truncated").agg(n), "SELECT 'PAIRED' AS library_layout, false AS design_description_truncated, count(*) AS n FROM orders")
+    add("p15_experiment_extended", lambda s, d: P.experiment_extended(_records(s, d, "experiment")).select("experiment_accession", "alias", "title", "library_layout", "design_description", "center_name"), f"SELECT accession AS experiment_accession, NULL::VARCHAR AS alias, NULL::VARCHAR AS title, 'PAIRED' AS library_layout, NULL::VARCHAR AS design_description, NULL::VARCHAR AS center_name FROM {_recs('experiment')}")
+    add("p5_sample_core", lambda s, d: _core(s, d, "sample").select("entity_record_id", "sample_accession", "bio_sample_id", "taxon_id", "scientific_name"), f"SELECT record_id AS entity_record_id, accession AS sample_accession, bio_sample_id, taxon_id, scientific_name FROM {_recs('sample')}")
+    attrs = f"SELECT accession AS sample_accession, bio_sample_id, 'segment' AS tag, segment AS value, 1::BIGINT AS attribute_ordinal, false AS value_truncated FROM {_recs('sample')} UNION ALL SELECT accession, bio_sample_id, 'empty', NULL, 2, false FROM {_recs('sample')}"
+    attributes = lambda s, d: P.sample_attributes(_records(s, d, "sample"))
+    add("p6_sample_attributes", lambda s, d: attributes(s, d).drop("source_snapshot_id", "entity_record_id", "file_id"), attrs)
+    add("w5_attribute_ordinal", lambda s, d: attributes(s, d).groupBy("tag", "attribute_ordinal").agg(n), f"SELECT tag, attribute_ordinal, count(*) AS n FROM ({attrs}) GROUP BY ALL")
+    add("p7_study_core", lambda s, d: _core(s, d, "study").select("study_accession", "bioproject_id", "study_type", "study_title"), f"SELECT accession AS study_accession, bioproject_id, 'Other' AS study_type, study_title FROM {_recs('study')}")
+
+    # --- submissions and analyses: extensions, from suppliers and parts
+
+    def other(kind, table_name, key, where="true"):
+        def q(s, d):
+            rows = s.read.parquet(f"{d}/{table_name}.parquet").where(where)
+            body = F.concat(F.lit(f'<{kind} accession="A'), F.col(key).cast("string"), F.lit('" alias="a" center_name="c"><TITLE>t '), F.col(key).cast("string"), F.lit(f"</TITLE></{kind}>"))
+            text = F.concat(F.lit(f"<{kind}_SET>"), body, F.lit(f"</{kind}_SET>"))
+            raw = rows.select(F.concat(F.lit("/x/Z"), F.col(key).cast("string"), F.lit(f"/f.{kind.lower()}.xml")).alias("path"), F.lit(SNAPSHOT).cast("timestamp").alias("modificationTime"), F.encode(text, "UTF-8").alias("content")).withColumn("length", F.length("content").cast("long"))
+            return P.core(P.entity_records(P.parsed(raw, SNAPSHOT)), kind).drop("source_snapshot_id", "entity_record_id", "file_id")
+
+        return q
+
+    add("p8_submission_core", other("SUBMISSION", "supplier", "s_suppkey"), "SELECT 'A' || s_suppkey AS submission_accession, 'a' AS alias, 'c' AS center_name, NULL::VARCHAR AS lab_name FROM supplier")
+    add("p9_analysis_core", other("ANALYSIS", "part", "p_partkey", "p_partkey % 50 = 0"), "SELECT 'A' || p_partkey AS analysis_accession, 'a' AS alias, 'c' AS center_name, 't ' || p_partkey AS title FROM part WHERE p_partkey % 50 = 0")
+
+    # --- external ids, edges, closure
+
+    ext = " UNION ALL ".join(f"SELECT accession AS entity_accession, '{space}' AS namespace, {field} AS external_accession, '{by or 'EXTERNAL_ID'}' AS external_id_type, {_sid('record_id', repr(space), field, repr(path))} AS external_record_id FROM {_recs(*SMALL)} WHERE entity_type = '{kind}' AND {field} IS NOT NULL" for kind, space, field, by, path in I.EXTERNALS)
+    add("p10_external_ids", lambda s, d: I.external_ids(_records(s, d, *SMALL)).select("entity_accession", "namespace", "external_accession", "external_id_type", "external_record_id"), ext)
+    edges = lambda s, d: I.relations(_records(s, d, *ALL))
+    add("p11_relation_edges", lambda s, d: edges(s, d).select("relation_id", "src_type", "src_accession", "relation_type", "dst_accession", "dst_type", "dst_is_internal_entity", "relation_ordinal"), f"{_edges(*ALL)} SELECT {_sid('record_id', 'relation_type', 'dst', 'ordinal::VARCHAR')} AS relation_id, src_type, src AS src_accession, relation_type, dst AS dst_accession, dst_type, internal AS dst_is_internal_entity, ordinal AS relation_ordinal FROM e")
+    add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(n), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
+
+    def closed(s: SparkSession, d: str) -> DataFrame:
+        r = _records(s, d, *ALL)
+        return I.closed_relations(I.relations(r), I.entity_index(r))
+
+    closed_sql = f"{_edges(*ALL)}, k AS (SELECT DISTINCT entity_type AS t, accession AS a FROM r), c AS (SELECT e.*, k.a IS NOT NULL AS hit FROM e LEFT JOIN k ON e.internal AND e.dst_type = k.t AND e.dst = k.a)"
+    state = "CASE WHEN NOT internal THEN 'external_reference' WHEN hit THEN 'closed' ELSE 'missing_dst_entity' END"
+    add("j5_relation_closure", lambda s, d: closed(s, d).select("relation_type", "src_accession", "dst_accession", "dst_primary_exists", "closure_status", "dst_entity_index_status"), f"{closed_sql} SELECT relation_type, src AS src_accession, dst AS dst_accession, internal AND hit AS dst_primary_exists, {state} AS closure_status, CASE WHEN NOT internal THEN 'external_reference' WHEN hit THEN 'primary_present' ELSE 'missing' END AS dst_entity_index_status FROM c")
+    qc = f"SELECT relation_type, src_type, dst_type, count(*) FILTER (WHERE internal) AS internal_relation_count, count(*) FILTER (WHERE internal AND hit) AS closed_count, round(count(*) FILTER (WHERE internal AND hit)::DOUBLE / nullif(count(*) FILTER (WHERE internal), 0), 6) AS closure_rate, CASE WHEN relation_type IN ('RUN_TO_EXPERIMENT', 'EXPERIMENT_TO_SAMPLE', 'EXPERIMENT_TO_STUDY') AND count(*) FILTER (WHERE internal) > 0 AND count(*) FILTER (WHERE internal AND hit) = 0 THEN 'hard_fail' ELSE 'report_only' END AS severity FROM c GROUP BY relation_type, src_type, dst_type"
+    add("a19_relation_closure_qc", lambda s, d: I.closure_qc(closed(s, d)).drop("source_snapshot_id").withColumn("closure_rate", F.round("closure_rate", 6)), f"{closed_sql} {qc}")
+    add("a31_hard_fail_count", lambda s, d: I.hard_fails(I.closure_qc(closed(s, d))), f"{closed_sql} SELECT count(*) FILTER (WHERE severity = 'hard_fail') AS hard_fail_count FROM ({qc})")
+    add("v14_closure_gate", lambda s, d: I.closure_gate(I.closure_qc(closed(s, d))).select("relation_type", "closed_count"), f"{closed_sql} SELECT relation_type, count(*) FILTER (WHERE internal AND hit) AS closed_count FROM c GROUP BY ALL")
+    add("f13_out_edges", lambda s, d: I.lookup(edges(s, d), "src_accession", "SRX1").select("relation_type", "dst_accession"), f"{_edges('experiment')} SELECT relation_type, dst AS dst_accession FROM e WHERE src = 'SRX1'")
+    add("f14_edges_by_type", lambda s, d: I.lookup(edges(s, d), "relation_type", "RUN_TO_EXPERIMENT").select(F.col("src_accession").alias("run_accession"), F.col("dst_accession").alias("experiment_accession")), f"{_edges('run')} SELECT src AS run_accession, dst AS experiment_accession FROM e WHERE relation_type = 'RUN_TO_EXPERIMENT'")
+
+    # --- entities
+
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY entity_type, accession ORDER BY dir, file_id, ord, record_id) AS rn FROM {_recs('run', 'sample')}"
+    entity = f"SELECT accession AS entity_accession, entity_type, count(*) AS record_count, count(*) AS primary_record_count, 0::BIGINT AS reference_record_count, true AS has_primary_record, false AS has_reference_record, 'primary_present' AS entity_presence_status, count(DISTINCT file_id) AS file_count, count(DISTINCT directory_id) AS directory_count, max(record_id) FILTER (WHERE rn = 1) AS canonical_entity_record_id, max(file_id) FILTER (WHERE rn = 1) AS canonical_file_id, max(directory_id) FILTER (WHERE rn = 1) AS canonical_directory_id FROM ({ranked}) GROUP BY ALL"
+    entities = lambda s, d: I.entity_index(_records(s, d, "run", "sample"))
+    add("a17_entity_index", lambda s, d: entities(s, d).drop("source_snapshot_id", "canonical_rule", "has_conflict", "conflict_type", "conflict_field_count"), entity)
+    add("w1_canonical_record", lambda s, d: I.canonical_records(_records(s, d, "run")).select("entity_accession", "entity_record_id", "directory_accession"), f"SELECT accession AS entity_accession, record_id AS entity_record_id, dir AS directory_accession FROM ({ranked}) WHERE rn = 1 AND entity_type = 'RUN'")
+    add("j4_canonical_join", lambda s, d: entities(s, d).where("record_count > 1").select("entity_accession", "canonical_entity_record_id"), f"SELECT entity_accession, canonical_entity_record_id FROM ({entity}) WHERE record_count > 1")
+    add("v13_key_gate", lambda s, d: I.key_gate(entities(s, d), *C.KEYS["entity_index"]).groupBy("entity_type").agg(n), f"SELECT entity_type, count(*) AS n FROM ({entity}) GROUP BY 1")
+    add("f6_entity_lookup", lambda s, d: I.lookup(entities(s, d), "entity_accession", "SRS1").select("entity_type", "record_count"), f"SELECT entity_type, record_count FROM ({entity}) WHERE entity_accession = 'SRS1'")
+    half = lambda s, d: _records(s, d, "sample").withColumn("entity_accession", F.when(~F.col("entity_accession").endswith("5"), F.col("entity_accession")))
+    add("f17_has_accession", lambda s, d: I.with_accession(half(s, d)).agg(n), "SELECT count(*) AS n FROM customer WHERE c_custkey % 10 <> 5")
+    add("a21_entity_qc", lambda s, d: I.entity_qc(half(s, d)).drop("source_snapshot_id"), "SELECT 'SAMPLE' AS entity_type, count(*) AS entity_record_count, count(*) FILTER (WHERE c_custkey % 10 <> 5) AS unique_entity_accession_count, count(*) FILTER (WHERE c_custkey % 10 = 5) AS missing_accession_count, CASE WHEN count(*) FILTER (WHERE c_custkey % 10 = 5) > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM customer")
+    bad = lambda s, d: P.file_index(_parsed(s, d, *SMALL)).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "xml_parse_error").otherwise(F.col("parse_status")))
+    state_sql = "CASE WHEN dir LIKE '%1' THEN 'xml_parse_error' ELSE 'ok' END"
+    two = f"(SELECT DISTINCT dir, xml_kind, {state_sql} AS st FROM {_recs(*SMALL)})"
+    add("a20_parse_qc", lambda s, d: I.parse_qc(bad(s, d)).drop("source_snapshot_id"), f"SELECT xml_kind, count(*) AS file_count, count(*) FILTER (WHERE st = 'ok') AS parse_success_count, count(*) FILTER (WHERE st <> 'ok') AS parse_failed_count, CASE WHEN count(*) FILTER (WHERE st <> 'ok') > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM {two} GROUP BY 1")
+    add("a25_directory_index", lambda s, d: I.directory_index(bad(s, d)).select("directory_accession", "file_count", "sample_xml_count", "study_xml_count", "run_xml_count", "parse_success_file_count", "parse_failed_file_count", "scan_status"), f"SELECT dir AS directory_accession, count(*) AS file_count, count(*) FILTER (WHERE xml_kind = 'sample') AS sample_xml_count, count(*) FILTER (WHERE xml_kind = 'study') AS study_xml_count, 0::BIGINT AS run_xml_count, count(*) FILTER (WHERE st = 'ok') AS parse_success_file_count, count(*) FILTER (WHERE st <> 'ok') AS parse_failed_file_count, CASE WHEN count(*) FILTER (WHERE st <> 'ok') = 0 THEN 'ok' ELSE 'partial' END AS scan_status FROM {two} GROUP BY 1")
+    add("a23_dir_file_consistency", lambda s, d: I.directory_file_consistency(I.directory_index(bad(s, d))).select("directory_accession", "observed_xml_count", "severity"), f"SELECT dir AS directory_accession, count(*) AS observed_xml_count, 'report_only' AS severity FROM {two} GROUP BY 1")
+    add("a28_warning_error_totals", lambda s, d: bad(s, d).groupBy(F.substring("directory_accession", 1, 2).alias("chunk")).agg(F.sum("parser_warning_count").alias("warning_count"), F.count_if(F.col("parse_status") != "ok").alias("error_count")), f"SELECT substr(dir, 1, 2) AS chunk, 0::BIGINT AS warning_count, count(*) FILTER (WHERE st <> 'ok') AS error_count FROM {two} GROUP BY 1")
+    missing = " UNION ALL ".join(f"SELECT 'experiment_core' AS table_name, '{c}' AS field_name, {'count(*)' if c in ('library_source', 'library_selection') else '0::BIGINT'} AS missing_count, count(*) AS total_count, {'1.0' if c in ('library_source', 'library_selection') else '0.0'}::DOUBLE AS missing_rate FROM orders" for c in ("experiment_accession", "sample_accession", "study_accession", "library_strategy", "library_source", "library_selection", "platform", "instrument_model"))
+    add("a22_core_missingness", lambda s, d: I.core_missingness(_core(s, d, "experiment"), "experiment_core").drop("source_snapshot_id", "severity"), missing)
+    runs = f"SELECT accession, count(DISTINCT alias) AS x FROM {_recs('run')} GROUP BY 1"
+    add("a24_core_conflict", lambda s, d: I.core_conflicts(_core(s, d, "run"), "RUN", "run_accession").where("field_name = 'alias'").select("entity_count", "conflicted_entity_count", F.round("conflict_rate", 6).alias("conflict_rate"), "example_entity_accession"), f"SELECT count(*) AS entity_count, count(*) FILTER (WHERE x > 1) AS conflicted_entity_count, round(count(*) FILTER (WHERE x > 1)::DOUBLE / count(*), 6) AS conflict_rate, min(accession) FILTER (WHERE x > 1) AS example_entity_accession FROM ({runs})")
+
+    # --- reading
+
+    add("f7_run_lookup", lambda s, d: I.lookup(_core(s, d, "run"), "run_accession", "SRR1_1").select("alias", "experiment_accession"), f"SELECT alias, experiment_accession FROM {_recs('run')} WHERE accession = 'SRR1_1'")
+    add("f8_biosample_lookup", lambda s, d: I.lookup(_core(s, d, "sample"), "bio_sample_id", "SAMN3").select("sample_accession", "taxon_id"), "SELECT 'SRS3' AS sample_accession, c_nationkey::VARCHAR AS taxon_id FROM customer WHERE c_custkey = 3")
+    add("f9_attribute_search", lambda s, d: I.attribute_search(attributes(s, d), "segm", "zzz"), f"SELECT sample_accession, bio_sample_id, tag, value FROM ({attrs}) WHERE lower(tag) LIKE '%segm%' OR lower(value) LIKE '%zzz%' ORDER BY sample_accession, tag, value LIMIT 100")
+    add("f10_platform_filter", lambda s, d: I.platform_filter(_core(s, d, "experiment"), "ILLUMINA", "1-URGENT"), f"SELECT accession AS experiment_accession, study_accession, sample_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')} WHERE platform = 'ILLUMINA' AND library_strategy = '1-URGENT' ORDER BY 1 LIMIT 100")
+    add("j1_chain_join", lambda s, d: I.chain(*[_core(s, d, k) for k in ("run", "experiment", "sample", "study")]), f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
+    add("j3_back_to_source", lambda s, d: I.back_to_source(_core(s, d, "run"), P.file_index(_parsed(s, d, "run"))).groupBy("relative_file_path", "xml_kind", "parse_status").agg(n), f"SELECT dir || '/' || dir || '.run.xml' AS relative_file_path, 'run' AS xml_kind, 'ok' AS parse_status, count(*) AS n FROM {_recs('run')} GROUP BY 1")
+
+    # --- nodes and inventory
+
+    nodes = lambda s, d: P.xml_nodes(_parsed(s, d, "study", nodes=True))
+    paths = [("/STUDY_SET", None, None, False, None), ("/STUDY_SET/STUDY", None, None, False, None), ("/STUDY_SET/STUDY/@accession", None, None, True, "'SRP' || n_nationkey"), ("IDENTIFIERS", "STUDY", "/IDENTIFIERS", False, None), ("IDENTIFIERS/EXTERNAL_ID", "STUDY", "/IDENTIFIERS/EXTERNAL_ID", False, "'PRJNA' || n_nationkey"), ("IDENTIFIERS/EXTERNAL_ID/@namespace", "STUDY", "/IDENTIFIERS/EXTERNAL_ID/@namespace", True, "'BioProject'"), ("DESCRIPTOR", "STUDY", "/DESCRIPTOR", False, None), ("DESCRIPTOR/STUDY_TITLE", "STUDY", "/DESCRIPTOR/STUDY_TITLE", False, "n_name"), ("DESCRIPTOR/STUDY_TYPE", "STUDY", "/DESCRIPTOR/STUDY_TYPE", False, "''"), ("DESCRIPTOR/STUDY_TYPE/@existing_study_type", "STUDY", "/DESCRIPTOR/STUDY_TYPE/@existing_study_type", True, "'Other'")]
+    full = lambda p: p if p.startswith("/") else f"/STUDY_SET/STUDY/{p}"
+    inv = " UNION ALL ".join(f"SELECT {repr(t) if t else 'NULL::VARCHAR'} AS entity_type, '{full(p)}' AS path_abs, {repr(rel) if rel else 'NULL::VARCHAR'} AS path_entity_relative, {str(a).lower()} AS is_attribute, count(*) AS node_occurrence_count, {'0::BIGINT' if v == chr(39) * 2 else 'count(*)'} AS non_empty_occurrence_count, {'count(*)' if t else '0::BIGINT'} AS entity_coverage_count, count(*) AS file_coverage_count FROM nation" for p, t, rel, a, v in paths)
+    inventory = lambda s, d: I.path_inventory(nodes(s, d))
+    add("a26_path_inventory", lambda s, d: inventory(s, d).select("entity_type", "path_abs", "path_entity_relative", "is_attribute", "node_occurrence_count", "non_empty_occurrence_count", "entity_coverage_count", "file_coverage_count"), inv)
+    add("x14_rel_path", lambda s, d: inventory(s, d).select("path_abs", "path_entity_relative"), f"SELECT path_abs, path_entity_relative FROM ({inv})")
+    add("p12_xml_nodes", lambda s, d: nodes(s, d).where("value <> ''").groupBy("path", "is_attribute").agg(n, F.max("value").alias("largest")).where("path like '%STUDY_TITLE' or is_attribute"), " UNION ALL ".join(f"SELECT '{full(p)}' AS path, {str(a).lower()} AS is_attribute, count(*) AS n, max({v}) AS largest FROM nation" for p, t, rel, a, v in paths if a or p.endswith("TITLE")))
+    add("f11_inventory_browse", lambda s, d: I.inventory_browse(inventory(s, d), "STUDY"), f"SELECT 'study' AS xml_kind, entity_type, path_abs, is_attribute, node_occurrence_count, non_empty_occurrence_count FROM ({inv}) WHERE entity_type = 'STUDY' ORDER BY node_occurrence_count DESC, path_abs LIMIT 100")
+    fields = lambda s, d: P.selected_fields(nodes(s, d), ["STUDY_TITLE", "EXTERNAL_ID"])
+    field_sql = "SELECT 'SRP' || n_nationkey AS entity_accession, 'STUDY' AS entity_type, 'STUDY_TITLE' AS field_name, '/STUDY_SET/STUDY/DESCRIPTOR/STUDY_TITLE' AS field_path, n_name AS value FROM nation UNION ALL SELECT 'SRP' || n_nationkey, 'STUDY', 'EXTERNAL_ID', '/STUDY_SET/STUDY/IDENTIFIERS/EXTERNAL_ID', 'PRJNA' || n_nationkey FROM nation"
+    add("p14_selected_fields", fields, field_sql)
+    add("f12_selected_field_search", lambda s, d: I.field_search(fields(s, d), "STUDY_TITLE", "an"), f"SELECT * FROM ({field_sql}) WHERE field_name = 'STUDY_TITLE' AND lower(value) LIKE '%an%' ORDER BY 1 LIMIT 100")
+
+    # --- contract and checks
+
+    def written(s, d):
+        root = scratch(s, "index")
+        r = _records(s, d, *SMALL)
+        R.write_contract(r, f"{root}/entity_record_index.parquet", "entity_record_index")
+        R.write_contract(I.entity_index(r), f"{root}/entity_index/data.parquet", "entity_index")
+        return root
+
+    add("k6_contract_write", lambda s, d: R.open_table(s, written(s, d), "entity_record_index").groupBy("entity_type", "xml_kind").agg(n), f"SELECT entity_type, xml_kind, count(*) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
+    add("s8_table_open", lambda s, d: R.open_table(s, written(s, d), "entity_index").groupBy("entity_type").agg(n), f"SELECT entity_type, count(DISTINCT accession) AS n FROM {_recs(*SMALL)} GROUP BY 1")
+
+    def broken_tables(s, d):
+        r = R.to_contract(_records(s, d, *SMALL), "entity_record_index")
+        worse = r.drop("alias").withColumns({"entity_ordinal": F.col("entity_ordinal").cast("int"), "more": F.lit(1), "file_id": F.when(~F.col("entity_accession").endswith("1"), F.col("file_id"))})
+        return V.schema_errors(s, {"entity_record_index": worse, "entity_index": R.to_contract(I.entity_index(r), "entity_index")}, ["entity_record_index", "entity_index", "relation_index"])
+
+    add("v1_schema_validate", broken_tables, "SELECT 'relation_index' AS \"table\", NULL::VARCHAR AS \"column\", 'missing table' AS error UNION ALL SELECT 'entity_record_index', 'alias', 'missing column' UNION ALL SELECT 'entity_record_index', 'entity_ordinal', 'type int instead of bigint' UNION ALL SELECT 'entity_record_index', 'more', 'unexpected column' UNION ALL SELECT 'entity_record_index', 'file_id', 'null in required column'")
+    add("v2_enum_validate", lambda s, d: V.enum_errors(bad(s, d).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "odd").otherwise("ok")), "file_index"), "SELECT 'file_index' AS \"table\", 'parse_status' AS \"column\", 'odd' AS value")
+
+    def empty(s, d):
+        R.write_empty(s, root := scratch(s, "empty"), ["entity_index", "run_core"])
+        none = R.open_table(s, root, "run_core")
+        return none.select("run_accession").union(_core(s, d, "run").select("run_accession").limit(0)).agg(n)
+
+    add("v3_empty_tables", empty, "SELECT 0::BIGINT AS n")
+    check = lambda s, d: V.field_check(_core(s, d, "sample"), _corrupted(_core(s, d, "sample")), ["file_id", "sample_accession"], ["bio_sample_id", "taxon_id", "scientific_name"])
+    checked = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS checks, count(*) FILTER (WHERE c_custkey % 10 NOT IN ({'3, 7' if c == 'taxon_id' else '7'})) AS matches, count(*) FILTER (WHERE c_custkey % 10 = 7) AS missing_rows, 0::BIGINT AS extra_rows, {'count(*) FILTER (WHERE c_custkey % 10 = 3)' if c == 'taxon_id' else '0::BIGINT'} AS mismatches FROM customer" for c in ("bio_sample_id", "taxon_id", "scientific_name"))
+    add("v7_backcheck_fields", check, checked)
+    ids = lambda s, d: V.field_check(_core(s, d, "study"), _core(s, d, "study").withColumn("bioproject_id", F.when(F.col("study_accession") != "SRP1", F.col("bioproject_id"))), ["file_id", "study_accession"], ["bioproject_id"])
+    add("v8_backcheck_ids", ids, "SELECT 'bioproject_id' AS \"column\", count(*) AS checks, count(*) FILTER (WHERE n_nationkey <> 1) AS matches, 0::BIGINT AS missing_rows, 0::BIGINT AS extra_rows, count(*) FILTER (WHERE n_nationkey = 1) AS mismatches FROM nation")
+    small_edges = lambda s, d: I.relations(_records(s, d, *SMALL))
+    add("v9_backcheck_edges", lambda s, d: V.edge_check(small_edges(s, d), small_edges(s, d).where(~F.col("dst_accession").endswith("4"))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), f"{_edges(*SMALL)} SELECT count(*) FILTER (WHERE dst NOT LIKE '%4') AS matched, count(*) FILTER (WHERE dst LIKE '%4') AS missing, 0::BIGINT AS extra FROM e")
+    add("v10_backcheck_attributes", lambda s, d: V.attribute_check(attributes(s, d), attributes(s, d).withColumn("value", F.when(F.col("sample_accession").endswith("2"), "x").otherwise(F.col("value")))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), "SELECT 2 * count(*) FILTER (WHERE c_custkey % 10 <> 2) AS matched, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS missing, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS extra FROM customer")
+    add("v11_abnormal_absent", lambda s, d: V.absent_where_abnormal(I.abnormal_files(bad(s, d)), {"sample_core": _core(s, d, "sample"), "study_core": _core(s, d, "study")}), "SELECT 'sample_core' AS \"table\", count(*) AS rows FROM customer WHERE c_nationkey % 10 = 1 UNION ALL SELECT 'study_core', count(*) FROM nation WHERE n_nationkey % 10 = 1")
+    acc = lambda s, d: V.accuracy(_core(s, d, "sample").join(_corrupted(_core(s, d, "sample")).select("sample_accession", F.col("taxon_id").alias("t")), "sample_accession", "left").select(F.lit("core").alias("metric"), (F.col("t") == F.col("taxon_id")).alias("ok")), "metric")
+    right = "count(*) FILTER (WHERE c_custkey % 10 NOT IN (3, 7))"
+    add("a29_accuracy_metrics", lambda s, d: acc(s, d).withColumn("accuracy", F.round("accuracy", 6)), f"SELECT 'core' AS metric, count(*) AS checks, {right} AS matches, count(*) - {right} AS mismatches, round({right}::DOUBLE / count(*), 6) AS accuracy FROM customer")
+    add("v12_thresholds", lambda s, d: V.within_thresholds(acc(s, d)).select("metric", "threshold", "status"), "SELECT 'core' AS metric, 0.999::DOUBLE AS threshold, 'fail' AS status FROM customer LIMIT 1")
+    add("a30_sample_entity_counts", lambda s, d: _records(s, d, *SMALL).join(S.random_sample(P.file_index(_parsed(s, d, *SMALL)), "file_id", 9, 42, checked=False).select("file_id"), "file_id", "left_semi").groupBy("entity_type").agg(n, F.count_distinct("directory_id").alias("directories")), f"WITH r AS {_recs(*SMALL)} SELECT entity_type, count(*) AS n, count(DISTINCT directory_id) AS directories FROM r WHERE file_id IN (SELECT file_id FROM (SELECT DISTINCT file_id FROM r) ORDER BY md5(file_id || ':42'), file_id LIMIT 9) GROUP BY 1")
+
+    # --- runs with what the index knows of them, and incremental ingest
+
+    typed = f"SELECT Accession, Experiment, TRY_CAST(NULLIF(Spots, '-') AS BIGINT) AS Spots_i64, TRY_CAST(NULLIF(Bases, '-') AS BIGINT) AS Bases_i64, BioProject FROM ({in_duckdb(ACC_SQL)}) WHERE Status = 'live' AND Visibility = 'public' AND Type = 'RUN' AND TRY_CAST(NULLIF(Spots, '-') AS BIGINT) > 0 AND TRY_CAST(NULLIF(Bases, '-') AS BIGINT) > 0"
+    add("j10_run_enrichment", lambda s, d: L.enriched_runs(A.runs_nonzero_typed(accessions(s, d)), _core(s, d, "experiment"), _core(s, d, "sample"), attributes(s, d), ["segment"]), f"SELECT t.*, e.library_strategy, e.platform, e.sample_accession, s.bio_sample_id, s.taxon_id, s.segment FROM ({typed}) t LEFT JOIN {_recs('experiment')} e ON t.Experiment = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession")
+
+    def incremental(s, d):
+        """Files written in two lots, taken in by two calls; the second sees the new lot only."""
+        root, out, log = scratch(s, "xml"), scratch(s, "tables"), scratch(s, "log")
+        files_ = xml_files(s, d, *SMALL)
+        for kind in SMALL:
+            rows = files_.where(F.col("path").endswith(f".{kind}.xml")).select(F.element_at(F.split("path", "/"), -2).alias("dir"), F.decode("content", "UTF-8").alias("value"))
+            rows.repartition("dir").write.partitionBy("dir").text(f"{root}/{kind}.tmp")
+            jvm = s._jvm.org.apache.hadoop.fs
+            fs = jvm.Path(root).getFileSystem(s.sparkContext._jsc.hadoopConfiguration())
+            for st in fs.globStatus(jvm.Path(f"{root}/{kind}.tmp/dir=*/part-*")):
+                name = st.getPath().getParent().getName()[4:]
+                fs.mkdirs(jvm.Path(f"{root}/in/{name}"))
+                fs.rename(st.getPath(), jvm.Path(f"{root}/in/{name}/{name}.{kind}.xml"))
+            ingest(s, f"{root}/in", out, log, SNAPSHOT)
+        return s.read.parquet(f"{out}/entity_record_index").groupBy("entity_type").agg(n, F.count_distinct("entity_record_id").alias("records"))
+
+    add("i1_incremental_ingest", incremental, f"SELECT entity_type, count(*) AS n, count(DISTINCT record_id) AS records FROM {_recs(*SMALL)} GROUP BY 1")
