@@ -230,7 +230,9 @@ def all_spans(text: str, w: np.ndarray) -> list[tuple[str, int, int, bool]]:
 
 def fitted(docs: DataFrame) -> np.ndarray:
     """Weights from a bounded sample of ``docs``; the sample, not more, comes to the driver."""
-    some = id_and_text(docs).where(F.length("text") <= 20_000).where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE)
+    d = id_and_text(docs).where(F.length("text") <= 20_000).where(F.col("text").rlike("[0-9@]"))
+    ids = d.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
+    some = d.join(F.broadcast(ids), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE)  # ids as bounded
     return fit([r["text"] for r in some.collect()])
 
 
