@@ -59,8 +59,8 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
-def shingles(data: np.ndarray, ends: np.ndarray, words: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text; text i is ``data[ends[i]:ends[i + 1]]``, bytes of UTF-8."""
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word (A-Z as a-z) of the texts in ``data``, and the number of words before each text's end."""
     n = len(data)
     low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     up, down = _Powers.upto(n)
@@ -71,10 +71,15 @@ def shingles(data: np.ndarray, ends: np.ndarray, words: int) -> list[np.ndarray]
     begins = ends[:-1][ends[:-1] < n]
     first[begins] = inside[begins]
     at = np.flatnonzero(first)
-    if not len(at):
+    h = mixed(np.add.reduceat(values * up, at) * down[at]) if len(at) else np.zeros(0, np.uint64)
+    return h, np.searchsorted(at, ends)
+
+
+def shingles(data: np.ndarray, ends: np.ndarray, words: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text; text i is ``data[ends[i]:ends[i + 1]]``, bytes of UTF-8."""
+    h, bounds = word_hashes(data, ends)
+    if not len(h):
         return [np.zeros(0, np.uint64)] * (len(ends) - 1)
-    h = mixed(np.add.reduceat(values * up, at) * down[at])
-    bounds = np.searchsorted(at, ends)
     grams = h.copy()
     for k in range(1, words):
         grams = mixed(grams * np.uint64(0x9FB21C651E98DF25) + np.uint64(k))

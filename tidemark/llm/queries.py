@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import op4_bpe
 from tidemark.llm.common import table
 from tidemark.llm.link_graph import op10_link_graph
+from tidemark.llm.lm_score import op5_lm_score
 from tidemark.llm.minhash import op7_minhash
 from tidemark.llm.packing import op9_packing
 from tidemark.llm.pii_crf import op1_pii
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_winnowing": on(op2_winnowing, "documents"),
         "op3_suffix_dedup": on(op3_suffix_dedup, "documents"),
         "op4_bpe": on(op4_bpe, "documents"),
+        "op5_lm_score": on(op5_lm_score, "documents"),
         "op6_quality_rules": on(op6_quality_rules, "documents"),
         "op7_minhash": on(op7_minhash, "documents"),
         "op8_quality_gam": lambda spark, sf_dir: op8_quality_gam(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
@@ -52,5 +54,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+t AS (SELECT doc_id, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS b, CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS c,
+             CASE WHEN i > 1 THEN w[i - 1] END AS ca, CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS cb FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+n1 AS (SELECT a, count(*) AS n FROM t GROUP BY 1), n2 AS (SELECT b, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY 1), n3 AS (SELECT c, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY 1),
+s AS (SELECT doc_id, CASE WHEN n3.n >= 2 THEN 3 WHEN n2.n >= 2 THEN 2 ELSE 1 END AS l, least(i, 3) AS top,
+             CASE WHEN n3.n >= 2 THEN ln(n3.n) - ln(k2.n) WHEN n2.n >= 2 THEN ln(n2.n) - ln(k1.n) ELSE ln(n1.n) - ln((SELECT count(*) FROM t)) END AS v
+      FROM t JOIN n1 USING (a) LEFT JOIN n2 ON t.b = n2.b LEFT JOIN n3 ON t.c = n3.c LEFT JOIN n1 k1 ON t.ca = k1.a LEFT JOIN n2 k2 ON t.cb = k2.b),
+g AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE l = 1) AS l1, count(*) FILTER (WHERE l = 2) AS l2, count(*) FILTER (WHERE l = 3) AS l3, sum(v + ln(0.4) * (top - l)) AS v FROM s GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(l1, 0) AS level_1, coalesce(l2, 0) AS level_2, coalesce(l3, 0) AS level_3, round(v / n, 6) AS score FROM d LEFT JOIN g USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": OP6_SQL}
+    return {"op5_lm_score": OP5_SQL, "op6_quality_rules": OP6_SQL}
