@@ -133,14 +133,14 @@ def superminhash(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     return sig.reshape(-1, m)
 
 
-def _chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, ends) for runs of texts of about ``CHUNK`` bytes."""
+def _chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, ends) for runs of texts of about ``size`` bytes."""
     column = column.cast(pa.large_string()).cast(pa.large_binary())
     ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
     a = 0
     while a < len(column):
-        b = max(a + 1, int(np.searchsorted(ends, ends[a] + CHUNK, side="right")) - 1)
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + size, side="right")) - 1)
         yield a, b, data[ends[a] : ends[b]], ends[a : b + 1] - ends[a]
         a = b
 

@@ -34,7 +34,9 @@ from tidemark.llm.minhash import _chunks, _Powers, mixed
 
 SPAN, GRAM = 400, 48
 #: Bytes of segments that are sorted together, and different segments of one gram beyond which it is dealt out.
-RUN_BYTES, HOT = 4_000_000, 2_000
+RUN_BYTES, HOT = 1_500_000, 2_000
+#: Bytes of text whose anchors are found together.
+TEXT_BYTES = 1_000_000
 #: No byte of UTF-8; ends each segment.
 END = 0xFF
 _VALUES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -249,7 +251,7 @@ def repeated_spans(keyed: DataFrame) -> DataFrame:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for a, b, data, ends in _chunks(batch.column(2)):
+            for a, b, data, ends in _chunks(batch.column(2), TEXT_BYTES):
                 text, start, count, gram, segment = anchors(data, ends)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a:b][text], hashes[a:b][text], start.astype(np.int64), count, gram, segment)], names=["__id", "__hash", "start", "count", "gram", "segment"])
 
