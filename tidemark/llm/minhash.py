@@ -204,8 +204,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 either.append(len(both) - s)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(either, pa.int64())], names=["a", "b", "shared", "either"])
 
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("items").alias("of_a")), "a")
+    with_b = pairs.hint("merge").join(sets.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b")
+    both = with_b.hint("merge").join(sets.select(F.col("node").alias("a"), F.col("items").alias("of_a")), "a")
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long, shared long, either long")
 
 
@@ -241,7 +241,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     members = written(banded.join(leaders, "bucket").select("bucket", "a", F.col("node").alias("b"), "n"))
     pairs = written(members.where("a <> b").select("a", "b").distinct())
     needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = written(full_sets(d.join(needed, "doc_id", "left_semi"), words).dropDuplicates(["node"]))
+    sets = written(full_sets(d.join(needed.hint("merge"), "doc_id", "left_semi"), words).dropDuplicates(["node"]))
     compared = written(verified(pairs, sets))
     linked = f"100 * shared >= {percent} * either"
     edges = compared.where(linked).select("a", "b")
