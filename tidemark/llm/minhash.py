@@ -135,7 +135,7 @@ def superminhash(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
 
 def _chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, ends) for runs of texts of about ``size`` bytes."""
-    column = column.cast(pa.large_string()).cast(pa.large_binary())
+    column = column.cast(pa.large_binary())
     ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
     a = 0
@@ -263,6 +263,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their group; of rows equal in doc_id and text one."""
+    kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    rows = docs.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])
+
+
 def op7_minhash(docs: DataFrame) -> DataFrame:
     """The contract's columns: shingles of three words, linked at 0.85."""
     return near_duplicates(docs, words=3, percent=85)

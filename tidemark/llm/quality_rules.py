@@ -46,18 +46,24 @@ POLICIES = {
 }
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id and the long measurements n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
-    d = id_and_text(docs)
+def measure(docs: DataFrame, with_row: bool = False) -> DataFrame:
+    """One row a document: doc_id and the long measurements n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+
+    ``with_row`` adds the document's own row as the struct ``__row``.
+    """
+    row = ["__row"] if with_row else []
+    d = id_and_text(docs) if not with_row else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = d.select(
         "doc_id",
+        *row,
         words_of(F.col("text")).alias("words"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         lines.alias("lines"),
     )
     d = d.select(
         "doc_id",
+        *row,
         "words",
         "n_symbols",
         F.size("words").alias("n"),
@@ -84,8 +90,7 @@ def measure(docs: DataFrame) -> DataFrame:
         F.lit(0).cast("long"),
         lambda a, b: a + b,
     )
-    return d.select(
-        "doc_id",
+    found = F.struct(
         F.col("n").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -93,14 +98,16 @@ def measure(docs: DataFrame) -> DataFrame:
         (F.col("n_lines") - F.col("n_set_lines")).alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
     )
+    # Conditions on the measurements stop at this generator: below it they would measure once for each mention.
+    return d.select("doc_id", *row, F.explode(F.array(found)).alias("m")).select("doc_id", *row, "m.*")
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def ledger(docs: DataFrame, with_row: bool = False) -> DataFrame:
     """The measurements and ``fail_bits`` (long): bit i is set if the document fails rule i of ``RULES``."""
     bits = F.lit(0).cast("long")
     for name, condition in RULES:
         bits = bits.bitwiseOR(F.when(F.expr(condition), F.lit(BIT[name])).otherwise(F.lit(0)).cast("long"))
-    return measure(docs).withColumn("fail_bits", bits)
+    return measure(docs, with_row).withColumn("fail_bits", bits)
 
 
 def apply_policy(entries: DataFrame, policy: Policy) -> DataFrame:
@@ -108,6 +115,11 @@ def apply_policy(entries: DataFrame, policy: Policy) -> DataFrame:
     return entries.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(policy.mask).cast("long")) == 0)
 
 
+def passing(docs: DataFrame, policy: Policy) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``policy`` keeps."""
+    return apply_policy(ledger(docs, with_row=True), policy).where("kept").select("__row.*")
+
+
 def ablation(entries: DataFrame, policy: Policy) -> DataFrame:
     """For each rule of ``policy``: documents failing it, failing it alone, and kept if the rule were dropped.
 
