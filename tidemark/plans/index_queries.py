@@ -35,6 +35,10 @@ def _core(spark, sf, kind) -> DataFrame:
     return P.core(_records(spark, sf, kind), kind.upper())
 
 
+def _n():
+    return F.count(F.lit(1)).alias("n")
+
+
 def _sid(*parts: str) -> str:
     return "sha1(" + " || chr(31) || ".join(f"({p})" for p in (f"'{SNAPSHOT}'", *parts)) + ")"
 
@@ -74,30 +78,28 @@ def _corrupted(d: DataFrame) -> DataFrame:
 
 
 def register(add) -> None:
-    n = F.count(F.lit(1)).alias("n")
-
     # --- files and records
 
     files = "relative_file_path, xml_kind, xml_kind_from_filename, xml_kind_from_root_tag, xml_kind_consistency_status, parse_status, root_tag, entity_count, error_type".split(", ")
     file_sql = f"SELECT dir || '/' || dir || '.' || xml_kind || '.xml' AS relative_file_path, xml_kind, xml_kind AS xml_kind_from_filename, xml_kind AS xml_kind_from_root_tag, 'consistent' AS xml_kind_consistency_status, 'ok' AS parse_status, upper(xml_kind) || '_SET' AS root_tag, count(*) AS entity_count, 'none' AS error_type FROM {_recs(*ALL)} GROUP BY dir, xml_kind"
     add("p1_file_parse", lambda s, d: P.file_index(_parsed(s, d, *ALL)).select(*files), file_sql)
-    add("p1_broken_files", lambda s, d: P.file_index(_parsed(s, d, "broken")).groupBy("parse_status", "root_tag", "xml_kind_consistency_status").agg(n))
-    add("x10_kind_from_root", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).groupBy("root_tag", "xml_kind_from_root_tag").agg(n), f"SELECT upper(xml_kind) || '_SET' AS root_tag, xml_kind AS xml_kind_from_root_tag, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY xml_kind")
+    add("p1_broken_files", lambda s, d: P.file_index(_parsed(s, d, "broken")).groupBy("parse_status", "root_tag", "xml_kind_consistency_status").agg(_n()))
+    add("x10_kind_from_root", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).groupBy("root_tag", "xml_kind_from_root_tag").agg(_n()), f"SELECT upper(xml_kind) || '_SET' AS root_tag, xml_kind AS xml_kind_from_root_tag, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY xml_kind")
     mixed_kind = "CASE WHEN xml_kind = 'study' THEN 'run' ELSE xml_kind END"
-    add("x11_kind_consistency", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).select(X.kind_consistency(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("status"), X.effective_kind(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("kind")).groupBy("status", "kind").agg(n), f"SELECT CASE WHEN {mixed_kind} = xml_kind THEN 'consistent' ELSE 'mismatch' END AS status, xml_kind AS kind, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
+    add("x11_kind_consistency", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).select(X.kind_consistency(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("status"), X.effective_kind(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("kind")).groupBy("status", "kind").agg(_n()), f"SELECT CASE WHEN {mixed_kind} = xml_kind THEN 'consistent' ELSE 'mismatch' END AS status, xml_kind AS kind, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
     add("p2_entity_records", lambda s, d: _records(s, d, *SMALL).select("entity_record_id", "entity_accession", "entity_type", "entity_path", "entity_ordinal", "accession_source_path", "alias", "file_id", "directory_id", "parse_status"), f"SELECT record_id AS entity_record_id, accession AS entity_accession, entity_type, '//' || entity_type || '[' || ord || ']' AS entity_path, ord AS entity_ordinal, '@accession' AS accession_source_path, alias, file_id, directory_id, 'ok' AS parse_status FROM {_recs(*SMALL)}")
     add("x12_entity_path", lambda s, d: _records(s, d, "study").select("entity_accession", X.entity_path("entity_type", "entity_ordinal").alias("path")), "SELECT 'SRP' || n_nationkey AS entity_accession, '//STUDY[1]' AS path FROM nation")
     add("w4_entity_ordinal", lambda s, d: _records(s, d, "experiment").select("entity_accession", "entity_ordinal"), f"SELECT accession AS entity_accession, ord AS entity_ordinal FROM {_recs('experiment')}")
     add("p3_run_core", lambda s, d: _core(s, d, "run").select("run_accession", "alias", "experiment_accession"), f"SELECT accession AS run_accession, alias, experiment_accession FROM {_recs('run')}")
     add("p4_experiment_core", lambda s, d: _core(s, d, "experiment").drop("source_snapshot_id"), f"SELECT record_id AS entity_record_id, file_id, accession AS experiment_accession, sample_accession, study_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')}")
-    add("p13_xml_helpers", lambda s, d: _core(s, d, "experiment").groupBy("platform", "instrument_model").agg(n), f"SELECT platform, instrument_model, count(*) AS n FROM {_recs('experiment')} GROUP BY ALL")
-    add("x20_library_layout", lambda s, d: P.experiment_extended(_records(s, d, "experiment")).groupBy("library_layout", "design_description_truncated").agg(n), "SELECT 'PAIRED' AS library_layout, false AS design_description_truncated, count(*) AS n FROM orders")
+    add("p13_xml_helpers", lambda s, d: _core(s, d, "experiment").groupBy("platform", "instrument_model").agg(_n()), f"SELECT platform, instrument_model, count(*) AS n FROM {_recs('experiment')} GROUP BY ALL")
+    add("x20_library_layout", lambda s, d: P.experiment_extended(_records(s, d, "experiment")).groupBy("library_layout", "design_description_truncated").agg(_n()), "SELECT 'PAIRED' AS library_layout, false AS design_description_truncated, count(*) AS n FROM orders")
     add("p15_experiment_extended", lambda s, d: P.experiment_extended(_records(s, d, "experiment")).select("experiment_accession", "alias", "title", "library_layout", "design_description", "center_name"), f"SELECT accession AS experiment_accession, NULL::VARCHAR AS alias, NULL::VARCHAR AS title, 'PAIRED' AS library_layout, NULL::VARCHAR AS design_description, NULL::VARCHAR AS center_name FROM {_recs('experiment')}")
     add("p5_sample_core", lambda s, d: _core(s, d, "sample").select("entity_record_id", "sample_accession", "bio_sample_id", "taxon_id", "scientific_name"), f"SELECT record_id AS entity_record_id, accession AS sample_accession, bio_sample_id, taxon_id, scientific_name FROM {_recs('sample')}")
     attrs = f"SELECT accession AS sample_accession, bio_sample_id, 'segment' AS tag, segment AS value, 1::BIGINT AS attribute_ordinal, false AS value_truncated FROM {_recs('sample')} UNION ALL SELECT accession, bio_sample_id, 'empty', NULL, 2, false FROM {_recs('sample')}"
     attributes = lambda s, d: P.sample_attributes(_records(s, d, "sample"))
     add("p6_sample_attributes", lambda s, d: attributes(s, d).drop("source_snapshot_id", "entity_record_id", "file_id"), attrs)
-    add("w5_attribute_ordinal", lambda s, d: attributes(s, d).groupBy("tag", "attribute_ordinal").agg(n), f"SELECT tag, attribute_ordinal, count(*) AS n FROM ({attrs}) GROUP BY ALL")
+    add("w5_attribute_ordinal", lambda s, d: attributes(s, d).groupBy("tag", "attribute_ordinal").agg(_n()), f"SELECT tag, attribute_ordinal, count(*) AS n FROM ({attrs}) GROUP BY ALL")
     add("p7_study_core", lambda s, d: _core(s, d, "study").select("study_accession", "bioproject_id", "study_type", "study_title"), f"SELECT accession AS study_accession, bioproject_id, 'Other' AS study_type, study_title FROM {_recs('study')}")
 
     # --- submissions and analyses: extensions, from suppliers and parts
@@ -121,7 +123,7 @@ def register(add) -> None:
     add("p10_external_ids", lambda s, d: I.external_ids(_records(s, d, *SMALL)).select("entity_accession", "namespace", "external_accession", "external_id_type", "external_record_id"), ext)
     edges = lambda s, d: I.relations(_records(s, d, *ALL))
     add("p11_relation_edges", lambda s, d: edges(s, d).select("relation_id", "src_type", "src_accession", "relation_type", "dst_accession", "dst_type", "dst_is_internal_entity", "relation_ordinal"), f"{_edges(*ALL)} SELECT {_sid('record_id', 'relation_type', 'dst', 'ordinal::VARCHAR')} AS relation_id, src_type, src AS src_accession, relation_type, dst AS dst_accession, dst_type, internal AS dst_is_internal_entity, ordinal AS relation_ordinal FROM e")
-    add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(n), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
+    add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(_n()), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
 
     def closed(s: SparkSession, d: str) -> DataFrame:
         r = _records(s, d, *ALL)
@@ -145,10 +147,10 @@ def register(add) -> None:
     add("a17_entity_index", lambda s, d: entities(s, d).drop("source_snapshot_id", "canonical_rule", "has_conflict", "conflict_type", "conflict_field_count"), entity)
     add("w1_canonical_record", lambda s, d: I.canonical_records(_records(s, d, "run")).select("entity_accession", "entity_record_id", "directory_accession"), f"SELECT accession AS entity_accession, record_id AS entity_record_id, dir AS directory_accession FROM ({ranked}) WHERE rn = 1 AND entity_type = 'RUN'")
     add("j4_canonical_join", lambda s, d: entities(s, d).where("record_count > 1").select("entity_accession", "canonical_entity_record_id"), f"SELECT entity_accession, canonical_entity_record_id FROM ({entity}) WHERE record_count > 1")
-    add("v13_key_gate", lambda s, d: I.key_gate(entities(s, d), *C.KEYS["entity_index"]).groupBy("entity_type").agg(n), f"SELECT entity_type, count(*) AS n FROM ({entity}) GROUP BY 1")
+    add("v13_key_gate", lambda s, d: I.key_gate(entities(s, d), *C.KEYS["entity_index"]).groupBy("entity_type").agg(_n()), f"SELECT entity_type, count(*) AS n FROM ({entity}) GROUP BY 1")
     add("f6_entity_lookup", lambda s, d: I.lookup(entities(s, d), "entity_accession", "SRS1").select("entity_type", "record_count"), f"SELECT entity_type, record_count FROM ({entity}) WHERE entity_accession = 'SRS1'")
     half = lambda s, d: _records(s, d, "sample").withColumn("entity_accession", F.when(~F.col("entity_accession").endswith("5"), F.col("entity_accession")))
-    add("f17_has_accession", lambda s, d: I.with_accession(half(s, d)).agg(n), "SELECT count(*) AS n FROM customer WHERE c_custkey % 10 <> 5")
+    add("f17_has_accession", lambda s, d: I.with_accession(half(s, d)).agg(_n()), "SELECT count(*) AS n FROM customer WHERE c_custkey % 10 <> 5")
     add("a21_entity_qc", lambda s, d: I.entity_qc(half(s, d)).drop("source_snapshot_id"), "SELECT 'SAMPLE' AS entity_type, count(*) AS entity_record_count, count(*) FILTER (WHERE c_custkey % 10 <> 5) AS unique_entity_accession_count, count(*) FILTER (WHERE c_custkey % 10 = 5) AS missing_accession_count, CASE WHEN count(*) FILTER (WHERE c_custkey % 10 = 5) > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM customer")
     bad = lambda s, d: P.file_index(_parsed(s, d, *SMALL)).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "xml_parse_error").otherwise(F.col("parse_status")))
     state_sql = "CASE WHEN dir LIKE '%1' THEN 'xml_parse_error' ELSE 'ok' END"
@@ -169,7 +171,7 @@ def register(add) -> None:
     add("f9_attribute_search", lambda s, d: I.attribute_search(attributes(s, d), "segm", "zzz"), f"SELECT sample_accession, bio_sample_id, tag, value FROM ({attrs}) WHERE lower(tag) LIKE '%segm%' OR lower(value) LIKE '%zzz%' ORDER BY sample_accession, tag, value LIMIT 100")
     add("f10_platform_filter", lambda s, d: I.platform_filter(_core(s, d, "experiment"), "ILLUMINA", "1-URGENT"), f"SELECT accession AS experiment_accession, study_accession, sample_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')} WHERE platform = 'ILLUMINA' AND library_strategy = '1-URGENT' ORDER BY 1 LIMIT 100")
     add("j1_chain_join", lambda s, d: I.chain(*[_core(s, d, k) for k in ("run", "experiment", "sample", "study")]), f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
-    add("j3_back_to_source", lambda s, d: I.back_to_source(_core(s, d, "run"), P.file_index(_parsed(s, d, "run"))).groupBy("relative_file_path", "xml_kind", "parse_status").agg(n), f"SELECT dir || '/' || dir || '.run.xml' AS relative_file_path, 'run' AS xml_kind, 'ok' AS parse_status, count(*) AS n FROM {_recs('run')} GROUP BY 1")
+    add("j3_back_to_source", lambda s, d: I.back_to_source(_core(s, d, "run"), P.file_index(_parsed(s, d, "run"))).groupBy("relative_file_path", "xml_kind", "parse_status").agg(_n()), f"SELECT dir || '/' || dir || '.run.xml' AS relative_file_path, 'run' AS xml_kind, 'ok' AS parse_status, count(*) AS n FROM {_recs('run')} GROUP BY 1")
 
     # --- nodes and inventory
 
@@ -180,7 +182,7 @@ def register(add) -> None:
     inventory = lambda s, d: I.path_inventory(nodes(s, d))
     add("a26_path_inventory", lambda s, d: inventory(s, d).select("entity_type", "path_abs", "path_entity_relative", "is_attribute", "node_occurrence_count", "non_empty_occurrence_count", "entity_coverage_count", "file_coverage_count"), inv)
     add("x14_rel_path", lambda s, d: inventory(s, d).select("path_abs", "path_entity_relative"), f"SELECT path_abs, path_entity_relative FROM ({inv})")
-    add("p12_xml_nodes", lambda s, d: nodes(s, d).where("value <> ''").groupBy("path", "is_attribute").agg(n, F.max("value").alias("largest")).where("path like '%STUDY_TITLE' or is_attribute"), " UNION ALL ".join(f"SELECT '{full(p)}' AS path, {str(a).lower()} AS is_attribute, count(*) AS n, max({v}) AS largest FROM nation" for p, t, rel, a, v in paths if a or p.endswith("TITLE")))
+    add("p12_xml_nodes", lambda s, d: nodes(s, d).where("value <> ''").groupBy("path", "is_attribute").agg(_n(), F.max("value").alias("largest")).where("path like '%STUDY_TITLE' or is_attribute"), " UNION ALL ".join(f"SELECT '{full(p)}' AS path, {str(a).lower()} AS is_attribute, count(*) AS n, max({v}) AS largest FROM nation" for p, t, rel, a, v in paths if a or p.endswith("TITLE")))
     add("f11_inventory_browse", lambda s, d: I.inventory_browse(inventory(s, d), "STUDY"), f"SELECT 'study' AS xml_kind, entity_type, path_abs, is_attribute, node_occurrence_count, non_empty_occurrence_count FROM ({inv}) WHERE entity_type = 'STUDY' ORDER BY node_occurrence_count DESC, path_abs LIMIT 100")
     fields = lambda s, d: P.selected_fields(nodes(s, d), ["STUDY_TITLE", "EXTERNAL_ID"])
     field_sql = "SELECT 'SRP' || n_nationkey AS entity_accession, 'STUDY' AS entity_type, 'STUDY_TITLE' AS field_name, '/STUDY_SET/STUDY/DESCRIPTOR/STUDY_TITLE' AS field_path, n_name AS value FROM nation UNION ALL SELECT 'SRP' || n_nationkey, 'STUDY', 'EXTERNAL_ID', '/STUDY_SET/STUDY/IDENTIFIERS/EXTERNAL_ID', 'PRJNA' || n_nationkey FROM nation"
@@ -196,8 +198,8 @@ def register(add) -> None:
         R.write_contract(I.entity_index(r), f"{root}/entity_index/data.parquet", "entity_index")
         return root
 
-    add("k6_contract_write", lambda s, d: R.open_table(s, written(s, d), "entity_record_index").groupBy("entity_type", "xml_kind").agg(n), f"SELECT entity_type, xml_kind, count(*) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
-    add("s8_table_open", lambda s, d: R.open_table(s, written(s, d), "entity_index").groupBy("entity_type").agg(n), f"SELECT entity_type, count(DISTINCT accession) AS n FROM {_recs(*SMALL)} GROUP BY 1")
+    add("k6_contract_write", lambda s, d: R.open_table(s, written(s, d), "entity_record_index").groupBy("entity_type", "xml_kind").agg(_n()), f"SELECT entity_type, xml_kind, count(*) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
+    add("s8_table_open", lambda s, d: R.open_table(s, written(s, d), "entity_index").groupBy("entity_type").agg(_n()), f"SELECT entity_type, count(DISTINCT accession) AS n FROM {_recs(*SMALL)} GROUP BY 1")
 
     def broken_tables(s, d):
         r = R.to_contract(_records(s, d, *SMALL), "entity_record_index")
@@ -210,7 +212,7 @@ def register(add) -> None:
     def empty(s, d):
         R.write_empty(s, root := scratch(s, "empty"), ["entity_index", "run_core"])
         none = R.open_table(s, root, "run_core")
-        return none.select("run_accession").union(_core(s, d, "run").select("run_accession").limit(0)).agg(n)
+        return none.select("run_accession").union(_core(s, d, "run").select("run_accession").limit(0)).agg(_n())
 
     add("v3_empty_tables", empty, "SELECT 0::BIGINT AS n")
     check = lambda s, d: V.field_check(_core(s, d, "sample"), _corrupted(_core(s, d, "sample")), ["file_id", "sample_accession"], ["bio_sample_id", "taxon_id", "scientific_name"])
@@ -226,7 +228,7 @@ def register(add) -> None:
     right = "count(*) FILTER (WHERE c_custkey % 10 NOT IN (3, 7))"
     add("a29_accuracy_metrics", lambda s, d: acc(s, d).withColumn("accuracy", F.round("accuracy", 6)), f"SELECT 'core' AS metric, count(*) AS checks, {right} AS matches, count(*) - {right} AS mismatches, round({right}::DOUBLE / count(*), 6) AS accuracy FROM customer")
     add("v12_thresholds", lambda s, d: V.within_thresholds(acc(s, d)).select("metric", "threshold", "status"), "SELECT 'core' AS metric, 0.999::DOUBLE AS threshold, 'fail' AS status FROM customer LIMIT 1")
-    add("a30_sample_entity_counts", lambda s, d: _records(s, d, *SMALL).join(S.random_sample(P.file_index(_parsed(s, d, *SMALL)), "file_id", 9, 42, checked=False).select("file_id"), "file_id", "left_semi").groupBy("entity_type").agg(n, F.count_distinct("directory_id").alias("directories")), f"WITH r AS {_recs(*SMALL)} SELECT entity_type, count(*) AS n, count(DISTINCT directory_id) AS directories FROM r WHERE file_id IN (SELECT file_id FROM (SELECT DISTINCT file_id FROM r) ORDER BY md5(file_id || ':42'), file_id LIMIT 9) GROUP BY 1")
+    add("a30_sample_entity_counts", lambda s, d: _records(s, d, *SMALL).join(S.random_sample(P.file_index(_parsed(s, d, *SMALL)), "file_id", 9, 42, checked=False).select("file_id"), "file_id", "left_semi").groupBy("entity_type").agg(_n(), F.count_distinct("directory_id").alias("directories")), f"WITH r AS {_recs(*SMALL)} SELECT entity_type, count(*) AS n, count(DISTINCT directory_id) AS directories FROM r WHERE file_id IN (SELECT file_id FROM (SELECT DISTINCT file_id FROM r) ORDER BY md5(file_id || ':42'), file_id LIMIT 9) GROUP BY 1")
 
     # --- runs with what the index knows of them, and incremental ingest
 
@@ -247,6 +249,6 @@ def register(add) -> None:
                 fs.mkdirs(jvm.Path(f"{root}/in/{name}"))
                 fs.rename(st.getPath(), jvm.Path(f"{root}/in/{name}/{name}.{kind}.xml"))
             ingest(s, f"{root}/in", out, log, SNAPSHOT)
-        return s.read.parquet(f"{out}/entity_record_index").groupBy("entity_type").agg(n, F.count_distinct("entity_record_id").alias("records"))
+        return s.read.parquet(f"{out}/entity_record_index").groupBy("entity_type").agg(_n(), F.count_distinct("entity_record_id").alias("records"))
 
     add("i1_incremental_ingest", incremental, f"SELECT entity_type, count(*) AS n, count(DISTINCT record_id) AS records FROM {_recs(*SMALL)} GROUP BY 1")

@@ -185,11 +185,10 @@ def read_xml_tree(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(f"{root}/*")
 
 
-def listed(spark: SparkSession, root: str, parts: int = 32) -> DataFrame:
+def listed(spark: SparkSession, root: str) -> DataFrame:
     """path, length, modificationTime of every ``*.xml`` one level below ``root``, empty files too.
 
-    Directory names are listed on the driver; their contents by the tasks, through each task's own file system client
-    where the path is local, else by Spark's listing (which leaves out empty files).
+    Spark lists the files but leaves out empty ones; these come from one listing through Hadoop's file system.
     """
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(f"{root}/*").select("path", "length", "modificationTime")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
