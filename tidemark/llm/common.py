@@ -49,34 +49,6 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-class Remembered:
-    """Values of keys by ``make``, which gets the unknown ones of a call together; remembers the last used.
-
-    At most ``size`` young and as many old values are held: when the young are full they become the old, and an old
-    value that is asked for becomes young again. It bounds memory, not results.
-    """
-
-    def __init__(self, size: int, make):
-        self.size, self.make = size, make
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def all(self, keys: list) -> list:
-        found = list(map(self.young.get, keys))
-        if None not in found:
-            return found
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
-        unknown = []
-        for k in {k for k in keys if k not in self.young}:
-            if (v := self.old.get(k)) is None:
-                unknown.append(k)
-            else:
-                self.young[k] = v
-        self.young.update(zip(unknown, self.make(unknown), strict=True))
-        return list(map(self.young.__getitem__, keys))
-
-
 class Memory(dict):
     """Bytes by key, made by ``make`` for all unknown keys of a batch together; remembers the last used.
 
