@@ -271,9 +271,11 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     held = own.join(common, ["a", "item"])
     by_member = Window.partitionBy("a", "b")
     held = held.withColumn("rank", F.row_number().over(by_member.orderBy("f", "item"))).withColumn("alone", F.col("size") - F.count("*").over(by_member))
-    held = written(held.where(F.col("rank") + F.col("alone") <= F.col("first")).select("a", "item", "b", "b_c", "n_b", "near"))
-    x, y = (held.select("a", "item", *[F.col(c).alias(f"{p}_{c}") for c in ("b", "b_c", "n_b", "near")]) for p in ("x", "y"))
+    held = written(held.where(F.col("rank") + F.col("alone") <= F.col("first")).select("a", "item", "b", "b_c", "n_b", "near", "size", (F.col("size") - F.col("alone")).alias("shared")))
+    x, y = (held.select("a", "item", *[F.col(c).alias(f"{p}_{c}") for c in ("b", "b_c", "n_b", "near", "size", "shared")]) for p in ("x", "y"))
     fit = (F.col("x_b") < F.col("y_b")) & (F.col("x_b_c") != F.col("y_b_c")) & ~(F.col("x_near") & F.col("y_near")) & (100 * F.least("x_n_b", "y_n_b") >= percent * F.greatest("x_n_b", "y_n_b"))
+    # Twice the differences that both must share, against those that either shares with any other member.
+    fit &= F.col("x_size") + F.col("y_size") - slack * F.least("x_n_b", "y_n_b") <= 2 * F.least("x_shared", "y_shared") + 1e-6
     return x.join(y, ["a", "item"]).where(fit).select(F.col("x_b").alias("a"), F.col("y_b").alias("b")).distinct()
 
 
