@@ -66,3 +66,14 @@ def test_linkage(spark):
     runs = spark.createDataFrame([("r1", "S1", "P1", "9"), ("r2", "-", "P1", "9"), ("r3", None, "", "9"), ("r4", None, None, None)], "run string, biosample string, bioproject string, taxid string")
     asm = spark.createDataFrame([("G1", "S1", "P1", "9"), ("G2", None, "P1", "9")], "assembly_accession string, biosample string, bioproject string, taxid string")
     assert {tuple(r) for r in L.link_runs(runs, asm).collect()} == {("r1", "G1", 1), ("r2", "G1", 2), ("r2", "G2", 2), ("r3", "G1", 3), ("r3", "G2", 3)}
+
+
+def test_mixed_sample(spark):
+    """Strata, then the largest, then others by hash; no unit twice, the same whatever the partitions."""
+    d = spark.createDataFrame([(f"{'abc'[i % 3]}a{i:03d}", i % 11) for i in range(60)], "unit string, size int")
+    got = sorted(r["unit"] for r in S.mixed(d, "unit", "size", 20, 3).collect())
+    assert len(got) == len(set(got)) == 20 and got == sorted(r["unit"] for r in S.mixed(d.repartition(5), "unit", "size", 20, 3).collect())
+    strata = {r["unit"] for r in S.stratified(d.select("unit"), "unit", F.substring("unit", 1, 3), 14, 3).collect()}
+    left = {r["unit"]: r["size"] for r in d.collect() if r["unit"] not in strata}
+    largest = sorted(left, key=lambda u: (left[u], u))[-4:]
+    assert strata | set(largest) <= set(got)
