@@ -16,6 +16,8 @@ differ by letter case only outside A-Z; other columns are ignored; an empty tabl
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +29,33 @@ from tidemark.llm.minhash import _chunks, mixed, word_hashes
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 #: Bytes of text in a block, on average.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 16_000_000
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """The bytes of sorted or small numbers, those of equal weight together: what repeats stands together."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+    """The bytes of sorted or small numbers, those of equal weight together (what repeats stands together), compressed."""
+    return zlib.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), 1)
 
 
 def _from_planes(b: bytes, dtype: type) -> np.ndarray:
     width = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(b), np.uint8).reshape(width, -1).T).view(dtype).ravel()
+
+
+def _sorted_planes(keys: np.ndarray) -> bytes:
+    """Sorted keys as the planes of their gaps: these are small, so the planes of most weight are zero."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _short(texts: pa.Array) -> pa.Array:
+    return pa.array([zlib.compress(t, 3) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
 
 
 def ngrams(texts: pa.ChunkedArray, order: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Words of each text, the place of each word in its text, and for each order the hash of the n-gram that ends there."""
+    """Words of each (compressed) text, the place of each word in its text, and for each order the hash of the n-gram that ends there."""
     sizes, hashes = [], []
     for chunk in texts.chunks:
-        for _, _, data, ends in _chunks(chunk):
+        for _, _, data, ends in _chunks(pa.array(map(zlib.decompress, chunk.to_pylist()), pa.large_binary())):
             h, bounds = word_hashes(data, ends)
             hashes.append(h)
             sizes.append(np.diff(bounds))
@@ -69,12 +80,12 @@ def counted(docs: DataFrame, blocks: int, parts: int, order: int) -> DataFrame:
             keys, n = np.unique(g[place >= k], return_counts=True)
             at = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
             cuts = np.searchsorted(at, np.arange(parts + 1, dtype=np.uint64))
-            rows += [(number, k, p, _planes(keys[a:b]), _planes(n[a:b].astype(np.uint32))) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows += [(number, k, p, _sorted_planes(keys[a:b]), _planes(n[a:b].astype(np.uint32))) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
         cols = list(zip(*rows, strict=True)) or [()] * 5
         return pa.table({"block": pa.array(cols[0], pa.int64()), "ord": pa.array(cols[1], pa.int32()), "part": pa.array(cols[2], pa.int32()), "keys": pa.array(cols[3], pa.binary()), "n": pa.array(cols[4], pa.binary())})
 
     def answer(asked: pa.Table) -> pa.Table:
-        keys = [_from_planes(b, np.uint64) for b in asked.column("keys").to_pylist()]
+        keys = [np.cumsum(_from_planes(b, np.uint64), dtype=np.uint64) for b in asked.column("keys").to_pylist()]
         n = np.concatenate([_from_planes(b, np.uint32) for b in asked.column("n").to_pylist()])
         _, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(back, n).astype(np.uint64)[back]
@@ -96,7 +107,13 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
     d = id_and_text(docs)
     size = d.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(parts, math.ceil(size / BLOCK_BYTES))
-    dealt = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")).repartition(parts, "block")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), _short(b.column(1)), b.column(2)], names=["doc_id", "text", "block"])
+
+    d = d.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
+    dealt = d.mapInArrow(packed, "doc_id long, text binary, block long").repartition(parts, "block")
     levels = [f"level_{k}" for k in range(1, order + 1)]
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
@@ -104,21 +121,21 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
         answers = answers.sort_by([("ord", "ascending"), ("part", "ascending")]) if len(answers) else answers
         which = answers.column("ord").to_numpy()
         lists = answers.column("counts").to_pylist()
-        seen = []
-        for k, g in enumerate(grams):
+        context = value = level = None
+        for k in range(order):
             here = place >= k
-            _, back = np.unique(g[here], return_inverse=True)
+            _, back = np.unique(grams[k][here], return_inverse=True)
+            grams[k] = None  # not needed any more
             counts = np.concatenate([np.zeros(0, np.uint64), *(_from_planes(lists[i], np.uint64) for i in np.flatnonzero(which == k))])
-            c = np.zeros(len(g))
-            c[here] = counts[back]
-            seen.append(c)
-        value = np.log(np.maximum(seen[0], 1))
-        level = np.ones(len(place), np.int64)
-        for k in range(1, order):
-            hit = seen[k] >= least
-            context = np.concatenate([np.ones(1), seen[k - 1][:-1]])[: len(place)]
-            value = np.where(hit, np.log(np.maximum(seen[k], 1)) - np.log(np.maximum(context, 1)), value)
-            level = np.where(hit, k + 1, level)
+            seen = np.ones(len(place))
+            seen[here] = counts[back]
+            if k == 0:
+                value, level = np.log(seen), np.ones(len(place), np.int8)
+            else:
+                hit = np.flatnonzero(here & (seen >= least))
+                value[hit] = np.log(seen[hit]) - np.log(context[hit - 1])
+                level[hit] = k + 1
+            context = seen
         value += math.log(backoff) * (np.minimum(place + 1, order) - level)
         owner = np.repeat(np.arange(len(n)), n)
         out = {"doc_id": block.column("doc_id").combine_chunks(), "n_words": pa.array(n, pa.int64())}
