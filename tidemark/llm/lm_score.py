@@ -106,7 +106,7 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = id_and_text(docs)
     size = d.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(parts, math.ceil(size / BLOCK_BYTES))
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,7 +143,7 @@ def scored(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, least:
             out[name] = pa.array(np.bincount(owner[level == k], minlength=len(n)), pa.int64())
         return pa.table(out | {"log_score": pa.array(np.bincount(owner, value, len(n)), pa.float64())})
 
-    answers = counted(dealt, blocks, 2 * parts, order)
+    answers = counted(dealt, blocks, 2 * blocks, order)  # as many table partitions as the size asks for, whatever the session
     schema = ", ".join(["doc_id long", "n_words long", *(f"{x} long" for x in levels), "log_score double"])
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
 
