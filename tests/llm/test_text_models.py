@@ -48,6 +48,24 @@ def test_field_learns_other_spellings():
     assert pii_crf.all_spans("just 12 apples and 7 pears", w) == []
 
 
+def test_spelt_addresses_without_digits_are_found():
+    r = random.Random(2)
+    texts = [f"some words write to {''.join(r.choices('abcdef', k=5))}@{r.choice(['mail', 'post'])}.example.com or call +1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)} and {r.randint(10, 99)} more" for _ in range(60)]
+    w = pii_crf.fit(texts)
+    for address in ("ann at mail dot example dot com", "ann [AT] mail [dot] example", "ann (At) mail.example.com", "ann dot lee at mail dot example", f"{'x' * 60}(at)mail.example.com"):
+        text = f"please write to {address}, or look at the house"
+        assert [(k, text[s:e]) for k, s, e, _ in pii_crf.all_spans(text, w)] == [("email", address)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["ann", " ", " at ", " dot ", ".", "é", "abcé", "12", "@", "(at)", "[AT]", "\n", "é" * 50]), max_size=120).map("".join))
+def test_stretches_hold_every_candidate(text):
+    every = pii_crf.Lattice(text, 0, len(text))
+    parts = [pii_crf.Lattice(text, a, b) for a, b in pii_crf.stretches(text)]
+    spans = lambda x: [(x.ends[i], x.ends[j]) for i, j in x.segments]
+    assert [s for p in parts for s in spans(p)] == spans(every)
+
+
 def test_field_is_a_distribution():
     """The best segmentation and the marginals agree with trying every segmentation."""
     text = "a +1 23 b"

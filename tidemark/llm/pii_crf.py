@@ -1,8 +1,10 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds what they miss.
 
-The patterns give the base spans. The field cuts the text around digits, ``@`` and bracketed ``at`` into tokens and scores whole
-candidate segments of up to ``LONGEST`` tokens by their features; a dynamic programme over segment ends chooses
-boundaries and types together. Outside these stretches no segment can be a candidate, so leaving them out is exact.
+The patterns give the base spans. The field cuts the text around triggers into tokens and scores whole candidate
+segments of up to ``LONGEST`` tokens by their features; a dynamic programme over segment ends chooses boundaries and
+types together. Triggers are digits, ``@``, bracketed ``at``, and ``at`` between spaces after a local part and before a
+name with a dot or a spelt ``dot``, in either case of letters. A candidate holds a whole trigger, and a stretch reaches
+``LONGEST`` whole tokens to either side of one, so leaving out the rest is exact.
 A span of the field is added where it touches no base span.
 
 The weights are fitted to the base spans of a bounded sample of the table's own documents: ``SAMPLE`` documents with
@@ -16,6 +18,7 @@ weights are zero and nothing is added; other columns are kept by ``redacted`` an
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +29,16 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import id_and_text
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, WINDOWS, EPOCHS, LONGEST, REACH = 400, 240, 12, 16, 40
+SAMPLE, WINDOWS, EPOCHS, LONGEST = 400, 240, 12, 32
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]|\[at\]|\(at\)")
+_AT, _SPELT = r"[\[(][Aa][Tt][\])]", r"(?:\s?[\[(][Dd][Oo][Tt][\])]\s?|\s[Dd][Oo][Tt]\s)"
+_DOT = rf"(?:\.|{_SPELT})"
+_TRIGGER = re.compile(rf"[0-9]+|@|{_AT}|(?<=[A-Za-z0-9._%+-])\s[Aa][Tt]\s(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
@@ -81,11 +86,12 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 #: Features of a whole segment; each is 0 or 1.
 FEATURES = (
     "bias", "plus", "at", "at_word", "dot_word", "digits_3_7", "digits_8_15", "digits_16_19", "digits_more", "no_digit",
-    "luhn", "ip_shape", "brackets", "dashes", "spaces", "letters", "dot_end", "two_parts", "word_left", "digit_edge", "glued", "one_token", "odd_sign",
+    "luhn", "ip_shape", "brackets", "dashes", "spaces", "letters", "dot_end", "two_parts", "word_left", "digit_edge", "glued", "one_token", "odd_sign", "goes_on",
 )
 _SIGNS = frozenset("+-.()@_%")
+_GOES_ON, _COMES_ON = re.compile(rf"{_DOT}[A-Za-z0-9-]"), re.compile(rf"[A-Za-z0-9._%+-]{_SPELT}\Z")
 _IP_SHAPE = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
-_PARTS = re.compile(r"[A-Za-z0-9._%+-]+(?:@|\s?[\[(]at[\])]\s?|\sat\s)[A-Za-z0-9-]+(?:(?:\.|\s?[\[(]dot[\])]\s?|\sdot\s)[A-Za-z0-9-]+)+")
+_PARTS = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_SPELT}[A-Za-z0-9._%+-]+)*(?:@|\s?{_AT}\s?|\s[Aa][Tt]\s)[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
 
 
 def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
@@ -97,16 +103,18 @@ def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
     values = (
         True, s[0] == "+", "@" in s, " at " in low or "(at)" in low or "[at]" in low, " dot " in low or "(dot)" in low or "[dot]" in low, 3 <= n <= 7, 8 <= n <= 15, 16 <= n <= 19, n > 19, n == 0,
         16 <= n <= 19 and luhn(digits), bool(_IP_SHAPE.fullmatch(s)) and _ip_ok(s), "(" in s and ")" in s, "-" in s, " " in s, any(c.isalpha() for c in s), not (s[-1].isalnum()), bool(_PARTS.fullmatch(s)), left.isalpha(),
-        (left.isdigit() and s[0].isdigit()) or (right.isdigit() and s[-1].isdigit()), (left != "" and left in "@._%+-") or right == "@", tokens == 1, any(not (c.isalnum() or c in _SIGNS or c == " ") for c in s),
+        (left.isdigit() and s[0].isdigit()) or (right.isdigit() and s[-1].isdigit()), (left != "" and left in "@._%+-") or right == "@", tokens == 1, any(not (c.isalnum() or c in _SIGNS or c == " ") for c in s), _GOES_ON.match(text, end) is not None or _COMES_ON.search(text[max(0, start - 8) : start]) is not None,
     )
     return np.fromiter(values, np.float64, len(FEATURES))
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Stretches of ``text`` around triggers, ``REACH`` characters to either side, joined where they meet."""
+    """Stretches of ``text`` around triggers, ``LONGEST`` whole tokens to either side, joined where they meet."""
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+    hits = [m.span() for m in _TRIGGER.finditer(text)]
+    ends = [0, *(m.end() for m in _TOKEN.finditer(text))] if hits else []
+    for s, e in hits:
+        a, b = ends[max(0, bisect_right(ends, s) - 1 - LONGEST)], ends[min(len(ends) - 1, bisect_left(ends, e) + LONGEST)]
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -115,7 +123,7 @@ def stretches(text: str) -> list[tuple[int, int]]:
 
 
 class Lattice:
-    """The tokens of a stretch and its candidate segments: those with a trigger that start and end on a letter, digit, ``+`` or ``(``."""
+    """The tokens of a stretch and its candidate segments: those with a whole trigger that start and end on a letter, digit, ``+`` or ``(``."""
 
     def __init__(self, text: str, a: int, b: int):
         ends = [m.span() for m in _TOKEN.finditer(text, a, b)]
@@ -123,8 +131,10 @@ class Lattice:
         self.n = len(ends)
         first = [text[s].isalnum() or text[s] in "+(" for s, _ in ends]
         last = [text[e - 1].isalnum() for _, e in ends]
-        hot = np.cumsum([0, *(bool(_TRIGGER.search(text, s, e)) for s, e in ends)])
-        self.segments = [(i, j) for i in range(self.n) if first[i] for j in range(i + 1, min(self.n, i + LONGEST) + 1) if last[j - 1] and hot[j] > hot[i]]
+        hits = [m.span() for m in _TRIGGER.finditer(text, a, b)]
+        starts = [s for s, _ in hits]
+        nearest = [bisect_left(self.ends, hits[k][1]) if (k := bisect_left(starts, s)) < len(hits) else self.n + 1 for s, _ in ends]  # a segment that ends before has no trigger
+        self.segments = [(i, j) for i in range(self.n) if first[i] for j in range(max(i + 1, nearest[i]), min(self.n, i + LONGEST) + 1) if last[j - 1]]
         self.x = np.array([features(text, self.ends[i], self.ends[j], j - i) for i, j in self.segments]).reshape(-1, len(FEATURES))
         self.into: list[list[int]] = [[] for _ in range(self.n + 1)]
         for k, (_, j) in enumerate(self.segments):
@@ -221,7 +231,7 @@ def all_spans(text: str, w: np.ndarray) -> list[tuple[str, int, int, bool]]:
     """Base spans and those that the field adds, by kind, then start; the last value tells base spans."""
     base = base_spans(text)
     out = [(*s, True) for s in base]
-    if w.any() and ("@" in text or "[at]" in text or "(at)" in text or _DIGIT.search(text)):
+    if w.any():
         for a, b in stretches(text):
             near = [(s, e) for _, s, e in base if s < b and e > a]
             out += [(k, s, e, False) for k, s, e in Lattice(text, a, b).best(w) if not any(s < y and e > x for x, y in near)]
