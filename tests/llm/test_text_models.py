@@ -66,6 +66,25 @@ def test_stretches_hold_every_candidate(text):
     assert [s for p in parts for s in spans(p)] == spans(every)
 
 
+def test_fit_uses_the_whole_sample():
+    """Documents full of dates before those with base spans, and base spans in long stretches, don't stop the fit from learning."""
+    r = random.Random(3)
+    dates = [" ".join(f"on 2024-{r.randint(10, 12)}-{r.randint(10, 28)} {'the usual report came in as it always does and nobody was surprised by that at all, since all had read it before and said so twice'}" for _ in range(12)) for _ in range(40)]
+    calls = [f"some words call +1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)} or c_d{r.randint(1, 99)}@mail.example.com today" for _ in range(60)]
+    text = "please ring (555) 123-4567 today"
+    for texts in (dates + calls, [" ".join(calls)]):
+        assert [(k, text[s:e]) for k, s, e, _ in pii_crf.all_spans(text, pii_crf.fit(texts))] == [("phone", "(555) 123-4567")]
+
+
+def test_sample_holds_base_spans(frame, monkeypatch):
+    """The sample has passages with base spans wherever there are any, far into long texts too, and equal ones once."""
+    seen = []
+    monkeypatch.setattr(pii_crf, "fit", lambda texts: seen.extend(texts))
+    numbers = [(i, f"number {i} of many") for i in range(700)]
+    pii_crf.fitted(frame([*numbers, *[(i, "mail ann@b.org") for i in range(700, 1500)], (1500, "x " * 30_000 + "mail bob@b.org" + " y" * 30_000), (1501, "no trigger"), (1502, None)]))
+    assert len(seen) == pii_crf.OTHERS + 2 and sum("ann@b.org" in t for t in seen) == 1 and sum("bob@b.org" in t for t in seen) == 1 and max(map(len, seen)) <= pii_crf.PASSAGE
+
+
 def test_field_is_a_distribution():
     """The best segmentation and the marginals agree with trying every segmentation."""
     text = "a +1 23 b"

@@ -7,9 +7,12 @@ name with a dot or a spelt ``dot``, in either case of letters. A candidate holds
 ``LONGEST`` whole tokens to either side of one, so leaving out the rest is exact.
 A span of the field is added where it touches no base span.
 
-The weights are fitted to the base spans of a bounded sample of the table's own documents: ``SAMPLE`` documents with
-a digit or ``@``, the first by a hash of doc_id, each base phone and mail address also in spellings that the patterns
-don't know. All other work covers whole texts of all documents.
+The weights are fitted to the base spans of a bounded sample of the table's own documents, to every stretch of it: of
+each document with a trigger a passage of at most ``PASSAGE`` characters, which starts at most a quarter of that before
+its first base span (of half a passage at most; else its first trigger) and cuts no base span; ``SAMPLE`` - ``OTHERS``
+passages with base spans and ``OTHERS`` without, the first by a hash of the passage, equal ones once. Stretches of over
+``PIECE`` tokens are cut between base spans. Each base phone and mail address is used also in spellings that the
+patterns don't know. All other work covers whole texts of all documents.
 
 Defined cases: a null or empty text has no spans; equal rows are treated alike; where no document has a base span, the
 weights are zero and nothing is added; other columns are kept by ``redacted`` and ignored by ``spans``.
@@ -17,6 +20,7 @@ weights are zero and nothing is added; other columns are kept by ``redacted`` an
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -26,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text
+from tidemark.llm.common import id_and_text, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, WINDOWS, EPOCHS, LONGEST = 400, 240, 12, 32
+SAMPLE, OTHERS, PASSAGE, PIECE, EPOCHS, LONGEST = 400, 100, 2000, 256, 12, 32
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -162,18 +166,25 @@ class Lattice:
 
     def marginals(self, w: np.ndarray) -> np.ndarray:
         """The probability of each segment and kind, by forward and backward sums."""
-        scores = self.x @ w.T
-        top = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
-        out_of: list[list[int]] = [[] for _ in range(self.n + 1)]
-        for k, (i, _) in enumerate(self.segments):
-            out_of[i].append(k)
-        f, b = np.zeros(self.n + 1), np.zeros(self.n + 1)
-        for j in range(1, self.n + 1):
-            f[j] = np.logaddexp.reduce([f[j - 1], *(f[self.segments[k][0]] + top[k] for k in self.into[j])])
-        for i in range(self.n - 1, -1, -1):
-            b[i] = np.logaddexp.reduce([b[i + 1], *(b[self.segments[k][1]] + top[k] for k in out_of[i])])
-        at = np.array(self.segments, int).reshape(-1, 2)
-        return np.exp(scores + (f[at[:, 0]] + b[at[:, 1]] - f[self.n])[:, None])
+        return _marginals(np.array(self.segments, np.int32).reshape(-1, 2), self.x, self.n, w)
+
+
+def _marginals(at: np.ndarray, x: np.ndarray, n: int, w: np.ndarray) -> np.ndarray:
+    scores = x @ w.T
+    top = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
+    by_end = np.argsort(at[:, 1], kind="stable")
+    opens, closes = np.searchsorted(at[:, 0], np.arange(n + 2)).tolist(), np.searchsorted(at[by_end, 1], np.arange(n + 2)).tolist()
+    start, end, score = at[by_end, 0], at[:, 1], top[by_end]
+    f, b = np.zeros(n + 1), np.zeros(n + 1)
+    for j in range(1, n + 1):
+        f[j] = f[j - 1]
+        if (lo := closes[j]) < (hi := closes[j + 1]):
+            f[j] = np.logaddexp(f[j], np.logaddexp.reduce(f[start[lo:hi]] + score[lo:hi]))
+    for i in range(n - 1, -1, -1):
+        b[i] = b[i + 1]
+        if (lo := opens[i]) < (hi := opens[i + 1]):
+            b[i] = np.logaddexp(b[i], np.logaddexp.reduce(b[end[lo:hi]] + top[lo:hi]))
+    return np.exp(scores + (f[at[:, 0]] + b[at[:, 1]] - f[n])[:, None])
 
 
 def _respelt(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[str, list[tuple[str, int, int]]]:
@@ -198,7 +209,7 @@ def _respelt(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[s
 
 def fit(texts: list[str]) -> np.ndarray:
     """Weights (kinds x features) that make the base spans of ``texts`` likely: adaptive gradient ascent with an L2 term."""
-    chosen: list[tuple[Lattice, np.ndarray]] = []
+    chosen: list[tuple[np.ndarray, np.ndarray, int, list[tuple[int, int]]]] = []  # bits, not floats: the sample is held as a whole
     for turn, text in enumerate(texts):
         spans = base_spans(text)
         kinds = [(text, spans)]
@@ -206,27 +217,59 @@ def fit(texts: list[str]) -> np.ndarray:
             kinds.append(_respelt(text, spans, turn))
         for t, marks in kinds:
             truth = {(s, e): KINDS.index(k) for k, s, e in marks}
-            for a, b in stretches(t):
-                if b - a > 400 or len(chosen) >= WINDOWS:
-                    continue
+            for a, b in _pieces(t, marks):
                 lattice = Lattice(t, a, b)
-                y = np.zeros((len(lattice.segments), len(KINDS)))
-                for k, (i, j) in enumerate(lattice.segments):
-                    if (kind := truth.get((lattice.ends[i], lattice.ends[j]))) is not None:
-                        y[k, kind] = 1
-                if len(y):
-                    chosen.append((lattice, y))
+                y = [(k, kind) for k, (i, j) in enumerate(lattice.segments) if (kind := truth.get((lattice.ends[i], lattice.ends[j]))) is not None]
+                if lattice.segments:
+                    chosen.append((np.array(lattice.segments, np.int32), lattice.x.astype(bool), lattice.n, y))
     w, g2 = np.zeros((len(KINDS), len(FEATURES))), np.full((len(KINDS), len(FEATURES)), 1e-6)
-    if not any(y.any() for _, y in chosen):
+    if not any(y for *_, y in chosen):
         return w
     for _ in range(EPOCHS):
-        for lattice, y in chosen:
-            g = (y - lattice.marginals(w)).T @ lattice.x - 1e-3 * w
+        for at, bits, n, y in chosen:
+            x = bits.astype(np.float64)
+            g = -_marginals(at, x, n, w).T @ x - 1e-3 * w
+            for k, kind in y:
+                g[kind] += x[k]
             g2 += g * g
             w += 0.5 * g / np.sqrt(g2)
     return w
 
 
+def _pieces(text: str, marks: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The stretches of ``text``, those of over ``PIECE`` tokens cut at the next token's end that is inside no mark."""
+    out = []
+    for a, b in stretches(text):
+        inside, n = [(s, e) for _, s, e in marks if s < b and e > a], 0
+        for m in _TOKEN.finditer(text, a, b):
+            n += 1
+            if n >= PIECE and m.end() < b and not any(s < m.end() < e for s, e in inside):
+                out.append((a, m.end()))
+                a, n = m.end(), 0
+        out.append((a, b))
+    return out
+
+
+def passage(text: str) -> tuple[bool, str] | None:
+    """What ``text`` gives to the sample, and whether that has a base span; None where nothing triggers."""
+    if (hit := _TRIGGER.search(text)) is None:
+        return None
+    found = base_spans(text)
+    first = min((x for x in found if x[2] - x[1] <= PASSAGE // 2), key=lambda x: x[1], default=None)
+    begin = hit.start() if first is None else first[1]
+    a = max(0, begin - PASSAGE // 4)
+    b = min(len(text), a + PASSAGE)
+    moved = True
+    while moved:  # spans may overlap
+        moved = False
+        for _, s, e in found:
+            if s < a < e:
+                a, moved = min(e, begin), moved or a != min(e, begin)
+            if s < b < e and s > begin:
+                b, moved = s, True
+    return first is not None, text[a:b]
+
+
 def all_spans(text: str, w: np.ndarray) -> list[tuple[str, int, int, bool]]:
     """Base spans and those that the field adds, by kind, then start; the last value tells base spans."""
     base = base_spans(text)
@@ -240,10 +283,23 @@ def all_spans(text: str, w: np.ndarray) -> list[tuple[str, int, int, bool]]:
 
 def fitted(docs: DataFrame) -> np.ndarray:
     """Weights from a bounded sample of ``docs``; the sample, not more, comes to the driver."""
-    d = id_and_text(docs).where(F.length("text") <= 20_000).where(F.col("text").rlike("[0-9@]"))
-    ids = d.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
-    some = d.join(F.broadcast(ids), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE)  # ids as bounded
-    return fit([r["text"] for r in some.collect()])
+    limits = {True: SAMPLE - OTHERS, False: OTHERS}
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bool, dict[str, str]] = {True: {}, False: {}}
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                if (p := passage(text)) is not None:
+                    kept[p[0]][hashlib.sha256(p[1].encode("utf-8", "surrogatepass")).hexdigest()] = p[1]
+                    if len(kept[p[0]]) > 2 * limits[p[0]]:
+                        kept[p[0]] = {k: kept[p[0]][k] for k in sorted(kept[p[0]])[: limits[p[0]]]}
+        rows = [(base, k, found[k]) for base, found in kept.items() for k in sorted(found)[: limits[base]]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((), (), ()), (pa.bool_(), pa.string(), pa.string()), strict=True)], names=["base", "key", "passage"])
+
+    some = written(id_and_text(docs).select("text").mapInArrow(first, "base boolean, key string, passage string"))
+    once = some.groupBy("base", "key").agg(F.min("passage").alias("passage"))
+    rows = [r for base, n in limits.items() for r in once.where(F.col("base") == base).orderBy("key").limit(n).collect()]
+    return fit([r["passage"] for r in sorted(rows, key=lambda r: r["key"])])
 
 
 def spans(docs: DataFrame, w: np.ndarray | None = None) -> DataFrame:
