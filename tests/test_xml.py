@@ -1,6 +1,10 @@
 """XML extraction on hand-made files, odd ones included."""
 
+import re
+import xml.etree.ElementTree as ET
+
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import index as I
 from tidemark.sources import xml_files as P
@@ -69,3 +73,23 @@ def test_inventory(parsed):
     assert (tag["node_occurrence_count"], tag["entity_coverage_count"], tag["path_entity_relative"]) == (2, 1, "/SAMPLE_ATTRIBUTES/SAMPLE_ATTRIBUTE/TAG")
     value = inv[("/SAMPLE_SET/SAMPLE/SAMPLE_ATTRIBUTES/SAMPLE_ATTRIBUTE/VALUE", "SAMPLE")]
     assert (value["max_value_length"], len(value["example_value"]), value["example_value_truncated"]) == (2001, 500, True)
+
+
+def test_large_files_are_parsed(spark):
+    text = F.concat(F.lit("<RUN_SET>"), F.repeat(F.concat(F.lit('<RUN accession="R1"/>'), F.repeat(F.lit(" "), 1 << 20)), 66), F.lit("</RUN_SET>"))
+    files = spark.range(1).select(F.lit("/x/D/D.run.xml").alias("path"), F.current_timestamp().alias("modificationTime"), F.encode(text, "UTF-8").alias("content")).withColumn("length", F.length("content").cast("long"))
+    got = P.parsed(files, "s").select("file_size", "parse_status", "entity_count").first()
+    assert got["file_size"] > 64 << 20 and (got["parse_status"], got["entity_count"]) == ("ok", 66)
+
+
+def test_streamed_entities_equal_the_trees():
+    inner = '<a:RUN xmlns:a="u" accession="R2"><EXPERIMENT_REF accession="X1"/></a:RUN>'
+    for body in ("", "<RUN_SET/>", f"<RUN_SET>t{inner}t<G><H>{inner}</H><TITLE/></G>{inner}</RUN_SET>", f'<SUBMISSION accession="A"><TITLE>b {inner} c</TITLE>{inner}</SUBMISSION>', f"<RUN_SET>{inner}", "<RUN_SET></RUN>"):
+        try:
+            tree = ET.fromstring(body)
+        except ET.ParseError as e:
+            with pytest.raises(ET.ParseError, match=re.escape(str(e))):
+                P._streamed(body.encode())
+        else:
+            root, entities = P._streamed(body.encode())
+            assert (root.tag, entities) == (tree.tag, P._entities(tree))

@@ -6,6 +6,7 @@ are data, never failures of the job. Names are compared without namespace; "firs
 
 from __future__ import annotations
 
+import io
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
@@ -90,8 +91,9 @@ def _fields(kind: str, e: _Element) -> dict[str, str]:
     return {"center_name": e.attribute("center_name"), "lab_name": e.attribute("lab_name"), "title": e.text("TITLE")}
 
 
-def _entities(root: ET.Element) -> list[dict]:
-    seen: dict[str, int] = {}
+def _entities(root: ET.Element, seen: dict[str, int] | None = None) -> list[dict]:
+    """The entities of ``root`` in document order, numbered by kind from those ``seen`` on."""
+    seen = {} if seen is None else seen
     out = []
     for node in root.iter():
         if (kind := _name(node)) in ENTITY_TYPES:
@@ -103,6 +105,42 @@ def _entities(root: ET.Element) -> list[dict]:
     return out
 
 
+def _streamed(content: bytes) -> tuple[ET.Element, list[dict]]:
+    """The root, without what it held, and the entities as ``_entities`` gives them; only one outermost entity's tree is held at a time."""
+    seen: dict[str, int] = {}
+    out: list[dict] = []
+    around: list[ET.Element] = []
+    inside = 0
+    for event, node in ET.iterparse(io.BytesIO(content), ("start", "end")):
+        entity = _name(node) in ENTITY_TYPES
+        if event == "start":
+            around.append(node)
+            inside += entity
+            continue
+        around.pop()
+        inside -= entity
+        if not inside:
+            if entity:
+                out += _entities(node, seen)
+            if around:
+                around[-1].remove(node)
+            else:
+                root = node
+    return root, out
+
+
+def _slices(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """First place and number of rows of slices of 64 rows at most, and of over 64 MB only where one row is."""
+    first = size = 0
+    for k, n in enumerate(lengths):
+        if k > first and (k - first == 64 or size + n > 64 << 20):
+            yield first, k - first
+            first, size = k, 0
+        size += n
+    if lengths:
+        yield first, len(lengths) - first
+
+
 def _nodes(root: ET.Element) -> list[dict]:
     """Every element and attribute; an entity's own element still belongs to what stands around it."""
     out, todo = [], [(root, f"/{_name(root)}", None, None)]
@@ -117,26 +155,26 @@ def _nodes(root: ET.Element) -> list[dict]:
     return out
 
 
-def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int = 64 << 20) -> DataFrame:
+def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int | None = None) -> DataFrame:
     """A row a file: the file index's columns, ``entities`` and ``nodes``.
 
-    ``files`` has path, modificationTime, length, content. Files of more than ``largest`` bytes are not parsed and get
-    the status oversized_xml.
+    ``files`` has path, modificationTime, length, content. Files of any size are parsed; only where a caller gives
+    ``largest``, those of more bytes are not and get the status oversized_xml. A file's entities are one row's array.
     """
 
     def one(content: bytes | None, length: int) -> tuple:
-        if length > largest:
+        if largest is not None and length > largest:
             return "oversized_xml", "unknown", "oversized_xml", None, [], []
         if not content:
             return "empty_file", "unknown", "xml_syntax", None, [], []
         try:
-            root = ET.fromstring(content)
+            root, entities = (tree := ET.fromstring(content), _entities(tree)) if with_nodes else _streamed(content)
         except ET.ParseError as e:
             return "xml_parse_error", "unknown", "xml_syntax", str(e), [], []
         except (ValueError, LookupError) as e:
             return "xml_parse_error", "unknown", "encoding", str(e), [], []
         known = _name(root) in X.ROOT_OF_KIND.values()
-        return "ok" if known else "unsupported_root", _name(root), "none" if known else "unexpected_root", None, _entities(root), _nodes(root) if with_nodes else []
+        return "ok" if known else "unsupported_root", _name(root), "none" if known else "unexpected_root", None, entities, _nodes(root) if with_nodes else []
 
     entity = pa.struct([(n, pa.string()) for n in ("entity_type",)] + [("ordinal", pa.int64())] + [(n, pa.string()) for n in ("accession", "accession_source", "alias", "primary_id", "submitter_id")] + [("fields", pa.map_(pa.string(), pa.string())), ("attributes", pa.list_(pa.struct([("tag", pa.string()), ("value", pa.string())])))])
     node = pa.struct([("entity_type", pa.string()), ("accession", pa.string()), ("path", pa.string()), ("is_attribute", pa.bool_()), ("value", pa.string())])
@@ -145,8 +183,8 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 64):
-                p = b.slice(k, 64)
+            for k, n in _slices([len(c.as_buffer()) if c.is_valid else 0 for c in b.column(3)]):
+                p = b.slice(k, n)
                 rows = [one(c.as_py(), n.as_py()) for c, n in zip(p.column(3), p.column(2), strict=True)]
                 yield pa.RecordBatch.from_arrays([*(p.column(i) for i in (0, 1, 2)), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["path", "mtime", "file_size", *names])
 
