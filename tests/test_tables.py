@@ -77,3 +77,10 @@ def test_mixed_sample(spark):
     left = {r["unit"]: r["size"] for r in d.collect() if r["unit"] not in strata}
     largest = sorted(left, key=lambda u: (left[u], u))[-4:]
     assert strata | set(largest) <= set(got)
+
+
+def test_strata_are_limited_before_the_shuffle(spark):
+    d = spark.range(1000).withColumn("g", F.when(F.col("id") < 900, "a").otherwise("b"))
+    got = S.stratified(d, "id", F.col("g"), 50, 42)
+    assert {r["g"]: r["count"] for r in got.groupBy("g").count().collect()} == {"a": 45, "b": 5}
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()

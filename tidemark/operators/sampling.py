@@ -68,7 +68,8 @@ def stratified(df: DataFrame, key: str, stratum: Column, n: int, seed: int | str
     q = quotas({r["stratum"]: r["count"] for r in d.groupBy("stratum").count().collect()}, n)
     allowed = F.coalesce(F.create_map(*[x for k, v in q.items() for x in (F.lit(k), F.lit(v))])[F.col("stratum")], F.lit(0)) if q else F.lit(0)
     w = Window.partitionBy("stratum").orderBy(hash_order(key, seed), key)
-    return d.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= allowed).drop("rn", "stratum")
+    most = max(q.values(), default=0)  # a literal, so that Spark limits each stratum before the shuffle
+    return d.withColumn("rn", F.row_number().over(w)).where((F.col("rn") <= most) & (F.col("rn") <= allowed)).drop("rn", "stratum")
 
 
 def mixed(files: DataFrame, unit: str, size: str, n: int, seed: int | str) -> DataFrame:
