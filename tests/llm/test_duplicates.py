@@ -102,10 +102,39 @@ def test_repeats(frame, words, monkeypatch, hot, run):
     rows = [(0, base), (1, words(50, 5) + base[200:900] + words(60, 6)), (2, base[100:499]), (3, base[100:500]), (4, None), (5, ""), (6, "x" * 2000), (7, "ab" * 900 + "é" * 500), (8, other), (8, other)]
     rows += [(20 + i, words(80, 100 + i) + " " + base[300:380] + " " + words(80, 200 + i)) for i in range(30)]
     rows += [(60 + i, words(30, 300 + i) + " " + base[1000:1450] + " " + words(30, 400 + i)) for i in range(12)]
-    got = sorted(tuple(r) for r in suffix_dedup.op3_suffix_dedup(frame(rows).repartition(3)).collect())
+    got = sorted(tuple(r)[:5] for r in suffix_dedup.op3_suffix_dedup(frame(rows).repartition(3)).collect())
     assert got == sorted(plain_repeats(rows))
 
 
+def test_repeats_of_other_length(frame, words):
+    shared = words(60, 1)[:230]
+    rows = [(i, words(40, 10 + i) + " " + shared + " " + words(40, 50 + i)) for i in range(4)] + [(9, words(90, 99)), (10, None)]
+    d = frame(rows)
+    got = {r["doc_id"]: r["text"] for r in suffix_dedup.without_repeats(d, span=200).collect()}
+    for doc, text in rows:
+        kept = [k for k in plain_repeats(rows, 200) if k[0] == doc][0]
+        assert hashlib.sha256((got[doc] or "").encode()).hexdigest() == kept[4] and (got[doc] is None) == (text is None)
+    assert all(r["text"] == dict(rows)[r["doc_id"]] for r in suffix_dedup.without_repeats(d).collect())
+
+
+def test_shared_places(frame, words):
+    """Each passage of a window's length that two documents share has a place; what one document repeats alone has none."""
+    shared, own = words(120, 1)[: suffix_dedup.WINDOW], words(120, 2)[:300]
+    rows = [(1, words(50, 3) + " " + shared + " " + words(50, 4)), (2, words(20, 5) + " " + shared), (3, own + " " + own), (4, words(200, 6)), (5, shared[:90]), (6, None)]
+    got = {r["doc_id"]: r["n_shared_places"] for r in suffix_dedup.op3_suffix_dedup(frame(rows)).collect()}
+    assert got[1] > 0 and got[2] > 0 and [got[k] for k in (3, 4, 5, 6)] == [0, 0, 0, 0]
+
+
+def test_suffix_names_and_empty_tables(frame, spark):
+    d = spark.createDataFrame([(1, "a" * 900, 1, 2, 3, 4, 5)], "doc_id long, text string, __id int, __hash int, __text int, __spans int, row int")
+    assert [tuple(r) for r in suffix_dedup.without_repeats(d).collect()] == [(1, "", 1, 2, 3, 4, 5)] and suffix_dedup.without_repeats(d).columns == d.columns
+    kept = minhash.one_of_each(d.withColumn("component_id", d["row"]))
+    assert kept.columns == [*d.columns, "component_id"] and kept.count() == 1
+    none = frame([(1, "a")]).where("doc_id > 1")
+    assert suffix_dedup.op3_suffix_dedup(none).collect() == suffix_dedup.without_repeats(none).collect() == []
+    assert minhash.op7_minhash(none).collect() == minhash.one_of_each(none).collect() == []
+
+
 def test_suffix_array():
     r = np.random.default_rng(1)
     for n in (0, 1, 5, 800):

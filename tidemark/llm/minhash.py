@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their group; of rows equal in doc_id and text one."""
     kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    rows = docs.join(kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(kept["__id"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])
 
 

@@ -1,9 +1,9 @@
 """Removal of repeated byte strings with suffix arrays.
 
-A byte goes if a string of ``SPAN`` bytes that covers it starts anywhere else too. Only parts of the corpus that can
+A byte goes if a string of ``span`` bytes that covers it starts anywhere else too. Only parts of the corpus that can
 hold such a string are sorted:
 
-1. Of the ``SPAN - GRAM + 1`` grams of ``GRAM`` bytes in each string of ``SPAN`` bytes, the one of the least hash (the
+1. Of the ``span - GRAM + 1`` grams of ``GRAM`` bytes in each string of ``span`` bytes, the one of the least hash (the
    rightmost among equals) is its anchor. Neighbouring strings with one anchor make a segment. Equal strings have
    equal anchors, so a segment whose anchor gram is unique in the corpus holds no repeated string and is left out.
 2. Equal segments become one, with the number of its places.
@@ -14,9 +14,12 @@ hold such a string are sorted:
    fingerprints in sorted runs; the runs are merged by range and strings of several shards found by binary search.
 5. What is covered goes back to the segments' places and is cut from the texts.
 
-Defined cases: a null text is empty; texts shorter than ``SPAN`` bytes keep all; an equal second row makes a long text
-repeat itself, so both rows lose it; other columns are kept by ``without_repeats`` and ignored by ``op3_suffix_dedup``;
-an empty table gives an empty result.
+Removal takes strings of ``span`` bytes only. ``shared_places`` tells of shorter passages that documents share, by the
+same anchors with other widths: each passage of ``WINDOW`` bytes that two documents have in common has a place there.
+
+Defined cases: a null text is empty; texts shorter than ``span`` bytes keep all; an equal second row makes a long text
+repeat itself, so both rows lose it; other columns, whatever their names, are kept by ``without_repeats`` and ignored
+by ``op3_suffix_dedup``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,13 +31,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import written
 from tidemark.llm.minhash import _chunks, _Powers, mixed
 
 SPAN, GRAM = 400, 48
+#: Of shared passages: bytes of a window and of a gram. A gram is longer than the common lines of a page.
+WINDOW, WINDOW_GRAM = 250, 100
 #: Bytes of segments that are sorted together, and different segments of one gram beyond which it is dealt out.
-RUN_BYTES, HOT = 1_500_000, 2_000
+RUN_BYTES, HOT = 1_500_000, 400
 #: Bytes of text whose anchors are found together.
 TEXT_BYTES = 1_000_000
 #: No byte of UTF-8; ends each segment.
@@ -50,14 +56,10 @@ def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, down
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """text, first start, number of starts, gram hash and segment hash of each segment of the texts in ``data``."""
-    none = np.zeros(0, np.int64)
-    n, width = len(data), SPAN - GRAM + 1
-    if n < SPAN:
-        return none, none, none, none, none
-    s, f = _prefix_sums(data)
-    grams = mixed((s[GRAM:] - s[:-GRAM]) * f[: n - GRAM + 1])
+def _chosen(s: np.ndarray, f: np.ndarray, ends: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, ...]:
+    """The text of each string of ``span`` bytes, whether it is whole, its anchor's place, and the hashes of all grams."""
+    n, width = len(s) - 1, span - gram + 1
+    grams = mixed((s[gram:] - s[:-gram]) * f[: n - gram + 1])
     bits = np.uint64(max(1, int(n).bit_length()))
     mask = (np.uint64(1) << bits) - np.uint64(1)
     keys = (grams >> bits << bits) | (mask - np.arange(len(grams), dtype=np.uint64))
@@ -67,22 +69,43 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     grid = padded.reshape(rows, width)
     ahead = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     behind = np.minimum.accumulate(grid, axis=1).ravel()
-    least = np.minimum(ahead[: n - SPAN + 1], behind[width - 1 : width - 1 + n - SPAN + 1])
-    chosen = (mask - (least & mask)).astype(np.int64)
-    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[: n - SPAN + 1]
-    whole = np.arange(n - SPAN + 1) + SPAN <= ends[owner + 1]
+    least = np.minimum(ahead[: n - span + 1], behind[width - 1 : width - 1 + n - span + 1])
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[: n - span + 1]
+    whole = np.arange(n - span + 1) + span <= ends[owner + 1]
+    return owner, whole, (mask - (least & mask)).astype(np.int64), grams
+
+
+def anchors(data: np.ndarray, ends: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, ...]:
+    """text, first start, number of starts, gram hash and segment hash of each segment of the texts in ``data``."""
+    none = np.zeros(0, np.int64)
+    if len(data) < span:
+        return none, none, none, none, none
+    s, f = _prefix_sums(data)
+    owner, whole, chosen, grams = _chosen(s, f, ends, span, GRAM)
     new = whole.copy()
     new[1:] &= ~whole[:-1] | (chosen[1:] != chosen[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
     if not len(first):
         return none, none, none, none, none
     count = np.add.reduceat(whole, first).astype(np.int64)
-    until = first + count - 1 + SPAN
+    until = first + count - 1 + span
     segment = mixed(((s[until] - s[first]) * f[first]) ^ mixed(count.astype(np.uint64)))
     text = owner[first]
     return text, first - ends[text], count, grams[chosen[first]].view(np.int64), segment.view(np.int64)
 
 
+def window_grams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """text and gram hash of the anchors of all windows of ``WINDOW`` bytes, each place once."""
+    if len(data) < WINDOW:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    s, f = _prefix_sums(data)
+    owner, whole, chosen, grams = _chosen(s, f, ends, WINDOW, WINDOW_GRAM)
+    chosen, owner = chosen[whole], owner[whole]
+    new = np.ones(len(chosen), bool)
+    new[1:] = chosen[1:] != chosen[:-1]
+    return owner[new], grams[chosen[new]].view(np.int64)
+
+
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffix array of ``data``, the ranks, and the first 8 bytes of each suffix as a number (padded with END)."""
     n = len(data)
@@ -119,15 +142,15 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sa, rank, heads
 
 
-def repeated_starts(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose string of ``SPAN`` bytes is repeated in ``data``, as a mask, and the suffix array.
+def repeated_starts(data: np.ndarray, first: np.ndarray, count: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose string of ``span`` bytes is repeated in ``data``, as a mask, and the suffix array.
 
     Segment i has ``count[i]`` strings, from ``first[i]`` on. By Kasai's rule a position's common prefix with its
-    neighbour in the array is at least its left neighbour's less one; it is counted up to ``SPAN``.
+    neighbour in the array is at least its left neighbour's less one; it is counted up to ``span``.
     """
     sa, rank, heads = suffix_array(data)
     n = len(data)
-    heads = np.concatenate([heads, np.full(SPAN + 16, np.iinfo(np.uint64).max, np.uint64)])
+    heads = np.concatenate([heads, np.full(span + 16, np.iinfo(np.uint64).max, np.uint64)])
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     marked = np.zeros(n, bool)
@@ -147,10 +170,10 @@ def repeated_starts(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> t
             l[live[ends]] += sum((x[ends] < np.uint64(1 << b)).astype(np.int64) for b in range(8, 64, 8))
             live = live[same]
             l[live] += 8
-            live = live[l[live] < SPAN]
-        l = np.minimum(l, SPAN)  # noqa: E741
+            live = live[l[live] < span]
+        l = np.minimum(l, span)  # noqa: E741
         common[:lanes] = l
-        hit = l >= SPAN
+        hit = l >= span
         marked[p[hit]] = True
         marked[q[hit]] = True
     return marked, sa
@@ -168,7 +191,7 @@ def _runs_of(mask: np.ndarray, first: np.ndarray, count: np.ndarray) -> Iterator
     yield from zip(lane[begin].tolist(), offset[begin].tolist(), offset[finish].tolist(), strict=True)
 
 
-def sorted_run(rows: list[tuple[int, int, int, int, bool, bytes]]) -> Iterator[tuple]:
+def sorted_run(rows: list[tuple[int, int, int, int, bool, bytes]], span: int = SPAN) -> Iterator[tuple]:
     """For segments (gram, segment, places, starts, hot, bytes): rows (gram, segment, lo, hi, fingerprint).
 
     Without a fingerprint, the strings from lo to hi are repeated. With one, the string at lo of a dealt-out gram is
@@ -178,7 +201,7 @@ def sorted_run(rows: list[tuple[int, int, int, int, bool, bytes]]) -> Iterator[t
     data = np.concatenate(parts)
     first = np.cumsum([0, *map(len, parts)])[:-1]
     count = np.array([r[3] for r in rows], np.int64)
-    marked, sa = repeated_starts(data, first, count)
+    marked, sa = repeated_starts(data, first, count, span)
     for i in np.flatnonzero(np.array([r[2] for r in rows]) > 1).tolist():
         marked[first[i] : first[i] + count[i]] = True
     for i, lo, hi in _runs_of(marked, first, count):
@@ -188,18 +211,18 @@ def sorted_run(rows: list[tuple[int, int, int, int, bool, bytes]]) -> Iterator[t
         s, f = _prefix_sums(data)
         for i in hot:
             p = first[i] + np.arange(count[i])
-            prints = mixed((s[p + SPAN] - s[p]) * f[p]).view(np.int64)
+            prints = mixed((s[p + span] - s[p]) * f[p]).view(np.int64)
             for k, v in enumerate(prints.tolist()):
                 yield rows[i][0], rows[i][1], k, -1 if marked[p[k]] else k, v
 
 
-def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sorted_runs(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     names = ["gram", "segment", "lo", "hi", "print"]
     rows: list[tuple] = []
     size = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        out = list(sorted_run(rows))
+        out = list(sorted_run(rows, span))
         for k in range(0, len(out), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out[k : k + 50_000], strict=True)], names=names)
 
@@ -240,42 +263,63 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with two key columns: rows with equal keys have equal texts, and so lose the same bytes."""
+    """``docs`` as a struct, and key columns: rows with equal keys have equal texts, and so lose the same bytes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "__hash": F.xxhash64(text), "__text": text})
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("__id"), F.xxhash64(text).alias("__hash"), text.alias("__text"))
 
 
-def repeated_spans(keyed: DataFrame) -> DataFrame:
+def repeated_spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
     """__id, __hash and ``__spans``: byte intervals (lo, hi; hi exclusive, unmerged) to remove, for texts that have any."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for a, b, data, ends in _chunks(batch.column(2), TEXT_BYTES):
-                text, start, count, gram, segment = anchors(data, ends)
+                text, start, count, gram, segment = anchors(data, ends, span)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a:b][text], hashes[a:b][text], start.astype(np.int64), count, gram, segment)], names=["__id", "__hash", "start", "count", "gram", "segment"])
 
     texts = keyed.select("__id", "__hash", "__text")
-    places = written(texts.where(F.octet_length("__text") >= SPAN).mapInArrow(segments, "__id long, __hash long, start long, count long, gram long, segment long"))
+    places = written(texts.where(F.octet_length("__text") >= span).mapInArrow(segments, "__id long, __hash long, start long, count long, gram long, segment long"))
     twice = written(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     places = written(places.join(twice, "gram"))
     kinds = written(places.groupBy("gram", "segment").agg(F.count("*").alias("places"), F.min(F.struct("__id", "__hash", "start", "count")).alias("at")))
     hot = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("gram", F.lit(True).alias("hot")))
     wanted = kinds.join(hot, "gram", "left").select(F.col("at.__id").alias("__id"), F.col("at.__hash").alias("__hash"), F.struct("gram", "segment", "places", F.col("at.count").alias("count"), F.coalesce("hot", F.lit(False)).alias("hot"), F.col("at.start").alias("start")).alias("s"))
     wanted = wanted.groupBy("__id", "__hash").agg(F.collect_list("s").alias("s"))
-    cut = F.transform("s", lambda s: F.struct(s["gram"].alias("gram"), s["segment"].alias("segment"), s["places"].alias("places"), s["count"].alias("count"), s["hot"].alias("hot"), F.substring(F.col("__text").cast("binary"), (s["start"] + 1).cast("int"), (s["count"] + (SPAN - 1)).cast("int")).alias("bytes")))
+    cut = F.transform("s", lambda s: F.struct(s["gram"].alias("gram"), s["segment"].alias("segment"), s["places"].alias("places"), s["count"].alias("count"), s["hot"].alias("hot"), F.substring(F.col("__text").cast("binary"), (s["start"] + 1).cast("int"), (s["count"] + (span - 1)).cast("int")).alias("bytes")))
     cuts = texts.join(wanted, ["__id", "__hash"]).select(F.explode(cut).alias("c")).select("c.*")
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cuts.repartition(parts, F.xxhash64("gram", F.when(F.col("hot"), F.col("segment")))).sortWithinPartitions("hot", "gram", "segment")
-    runs = written(dealt.mapInArrow(_sorted_runs, "gram long, segment long, lo long, hi long, print long"))
+    runs = written(dealt.mapInArrow(lambda batches: _sorted_runs(batches, span), "gram long, segment long, lo long, hi long, print long"))
     across = runs.where("print is not null").select("gram", "segment", "hi", F.xxhash64("print", "gram").alias("print")).repartition(parts, "print").sortWithinPartitions("print")
     across = across.mapInArrow(_merged, "gram long, segment long, lo long, hi long")
     covered = runs.where("print is null").select("gram", "segment", "lo", "hi").union(across)
     covered = written(covered.groupBy("gram", "segment").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
-    back = places.join(covered, ["gram", "segment"]).select("__id", "__hash", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + SPAN).alias("hi"))).alias("runs"))
+    back = places.join(covered, ["gram", "segment"]).select("__id", "__hash", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + span).alias("hi"))).alias("runs"))
     return back.groupBy("__id", "__hash").agg(F.flatten(F.collect_list("runs")).alias("__spans"))
 
 
+def shared_places(keyed: DataFrame) -> DataFrame:
+    """__id, __hash and ``n_shared_places``: anchors of windows whose grams another document holds too, where there are any.
+
+    Documents are others if their ids differ. Both uses of the grams reuse one exchange.
+    """
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for a, b, data, ends in _chunks(batch.column(2), TEXT_BYTES):
+                text, gram = window_grams(data, ends)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a:b][text], hashes[a:b][text], gram)], names=["__id", "__hash", "gram"])
+
+    long = keyed.select("__id", "__hash", "__text").where(F.octet_length("__text") >= WINDOW)
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = long.mapInArrow(places, "__id long, __hash long, gram long").repartition(parts, "gram")
+    of_many = dealt.groupBy("gram").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).where("least <> most").select("gram")
+    return dealt.join(of_many, "gram", "left_semi").groupBy("__id", "__hash").agg(F.count("*").alias("n_shared_places"))
+
+
 def _joined(spans: list[dict] | None) -> list[tuple[int, int]]:
     """Disjoint intervals in order; those that touch become one."""
     out: list[tuple[int, int]] = []
@@ -291,33 +335,35 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip([0, *(hi for _, hi in spans)], [*(lo for lo, _ in spans), len(text)], strict=True))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` with the repeated bytes cut from ``text``; what a cut leaves of a character goes too."""
     keyed = _keyed(docs)
-    marked = keyed.join(repeated_spans(keyed), ["__id", "__hash"], "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
+    marked = keyed.join(repeated_spans(keyed, span), ["__id", "__hash"], "left").select("row", "__spans")
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t if not s else _kept(t.encode(), _joined(s)).decode(errors="ignore") for t, s in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
-            b = b.select(list(range(b.num_columns - 1)))
-            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+            given = b.column(0).field(at)
+            texts = [_kept(given[i].as_py().encode(), _joined(s)).decode(errors="ignore") if s else None for i, s in enumerate(b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "cut"])
 
-    return marked.mapInArrow(run, docs.schema)
+    kept = marked.mapInArrow(run, T.StructType([marked.schema["row"], T.StructField("cut", T.StringType())]))
+    return kept.select(*[(F.coalesce("cut", F.col("row")[c]).alias(c) if c == "text" else F.col("row")[c].alias(c)) for c in docs.columns])
 
 
 def op3_suffix_dedup(docs: DataFrame) -> DataFrame:
-    """The contract's columns."""
+    """The contract's columns, and ``n_shared_places`` of passages too short to be removed (``shared_places``)."""
     keyed = _keyed(docs.select("doc_id", "text"))
-    marked = keyed.join(repeated_spans(keyed), ["__id", "__hash"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "__text", "__spans")
+    marked = keyed.join(repeated_spans(keyed), ["__id", "__hash"], "left").join(shared_places(keyed), ["__id", "__hash"], "left")
+    marked = marked.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("n_shared_places", F.lit(0)).alias("n_shared_places"), "__text", "__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for text, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 data, gone = text.encode(), _joined(spans)
                 rows.append((len(data), sum(hi - lo for lo, hi in gone), len(gone), hashlib.sha256(_kept(data, gone)).hexdigest()))
             n, removed, spans_, sha = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, spans_)), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.int64()) for x in (n, removed, spans_)), pa.array(sha, pa.string()), b.column(1)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared_places"])
 
-    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared_places long")
