@@ -18,14 +18,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.passing(docs, quality_rules.POLICIES["v1"])
 
 
+#: Bytes of a repeated string that goes: fewer than 50 words of prose have, in the languages of the tables.
+PASSAGE_BYTES = 200
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: shingles of five words, similarity of 0.8 or more."""
     return minhash.one_of_each(docs, words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated strings."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the bytes of repeated strings of ``PASSAGE_BYTES``."""
+    return suffix_dedup.without_repeats(docs, PASSAGE_BYTES)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
