@@ -39,8 +39,9 @@ from tidemark.llm.minhash import _chunks, _Powers, mixed
 SPAN, GRAM = 400, 48
 #: Of shared passages: bytes of a window and of a gram. A gram is longer than the common lines of a page.
 WINDOW, WINDOW_GRAM = 250, 100
-#: Bytes of segments that are sorted together, and different segments of one gram beyond which it is dealt out.
-RUN_BYTES, HOT = 1_500_000, 400
+#: Bytes of segments that are sorted together. A gram is dealt out beyond ``HOT`` different segments, or beyond twice
+#: a partition's even share of them where that is less (``COOL`` at least).
+RUN_BYTES, HOT, COOL = 1_500_000, 2_000, 200
 #: Bytes of text whose anchors are found together.
 TEXT_BYTES = 1_000_000
 #: No byte of UTF-8; ends each segment.
@@ -95,7 +96,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, span: int = SPAN) -> tuple[np.nd
 
 
 def window_grams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """text and gram hash of the anchors of all windows of ``WINDOW`` bytes, each place once."""
+    """text and gram hash of the anchors of all windows of ``WINDOW`` bytes, each gram once a text."""
     if len(data) < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     s, f = _prefix_sums(data)
@@ -103,7 +104,12 @@ def window_grams(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     chosen, owner = chosen[whole], owner[whole]
     new = np.ones(len(chosen), bool)
     new[1:] = chosen[1:] != chosen[:-1]
-    return owner[new], grams[chosen[new]].view(np.int64)
+    text, found = owner[new], grams[chosen[new]].view(np.int64)
+    order = np.lexsort((found, text))
+    text, found = text[order], found[order]
+    first = np.ones(len(text), bool)
+    first[1:] = (text[1:] != text[:-1]) | (found[1:] != found[:-1])
+    return text[first], found[first]
 
 
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,12 +290,13 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
     twice = written(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     places = written(places.join(twice, "gram"))
     kinds = written(places.groupBy("gram", "segment").agg(F.count("*").alias("places"), F.min(F.struct("__id", "__hash", "start", "count")).alias("at")))
-    hot = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("gram", F.lit(True).alias("hot")))
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(HOT, max(COOL, 2 * kinds.count() // parts))
+    hot = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram", F.lit(True).alias("hot")))
     wanted = kinds.join(hot, "gram", "left").select(F.col("at.__id").alias("__id"), F.col("at.__hash").alias("__hash"), F.struct("gram", "segment", "places", F.col("at.count").alias("count"), F.coalesce("hot", F.lit(False)).alias("hot"), F.col("at.start").alias("start")).alias("s"))
     wanted = wanted.groupBy("__id", "__hash").agg(F.collect_list("s").alias("s"))
     cut = F.transform("s", lambda s: F.struct(s["gram"].alias("gram"), s["segment"].alias("segment"), s["places"].alias("places"), s["count"].alias("count"), s["hot"].alias("hot"), F.substring(F.col("__text").cast("binary"), (s["start"] + 1).cast("int"), (s["count"] + (span - 1)).cast("int")).alias("bytes")))
     cuts = texts.join(wanted, ["__id", "__hash"]).select(F.explode(cut).alias("c")).select("c.*")
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cuts.repartition(parts, F.xxhash64("gram", F.when(F.col("hot"), F.col("segment")))).sortWithinPartitions("hot", "gram", "segment")
     runs = written(dealt.mapInArrow(lambda batches: _sorted_runs(batches, span), "gram long, segment long, lo long, hi long, print long"))
     across = runs.where("print is not null").select("gram", "segment", "hi", F.xxhash64("print", "gram").alias("print")).repartition(parts, "print").sortWithinPartitions("print")
@@ -301,9 +308,9 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def shared_places(keyed: DataFrame) -> DataFrame:
-    """__id, __hash and ``n_shared_places``: anchors of windows whose grams another document holds too, where there are any.
+    """__id, __hash and ``n_shared_places``: grams of windows' anchors that another document holds too, where there are any.
 
-    Documents are others if their ids differ. Both uses of the grams reuse one exchange.
+    Documents are others if their ids or texts differ. Both uses of the grams reuse one exchange.
     """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +323,8 @@ def shared_places(keyed: DataFrame) -> DataFrame:
     long = keyed.select("__id", "__hash", "__text").where(F.octet_length("__text") >= WINDOW)
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = long.mapInArrow(places, "__id long, __hash long, gram long").repartition(parts, "gram")
-    of_many = dealt.groupBy("gram").agg(F.min("__id").alias("least"), F.max("__id").alias("most")).where("least <> most").select("gram")
+    key = F.struct("__id", "__hash")
+    of_many = dealt.groupBy("gram").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least <> most").select("gram")
     return dealt.join(of_many, "gram", "left_semi").groupBy("__id", "__hash").agg(F.count("*").alias("n_shared_places"))
 
 
