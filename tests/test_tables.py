@@ -65,7 +65,10 @@ def test_compare(spark):
 def test_linkage(spark):
     runs = spark.createDataFrame([("r1", "S1", "P1", "9"), ("r2", "-", "P1", "9"), ("r3", None, "", "9"), ("r4", None, None, None)], "run string, biosample string, bioproject string, taxid string")
     asm = spark.createDataFrame([("G1", "S1", "P1", "9"), ("G2", None, "P1", "9")], "assembly_accession string, biosample string, bioproject string, taxid string")
-    assert {tuple(r) for r in L.link_runs(runs, asm).collect()} == {("r1", "G1", 1), ("r2", "G1", 2), ("r2", "G2", 2), ("r3", "G1", 3), ("r3", "G2", 3)}
+    linked = L.link_runs(runs, asm)
+    assert {(r["run"], r["tier"], r["n"], r["least"]) for r in linked.collect()} == {("r1", 1, 1, "G1"), ("r2", 2, 2, "G1"), ("r3", 3, 2, "G1")}
+    pairs = linked.join(L.tier_members(asm), ["tier", "value"]).select("run", "assembly_accession", "tier")
+    assert {tuple(r) for r in pairs.collect()} == {("r1", "G1", 1), ("r2", "G1", 2), ("r2", "G2", 2), ("r3", "G1", 3), ("r3", "G2", 3)}
 
 
 def test_mixed_sample(spark):

@@ -44,11 +44,16 @@ def canonical_records(records: DataFrame) -> DataFrame:
 
 
 def entity_index(records: DataFrame) -> DataFrame:
-    """One row for each entity, by one aggregation: the canonical record is a minimum, so no record is sorted."""
+    """One row for each entity; the canonical record is a minimum, so no record is sorted.
+
+    Records are first counted by entity and file, so that a file is one row, and an entity of very many records is
+    spread over its files; directories are then the only distinct count, which needs no expanded rows.
+    """
     d = with_accession(records)
     primary = (F.col("occurrence_role") == "primary") & (F.col("parse_status") == "ok")
     best = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order())], "entity_record_id", "directory_id")).alias("best")
-    g = d.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("record_count"), F.count_if(primary).alias("primary_record_count"), F.count_distinct("file_id").alias("file_count"), F.count_distinct("directory_id").alias("directory_count"), best)
+    by_file = d.groupBy(*ENTITY, "file_id", "directory_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(primary).alias("n_primary"), best)
+    g = by_file.groupBy(*ENTITY).agg(F.sum("n").alias("record_count"), F.sum("n_primary").alias("primary_record_count"), F.count("file_id").alias("file_count"), F.count_distinct("directory_id").alias("directory_count"), F.min("best").alias("best"))
     has = F.col("primary_record_count") > 0
     return g.select(
         *ENTITY,
@@ -183,12 +188,15 @@ def core_missingness(table: DataFrame, name: str) -> DataFrame:
 
 
 def core_conflicts(table: DataFrame, entity_type: str, key: str) -> DataFrame:
-    """Per column of a core table: entities with more than one distinct value, and one example."""
+    """Per column of a core table: entities with more than one distinct value, and one example with its least and greatest value."""
     columns = [c for c in table.columns if c not in ("source_snapshot_id", "entity_record_id", "file_id", key)]
-    long = table.select("source_snapshot_id", F.col(key).alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("v")) for c in columns])).alias("r")).where("r.v is not null")
-    per = long.groupBy("source_snapshot_id", "k", "r.field_name").agg(F.count_distinct("r.v").alias("n"))
-    conflicted = F.count_if(F.col("n") > 1)
-    return per.groupBy("source_snapshot_id", "field_name").agg(F.count(F.lit(1)).alias("entity_count"), conflicted.alias("conflicted_entity_count"), F.min(F.when(F.col("n") > 1, F.col("k"))).alias("example_entity_accession")).withColumns({"entity_type": F.lit(entity_type), "conflict_rate": X.safe_ratio("conflicted_entity_count", "entity_count"), "severity": F.lit("report_only")})
+    long = table.select("source_snapshot_id", "file_id", F.col(key).alias("k"), F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).alias("v")) for c in columns])).alias("r")).where("r.v is not null")
+    per = long.groupBy("source_snapshot_id", "k", "r.field_name").agg((F.min("r.v") != F.max("r.v")).alias("differ"), F.min(F.struct("r.v", "file_id")).alias("a"), F.max(F.struct("r.v", "file_id")).alias("b"))
+    conflicted = F.count_if("differ")
+    example = F.min(F.when(F.col("differ"), F.struct("k", "a", "b"))).alias("x")
+    both = lambda c: F.when(F.col("x").isNotNull(), F.concat_ws(";", f"x.a.{c}", f"x.b.{c}")).alias(f"example_{'values' if c == 'v' else 'file_ids'}")
+    g = per.groupBy("source_snapshot_id", "field_name").agg(F.count(F.lit(1)).alias("entity_count"), conflicted.alias("conflicted_entity_count"), example)
+    return g.select("source_snapshot_id", F.lit(entity_type).alias("entity_type"), "field_name", "entity_count", "conflicted_entity_count", X.safe_ratio("conflicted_entity_count", "entity_count").alias("conflict_rate"), F.col("x.k").alias("example_entity_accession"), both("v"), both("file_id"), F.lit("report_only").alias("severity"))
 
 
 def directory_index(files: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
@@ -197,9 +205,12 @@ def directory_index(files: DataFrame, manifest: DataFrame | None = None) -> Data
     ok = F.count_if(F.col("parse_status") == "ok").alias("parse_success_file_count")
     kinds = [F.count_if(F.col("xml_kind") == k).alias(f"{k}_xml_count") for k in X.KINDS]
     other = F.count_if(~F.col("xml_kind").isin(*X.KINDS)).alias("other_xml_count")
-    g = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("file_count"), *kinds, other, ok, F.count_if(F.col("parse_status") != "ok").alias("parse_failed_file_count"))
-    if manifest is not None:
-        g = manifest.select(*keys).join(g.drop("directory_accession"), keys[:2], "left").na.fill(0)
+    counts = [F.count(F.lit(1)).alias("file_count"), *kinds, other, ok, F.count_if(F.col("parse_status") != "ok").alias("parse_failed_file_count")]
+    place = [F.substring("directory_accession", 1, 3).alias("directory_prefix"), F.col("directory_accession").alias("relative_directory_path"), "absolute_directory_path"]
+    if manifest is None:
+        g = files.groupBy(*keys).agg(*counts, F.regexp_replace(F.min("absolute_file_path"), "/[^/]*$", "").alias("absolute_directory_path")).select("*", *place[:2])
+    else:
+        g = manifest.select(*keys, *place).join(files.groupBy(*keys[:2]).agg(*counts), keys[:2], "left").na.fill(0)
     return g.withColumn("scan_status", F.when(F.col("parse_failed_file_count") == 0, "ok").otherwise("partial"))
 
 
@@ -207,6 +218,25 @@ def directory_file_consistency(directories: DataFrame) -> DataFrame:
     return directories.select("source_snapshot_id", "directory_id", "directory_accession", F.col("file_count").alias("observed_xml_count"), F.lit("report_only").alias("xml_kind_consistency_status"), F.lit("report_only").alias("severity"))
 
 
+def chunk_status(chunks: DataFrame, manifest: DataFrame, size: int, files: DataFrame, by_directory: dict[str, DataFrame], by_file: dict[str, DataFrame]) -> DataFrame:
+    """Per chunk of the plan: the tables' rows as JSON, warnings and failed files. Chunks have ``size`` rows; tables go by directory_id or file_id.
+
+    Rows are counted by directory or file before anything is joined; a chunk then gathers a row for each table.
+    """
+    number = lambda c: F.floor(F.col(c) / size).alias("number")
+    of_chunk = manifest.select("directory_id", number("manifest_row_id")).join(chunks.select("chunk_id", number("start_row")), "number").select("directory_id", "chunk_id")
+    of_file = files.select("file_id", "directory_id")
+    n = None
+    for name, t in [*by_directory.items(), *((k, v.groupBy("file_id").agg(F.count(F.lit(1)).alias("n")).join(of_file, "file_id")) for k, v in by_file.items())]:
+        own = t.groupBy("directory_id").agg((F.sum("n") if "n" in t.columns else F.count(F.lit(1))).alias("n")).select("directory_id", F.lit(name).alias("table"), "n")
+        n = own if n is None else n.union(own)
+    per = n.join(of_chunk, "directory_id").groupBy("chunk_id", "table").agg(F.sum("n").alias("n")).groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("table", "n"))).alias("t"))
+    ends = files.join(of_chunk, "directory_id").groupBy("chunk_id").agg(F.sum("parser_warning_count").alias("warning_count"), F.count_if(F.col("parse_status") != "ok").alias("error_count"))
+    tables = F.coalesce("t", F.array().cast("array<struct<table: string, n: bigint>>"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return chunks.join(per, "chunk_id", "left").join(ends, "chunk_id", "left").select("chunk_id", "start_row", "row_count", F.to_json(F.transform(tables, lambda x: x["table"])).alias("output_tables"), F.to_json(F.map_from_entries(tables)).alias("row_counts_by_table"), zero("warning_count"), zero("error_count"))
+
+
 # --- reading ---------------------------------------------------------------------------------------------------
 
 

@@ -15,22 +15,33 @@ def assembly_core(assemblies: DataFrame) -> DataFrame:
     return assemblies.select(*[clean.get(c, F.col(c)) for c in keep], strain_or_isolate("infraspecific_name", "isolate").alias("strain_or_isolate")).dropDuplicates(["assembly_accession"])
 
 
+TIERS = (("biosample", 1), ("bioproject", 2), ("taxid", 3))
+
+
+def tier_members(assemblies: DataFrame) -> DataFrame:
+    """tier, value, assembly_accession: the assemblies behind each key of each tier, to join with linked runs where all are wanted."""
+    out = None
+    for c, tier in TIERS:
+        d = assemblies.where(F.col(c).isNotNull()).select(F.lit(tier).alias("tier"), F.col(c).alias("value"), "assembly_accession")
+        out = d if out is None else out.union(d)
+    return out
+
+
 def link_runs(runs: DataFrame, assemblies: DataFrame) -> DataFrame:
-    """Runs (run, biosample, bioproject, taxid) with all assemblies of their best tier: BioSample, then BioProject, then taxon.
+    """Runs (run, biosample, bioproject, taxid) with their best tier: BioSample, then BioProject, then taxon.
 
-    Only tier 1 shows the same sample. Each tier takes the runs that the tiers before left without a match, so wide
-    keys meet few runs. Runs are reduced to their distinct keys first, which keeps a popular key from repeating joins.
+    Only tier 1 shows the same sample. A run that links is one row: run, tier, the key's ``value``, how many assemblies
+    share it (``n``) and the ``least`` of them; ``tier_members`` has the others, so no run meets all assemblies of a wide
+    key. Runs are reduced to their distinct keys first, which keeps a popular key from repeating joins.
     """
-    tiers = (("biosample", 1), ("bioproject", 2), ("taxid", 3))
-    keys = runs.select("biosample", "bioproject", "taxid").distinct()
-    out, rest = None, keys
-    for c, tier in tiers:
-        side = assemblies.where(F.col(c).isNotNull()).select(F.col(c), "assembly_accession")
-        hit = rest.where(non_missing(c)).join(side, c).select("biosample", "bioproject", "taxid", "assembly_accession", F.lit(tier).alias("tier"))
-        out = hit if out is None else out.unionByName(hit)
-        rest = rest.join(side.select(c).distinct(), c, "left_anti")
-    same = [runs[c].eqNullSafe(out[c]) for c in ("biosample", "bioproject", "taxid")]
-    return runs.join(out, same[0] & same[1] & same[2]).select(runs["run"], out["assembly_accession"], out["tier"])
+    found = runs.select("biosample", "bioproject", "taxid").distinct()
+    for c, tier in TIERS:
+        side = assemblies.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"), F.min("assembly_accession").alias("least"))
+        hit = side.select("value", F.struct(F.lit(tier).alias("tier"), "value", "n", "least").alias(f"t{tier}"))
+        found = found.join(hit, F.when(non_missing(c), F.col(c)) == F.col("value"), "left").drop("value")
+    found = found.select("biosample", "bioproject", "taxid", F.coalesce("t1", "t2", "t3").alias("t")).where("t is not null")
+    same = [runs[c].eqNullSafe(found[c]) for c in ("biosample", "bioproject", "taxid")]
+    return runs.join(found, same[0] & same[1] & same[2]).select(runs["run"], "t.*")
 
 
 def enriched_runs(downloadable: DataFrame, experiments: DataFrame, samples: DataFrame, attributes: DataFrame, tags: list[str]) -> DataFrame:
@@ -42,5 +53,5 @@ def enriched_runs(downloadable: DataFrame, experiments: DataFrame, samples: Data
 
 
 def selected_runs(linked: DataFrame, best: int = 1) -> DataFrame:
-    """Runs of a tier up to ``best`` with their first assembly, for a download list."""
-    return linked.where(F.col("tier") <= best).groupBy("run").agg(F.min("tier").alias("tier"), F.min("assembly_accession").alias("assembly_accession"))
+    """Runs of a tier up to ``best`` with their first assembly, for a download list; a run that is there twice is listed once."""
+    return linked.where(F.col("tier") <= best).groupBy("run").agg(F.min("tier").alias("tier"), F.min("least").alias("assembly_accession"))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import stable_id
 
 
+STRATA, PARTS = 10_000, 64
+
+
 def hash_order(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
@@ -63,12 +66,21 @@ def quotas(counts: dict[str, int], n: int) -> dict[str, int]:
 
 
 def stratified(df: DataFrame, key: str, stratum: Column, n: int, seed: int | str) -> DataFrame:
-    """``n`` rows in proportion to the strata (a few hundred at most: their counts come to the driver)."""
+    """``n`` rows in proportion to the strata, at most ``STRATA`` of them, whose counts come to the driver; more are an error.
+
+    Each of ``PARTS`` parts of a stratum, dealt by the rows' hashes, gives its first rows; only these meet in the
+    stratum's own window, so no task sorts a stratum whole.
+    """
     d = df.withColumn("stratum", stratum)
-    q = quotas({r["stratum"]: r["count"] for r in d.groupBy("stratum").count().collect()}, n)
+    counted = d.groupBy("stratum").count().limit(STRATA + 1).collect()
+    if len(counted) > STRATA:
+        raise ValueError(f"more than {STRATA} strata")
+    q = quotas({r["stratum"]: r["count"] for r in counted}, n)
     allowed = F.coalesce(F.create_map(*[x for k, v in q.items() for x in (F.lit(k), F.lit(v))])[F.col("stratum")], F.lit(0)) if q else F.lit(0)
-    w = Window.partitionBy("stratum").orderBy(hash_order(key, seed), key)
     most = max(q.values(), default=0)  # a literal, so that Spark limits each stratum before the shuffle
+    part = Window.partitionBy("stratum", "part").orderBy(hash_order(key, seed), key)
+    d = d.withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS))).withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= most).drop("rn", "part")
+    w = Window.partitionBy("stratum").orderBy(hash_order(key, seed), key)
     return d.withColumn("rn", F.row_number().over(w)).where((F.col("rn") <= most) & (F.col("rn") <= allowed)).drop("rn", "stratum")
 
 
@@ -103,10 +115,10 @@ def row_ids(df: DataFrame, key: str) -> DataFrame:
     return keyed.withColumn("rn", F.row_number().over(w)).join(F.broadcast(before), "bucket").withColumn("row_id", (F.col("before") + F.col("rn") - 1).cast("long")).drop("rn", "before", "bucket")
 
 
-def directory_manifest(directories: DataFrame, snapshot: str) -> DataFrame:
-    """The sorted distinct directories with their row number and id."""
+def directory_manifest(directories: DataFrame, snapshot: str, root: str = "") -> DataFrame:
+    """The sorted distinct directories below ``root`` with their row number and id."""
     d = row_ids(directories.select("directory_accession").distinct(), "directory_accession")
-    return d.select(F.lit(snapshot).alias("source_snapshot_id"), F.col("row_id").alias("manifest_row_id"), stable_id(F.lit(snapshot), "directory_accession").alias("directory_id"), "directory_accession", F.substring("directory_accession", 1, 3).alias("directory_prefix"))
+    return d.select(F.lit(snapshot).alias("source_snapshot_id"), F.col("row_id").alias("manifest_row_id"), stable_id(F.lit(snapshot), "directory_accession").alias("directory_id"), "directory_accession", F.substring("directory_accession", 1, 3).alias("directory_prefix"), F.col("directory_accession").alias("relative_directory_path"), F.concat(F.lit(f"{root}/"), "directory_accession").alias("absolute_directory_path"))
 
 
 def chunk_manifest(manifest: DataFrame, size: int) -> DataFrame:

@@ -45,6 +45,15 @@ def enum_errors(table: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def all_enum_errors(tables: dict[str, DataFrame]) -> DataFrame:
+    """``enum_errors`` of every table that has enumerations."""
+    out = None
+    for name in dict.fromkeys(t for t, _ in C.ENUMS if t in tables):
+        d = enum_errors(tables[name], name)
+        out = d if out is None or d is None else out.union(d)
+    return out
+
+
 def field_check(expected: DataFrame, actual: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """By column: checks, matches, and rows that are missing, extra or of another value. Null equals ''."""
     text = lambda c: F.coalesce(bool_text(c), F.lit(""))

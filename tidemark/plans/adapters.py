@@ -32,7 +32,7 @@ ACC_SQL = " UNION ALL ".join([
           Study="concat('SRP', c_nationkey)", BioSample="concat('SAMN', c_custkey)"),
     _part("{nation}", Accession="concat('SRP', n_nationkey)", Status="CASE WHEN n_regionkey = 0 THEN 'withdrawn' ELSE 'live' END", Type="'STUDY'", Visibility="'public'", BioProject="concat('PRJNA', n_nationkey)"),
     _part("{supplier}", Accession=f"concat({_PREFIX.format(k='s_suppkey')}, s_suppkey)", Status="'live'", Type="'SUBMISSION'", Visibility="'public'"),
-    _part("{part} WHERE p_partkey % 50 = 0", Accession="concat('SRZ', p_partkey)", Status="'live'", Type="'ANALYSIS'", Visibility="'public'"),
+    _part("{part}", Accession="concat('SRZ', p_partkey)", Status="'live'", Type="'ANALYSIS'", Visibility="'public'"),
 ])
 
 
@@ -83,6 +83,11 @@ def _files(rows: DataFrame, kind: str, directory, order: list[str], body) -> Dat
     return d.select(F.concat(F.lit("/x/"), "dir", F.lit("/"), "dir", F.lit(f".{kind}.xml")).alias("path"), F.lit("2026-05-16 00:00:00").cast("timestamp").alias("modificationTime"), F.encode(text, "UTF-8").alias("content")).withColumn("length", F.length("content").cast("long"))
 
 
+def _bucket(key: str, size: int):
+    """The part of a directory's name that keeps its files small: a nation's rows are dealt to ranges of ``size`` keys."""
+    return F.concat(F.floor(F.col(key) / size).cast("string"), F.lit("x"))
+
+
 def xml_files(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     """Files path, modificationTime, content, length of the given kinds: run, experiment, sample, study, broken."""
     s = lambda *p: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in p])
@@ -91,7 +96,7 @@ def xml_files(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
         if kind == "sample":
             c = table(spark, sf_dir, "customer")
             body = s('<SAMPLE accession="SRS', _xml("c_custkey"), '" alias="', _xml("c_name"), '"><IDENTIFIERS><PRIMARY_ID>SRS', _xml("c_custkey"), '</PRIMARY_ID><EXTERNAL_ID namespace="BioSample">SAMN', _xml("c_custkey"), "</EXTERNAL_ID></IDENTIFIERS><SAMPLE_NAME><TAXON_ID>", _xml("c_nationkey"), "</TAXON_ID><SCIENTIFIC_NAME>species ", _xml("c_nationkey"), "</SCIENTIFIC_NAME></SAMPLE_NAME><SAMPLE_ATTRIBUTES><SAMPLE_ATTRIBUTE><TAG>segment</TAG><VALUE>", _xml("c_mktsegment"), "</VALUE></SAMPLE_ATTRIBUTE><SAMPLE_ATTRIBUTE><TAG>empty</TAG></SAMPLE_ATTRIBUTE></SAMPLE_ATTRIBUTES></SAMPLE>")
-            f = _files(c, kind, s("D", F.col("c_nationkey").cast("string")), ["c_custkey"], body)
+            f = _files(c, kind, s("D", _bucket("c_custkey", 5_000), F.col("c_nationkey").cast("string")), ["c_custkey"], body)
         elif kind == "study":
             n = table(spark, sf_dir, "nation")
             body = s('<STUDY accession="SRP', _xml("n_nationkey"), '"><IDENTIFIERS><EXTERNAL_ID namespace="BioProject">PRJNA', _xml("n_nationkey"), '</EXTERNAL_ID></IDENTIFIERS><DESCRIPTOR><STUDY_TITLE>', _xml("n_name"), '</STUDY_TITLE><STUDY_TYPE existing_study_type="Other"/></DESCRIPTOR></STUDY>')
@@ -100,7 +105,7 @@ def xml_files(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
             o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
             platform = F.when(F.col("o_orderstatus") == "F", "ILLUMINA").when(F.col("o_orderstatus") == "O", "PACBIO_SMRT").otherwise("OXFORD_NANOPORE")
             body = s('<EXPERIMENT accession="SRX', _xml("o_orderkey"), '"><STUDY_REF accession="SRP', (F.col("o_custkey") % 30).cast("string"), '"/><DESIGN><SAMPLE_DESCRIPTOR accession="SRS', _xml("o_custkey"), '"/><LIBRARY_DESCRIPTOR><LIBRARY_STRATEGY>', _xml("o_orderpriority"), "</LIBRARY_STRATEGY><LIBRARY_LAYOUT><PAIRED/></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN><PLATFORM><", platform, "><INSTRUMENT_MODEL>model ", _xml("o_orderstatus"), "</INSTRUMENT_MODEL></", platform, "></PLATFORM></EXPERIMENT>")
-            f = _files(o, kind, s("D", F.col("c_nationkey").cast("string")), ["o_orderkey"], body)
+            f = _files(o, kind, s("D", _bucket("o_orderkey", 20_000), F.col("c_nationkey").cast("string")), ["o_orderkey"], body)
         elif kind == "run":
             r = table(spark, sf_dir, "lineitem")
             body = s('<RUN accession="SRR', _xml("l_orderkey"), "_", _xml("l_linenumber"), '" alias="p', _xml("l_partkey"), '"><EXPERIMENT_REF accession="SRX', _xml("l_orderkey"), '"/></RUN>')

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import contract as C
 from tidemark.functions import scalars as X
 from tidemark.operators import accessions as A
+from tidemark.operators import backcheck as B
+from tidemark.operators import build as U
 from tidemark.operators import index as I
 from tidemark.operators import linkage as L
 from tidemark.operators import sampling as S
@@ -21,6 +25,8 @@ from tidemark.streaming.ingest import ingest
 SNAPSHOT = "2026-05-16"
 SMALL = ("sample", "study")
 ALL = ("sample", "study", "experiment", "run")
+#: Different paths of elements and attributes in the files of all kinds.
+PATHS = 50
 
 
 def _parsed(spark, sf, *kinds, nodes=False) -> DataFrame:
@@ -35,6 +41,13 @@ def _core(spark, sf, kind) -> DataFrame:
     return P.core(_records(spark, sf, kind), kind.upper())
 
 
+def _once(s, df, name="once") -> DataFrame:
+    """``df`` written in the shared folder and read back: what several branches need is computed once."""
+    path = scratch(s, name)
+    df.write.parquet(path)
+    return s.read.schema(df.schema).parquet(path)
+
+
 def _n():
     return F.count(F.lit(1)).alias("n")
 
@@ -53,9 +66,9 @@ def _rec(kind: str, source: str, accession: str, directory: str, order: str, **f
 
 _PLATFORM = "CASE o_orderstatus WHEN 'F' THEN 'ILLUMINA' WHEN 'O' THEN 'PACBIO_SMRT' ELSE 'OXFORD_NANOPORE' END"
 _RECS = {
-    "sample": _rec("sample", "customer", "'SRS' || c_custkey", "'D' || c_nationkey", "c_custkey", alias="c_name", bio_sample_id="'SAMN' || c_custkey", taxon_id="c_nationkey::VARCHAR", scientific_name="'species ' || c_nationkey", segment="c_mktsegment"),
+    "sample": _rec("sample", "customer", "'SRS' || c_custkey", "'D' || c_custkey // 5000 || 'x' || c_nationkey", "c_custkey", alias="c_name", bio_sample_id="'SAMN' || c_custkey", taxon_id="c_nationkey::VARCHAR", scientific_name="'species ' || c_nationkey", segment="c_mktsegment"),
     "study": _rec("study", "nation", "'SRP' || n_nationkey", "'D' || n_nationkey", "n_nationkey", bioproject_id="'PRJNA' || n_nationkey", study_title="n_name"),
-    "experiment": _rec("experiment", "orders JOIN customer ON o_custkey = c_custkey", "'SRX' || o_orderkey", "'D' || c_nationkey", "o_orderkey", sample_accession="'SRS' || o_custkey", study_accession="'SRP' || (o_custkey % 30)", library_strategy="o_orderpriority", platform=_PLATFORM, instrument_model="'model ' || o_orderstatus"),
+    "experiment": _rec("experiment", "orders JOIN customer ON o_custkey = c_custkey", "'SRX' || o_orderkey", "'D' || o_orderkey // 20000 || 'x' || c_nationkey", "o_orderkey", sample_accession="'SRS' || o_custkey", study_accession="'SRP' || (o_custkey % 30)", library_strategy="o_orderpriority", platform=_PLATFORM, instrument_model="'model ' || o_orderstatus"),
     "run": _rec("run", "lineitem", "'SRR' || l_orderkey || '_' || l_linenumber", "'L' || l_suppkey", "l_orderkey, l_linenumber, l_partkey", alias="'p' || l_partkey", experiment_accession="'SRX' || l_orderkey"),
 }
 
@@ -84,10 +97,10 @@ def register(add) -> None:
     file_sql = f"SELECT dir || '/' || dir || '.' || xml_kind || '.xml' AS relative_file_path, xml_kind, xml_kind AS xml_kind_from_filename, xml_kind AS xml_kind_from_root_tag, 'consistent' AS xml_kind_consistency_status, 'ok' AS parse_status, upper(xml_kind) || '_SET' AS root_tag, count(*) AS entity_count, 'none' AS error_type FROM {_recs(*ALL)} GROUP BY dir, xml_kind"
     add("p1_file_parse", lambda s, d: P.file_index(_parsed(s, d, *ALL)).select(*files), file_sql)
     add("p1_broken_files", lambda s, d: P.file_index(_parsed(s, d, "broken")).groupBy("parse_status", "root_tag", "xml_kind_consistency_status").agg(_n()))
-    add("x10_kind_from_root", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).groupBy("root_tag", "xml_kind_from_root_tag").agg(_n()), f"SELECT upper(xml_kind) || '_SET' AS root_tag, xml_kind AS xml_kind_from_root_tag, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY xml_kind")
+    add("x10_kind_from_root", lambda s, d: P.file_index(_parsed(s, d, *ALL)).groupBy("root_tag", "xml_kind_from_root_tag").agg(_n()), f"SELECT upper(xml_kind) || '_SET' AS root_tag, xml_kind AS xml_kind_from_root_tag, count(DISTINCT dir) AS n FROM {_recs(*ALL)} GROUP BY xml_kind")
     mixed_kind = "CASE WHEN xml_kind = 'study' THEN 'run' ELSE xml_kind END"
-    add("x11_kind_consistency", lambda s, d: P.file_index(_parsed(s, d, *SMALL)).select(X.kind_consistency(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("status"), X.effective_kind(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("kind")).groupBy("status", "kind").agg(_n()), f"SELECT CASE WHEN {mixed_kind} = xml_kind THEN 'consistent' ELSE 'mismatch' END AS status, xml_kind AS kind, count(DISTINCT dir) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
-    add("p2_entity_records", lambda s, d: _records(s, d, *SMALL).select("entity_record_id", "entity_accession", "entity_type", "entity_path", "entity_ordinal", "accession_source_path", "alias", "file_id", "directory_id", "parse_status"), f"SELECT record_id AS entity_record_id, accession AS entity_accession, entity_type, '//' || entity_type || '[' || ord || ']' AS entity_path, ord AS entity_ordinal, '@accession' AS accession_source_path, alias, file_id, directory_id, 'ok' AS parse_status FROM {_recs(*SMALL)}")
+    add("x11_kind_consistency", lambda s, d: P.file_index(_parsed(s, d, *ALL)).select(X.kind_consistency(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("status"), X.effective_kind(F.when(F.col("xml_kind") == "study", "run").otherwise(F.col("xml_kind")), "xml_kind").alias("kind")).groupBy("status", "kind").agg(_n()), f"SELECT CASE WHEN {mixed_kind} = xml_kind THEN 'consistent' ELSE 'mismatch' END AS status, xml_kind AS kind, count(DISTINCT dir) AS n FROM {_recs(*ALL)} GROUP BY ALL")
+    add("p2_entity_records", lambda s, d: _records(s, d, *ALL).select("entity_record_id", "entity_accession", "entity_type", "entity_path", "entity_ordinal", "accession_source_path", "alias", "file_id", "directory_id", "parse_status"), f"SELECT record_id AS entity_record_id, accession AS entity_accession, entity_type, '//' || entity_type || '[' || ord || ']' AS entity_path, ord AS entity_ordinal, '@accession' AS accession_source_path, alias, file_id, directory_id, 'ok' AS parse_status FROM {_recs(*ALL)}")
     add("x12_entity_path", lambda s, d: _records(s, d, "study").select("entity_accession", X.entity_path("entity_type", "entity_ordinal").alias("path")), "SELECT 'SRP' || n_nationkey AS entity_accession, '//STUDY[1]' AS path FROM nation")
     add("w4_entity_ordinal", lambda s, d: _records(s, d, "experiment").select("entity_accession", "entity_ordinal"), f"SELECT accession AS entity_accession, ord AS entity_ordinal FROM {_recs('experiment')}")
     add("p3_run_core", lambda s, d: _core(s, d, "run").select("run_accession", "alias", "experiment_accession"), f"SELECT accession AS run_accession, alias, experiment_accession FROM {_recs('run')}")
@@ -115,7 +128,7 @@ def register(add) -> None:
         return q
 
     add("p8_submission_core", other("SUBMISSION", "supplier", "s_suppkey"), "SELECT 'A' || s_suppkey AS submission_accession, 'a' AS alias, 'c' AS center_name, NULL::VARCHAR AS lab_name FROM supplier")
-    add("p9_analysis_core", other("ANALYSIS", "part", "p_partkey", "p_partkey % 50 = 0"), "SELECT 'A' || p_partkey AS analysis_accession, 'a' AS alias, 'c' AS center_name, 't ' || p_partkey AS title FROM part WHERE p_partkey % 50 = 0")
+    add("p9_analysis_core", other("ANALYSIS", "part", "p_partkey"), "SELECT 'A' || p_partkey AS analysis_accession, 'a' AS alias, 'c' AS center_name, 't ' || p_partkey AS title FROM part")
 
     # --- external ids, edges, closure
 
@@ -126,7 +139,7 @@ def register(add) -> None:
     add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(_n()), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
 
     def closed(s: SparkSession, d: str) -> DataFrame:
-        r = _records(s, d, *ALL)
+        r = _once(s, _records(s, d, *ALL))
         return I.closed_relations(I.relations(r), I.entity_index(r))
 
     closed_sql = f"{_edges(*ALL)}, k AS (SELECT DISTINCT entity_type AS t, accession AS a FROM r), c AS (SELECT e.*, k.a IS NOT NULL AS hit FROM e LEFT JOIN k ON e.internal AND e.dst_type = k.t AND e.dst = k.a)"
@@ -152,11 +165,11 @@ def register(add) -> None:
     half = lambda s, d: _records(s, d, "sample").withColumn("entity_accession", F.when(~F.col("entity_accession").endswith("5"), F.col("entity_accession")))
     add("f17_has_accession", lambda s, d: I.with_accession(half(s, d)).agg(_n()), "SELECT count(*) AS n FROM customer WHERE c_custkey % 10 <> 5")
     add("a21_entity_qc", lambda s, d: I.entity_qc(half(s, d)).drop("source_snapshot_id"), "SELECT 'SAMPLE' AS entity_type, count(*) AS entity_record_count, count(*) FILTER (WHERE c_custkey % 10 <> 5) AS unique_entity_accession_count, count(*) FILTER (WHERE c_custkey % 10 = 5) AS missing_accession_count, CASE WHEN count(*) FILTER (WHERE c_custkey % 10 = 5) > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM customer")
-    bad = lambda s, d: P.file_index(_parsed(s, d, *SMALL)).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "xml_parse_error").otherwise(F.col("parse_status")))
+    bad = lambda s, d: P.file_index(_parsed(s, d, *ALL)).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "xml_parse_error").otherwise(F.col("parse_status")))
     state_sql = "CASE WHEN dir LIKE '%1' THEN 'xml_parse_error' ELSE 'ok' END"
-    two = f"(SELECT DISTINCT dir, xml_kind, {state_sql} AS st FROM {_recs(*SMALL)})"
+    two = f"(SELECT DISTINCT dir, xml_kind, {state_sql} AS st FROM {_recs(*ALL)})"
     add("a20_parse_qc", lambda s, d: I.parse_qc(bad(s, d)).drop("source_snapshot_id"), f"SELECT xml_kind, count(*) AS file_count, count(*) FILTER (WHERE st = 'ok') AS parse_success_count, count(*) FILTER (WHERE st <> 'ok') AS parse_failed_count, CASE WHEN count(*) FILTER (WHERE st <> 'ok') > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM {two} GROUP BY 1")
-    add("a25_directory_index", lambda s, d: I.directory_index(bad(s, d)).select("directory_accession", "file_count", "sample_xml_count", "study_xml_count", "run_xml_count", "parse_success_file_count", "parse_failed_file_count", "scan_status"), f"SELECT dir AS directory_accession, count(*) AS file_count, count(*) FILTER (WHERE xml_kind = 'sample') AS sample_xml_count, count(*) FILTER (WHERE xml_kind = 'study') AS study_xml_count, 0::BIGINT AS run_xml_count, count(*) FILTER (WHERE st = 'ok') AS parse_success_file_count, count(*) FILTER (WHERE st <> 'ok') AS parse_failed_file_count, CASE WHEN count(*) FILTER (WHERE st <> 'ok') = 0 THEN 'ok' ELSE 'partial' END AS scan_status FROM {two} GROUP BY 1")
+    add("a25_directory_index", lambda s, d: I.directory_index(bad(s, d)).select("directory_accession", "file_count", "sample_xml_count", "study_xml_count", "run_xml_count", "parse_success_file_count", "parse_failed_file_count", "scan_status"), f"SELECT dir AS directory_accession, count(*) AS file_count, count(*) FILTER (WHERE xml_kind = 'sample') AS sample_xml_count, count(*) FILTER (WHERE xml_kind = 'study') AS study_xml_count, count(*) FILTER (WHERE xml_kind = 'run') AS run_xml_count, count(*) FILTER (WHERE st = 'ok') AS parse_success_file_count, count(*) FILTER (WHERE st <> 'ok') AS parse_failed_file_count, CASE WHEN count(*) FILTER (WHERE st <> 'ok') = 0 THEN 'ok' ELSE 'partial' END AS scan_status FROM {two} GROUP BY 1")
     add("a23_dir_file_consistency", lambda s, d: I.directory_file_consistency(I.directory_index(bad(s, d))).select("directory_accession", "observed_xml_count", "severity"), f"SELECT dir AS directory_accession, count(*) AS observed_xml_count, 'report_only' AS severity FROM {two} GROUP BY 1")
     add("a28_warning_error_totals", lambda s, d: bad(s, d).groupBy(F.substring("directory_accession", 1, 2).alias("chunk")).agg(F.sum("parser_warning_count").alias("warning_count"), F.count_if(F.col("parse_status") != "ok").alias("error_count")), f"SELECT substr(dir, 1, 2) AS chunk, 0::BIGINT AS warning_count, count(*) FILTER (WHERE st <> 'ok') AS error_count FROM {two} GROUP BY 1")
     missing = " UNION ALL ".join(f"SELECT 'experiment_core' AS table_name, '{c}' AS field_name, {'count(*)' if c in ('library_source', 'library_selection') else '0::BIGINT'} AS missing_count, count(*) AS total_count, {'1.0' if c in ('library_source', 'library_selection') else '0.0'}::DOUBLE AS missing_rate FROM orders" for c in ("experiment_accession", "sample_accession", "study_accession", "library_strategy", "library_source", "library_selection", "platform", "instrument_model"))
@@ -193,42 +206,63 @@ def register(add) -> None:
 
     def written(s, d):
         root = scratch(s, "index")
-        r = _records(s, d, *SMALL)
+        r = _once(s, _records(s, d, *ALL))
         R.write_contract(r, f"{root}/entity_record_index.parquet", "entity_record_index")
         R.write_contract(I.entity_index(r), f"{root}/entity_index/data.parquet", "entity_index")
         return root
 
-    add("k6_contract_write", lambda s, d: R.open_table(s, written(s, d), "entity_record_index").groupBy("entity_type", "xml_kind").agg(_n()), f"SELECT entity_type, xml_kind, count(*) AS n FROM {_recs(*SMALL)} GROUP BY ALL")
-    add("s8_table_open", lambda s, d: R.open_table(s, written(s, d), "entity_index").groupBy("entity_type").agg(_n()), f"SELECT entity_type, count(DISTINCT accession) AS n FROM {_recs(*SMALL)} GROUP BY 1")
+    add("k6_contract_write", lambda s, d: R.open_table(s, written(s, d), "entity_record_index").groupBy("entity_type", "xml_kind").agg(_n()), f"SELECT entity_type, xml_kind, count(*) AS n FROM {_recs(*ALL)} GROUP BY ALL")
+    add("s8_table_open", lambda s, d: R.open_table(s, written(s, d), "entity_index").groupBy("entity_type").agg(_n()), f"SELECT entity_type, count(DISTINCT accession) AS n FROM {_recs(*ALL)} GROUP BY 1")
 
     def broken_tables(s, d):
-        r = R.to_contract(_records(s, d, *SMALL), "entity_record_index")
+        r = R.to_contract(_records(s, d, *ALL), "entity_record_index")
         worse = r.drop("alias").withColumns({"entity_ordinal": F.col("entity_ordinal").cast("int"), "more": F.lit(1), "file_id": F.when(~F.col("entity_accession").endswith("1"), F.col("file_id"))})
         return V.schema_errors(s, {"entity_record_index": worse, "entity_index": R.to_contract(I.entity_index(r), "entity_index")}, ["entity_record_index", "entity_index", "relation_index"])
 
     add("v1_schema_validate", broken_tables, "SELECT 'relation_index' AS \"table\", NULL::VARCHAR AS \"column\", 'missing table' AS error UNION ALL SELECT 'entity_record_index', 'alias', 'missing column' UNION ALL SELECT 'entity_record_index', 'entity_ordinal', 'type int instead of bigint' UNION ALL SELECT 'entity_record_index', 'more', 'unexpected column' UNION ALL SELECT 'entity_record_index', 'file_id', 'null in required column'")
+    def whole_build(s, d):
+        """All tables of the contract from the files of all kinds, by one build; (table, rows)."""
+        return U.build(xml_files(s, d, *ALL), scratch(s, "build"), scratch(s, "work"), SNAPSHOT, chunk_size=20)
+
+    dirs = f"(SELECT DISTINCT dir FROM {_recs(*ALL)})"
+    core_rows = " UNION ALL ".join(f"SELECT '{k}_core{r}' AS \"table\", count(*) AS rows FROM {t}" for k, t in (("run", "lineitem"), ("experiment", "orders JOIN customer ON o_custkey = c_custkey"), ("sample", "customer"), ("study", "nation")) for r in ("", "_raw"))
+    fixed = " UNION ALL ".join(f"SELECT '{t}', {n}::BIGINT" for t, n in (("build_manifest", 1), ("parse_qc_summary", 4), ("entity_qc_summary", 4), ("relation_closure_qc", 6), ("core_missingness_qc", 19), ("core_conflict_qc", 13), ("xml_path_inventory", PATHS)))
+    of_dirs = " UNION ALL ".join(f"SELECT '{t}', {n} FROM {dirs}" for t, n in (("directory_manifest", "count(*)"), ("directory_index", "count(*)"), ("directory_file_consistency_qc", "count(*)"), ("chunk_manifest", "ceil(count(*) / 20)::BIGINT"), ("chunk_status_summary", "ceil(count(*) / 20)::BIGINT")))
+    of_records = " UNION ALL ".join(f"SELECT '{t}', {n} FROM {_recs(*ALL)}" for t, n in (("file_index", "count(DISTINCT file_id)"), ("entity_record_index", "count(*)"), ("entity_index", "count(DISTINCT entity_type || accession)"), ("external_accession_index", "count(bio_sample_id) + count(taxon_id) + count(bioproject_id)"), ("sample_attribute_core", "2 * count(*) FILTER (WHERE entity_type = 'SAMPLE')")))
+    add("k6_whole_build", whole_build, f"{core_rows} UNION ALL {fixed} UNION ALL {of_dirs} UNION ALL {of_records} UNION ALL SELECT 'relation_index', count(*) FROM ({_edges(*ALL)} SELECT * FROM e)")
     add("v2_enum_validate", lambda s, d: V.enum_errors(bad(s, d).withColumn("parse_status", F.when(F.col("directory_accession").endswith("1"), "odd").otherwise("ok")), "file_index"), "SELECT 'file_index' AS \"table\", 'parse_status' AS \"column\", 'odd' AS value")
 
     def empty(s, d):
-        R.write_empty(s, root := scratch(s, "empty"), ["entity_index", "run_core"])
-        none = R.open_table(s, root, "run_core")
-        return none.select("run_accession").union(_core(s, d, "run").select("run_accession").limit(0)).agg(_n())
-
-    add("v3_empty_tables", empty, "SELECT 0::BIGINT AS n")
-    check = lambda s, d: V.field_check(_core(s, d, "sample"), _corrupted(_core(s, d, "sample")), ["file_id", "sample_accession"], ["bio_sample_id", "taxon_id", "scientific_name"])
+        """Every table of the contract without rows, and run_core filled from the data, both held against the contract."""
+        R.write_empty(s, none := scratch(s, "empty"))
+        R.write_contract(_core(s, d, "run"), f"{(full := scratch(s, 'filled'))}/{C.path('run_core')}", "run_core")
+        opened = {"empty": {t: R.open_table(s, none, t) for t in C.TABLES}, "filled": {"run_core": R.open_table(s, full, "run_core")}}
+        out = None
+        for which, tables in opened.items():
+            found = V.schema_errors(s, tables, list(tables)).agg(F.count(F.lit(1)).alias("errors")).select(F.lit(0).alias("tables"), F.lit(0).alias("rows"), "errors")
+            for t in tables.values():
+                found = found.union(t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(1), "rows", F.lit(0)))
+            row = found.agg(*[F.sum(c).alias(c) for c in found.columns]).select(F.lit(which).alias("which"), "tables", "rows", "errors")
+            out = row if out is None else out.union(row)
+        return out
+
+    add("v3_empty_tables", empty, f"SELECT 'empty' AS which, {len(C.TABLES)}::BIGINT AS tables, 0::BIGINT AS rows, 0::BIGINT AS errors UNION ALL SELECT 'filled', 1, count(*), 0 FROM lineitem")
+    second = lambda s, d, kind: B.reread(xml_files(s, d, kind), SNAPSHOT, kind.upper())
+    check = lambda s, d: V.field_check(B.core(second(s, d, "sample"), "SAMPLE"), _corrupted(_core(s, d, "sample")), ["file_id", "sample_accession"], ["bio_sample_id", "taxon_id", "scientific_name"])
     checked = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS checks, count(*) FILTER (WHERE c_custkey % 10 NOT IN ({'3, 7' if c == 'taxon_id' else '7'})) AS matches, count(*) FILTER (WHERE c_custkey % 10 = 7) AS missing_rows, 0::BIGINT AS extra_rows, {'count(*) FILTER (WHERE c_custkey % 10 = 3)' if c == 'taxon_id' else '0::BIGINT'} AS mismatches FROM customer" for c in ("bio_sample_id", "taxon_id", "scientific_name"))
     add("v7_backcheck_fields", check, checked)
-    ids = lambda s, d: V.field_check(_core(s, d, "study"), _core(s, d, "study").withColumn("bioproject_id", F.when(F.col("study_accession") != "SRP1", F.col("bioproject_id"))), ["file_id", "study_accession"], ["bioproject_id"])
+    ids = lambda s, d: V.field_check(B.core(second(s, d, "study"), "STUDY"), _core(s, d, "study").withColumn("bioproject_id", F.when(F.col("study_accession") != "SRP1", F.col("bioproject_id"))), ["file_id", "study_accession"], ["bioproject_id"])
     add("v8_backcheck_ids", ids, "SELECT 'bioproject_id' AS \"column\", count(*) AS checks, count(*) FILTER (WHERE n_nationkey <> 1) AS matches, 0::BIGINT AS missing_rows, 0::BIGINT AS extra_rows, count(*) FILTER (WHERE n_nationkey = 1) AS mismatches FROM nation")
-    small_edges = lambda s, d: I.relations(_records(s, d, *SMALL))
-    add("v9_backcheck_edges", lambda s, d: V.edge_check(small_edges(s, d), small_edges(s, d).where(~F.col("dst_accession").endswith("4"))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), f"{_edges(*SMALL)} SELECT count(*) FILTER (WHERE dst NOT LIKE '%4') AS matched, count(*) FILTER (WHERE dst LIKE '%4') AS missing, 0::BIGINT AS extra FROM e")
-    add("v10_backcheck_attributes", lambda s, d: V.attribute_check(attributes(s, d), attributes(s, d).withColumn("value", F.when(F.col("sample_accession").endswith("2"), "x").otherwise(F.col("value")))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), "SELECT 2 * count(*) FILTER (WHERE c_custkey % 10 <> 2) AS matched, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS missing, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS extra FROM customer")
+    first_edges = lambda s, d: I.relations(_records(s, d, *ALL))
+    second_edges = lambda s, d: functools.reduce(DataFrame.union, [B.edges(second(s, d, k), k.upper()) for k in ALL])
+    add("v9_backcheck_edges", lambda s, d: V.edge_check(second_edges(s, d), first_edges(s, d).where(~F.col("dst_accession").endswith("4"))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), f"{_edges(*ALL)} SELECT count(*) FILTER (WHERE dst NOT LIKE '%4') AS matched, count(*) FILTER (WHERE dst LIKE '%4') AS missing, 0::BIGINT AS extra FROM e")
+    add("v10_backcheck_attributes", lambda s, d: V.attribute_check(B.attributes(second(s, d, "sample")), attributes(s, d).withColumn("value", F.when(F.col("sample_accession").endswith("2"), "x").otherwise(F.col("value")))).agg(F.sum("matched").alias("matched"), F.sum("missing").alias("missing"), F.sum("extra").alias("extra")), "SELECT 2 * count(*) FILTER (WHERE c_custkey % 10 <> 2) AS matched, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS missing, 2 * count(*) FILTER (WHERE c_custkey % 10 = 2) AS extra FROM customer")
     add("v11_abnormal_absent", lambda s, d: V.absent_where_abnormal(I.abnormal_files(bad(s, d)), {"sample_core": _core(s, d, "sample"), "study_core": _core(s, d, "study")}), "SELECT 'sample_core' AS \"table\", count(*) AS rows FROM customer WHERE c_nationkey % 10 = 1 UNION ALL SELECT 'study_core', count(*) FROM nation WHERE n_nationkey % 10 = 1")
     acc = lambda s, d: V.accuracy(_core(s, d, "sample").join(_corrupted(_core(s, d, "sample")).select("sample_accession", F.col("taxon_id").alias("t")), "sample_accession", "left").select(F.lit("core").alias("metric"), (F.col("t") == F.col("taxon_id")).alias("ok")), "metric")
     right = "count(*) FILTER (WHERE c_custkey % 10 NOT IN (3, 7))"
     add("a29_accuracy_metrics", lambda s, d: acc(s, d).withColumn("accuracy", F.round("accuracy", 6)), f"SELECT 'core' AS metric, count(*) AS checks, {right} AS matches, count(*) - {right} AS mismatches, round({right}::DOUBLE / count(*), 6) AS accuracy FROM customer")
     add("v12_thresholds", lambda s, d: V.within_thresholds(acc(s, d)).select("metric", "threshold", "status"), "SELECT 'core' AS metric, 0.999::DOUBLE AS threshold, 'fail' AS status FROM customer LIMIT 1")
-    add("a30_sample_entity_counts", lambda s, d: _records(s, d, *SMALL).join(S.random_sample(P.file_index(_parsed(s, d, *SMALL)), "file_id", 9, 42, checked=False).select("file_id"), "file_id", "left_semi").groupBy("entity_type").agg(_n(), F.count_distinct("directory_id").alias("directories")), f"WITH r AS {_recs(*SMALL)} SELECT entity_type, count(*) AS n, count(DISTINCT directory_id) AS directories FROM r WHERE file_id IN (SELECT file_id FROM (SELECT DISTINCT file_id FROM r) ORDER BY md5(file_id || ':42'), file_id LIMIT 9) GROUP BY 1")
+    add("a30_sample_entity_counts", lambda s, d: _records(s, d, *ALL).join(S.random_sample(P.file_index(_parsed(s, d, *ALL)), "file_id", 9, 42, checked=False).select("file_id"), "file_id", "left_semi").groupBy("entity_type").agg(_n(), F.count_distinct("directory_id").alias("directories")), f"WITH r AS {_recs(*ALL)} SELECT entity_type, count(*) AS n, count(DISTINCT directory_id) AS directories FROM r WHERE file_id IN (SELECT file_id FROM (SELECT DISTINCT file_id FROM r) ORDER BY md5(file_id || ':42'), file_id LIMIT 9) GROUP BY 1")
 
     # --- runs with what the index knows of them, and incremental ingest
 

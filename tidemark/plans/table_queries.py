@@ -77,10 +77,10 @@ def register(add) -> None:
 
     def k3(spark, sf):
         acc = accessions(spark, sf)
-        n = R.write_pilot(acc, path := scratch(spark, "pilot"), 1000)
+        n = R.write_pilot(acc, path := scratch(spark, "pilot"))
         return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) == n).alias("as_written"))
 
-    add("k3_pilot_write", k3, with_acc("SELECT least(count(*), 1000)::BIGINT AS n, true AS as_written FROM acc"))
+    add("k3_pilot_write", k3, with_acc("SELECT least(count(*), 1000000)::BIGINT AS n, true AS as_written FROM acc"))
 
     def k4(spark, sf):
         R.write_tsv(A.counts(accessions(spark, sf), "Type").select("Type", "n"), path := scratch(spark, "m.tsv"))
@@ -194,10 +194,10 @@ def register(add) -> None:
 
     links = f"r AS ({run_sql}), a AS (SELECT * FROM ({core}) WHERE version_status = 'latest' AND assembly_level = 'Chromosome'), t1 AS (SELECT run, assembly_accession, 1 AS tier FROM r JOIN a USING (biosample)), r2 AS (SELECT * FROM r WHERE biosample NOT IN (SELECT biosample FROM a WHERE biosample IS NOT NULL)), t2 AS (SELECT run, assembly_accession, 2 AS tier FROM r2 JOIN a USING (bioproject) WHERE r2.bioproject NOT IN ('', '-')), r3 AS (SELECT * FROM r2 WHERE bioproject NOT IN (SELECT bioproject FROM a WHERE bioproject IS NOT NULL)), t3 AS (SELECT run, assembly_accession, 3 AS tier FROM r3 JOIN a USING (taxid)), l AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)"
     with_links = lambda sql: with_acc("").rstrip() + f", {links} {sql}"
-    add("j9_assembly_run_link", lambda spark, sf: linked(spark, sf).groupBy("run", "tier").agg(F.count(F.lit(1)).alias("n"), F.min("assembly_accession").alias("least")), with_links("SELECT run, tier, count(*) AS n, min(assembly_accession) AS least FROM l GROUP BY ALL"))
+    add("j9_assembly_run_link", lambda spark, sf: linked(spark, sf).groupBy("run", "tier").agg(F.sum("n").alias("n"), F.min("least").alias("least")), with_links("SELECT run, tier, count(*) AS n, min(assembly_accession) AS least FROM l GROUP BY ALL"))
 
     def k7(spark, sf):
-        R.write_tsv(L.selected_runs(linked(spark, sf), 2).select("run", "tier", "assembly_accession"), path := scratch(spark, "selected.tsv"))
+        R.write_tsv(L.selected_runs(linked(spark, sf), 2).select("run", "tier", "assembly_accession"), path := scratch(spark, "selected.tsv"), one=False)
         return spark.read.schema("run string, tier int, assembly_accession string").options(sep="\t", header=True).csv(path)
 
     add("k7_selected_runs", k7, with_links("SELECT run, min(tier) AS tier, min(assembly_accession) AS assembly_accession FROM l WHERE tier <= 2 GROUP BY 1"))

@@ -43,9 +43,9 @@ def read_assemblies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``<root>/<name>.parquet`` or ``<root>/<name>/data.parquet``, read with the contract's columns."""
+    """The table at the contract's path, ``<root>/<name>.parquet`` or ``<root>/<name>/data.parquet``, with the contract's columns."""
     jvm = spark._jvm.org.apache.hadoop.fs.Path
-    for path in (f"{root}/{name}.parquet", f"{root}/{name}/data.parquet"):
+    for path in (f"{root}/{C.path(name)}", f"{root}/{name}.parquet", f"{root}/{name}/data.parquet"):
         p = jvm(path)
         if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
             return spark.read.schema(C.schema(name)).parquet(path)
@@ -81,9 +81,9 @@ def write_pilot(acc: DataFrame, path: str, n: int = 1_000_000) -> int:
     return found
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """A small table as one tab-separated file with a header, even without rows."""
-    df.coalesce(1).write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote="\u0000").csv(path)
+def write_tsv(df: DataFrame, path: str, one: bool = True) -> None:
+    """A small table as one tab-separated file with a header, even without rows; not ``one``: a file for each partition."""
+    (df.coalesce(1) if one else df).write.mode("overwrite").options(sep="\t", header=True, emptyValue="", quote="\u0000").csv(path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
@@ -108,4 +108,4 @@ def write_contract(df: DataFrame, path: str, name: str) -> int:
 def write_empty(spark: SparkSession, root: str, names: list[str] | None = None) -> None:
     """Tables of the contract without rows."""
     for name in names or C.TABLES:
-        spark.createDataFrame([], C.schema(name)).write.mode("overwrite").parquet(f"{root}/{name}.parquet")
+        spark.createDataFrame([], C.schema(name)).write.mode("overwrite").parquet(f"{root}/{C.path(name)}")

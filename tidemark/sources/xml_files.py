@@ -205,10 +205,12 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
         X.kind_consistency(by_name, by_root).alias("xml_kind_consistency_status"),
         name.alias("file_name"),
         relative.alias("relative_file_path"),
+        F.col("path").alias("absolute_file_path"),
         "file_size",
         F.to_timestamp_ntz("mtime").alias("mtime"),
         "parse_status",
         "root_tag",
+        F.col("root_tag").alias("root_entity_set_type"),
         F.size("entities").cast("long").alias("entity_count"),
         "error_type",
         "error_message",
