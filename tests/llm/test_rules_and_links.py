@@ -1,6 +1,7 @@
 """Quality rules, winnowing and host verdicts."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -96,6 +97,83 @@ def test_rank_against_plain_python(spark):
     assert all(abs(got[h] - rank[h]) < 1e-12 for h in rank if rank[h])
 
 
+def test_rank_reaches_its_fixed_point(spark):
+    """A chain longer than a cut's rounds, closed to a ring: ranks solve their equation, and every host has one."""
+    n = 20
+    e = spark.createDataFrame([("t", f"h{k}", f"h{(k + 1) % n}", 1.0) for k in range(n)], "kind string, src string, dst string, share double")
+    s = spark.createDataFrame([("t", "h0", 1.0)], "kind string, host string, seed double")
+    got = {r["host"]: r["rank"] for r in G.propagate(e, s).collect()}
+    assert all(abs(got[f"h{k}"] - 0.15 * 0.85**k / (1 - 0.85**n)) < 1e-5 for k in range(n)) and len(got) == n
+
+
+LINK = re.compile(r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)""")
+
+
+def plain_verdicts(pages):
+    """The whole query in plain Python: rules, edges of links and parents, both ranks by many rounds."""
+    low = lambda h: "".join(c.lower() if "A" <= c <= "Z" else c for c in h)
+
+    def parts(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        return low(host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+    def rule(host, path):
+        fits = [(len(t), t, v) for v, t in G.RULES for h, p in [t.split("/", 1)] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    edges, by_host = {}, {}
+    for _, url, html in pages:
+        host, path = parts(url)
+        if host:
+            by_host.setdefault(host, []).append(rule(host, path)[1])
+            for m in LINK.finditer(html or ""):
+                if (to := low(m[1])) != host:
+                    edges[host, to] = edges.get((host, to), 0) + 1
+    steps = set()
+    for h in {*by_host, *(b for _, b in edges)}:
+        labels = h.split(".")
+        steps |= {(".".join(labels[i:]), ".".join(labels[i + 1 :])) for i in range(len(labels) - 2)}
+    for a, b in steps:
+        for k in ((a, b), (b, a)):
+            edges[k] = edges.get(k, 0) + 1
+
+    def rank(edges, seeds):
+        out = {}
+        for (a, _), w in edges.items():
+            out[a] = out.get(a, 0) + w
+        start = {h: 0.15 / len(seeds) for h in seeds}
+        r = dict(start)
+        for _ in range(300):
+            new = dict(start)
+            for (a, b), w in edges.items():
+                if a in r:
+                    new[b] = new.get(b, 0) + 0.85 * r[a] * w / out[a]
+            r = new
+        return r
+
+    trust = rank(edges, [h for h, v in by_host.items() if 2 * v.count("allow") >= len(v)])
+    distrust = rank({(b, a): w for (a, b), w in edges.items()}, [h for h, v in by_host.items() if 2 * v.count("block") >= len(v)])
+    for page, url, _ in pages:
+        host, path = parts(url)
+        text, said = rule(host, path)
+        yield page, host, path, text, said or ("block" if host and distrust.get(host, 0) > trust.get(host, 0) else "allow")
+
+
+def test_whole_query_against_plain_python(spark):
+    r = random.Random(5)
+    hosts = [f"{a}{b}.{c}" for a in ("", "w.", "e.f.") for b in ("p", "q", "r") for c in ("com", "net", "org", "de")] + ["www.example.com", "x.example.com"]
+    host = lambda i: r.choice(hosts).upper() if i % 7 == 0 else r.choice(hosts)
+    pages = [(i, f"http://{host(i)}{r.choice(['', '/', '/en/a', '/es/b?x', '/fr/#y', '?q'])}", " ".join(f"<a href={r.choice(['http:', ''])}//{r.choice(hosts)}/x>" for _ in range(r.randint(0, 3)))) for i in range(120)]
+    pages += [(200, None, None), (201, "no", ""), (202, "http://", "")]
+    got = G.op10_link_graph(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert sorted(map(str, (tuple(x)[:5] for x in got.collect()))) == sorted(map(str, plain_verdicts(pages)))
+
+
+def test_no_pages(spark):
+    assert G.op10_link_graph(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_distrust_flows_back(spark):
     pages = [(1, "http://bad.net/es/1", ""), (2, "http://fan.org/1", '<a href="http://bad.net/x">'), (3, "http://good.com/1", '<a href="http://friend.org/">'), (4, "http://friend.org/1", "")]
     got = {r["page_id"]: r["verdict"] for r in G.op10_link_graph(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}

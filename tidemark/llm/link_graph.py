@@ -2,7 +2,8 @@
 
 Hosts that no rule settles are judged by two personalised PageRanks: trust starts at hosts that are mostly allowed
 by rules and follows the edges, distrust starts at mostly blocked hosts and follows them reversed. Edges are the
-absolute links of the pages' html and, both ways, each host and its parent domain.
+links of the pages' html that name a host, with a scheme or without, and, both ways, each host and its parent domain.
+Ranks are passed on until they have settled, so every host that a seed reaches is judged.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and no rule, and is allowed; a null html
 has no links; equal rows are judged alike; other columns are ignored; an empty table gives an empty result.
@@ -17,7 +18,9 @@ from tidemark.llm.common import written
 
 #: (verdict, host and path); the longest that fits wins.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-DAMPING, ROUNDS, CUT_EVERY = 0.85, 12, 3
+DAMPING = 0.85
+#: Rank has settled when all ranks together change by less than this over ``CUT_EVERY`` rounds and reach no new host.
+TOLERANCE, CUT_EVERY = 1e-6, 6
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,9 +45,10 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RUL
 
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, weight: links between different hosts, counted, and parent domains of two labels or more, both ways."""
-    links = F.regexp_extract_all("html", F.lit(r"""(?i)\b(?:href|src)\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""), F.lit(1))
+    links = F.regexp_extract_all("html", F.lit(r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1))
     linked = with_host(pages.select("url", "html")).select(F.col("host").alias("src"), F.explode(links).alias("dst")).withColumn("dst", F.translate("dst", _UPPER, _LOWER))
     linked = linked.where((F.col("src") != "") & (F.col("src") != F.col("dst"))).groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
+    linked = written(linked)  # used twice; the pages' html is searched once
     names = with_host(pages.select("url")).select("host").union(linked.select("dst")).where("host <> ''").distinct()
     labels = F.split("host", r"\.")
     chain = F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
@@ -54,19 +58,28 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.union(up).union(down).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """Personalised PageRank for each ``kind``: edges (kind, src, dst, share), seeds (kind, host, seed) -> (kind, host, rank).
 
     ``share`` is an edge's part of its source's weight. All kinds take one pass a round; the ranks are cut from their
-    lineage every few rounds. Rank that reaches a host without edges is not passed on.
+    lineage every few rounds, when they are also held against those of the last cut. The change shrinks by ``damping``
+    a round at least. Rank that reaches a host without edges is not passed on. ``rounds``: so many, settled or not.
     """
     ranks = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-    start = ranks
-    for i in range(rounds):
+    start = last = ranks
+    i = -1
+    while rounds is None or i + 1 < rounds:
+        i += 1
         sent = ranks.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         ranks = sent.union(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if i % CUT_EVERY == CUT_EVERY - 1:
             ranks = written(ranks)
+            if rounds is None:
+                both = ranks.join(last.withColumnRenamed("rank", "was"), ["kind", "host"], "left")
+                moved = both.agg(F.sum(F.abs(F.col("rank") - F.coalesce("was", F.lit(0.0)))).alias("change"), F.count_if(F.col("was").isNull()).alias("new")).first()
+                if (moved["change"] or 0.0) < TOLERANCE and not moved["new"]:
+                    break
+                last = ranks
     return ranks
 
 

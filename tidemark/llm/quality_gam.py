@@ -9,7 +9,8 @@ The model is fitted on the driver to at most ``TRAINING_ROWS`` labelled document
 of them held out. Features come from the whole text only; labels, lang, source and doc_id are no inputs.
 
 Defined cases: a null or empty text gets the score of all-zero features; where no labelled row exists, every score is
-0.5; equal rows are scored alike; other columns are ignored; an empty table gives an empty result.
+0.5; equal rows are scored alike; of several texts with one labelled doc_id the model learns from that of the least
+features; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mod
     chosen = chosen.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     labelled = {r["doc_id"]: r["quality"] for r in chosen.collect()}  # bounded by ``rows``
     some = id_and_text(docs).join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")  # as bounded
-    found = {r["doc_id"]: r["x"] for r in measured(some).collect()}
+    found = {r["doc_id"]: r["x"] for r in measured(some).groupBy("doc_id").agg(F.min("x").alias("x")).collect()}
     ids = sorted(found)
     return fit(np.array([found[i] for i in ids]).reshape(-1, len(NAMES)), np.array([labelled[i] for i in ids], float))
 
