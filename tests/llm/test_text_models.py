@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -39,6 +40,58 @@ def test_base_digest(frame):
     assert got[0]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and set(base.split(",")) <= set(got[0]["spans"].split(","))
 
 
+CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def passes_luhn(found):
+    digits = [int(c) for c in found if c.isdigit()]
+    return 16 <= len(digits) <= 19 and sum(d if k % 2 == 0 else d // 5 + 2 * d % 10 for k, d in enumerate(digits[::-1])) % 10 == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["4111", " ", "-", "1111 1111 1111", "4111111111111111", "+", "+1 ", "(243)", "5", "555-", "0", "9", ".", "x", "é"]), max_size=30).map("".join))
+def test_cards_and_phones_against_patterns(text):
+    found = pii_crf.base_spans(text)
+    assert [(s, e) for k, s, e in found if k == "card"] == [m.span() for m in CARD.finditer(text) if passes_luhn(m[0])]
+    assert [(s, e) for k, s, e in found if k == "phone"] == [m.span() for m in PHONE.finditer(text) if 8 <= sum(c.isdigit() for c in m[0]) <= 15]
+
+
+def test_long_texts_of_digits_take_little_memory():
+    """A text that is one stretch: what is held a character is a few numbers, not its candidates."""
+    text = "12 345 6 " * 1_500 + "call +1 (243) 555-5526 "
+    w = pii_crf.fit([f"some words call +1 ({k}) 555-5526 and {k} more" for k in range(100, 160)])
+    pii_crf.all_spans(text[-200:], w)
+    tracemalloc.start()
+    found = pii_crf.all_spans(text, w)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ("phone", "+1 (243) 555-5526", True) in [(k, text[s:e], base) for k, s, e, base in found] and most < 200 * len(text)
+
+
+def test_recall_and_precision_of_spellings():
+    """Mail addresses and phones spelt otherwise, planted in other prose than the sample's: found whole, with little else."""
+    r = random.Random(7)
+    name = lambda: "".join(r.choices("abcdefghijk", k=r.randint(3, 8)))
+    prose = lambda n: " ".join(name() for _ in range(n))
+    texts = [f"{prose(20)} {name()}@{name()}.example.com {prose(15)} +1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)} {prose(20)} {r.randint(1, 2030)} {prose(3)}" for _ in range(120)]
+    w = pii_crf.fit(texts)
+    planted = right = added = 0
+    for k in range(200):
+        at, dot = r.choice([(" at ", " dot "), (" (at) ", "."), (" [at] ", " [dot] "), ("(at)", ".")])
+        spelt = f"{name()}{at}{name()}{dot}example{dot}com" if k % 2 else f"({r.randint(100, 999)}) 555-{r.randint(1000, 9999)}"
+        text = f"{prose(30)} {spelt}, {prose(30)} {r.randint(1, 2030)} {prose(5)}"
+        found = [text[s:e] for _, s, e, base in pii_crf.all_spans(text, w) if not base]
+        planted, right, added = planted + 1, right + (spelt in found), added + len(found)
+    assert right >= 0.9 * planted and right >= 0.9 * added
+
+
+def test_no_documents(frame):
+    none = frame([(1, "a")]).where("doc_id > 1")
+    assert pii_crf.op1_pii(none).collect() == pii_crf.redacted(none).collect() == []
+    assert bpe.op4_bpe(none).collect() == packing.op9_packing(none).collect() == []
+    assert quality_gam.op8_quality_gam(none, none.selectExpr("doc_id", "1 AS quality")).collect() == []
+
+
 def test_field_learns_other_spellings():
     r = random.Random(1)
     texts = [f"some words call +1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)} or {r.choice(['ann', 'bob.k', 'c_d'])}{r.randint(1, 99)}@mail.example.com and {r.randint(10**15, 10**16 - 1)} more" for _ in range(60)]

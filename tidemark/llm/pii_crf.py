@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from tidemark.llm.common import id_and_text, written
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, OTHERS, PASSAGE, PIECE, EPOCHS, LONGEST = 400, 100, 2000, 256, 12, 32
+#: Segments that are scored together.
+BLOCK = 512
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -115,9 +119,11 @@ def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
 def stretches(text: str) -> list[tuple[int, int]]:
     """Stretches of ``text`` around triggers, ``LONGEST`` whole tokens to either side, joined where they meet."""
     out: list[list[int]] = []
-    hits = [m.span() for m in _TRIGGER.finditer(text)]
-    ends = [0, *(m.end() for m in _TOKEN.finditer(text))] if hits else []
-    for s, e in hits:
+    if _TRIGGER.search(text) is None:
+        return []
+    ends = array("q", [0])
+    ends.extend(m.end() for m in _TOKEN.finditer(text))
+    for s, e in (m.span() for m in _TRIGGER.finditer(text)):
         a, b = ends[max(0, bisect_right(ends, s) - 1 - LONGEST)], ends[min(len(ends) - 1, bisect_left(ends, e) + LONGEST)]
         if out and a <= out[-1][1]:
             out[-1][1] = b
@@ -126,43 +132,82 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def token_ends(text: str, a: int, b: int) -> array:
+    """``a`` and the ends of the tokens of a stretch."""
+    ends = array("q", [a])
+    ends.extend(m.end() for m in _TOKEN.finditer(text, a, b))
+    return ends
+
+
+def candidates(text: str, ends: array) -> Iterator[tuple[int, int]]:
+    """The candidate segments of a stretch, by their first token: those with a whole trigger that start and end on a letter, digit, ``+`` or ``(``."""
+    n = len(ends) - 1
+    hits = (m.span() for m in _TRIGGER.finditer(text, ends[0], ends[n]))
+    hit = next(hits, None)
+    for i in range(n):
+        while hit is not None and hit[0] < ends[i]:
+            hit = next(hits, None)
+        if hit is None:  # what starts here or later has no trigger
+            return
+        if hit[1] > ends[min(n, i + LONGEST)] or not (text[ends[i]].isalnum() or text[ends[i]] in "+("):
+            continue
+        for j in range(max(i + 1, bisect_left(ends, hit[1], i, min(n, i + LONGEST) + 1)), min(n, i + LONGEST) + 1):
+            if text[ends[j] - 1].isalnum():
+                yield i, j
+
+
+def best(text: str, a: int, b: int, w: np.ndarray) -> list[tuple[str, int, int]]:
+    """The segments of the highest total score in a stretch; a token outside of segments scores 0.
+
+    Segments come by their first token, whose own value is final then, and are scored some hundred at a time: of a
+    stretch of any length only a few numbers a token are held.
+    """
+    ends = token_ends(text, a, b)
+    n = len(ends) - 1
+    value, top = np.zeros(n + 1), np.full(n + 1, -np.inf)
+    start, kind = np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int8)
+    settled = 0
+
+    def settle(upto: int) -> None:
+        nonlocal settled
+        for j in range(settled + 1, upto + 1):
+            if top[j] > value[j - 1] + 1e-12:
+                value[j] = top[j]
+            else:
+                value[j], start[j] = value[j - 1], -1
+        settled = max(settled, upto)
+
+    segments = candidates(text, ends)
+    while block := list(islice(segments, BLOCK)):
+        scores = np.array([features(text, ends[i], ends[j], j - i) for i, j in block]) @ w.T
+        for (i, j), k, s in zip(block, scores.argmax(1).tolist(), scores.max(1).tolist(), strict=True):
+            settle(i)
+            if (v := value[i] + s) > top[j] + 1e-12:
+                top[j], start[j], kind[j] = v, i, k
+    settle(n)
+    out, j = [], n
+    while j:
+        if start[j] < 0:
+            j -= 1
+        else:
+            i = int(start[j])
+            out.append((KINDS[kind[j]], ends[i], ends[j]))
+            j = i
+    return out[::-1]
+
+
 class Lattice:
-    """The tokens of a stretch and its candidate segments: those with a whole trigger that start and end on a letter, digit, ``+`` or ``(``."""
+    """All candidate segments of a short stretch with their features, for the fit."""
 
     def __init__(self, text: str, a: int, b: int):
-        ends = [m.span() for m in _TOKEN.finditer(text, a, b)]
-        self.ends = [a, *(e for _, e in ends)]
-        self.n = len(ends)
-        first = [text[s].isalnum() or text[s] in "+(" for s, _ in ends]
-        last = [text[e - 1].isalnum() for _, e in ends]
-        hits = [m.span() for m in _TRIGGER.finditer(text, a, b)]
-        starts = [s for s, _ in hits]
-        nearest = [bisect_left(self.ends, hits[k][1]) if (k := bisect_left(starts, s)) < len(hits) else self.n + 1 for s, _ in ends]  # a segment that ends before has no trigger
-        self.segments = [(i, j) for i in range(self.n) if first[i] for j in range(max(i + 1, nearest[i]), min(self.n, i + LONGEST) + 1) if last[j - 1]]
+        self.text, self.a, self.b = text, a, b
+        self.ends = token_ends(text, a, b)
+        self.n = len(self.ends) - 1
+        self.segments = list(candidates(text, self.ends))
         self.x = np.array([features(text, self.ends[i], self.ends[j], j - i) for i, j in self.segments]).reshape(-1, len(FEATURES))
-        self.into: list[list[int]] = [[] for _ in range(self.n + 1)]
-        for k, (_, j) in enumerate(self.segments):
-            self.into[j].append(k)
 
     def best(self, w: np.ndarray) -> list[tuple[str, int, int]]:
-        """The segments of the highest total score; a token outside of segments scores 0."""
-        scores = self.x @ w.T
-        kind, score = scores.argmax(1) if len(scores) else [], scores.max(1) if len(scores) else []
-        value, back = [0.0] * (self.n + 1), [-1] * (self.n + 1)
-        for j in range(1, self.n + 1):
-            value[j] = value[j - 1]
-            for k in self.into[j]:
-                if (v := value[self.segments[k][0]] + score[k]) > value[j] + 1e-12:
-                    value[j], back[j] = v, k
-        out, j = [], self.n
-        while j:
-            if back[j] < 0:
-                j -= 1
-            else:
-                i = self.segments[back[j]][0]
-                out.append((KINDS[int(kind[back[j]])], self.ends[i], self.ends[j]))
-                j = i
-        return out[::-1]
+        return best(self.text, self.a, self.b, w)
 
     def marginals(self, w: np.ndarray) -> np.ndarray:
         """The probability of each segment and kind, by forward and backward sums."""
@@ -275,9 +320,11 @@ def all_spans(text: str, w: np.ndarray) -> list[tuple[str, int, int, bool]]:
     base = base_spans(text)
     out = [(*s, True) for s in base]
     if w.any():
+        near = sorted((s, e) for _, s, e in base)
+        starts, furthest = [s for s, _ in near], list(accumulate((e for _, e in near), max))
+        free = lambda s, e: (k := bisect_left(starts, e)) == 0 or furthest[k - 1] <= s
         for a, b in stretches(text):
-            near = [(s, e) for _, s, e in base if s < b and e > a]
-            out += [(k, s, e, False) for k, s, e in Lattice(text, a, b).best(w) if not any(s < y and e > x for x, y in near)]
+            out += [(k, s, e, False) for k, s, e in best(text, a, b, w) if free(s, e)]
     return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
 
@@ -338,7 +385,7 @@ def redacted(docs: DataFrame, w: np.ndarray | None = None) -> DataFrame:
 
 
 def op1_pii(docs: DataFrame) -> DataFrame:
-    """The contract's columns."""
+    """The contract's columns, and ``n_added``, the spans that the field adds."""
     d = spans(docs)
     line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
@@ -347,6 +394,7 @@ def op1_pii(docs: DataFrame) -> DataFrame:
         *map(_count, KINDS),
         F.sha2(F.encode(F.array_join(F.transform(base, line), ","), "UTF-8"), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", line), ",").alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
     )
 
 
