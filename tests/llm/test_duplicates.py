@@ -1,6 +1,7 @@
 """Near-duplicates and repeated passages against brute force, and the pipeline."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import minhash, suffix_dedup
+from tidemark.llm import common, minhash, suffix_dedup
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -55,6 +56,28 @@ def test_components(frame, words, n, percent):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def test_sets_are_compared_in_full(spark):
+    """Hashes that agree in their low 40 bits alone are different shingles."""
+    low = np.arange(1, 101, dtype=np.uint64)
+    high = low + np.uint64(1 << 40)
+    sets = spark.createDataFrame([(1, low.tobytes()), (2, high.tobytes()), (3, np.concatenate([low[:50], high[:50]]).tobytes())], "node long, items binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    assert {(r["b"], r["shared"], r["either"]) for r in minhash.verified(pairs, sets).collect()} == {(2, 0, 200), (3, 50, 150)}
+    assert {(r["b"], r["size"], len(set(r["items"]))) for r in minhash.differences(pairs, sets).collect()} == {(2, 200, 200), (3, 100, 100)}
+
+
+def test_copies_are_removed_at_the_end(spark):
+    d = spark.range(5)
+    with common.temporary(spark):
+        kept = common.written(d)
+        with common.temporary(spark):
+            outer, inner = common.written(d, outer=True), common.written(d)
+            gone = inner.inputFiles()
+        assert kept.count() == outer.count() == 5 and gone and not any(os.path.exists(f.removeprefix("file://")) for f in gone)
+        files = [x for t in (kept, outer) for x in t.inputFiles()]
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 def test_signature_is_superminhash():
     """Values equal those of the sequential algorithm with early stopping, and the places that agree estimate similarity."""
     r = np.random.default_rng(5)

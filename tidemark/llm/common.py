@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,11 +43,30 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What ``written`` writes inside is deleted at the end, but for what is written for the scope around (``outer``)."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written(df: DataFrame, outer: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
+    if len(_SCOPES) > outer:
+        _SCOPES[-1 - outer].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

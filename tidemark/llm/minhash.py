@@ -1,5 +1,8 @@
 """Near-duplicates by SuperMinHash signatures, banding, verification on full sets and union-find.
 
+Union-find runs as hooking and jumping: each round hooks a node's root below the least root next to it, then every node
+takes its parent's parent.
+
 A document's set holds its distinct word shingles. Documents with equal sets form a class; signatures, candidates and
 links are between classes, so copies are never paired. In SuperMinHash each element has one random permutation of the
 signature's places and takes place ``j`` of it with rank ``j`` plus a random fraction; elements of a set stop together
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, written
+from tidemark.llm.common import id_and_text, temporary, written
 
 PLACES, BANDS = 128, 32
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
@@ -32,7 +35,6 @@ CHUNK = 2_000_000
 _BASE = 0x9E3779B97F4A7C13
 _TABLE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _TABLE[[32, *range(9, 14)]] = 0
-_SET_BYTES = 5
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -169,23 +171,17 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """node and ``items``: the sorted low 40 bits of its shingles' hashes, 5 bytes each."""
+    """node and ``items``: the sorted hashes of its shingles, 8 bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, ends in _chunks(batch.column(1)):
-                items = [np.sort(s & np.uint64(2 ** (8 * _SET_BYTES) - 1)).view(np.uint8).reshape(-1, 8)[:, :_SET_BYTES].tobytes() for s in shingles(data, ends, words)]
+                items = [s.tobytes() for s in shingles(data, ends, words)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(items, pa.binary())], names=["node", "items"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "node long, items binary")
 
 
-def _items(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // _SET_BYTES, 8), np.uint8)
-    out[:, :_SET_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, _SET_BYTES)
-    return out.view(np.uint64).ravel()
-
-
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with both sets, of_a and of_b."""
     with_b = pairs.hint("merge").join(sets.select(F.col("node").alias("b"), F.col("items").alias("of_b")), "b")
@@ -193,14 +189,17 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """For pairs (a, b): the sizes n_a and n_b, and ``items`` that one has and the other lacks (odd: a has it), ``size`` of them."""
+    """For pairs (a, b): the sizes n_a and n_b, and ``items`` that one has and the other lacks (odd: a has it), ``size`` of them.
+
+    An item is a hash but for its first bit; two hashes that differ in that alone could only make a pair be compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = np.uint64(1)
         for batch in batches:
             rows = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                u, v = _items(x), _items(y)
+                u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 d = np.concatenate([np.setdiff1d(u, v, True) << one | one, np.setdiff1d(v, u, True) << one])
                 rows.append((len(u), len(v), len(d), d.astype(np.int64)))
             n_a, n_b, size, items = zip(*rows, strict=True) if rows else ((),) * 4
@@ -218,8 +217,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             shared, either = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 if (packed := x.as_py()) != last:
-                    last, kept = packed, _items(packed)
-                other = _items(y.as_py())
+                    last, kept = packed, np.frombuffer(packed, np.uint64)
+                other = np.frombuffer(y.as_py(), np.uint64)
                 both = np.concatenate([kept, other])
                 both.sort()
                 s = int((both[1:] == both[:-1]).sum())
@@ -236,17 +235,18 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node takes the least label of its neighbours and then its label's label; rounds end when no label
     changes. Only that count comes to the driver.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("component")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("mid"))
-        step = written(step)
-        jump = step.select(F.col("node").alias("mid"), F.col("mid").alias("far"))
-        new = written(step.join(jump, "mid", "left").select("node", F.least("mid", F.coalesce("far", "mid")).alias("component"), "was"))
-        if not new.where("component <> was").limit(1).count():
-            return new.select("node", "component")
-        labels = new.select("node", "component")
+    with temporary(edges.sparkSession):
+        both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+        labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("component")))
+        while True:
+            near = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+            step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("mid"))
+            step = written(step)
+            jump = step.select(F.col("node").alias("mid"), F.col("mid").alias("far"))
+            new = written(step.join(jump, "mid", "left").select("node", F.least("mid", F.coalesce("far", "mid")).alias("component"), "was"))
+            labels = new.select("node", "component")
+            if not new.where("component <> was").limit(1).count():
+                return written(labels, outer=True)
 
 
 def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,9 +258,11 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     """
     t = percent / 100
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_c"))
-    stars = compared.join(label("a"), "a", "left").join(label("b"), "b", "left").withColumns({"a_c": F.coalesce("a_c", "a"), "b_c": F.coalesce("b_c", "b")})
-    stars = written(stars.join(stars.where("a_c <> b_c").select("a").distinct(), "a", "left_semi"))
-    own = written(differences(stars.select("a", "b"), sets)).join(stars.select("a", "b", "a_c", "b_c"), ["a", "b"])
+    # Merge joins by ``a``: Spark splits the partition of a star that is much larger than others.
+    stars = compared.select("a", "b").join(label("a").hint("merge"), "a", "left").join(label("b").hint("merge"), "b", "left")
+    stars = written(stars.withColumns({"a_c": F.coalesce("a_c", "a"), "b_c": F.coalesce("b_c", "b")}))
+    stars = written(stars.join(stars.where("a_c <> b_c").select("a").distinct().hint("merge"), "a", "left_semi"))
+    own = written(differences(stars.select("a", "b"), sets)).join(stars, ["a", "b"])
     slack = (1 - t) / t
     far = F.col("size") - slack * F.col("n_b")  # what it shares at least with any partner
     with_far = (F.col("size") + (1 - t) * F.col("n_a") - slack * F.col("n_b")) / 2  # ... with one that isn't linked to the centre
@@ -268,7 +270,7 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     own = own.withColumn("first", F.col("size") - at_least + 1).select("a", "b", "b_c", "n_b", "size", "first", (F.col("a_c") == F.col("b_c")).alias("near"), F.explode("items").alias("item"))
     own = written(own)
     common = written(own.groupBy("a", "item").agg(F.count("*").alias("f")).where("f > 1"))
-    held = own.join(common, ["a", "item"])
+    held = own.join(common.hint("merge"), ["a", "item"])
     by_member = Window.partitionBy("a", "b")
     held = held.withColumn("rank", F.row_number().over(by_member.orderBy("f", "item"))).withColumn("alone", F.col("size") - F.count("*").over(by_member))
     held = written(held.where(F.col("rank") + F.col("alone") <= F.col("first")).select("a", "item", "b", "b_c", "n_b", "near", "size", (F.col("size") - F.col("alone")).alias("shared")))
@@ -286,23 +288,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     d = id_and_text(docs)
     sig = written(signatures(d, words))
-    classes = written(sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
-    banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = written(banded.join(written(banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")), "bucket"))
-    popular = shared.groupBy("node").agg(F.sum("members").alias("popular"))
-    centres = written(shared.join(popular, "node").groupBy("bucket").agg(F.max(F.struct("popular", (-F.col("node")).alias("low"))).alias("c")).select("bucket", (-F.col("c.low")).alias("a")))
-    pairs = written(shared.join(centres, "bucket").select("a", F.col("node").alias("b")).where("a <> b").distinct())
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = written(full_sets(d.join(needed.hint("merge"), "doc_id", "left_semi"), words).dropDuplicates(["node"]))
-    compared = written(verified(pairs, sets))
-    linked = f"100 * shared >= {percent} * either"
-    edges = compared.where(linked).select("a", "b")
-    labels = components(edges)
-    rest = written(open_pairs(compared, labels, sets, percent))
-    more = written(verified(rest, sets).where(linked).select("a", "b"))
-    if more.limit(1).count():
-        labels = components(edges.union(more))
-    found = written(classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("component_id")))
+    with temporary(docs.sparkSession):
+        classes = written(sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+        banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
+        shared = written(banded.join(written(banded.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")), "bucket"))
+        popular = shared.groupBy("node").agg(F.sum("members").alias("popular"))
+        centres = written(shared.join(popular, "node").groupBy("bucket").agg(F.max(F.struct("popular", (-F.col("node")).alias("low"))).alias("c")).select("bucket", (-F.col("c.low")).alias("a")))
+        pairs = written(shared.join(centres, "bucket").select("a", F.col("node").alias("b")).where("a <> b").distinct())
+        needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+        sets = written(full_sets(d.join(needed.hint("merge"), "doc_id", "left_semi"), words).dropDuplicates(["node"]))
+        compared = written(verified(pairs, sets))
+        linked = f"100 * shared >= {percent} * either"
+        edges = compared.where(linked).select("a", "b")
+        labels = components(edges)
+        rest = written(open_pairs(compared, labels, sets, percent))
+        more = written(verified(rest, sets).where(linked).select("a", "b"))
+        if more.limit(1).count():
+            labels = components(edges.union(more))
+        found = written(classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("component_id")), outer=True)
     out = sig.join(found, ["set_a", "set_b"], "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 

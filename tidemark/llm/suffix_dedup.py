@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import written
+from tidemark.llm.common import temporary, written
 from tidemark.llm.minhash import _chunks, _Powers, mixed
 
 SPAN, GRAM = 400, 48
@@ -286,23 +286,24 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a:b][text], hashes[a:b][text], start.astype(np.int64), count, gram, segment)], names=["__id", "__hash", "start", "count", "gram", "segment"])
 
     texts = keyed.select("__id", "__hash", "__text")
-    places = written(texts.where(F.octet_length("__text") >= span).mapInArrow(segments, "__id long, __hash long, start long, count long, gram long, segment long"))
-    twice = written(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
-    places = written(places.join(twice, "gram"))
-    kinds = written(places.groupBy("gram", "segment").agg(F.count("*").alias("places"), F.min(F.struct("__id", "__hash", "start", "count")).alias("at")))
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = min(HOT, max(COOL, 2 * kinds.count() // parts))
-    hot = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram", F.lit(True).alias("hot")))
-    wanted = kinds.join(hot, "gram", "left").select(F.col("at.__id").alias("__id"), F.col("at.__hash").alias("__hash"), F.struct("gram", "segment", "places", F.col("at.count").alias("count"), F.coalesce("hot", F.lit(False)).alias("hot"), F.col("at.start").alias("start")).alias("s"))
-    wanted = wanted.groupBy("__id", "__hash").agg(F.collect_list("s").alias("s"))
-    cut = F.transform("s", lambda s: F.struct(s["gram"].alias("gram"), s["segment"].alias("segment"), s["places"].alias("places"), s["count"].alias("count"), s["hot"].alias("hot"), F.substring(F.col("__text").cast("binary"), (s["start"] + 1).cast("int"), (s["count"] + (span - 1)).cast("int")).alias("bytes")))
-    cuts = texts.join(wanted, ["__id", "__hash"]).select(F.explode(cut).alias("c")).select("c.*")
-    dealt = cuts.repartition(parts, F.xxhash64("gram", F.when(F.col("hot"), F.col("segment")))).sortWithinPartitions("hot", "gram", "segment")
-    runs = written(dealt.mapInArrow(lambda batches: _sorted_runs(batches, span), "gram long, segment long, lo long, hi long, print long"))
-    across = runs.where("print is not null").select("gram", "segment", "hi", F.xxhash64("print", "gram").alias("print")).repartition(parts, "print").sortWithinPartitions("print")
-    across = across.mapInArrow(_merged, "gram long, segment long, lo long, hi long")
-    covered = runs.where("print is null").select("gram", "segment", "lo", "hi").union(across)
-    covered = written(covered.groupBy("gram", "segment").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")))
+    with temporary(keyed.sparkSession):
+        places = written(texts.where(F.octet_length("__text") >= span).mapInArrow(segments, "__id long, __hash long, start long, count long, gram long, segment long"))
+        twice = written(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
+        places = written(places.join(twice, "gram"), outer=True)
+        kinds = written(places.groupBy("gram", "segment").agg(F.count("*").alias("places"), F.min(F.struct("__id", "__hash", "start", "count")).alias("at")))
+        parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = min(HOT, max(COOL, 2 * kinds.count() // parts))
+        hot = written(kinds.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > most).select("gram", F.lit(True).alias("hot")))
+        wanted = kinds.join(hot, "gram", "left").select(F.col("at.__id").alias("__id"), F.col("at.__hash").alias("__hash"), F.struct("gram", "segment", "places", F.col("at.count").alias("count"), F.coalesce("hot", F.lit(False)).alias("hot"), F.col("at.start").alias("start")).alias("s"))
+        wanted = wanted.groupBy("__id", "__hash").agg(F.collect_list("s").alias("s"))
+        cut = F.transform("s", lambda s: F.struct(s["gram"].alias("gram"), s["segment"].alias("segment"), s["places"].alias("places"), s["count"].alias("count"), s["hot"].alias("hot"), F.substring(F.col("__text").cast("binary"), (s["start"] + 1).cast("int"), (s["count"] + (span - 1)).cast("int")).alias("bytes")))
+        cuts = texts.join(wanted, ["__id", "__hash"]).select(F.explode(cut).alias("c")).select("c.*")
+        dealt = cuts.repartition(parts, F.xxhash64("gram", F.when(F.col("hot"), F.col("segment")))).sortWithinPartitions("hot", "gram", "segment")
+        runs = written(dealt.mapInArrow(lambda batches: _sorted_runs(batches, span), "gram long, segment long, lo long, hi long, print long"))
+        across = runs.where("print is not null").select("gram", "segment", "hi", F.xxhash64("print", "gram").alias("print")).repartition(parts, "print").sortWithinPartitions("print")
+        across = across.mapInArrow(_merged, "gram long, segment long, lo long, hi long")
+        covered = runs.where("print is null").select("gram", "segment", "lo", "hi").union(across)
+        covered = written(covered.groupBy("gram", "segment").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), outer=True)
     back = places.join(covered, ["gram", "segment"]).select("__id", "__hash", F.transform("runs", lambda r: F.struct((F.col("start") + r["lo"]).alias("lo"), (F.col("start") + r["hi"] + span).alias("hi"))).alias("runs"))
     return back.groupBy("__id", "__hash").agg(F.flatten(F.collect_list("runs")).alias("__spans"))
 
@@ -310,7 +311,7 @@ def repeated_spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
 def shared_places(keyed: DataFrame) -> DataFrame:
     """__id, __hash and ``n_shared_places``: grams of windows' anchors that another document holds too, where there are any.
 
-    Documents are others if their ids or texts differ. Both uses of the grams reuse one exchange.
+    Documents are others if their ids or texts differ. A gram stands once for a text, so only copies repeat it.
     """
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,11 +322,10 @@ def shared_places(keyed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a:b][text], hashes[a:b][text], gram)], names=["__id", "__hash", "gram"])
 
     long = keyed.select("__id", "__hash", "__text").where(F.octet_length("__text") >= WINDOW)
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = long.mapInArrow(places, "__id long, __hash long, gram long").repartition(parts, "gram")
+    found = written(long.mapInArrow(places, "__id long, __hash long, gram long"))
     key = F.struct("__id", "__hash")
-    of_many = dealt.groupBy("gram").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least <> most").select("gram")
-    return dealt.join(of_many, "gram", "left_semi").groupBy("__id", "__hash").agg(F.count("*").alias("n_shared_places"))
+    of_many = found.groupBy("gram").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least <> most").select("gram")
+    return found.join(of_many.hint("merge"), "gram", "left_semi").groupBy("__id", "__hash").agg(F.count("*").alias("n_shared_places"))
 
 
 def _joined(spans: list[dict] | None) -> list[tuple[int, int]]:
