@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import minhash, packing, pii_crf, quality_rules, suffix_dedup
-from tidemark.llm.common import table, written
+from tidemark.llm.common import table, temporary, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written before the next one reads it."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        with temporary(spark):
+            docs = written(stage(spark, docs, sf_dir), outer=True)
     return STAGES[-1][1](spark, docs, sf_dir)
