@@ -66,6 +66,36 @@ def test_winnowing_minima(spark, words):
     assert len({x & (2**32 - 1) for x in chosen}) == len(chosen)
 
 
+def test_next_document_over_many_ranges(frame):
+    r = random.Random(9)
+    ids = [r.randint(-50, 400) for _ in range(120)]
+    rows = [(i, f"t{k}") for k, i in enumerate(ids)] + [(None, "n1"), (None, "n2")]
+    for buckets in (1, 2, 7, 60):
+        got = W.with_next(W.id_and_text(frame(rows)).repartition(5), ["doc_id", "text"], buckets).collect()
+        assert sorted(x["text"] for x in got) == sorted(t for _, t in rows) == sorted(x["next_text"] for x in got)
+        order = sorted({i for i in ids}, reverse=True) + [None]
+        after = dict(zip(order, [*order[1:], order[0]], strict=True))
+        assert all(x["next_doc_id"] in (x["doc_id"], after[x["doc_id"]]) for x in got)
+
+
+def test_likeness_against_plain_python(frame):
+    """near_edited and near_next are Jaccard similarities of the chosen hashes of texts that plain Python edits."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdef", k=5))
+    texts = [" ".join(word() for _ in range(n)) for n in (60, 40, 3, 0, 80)]
+    rows = list(enumerate([*texts, texts[0] + " more", None]))
+    text = {i: t or "" for i, t in rows}
+    edited = {i: t[: len(t) - len(t) // 3] + text[(i - 1) % len(rows)][: len(t) // 3] for i, t in text.items()}
+    marks = lambda s: {x.split(":")[0] for x in s.split(",") if x}
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    got = {x["doc_id"]: x for x in W.op2_winnowing(frame(rows)).collect()}
+    again = {x["doc_id"]: x["fingerprint"] for x in W.op2_winnowing(frame(list(edited.items()))).collect()}
+    for i in text:
+        assert got[i]["edited_fingerprint"] == again[i]
+        assert got[i]["near_edited"] == like(marks(got[i]["fingerprint"]), marks(again[i]))
+        assert got[i]["near_next"] == like(marks(got[i]["fingerprint"]), marks(got[(i - 1) % len(rows)]["fingerprint"]))
+
+
 def test_repeated_ids_follow_each_other(frame):
     rows = [(1, "a"), (1, "b"), (1, "b"), (None, "n"), (3, "c")]
     assert W.with_next(W.id_and_text(frame(rows)), ["text"], 4).count() == 5

@@ -12,12 +12,16 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text
 
 K, W, PIECE = 5, 8, 16
+#: Ranges of ids for each shuffle partition: several small ones fill a partition more evenly than one.
+RANGES = 8
 _P = 2**31 - 1
 _BASE = 1_000_003
 _LOW = 2**32 - 1
@@ -72,15 +76,21 @@ def with_next(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     """``df`` (doc_id, text, ...) with ``next_<c>`` of the row that follows by descending doc_id; the first follows the last.
 
     The rows are dealt by ranges of doc_id whose bounds are ids of the table, so that a range's follower is the row at
-    the bound below it, which is dealt to both ranges. Only the bounds, at most ``buckets``, come to the driver. Ties
-    of doc_id are ordered by a hash of the text, then the text; null ids come last.
+    the bound below it, which is dealt to both ranges. Only the bounds, at most ``buckets``, come to the driver. A row
+    finds its range in two steps, among every so many bounds and then between two of these. Ties of doc_id are ordered
+    by a hash of the text, then the text; null ids come last.
     """
-    found = df.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("q"), F.max("doc_id").alias("top")).first()
+    found = df.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("q"), F.max("doc_id").alias("top")).first()
     bounds = sorted({*(found["q"] or []), *([] if found["top"] is None else [found["top"]])})
     if bounds:
-        limits = F.array(*[F.lit(b).cast("long") for b in bounds])
-        own = F.size(F.filter(limits, lambda b: b < F.coalesce("doc_id", F.lit(bounds[0]))))
-        at = F.array_contains(limits, F.coalesce("doc_id", F.lit(bounds[0] - 1 if bounds[0] > -(2**63) else bounds[0])))
+        step = math.isqrt(len(bounds)) + 1
+        groups = [bounds[k : k + step] for k in range(0, len(bounds), step)]
+        longs = lambda v: F.array(*[F.lit(b).cast("long") for b in v])
+        doc = F.coalesce("doc_id", F.lit(bounds[0]))
+        below = lambda v: F.size(F.filter(v, lambda b: b < doc))
+        group = F.greatest(below(longs([g[0] for g in groups])) - 1, F.lit(0))
+        own = group * step + below(F.get(F.array(*map(longs, groups)), group))
+        at = F.coalesce(F.get(longs(bounds), own) == F.col("doc_id"), F.lit(False))
         after = F.pmod(own + 1, F.lit(len(bounds)))
     else:
         own, at, after = F.lit(0), F.lit(True), F.lit(0)
@@ -93,7 +103,7 @@ def with_next(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
 def op2_winnowing(docs: DataFrame) -> DataFrame:
     """The contract's columns: the fingerprints of each text and of its edited text, and their likeness."""
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = with_fingerprint(id_and_text(docs), "text", "fp")
     d = with_next(d, ["text", "fp"], buckets)
     n = F.length("text")
