@@ -29,7 +29,7 @@ from tidemark.llm.minhash import _chunks, mixed, word_hashes
 
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 2
 #: Bytes of text in a block, on average.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 12_000_000
 
 
 def _planes(x: np.ndarray) -> bytes:
