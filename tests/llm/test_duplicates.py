@@ -175,6 +175,13 @@ def test_rows_without_repeats(frame, words):
     assert suffix_dedup.without_repeats(d).columns == d.columns
 
 
+def test_stages_without_documents(spark, frame):
+    none = frame([(1, "a")]).where("doc_id > 1")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, none, "")
+        assert got.collect() == [] and (name == corpus_pipeline.STAGES[-1][0] or got.columns == none.columns)
+
+
 def test_one_document_of_each_group(frame, words):
     base = words(100, 3)
     rows = [(1, base), (1, base), (2, base + " more"), (3, words(100, 4)), (None, "n"), (None, "m")]

@@ -85,6 +85,19 @@ def test_recall_and_precision_of_spellings():
     assert right >= 0.9 * planted and right >= 0.9 * added
 
 
+def test_scores_are_sums_of_table_entries():
+    """A score is the sum of one entry of each table, chosen by counting the edges that a value reaches."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(600, len(quality_gam.NAMES)))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    m = quality_gam.fit(x, y)
+    assert m.pairs
+    for row, got in zip(x[:100].tolist(), m.score(x[:100]), strict=True):
+        at = [sum(v >= e for e in edges) for v, edges in zip(row, m.edges, strict=True)]
+        total = m.bias + sum(t[k] for t, k in zip(m.tables, at, strict=True)) + sum(t[at[i]][at[j]] for i, j, t in m.pairs)
+        assert math.isclose(got, 1 / (1 + math.exp(-total)), rel_tol=1e-9)
+
+
 def test_no_documents(frame):
     none = frame([(1, "a")]).where("doc_id > 1")
     assert pii_crf.op1_pii(none).collect() == pii_crf.redacted(none).collect() == []
