@@ -170,8 +170,20 @@ def register(add) -> None:
         out = S.stratified(d, "file_id", F.col("lang"), 60, 42)
         return out.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("file_id").alias("least"))
 
-    add("t8_prefix_stratified", t8)
-    add("t9_stress_mixed", lambda spark, sf: S.mixed(_tree(spark, sf), "directory_accession", "file_size", 10, 42))
+    # Each step of the recursion changes one quota by one, until they make 60 or no stratum has rows left.
+    t8_sql = f"""WITH RECURSIVE f AS ({_TREE}), c AS (SELECT lang AS k, count(*) AS c FROM f GROUP BY 1),
+        q AS (SELECT 0 AS step, k, c, least(c, greatest(1, round_even(60.0 * c / (SELECT sum(c) FROM c), 0)::BIGINT)) AS q FROM c
+          UNION ALL SELECT step + 1, k, c, q + CASE WHEN place = 1 THEN sign(60 - s)::BIGINT ELSE 0 END
+          FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN s > 60 THEN q ELSE c - q END DESC, k DESC) AS place FROM (SELECT *, sum(q) OVER () AS s, sum(c) OVER () AS total FROM q)) WHERE s > 60 OR s < least(60, total)),
+        z AS (SELECT k, q FROM q WHERE step = (SELECT max(step) FROM q)),
+        r AS (SELECT lang, file_id, q, row_number() OVER (PARTITION BY lang ORDER BY {_hash('file_id')}) AS rn FROM f JOIN z ON lang = k)
+        SELECT lang, count(*) AS n, min(file_id) AS least FROM r WHERE rn <= q GROUP BY 1"""
+    add("t8_prefix_stratified", t8, t8_sql)
+    # All directories are of one prefix here, so the strata's part is the first seven by hash.
+    t9_sql = f"""WITH u AS (SELECT directory_accession, sum(file_size) AS bytes FROM ({_TREE}) GROUP BY 1), a AS (SELECT directory_accession FROM u ORDER BY {_hash('directory_accession')} LIMIT 7),
+        p AS (SELECT * FROM u WHERE directory_accession NOT IN (FROM a) ORDER BY {_hash('directory_accession')} LIMIT 5000), b AS (SELECT directory_accession FROM p ORDER BY bytes DESC, directory_accession DESC LIMIT 2),
+        r AS (SELECT directory_accession FROM u WHERE directory_accession NOT IN (FROM a) AND directory_accession NOT IN (FROM b) ORDER BY {_hash('directory_accession')} LIMIT 1) FROM a UNION ALL FROM b UNION ALL FROM r"""
+    add("t9_stress_mixed", lambda spark, sf: S.mixed(_tree(spark, sf), "directory_accession", "file_size", 10, 42), t9_sql)
     add("t12_subset_dispatch", lambda spark, sf: S.select_directories(_tree(spark, sf), "deterministic_random", 6, 42), f"SELECT directory_accession FROM ({dirs}) ORDER BY {_hash('directory_accession')} LIMIT 6")
     add("t10_bounded_examples", lambda spark, sf: S.bounded_examples(_tree(spark, sf), "lang", ["file_size", "file_id"], 3).select("lang", "file_id"), f"SELECT lang, file_id FROM ({_TREE}) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY file_size, file_id) <= 3")
     add("t2_sorted_output", lambda spark, sf: _tree(spark, sf).groupBy("directory_accession").agg(F.max("file_size").alias("largest")).orderBy("directory_accession"), f"SELECT directory_accession, max(file_size) AS largest FROM ({_TREE}) GROUP BY 1 ORDER BY 1")
