@@ -131,8 +131,8 @@ def register(add) -> None:
     add("s6_dir_list_tsv", lambda spark, sf: S.listed_directories(_tree(spark, sf).where("lang = 'de'").select(F.concat(F.lit(" "), "directory_accession", F.lit(" ")).alias("directory_accession")), _tree(spark, sf).select("directory_accession").distinct()), f"SELECT DISTINCT directory_accession FROM ({_TREE}) WHERE lang = 'de'")
     unit = "'D' || lpad(c_custkey::VARCHAR, 8, '0')"
     customers = lambda spark, sf: table(spark, sf, "customer").select(F.concat(F.lit("D"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("directory_accession"))
-    manifest = f"SELECT '2026-05-16' AS source_snapshot_id, row_number() OVER (ORDER BY d) - 1 AS manifest_row_id, sha1('2026-05-16' || chr(31) || d) AS directory_id, d AS directory_accession, substr(d, 1, 3) AS directory_prefix FROM (SELECT DISTINCT {unit} AS d FROM customer)"
-    add("w2_manifest_row_id", lambda spark, sf: S.directory_manifest(customers(spark, sf), "2026-05-16"), manifest)
+    manifest = f"SELECT '2026-05-16' AS source_snapshot_id, row_number() OVER (ORDER BY d) - 1 AS manifest_row_id, sha1('2026-05-16' || chr(31) || d) AS directory_id, d AS directory_accession, substr(d, 1, 3) AS directory_prefix, d AS relative_directory_path, '/x/' || d AS absolute_directory_path FROM (SELECT DISTINCT {unit} AS d FROM customer)"
+    add("w2_manifest_row_id", lambda spark, sf: S.directory_manifest(customers(spark, sf), "2026-05-16", "/x"), manifest)
     chunks = f"SELECT 'chunk_' || lpad(min(manifest_row_id)::VARCHAR, 8, '0') || '_' || lpad(max(manifest_row_id)::VARCHAR, 8, '0') AS chunk_id, min(manifest_row_id) AS start_row, count(*) AS row_count, min(manifest_row_id) AS manifest_row_id_start, max(manifest_row_id) AS manifest_row_id_end, count(*) AS expected_directory_count FROM ({manifest}) GROUP BY manifest_row_id // 40"
     plan = lambda spark, sf: S.chunk_manifest(S.directory_manifest(customers(spark, sf), "2026-05-16"), 40)
     add("w3_chunk_plan", plan, chunks)
