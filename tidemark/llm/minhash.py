@@ -261,7 +261,8 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     # Merge joins by ``a``: Spark splits the partition of a star that is much larger than others.
     stars = compared.select("a", "b").join(label("a").hint("merge"), "a", "left").join(label("b").hint("merge"), "b", "left")
     stars = written(stars.withColumns({"a_c": F.coalesce("a_c", "a"), "b_c": F.coalesce("b_c", "b")}))
-    stars = written(stars.join(stars.where("a_c <> b_c").select("a").distinct().hint("merge"), "a", "left_semi"))
+    moving = written(stars.where("a_c <> b_c").select("a").distinct())
+    stars = written(stars.join(moving.hint("merge"), "a", "left_semi"))
     own = written(differences(stars.select("a", "b"), sets)).join(stars, ["a", "b"])
     slack = (1 - t) / t
     far = F.col("size") - slack * F.col("n_b")  # what it shares at least with any partner
