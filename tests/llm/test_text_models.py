@@ -38,6 +38,7 @@ def test_base_digest(frame):
     phone = PRIVATE[0].index("+1")
     base = f"email:{start}:{start + 24},phone:{phone}:{phone + 17}"
     assert got[0]["base_sha256"] == hashlib.sha256(base.encode()).hexdigest() and set(base.split(",")) <= set(got[0]["spans"].split(","))
+    assert all(r["n_spans"] == len(r["spans"].split(",")) * bool(r["spans"]) == r["n_added"] + r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"] for r in got)
 
 
 CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")

@@ -385,7 +385,7 @@ def redacted(docs: DataFrame, w: np.ndarray | None = None) -> DataFrame:
 
 
 def op1_pii(docs: DataFrame) -> DataFrame:
-    """The contract's columns, and ``n_added``, the spans that the field adds."""
+    """The contract's columns, with ``n_spans``, all spans, and ``n_added``, those of the field."""
     d = spans(docs)
     line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
@@ -394,6 +394,7 @@ def op1_pii(docs: DataFrame) -> DataFrame:
         *map(_count, KINDS),
         F.sha2(F.encode(F.array_join(F.transform(base, line), ","), "UTF-8"), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", line), ",").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
         F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
     )
 
