@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.bpe import op4_bpe
 from tidemark.llm.common import table
+from tidemark.llm.hamming_index import op11_hamming_index
 from tidemark.llm.link_graph import op10_link_graph
 from tidemark.llm.lm_score import op5_lm_score
 from tidemark.llm.minhash import op7_minhash
@@ -15,7 +16,9 @@ from tidemark.llm.packing import op9_packing
 from tidemark.llm.pii_crf import op1_pii
 from tidemark.llm.quality_gam import op8_quality_gam
 from tidemark.llm.quality_rules import op6_quality_rules
+from tidemark.llm.spelling import op13_spelling
 from tidemark.llm.suffix_dedup import op3_suffix_dedup
+from tidemark.llm.token_links import op12_token_links
 from tidemark.llm.winnowing import op2_winnowing
 
 
@@ -32,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_gam": lambda spark, sf_dir: op8_quality_gam(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op9_packing": on(op9_packing, "documents"),
         "op10_link_graph": on(op10_link_graph, "pages"),
+        "op11_hamming_index": on(op11_hamming_index, "embeddings"),
+        "op12_token_links": on(op12_token_links, "documents"),
+        "op13_spelling": on(op13_spelling, "documents"),
     }
 
 
