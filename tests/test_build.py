@@ -1,12 +1,18 @@
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import contract as C
 from tidemark.operators import backcheck as B
 from tidemark.operators import build as U
+from tidemark.operators import chunks as K
 from tidemark.operators import index as I
 from tidemark.operators import validate as V
+from tidemark.sources import commit as M
 from tidemark.sources import tables as R
+from tidemark.sources import trees as T
 from tidemark.sources import xml_files as P
 
 SNAPSHOT = "2026-01-01"
@@ -40,6 +46,86 @@ def test_whole_build(spark, files, tmp_path):
     assert [tuple(r) for r in V.all_enum_errors({"parse_qc_summary": broken, "entity_qc_summary": table("entity_qc_summary")}).collect()] == [("parse_qc_summary", "severity", "odd")]
 
 
+def contents_of(spark, root, at_rest=("started_at", "finished_at", "attempts", "mtime", "source_root", "output_root")):
+    """The rows of all tables, without times and places."""
+    tables = {t: R.open_table(spark, root, t) for t in C.TABLES}
+    return {t: sorted(str(tuple(r)) for r in d.select(*[c for c in d.columns if c not in at_rest]).collect()) for t, d in tables.items()}
+
+
+def test_a_stopped_build_goes_on(spark, tmp_path):
+    """Chunks that failed are parsed by the next call, and only these; the tables are those of a build in one go."""
+    tree, out, work = str(tmp_path / "tree"), str(tmp_path / "out"), str(tmp_path / "work")
+    more = FILES | {f"B{k}/B{k}.study.xml": f'<STUDY_SET><STUDY accession="Q{k}"/></STUDY_SET>' for k in range(5)}
+    T.write_files(spark.createDataFrame([(p, x.encode()) for p, x in more.items()] + [("C0", None)], "name string, content binary"), tree)
+    listing = T.listed(spark, tree)
+    # A directory that can't be listed stays in the plan: its file's path leads nowhere.
+    gone = F.when(F.col("path").endswith("B1.study.xml"), F.concat("path", F.lit(".gone"))).otherwise(F.col("path"))
+    with pytest.raises(K.Incomplete, match="chunk_00000004_00000005"):
+        U.build(listing.withColumn("path", gone), out, work, SNAPSHOT, chunk_size=2, at_once=3)
+    first = {r["chunk_id"]: r for r in K.ledger(spark, work).collect()}
+    assert len(first) == 5 and [c for c, r in first.items() if r["exit_code"]] == ["chunk_00000004_00000005"]
+    assert first["chunk_00000004_00000005"]["attempts"] == 2 and not os.path.exists(out)
+    for p in ("A1", "A2", "A3", "B0"):  # what is done isn't read again
+        shutil.move(f"{tree}/{p}", f"{tree}-{p}")
+    U.build(listing_as(spark, more, tree), out, work, SNAPSHOT, chunk_size=2, at_once=3)
+    second = {r["chunk_id"]: r for r in K.ledger(spark, work).collect()}
+    assert all(r == first[c] for c, r in second.items() if c != "chunk_00000004_00000005") and all(r["exit_code"] == 0 for r in second.values())
+    for p in ("A1", "A2", "A3", "B0"):
+        shutil.move(f"{tree}-{p}", f"{tree}/{p}")
+    U.build(T.listed(spark, tree), f"{out}2", f"{work}2", SNAPSHOT, chunk_size=2)
+    assert contents_of(spark, out) == contents_of(spark, f"{out}2")
+    empty = R.open_table(spark, out, "directory_index").where("directory_accession = 'C0'").first()
+    assert empty["file_count"] == 0 and R.open_table(spark, out, "chunk_status_summary").count() == 5
+    with pytest.raises(ValueError, match="other directories"):
+        U.build(T.listed(spark, tree).where("directory_accession <> 'B3'"), out, work, SNAPSHOT, chunk_size=2)
+
+
+def listing_as(spark, files, root):
+    """The listing of the tree as it was before directories went."""
+    rows = [(p.split("/")[0], f"file://{root}/{p}", len(x)) for p, x in files.items()] + [("C0", None, None)]
+    return spark.createDataFrame(rows, "directory_accession string, path string, length long").withColumn("modificationTime", F.current_timestamp())
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    row = {"source_snapshot_id": "s", "xml_kind": "run", "file_count": 1, "parse_success_count": 1, "parse_failed_count": 0, "severity": "report_only"}
+    good = spark.createDataFrame([row], ", ".join(f"{c} {'long' if c.endswith('count') else 'string'}" for c in row))
+    R.write_contract(good, path, "parse_qc_summary")
+    many = spark.range(0, 4000, 1, 8).select(*[F.lit(v).alias(c) for c, v in row.items() if c != "severity"], F.when(F.col("id") < 3900, "warning").alias("severity"))
+    with pytest.raises(Exception, match="severity is null"):
+        R.write_contract(many, path, "parse_qc_summary")
+    assert spark.read.parquet(path).collect()[0].asDict() == row and os.listdir(tmp_path) == ["t.parquet"]
+    R.write_contract(spark.read.parquet(path).union(good), path, "parse_qc_summary")  # a table may be made from itself
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_a_commit_that_was_killed(spark, tmp_path):
+    for name in ("_former-t", "_staged-1-t"):
+        (tmp_path / name).mkdir()
+    M.recover(spark, str(tmp_path / "t"))
+    assert sorted(os.listdir(tmp_path)) == ["_staged-1-t", "t"]
+    M.commit(spark, str(tmp_path / "_staged-1-t"), str(tmp_path / "t"))
+    assert os.listdir(tmp_path) == ["t"]
+    with pytest.raises(Exception, match="_staged-"), M.staging(spark, str(tmp_path / "t")):  # nothing was written
+        pass
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_a_tree_of_many_directories(spark, tmp_path):
+    """Listed by tasks, equal to the manifest that made it; empty directories and files included."""
+    rows = spark.range(2000).select(F.concat(F.lit("D"), F.col("id").cast("string")).alias("d"), F.col("id"))
+    some = rows.where("id % 7 <> 0")
+    files = some.select(F.concat("d", F.lit("/"), "d", F.lit(".run.xml")).alias("name"), F.encode(F.repeat(F.lit("x"), (F.col("id") % 5).cast("int")), "UTF-8").alias("content"))
+    more = some.where("id % 3 = 0").select(F.concat("d", F.lit("/notes.txt")).alias("name"), F.encode(F.lit("left out"), "UTF-8").alias("content"))
+    assert T.write_files(files.union(more).union(rows.where("id % 7 = 0").select("d", F.lit(None).cast("binary"))), str(tmp_path / "t"))[0] == files.count() + more.count()
+    want = {f"D{i}": (int(i % 7 > 0), i % 5 if i % 7 else 0, int(i % 7 > 0 and i % 5 == 0)) for i in range(2000)}
+    listing = T.listed(spark, str(tmp_path / "t"))
+    assert {r[0]: tuple(r[1:]) for r in T.file_counts(listing).collect()} == want
+    read = T.contents(listing).select("length", F.length("content").alias("n"), "modificationTime").collect()
+    assert len(read) == files.count() and all(r["n"] == r["length"] and r["modificationTime"] for r in read)
+    assert T.directories(spark, str(tmp_path / "t")).count() == 2000
+
+
 def test_a_build_without_files(files, tmp_path):
     got = {r["table"]: r["rows"] for r in U.build(files.where("length < 0"), str(tmp_path / "o"), str(tmp_path / "w"), SNAPSHOT).collect()}
     assert {t for t, n in got.items() if n} == {"build_manifest"}

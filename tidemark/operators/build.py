@@ -1,4 +1,4 @@
-"""One build: from XML files to all tables of the contract, with the checks that gate it."""
+"""One build: from XML files, by chunks that can be resumed, to all tables of the contract, with the checks that gate it."""
 
 from __future__ import annotations
 
@@ -9,27 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import contract as C
+from tidemark.operators import chunks as K
 from tidemark.operators import index as I
 from tidemark.operators import sampling as S
 from tidemark.operators import validate as V
 from tidemark.sources import tables as R
 from tidemark.sources import xml_files as P
+from tidemark.sources.commit import staging
 
 VERSION = "1"
 
 
-def _digest(df: DataFrame, *columns: str) -> str:
-    """A hash of the rows of ``df`` that doesn't depend on their order; one value comes to the driver."""
-    return df.agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*columns)), F.lit(0))), 256).alias("h")).first()["h"]
-
-
-def build(files: DataFrame, out: str, work: str, snapshot: str, subset: str = "full", chunk_size: int = 5_000, label: str = "build") -> DataFrame:
+def build(files: DataFrame, out: str, work: str, snapshot: str, subset: str = "full", chunk_size: int = 5_000, label: str = "build", at_once: int = 8) -> DataFrame:
     """Writes the contract's tables below ``out`` and returns (table, rows), tables in the contract's order.
 
-    ``files`` has path, modificationTime, length, content. They are parsed once, to a table below ``work``; all others
-    come from that one and from each other. Raises where an entity has two rows, a core relation closes nowhere, or a
-    written table breaks the contract.
+    ``files`` has path, modificationTime, length, and content or none (a listing: tasks read the files). They are parsed
+    once, by chunks, to a table below ``work`` (``chunks.run``: a call after a failure goes on where the last one ended);
+    all others come from that one and from each other. The tables are written beside ``out``, checked, and put in its
+    place together. Raises where an entity has two rows, a core relation closes nowhere, or a written table breaks the
+    contract; ``out`` is then as it was.
     """
+    with staging(files.sparkSession, out) as staged:
+        return _tables(files, staged, out, work, snapshot, subset, chunk_size, label, at_once)
+
+
+def _tables(files: DataFrame, out: str, final: str, work: str, snapshot: str, subset: str, chunk_size: int, label: str, at_once: int) -> DataFrame:
     spark, began = files.sparkSession, datetime.now(UTC).replace(tzinfo=None)
     rows: dict[str, int] = {}
 
@@ -37,15 +41,14 @@ def build(files: DataFrame, out: str, work: str, snapshot: str, subset: str = "f
         rows[name] = R.write_contract(df, f"{out}/{C.path(name)}", name)
         return R.open_table(spark, out, name)
 
-    P.parsed(files, snapshot, with_nodes=True).write.parquet(f"{work}/parsed")
-    parsed = spark.read.parquet(f"{work}/parsed")
-    P.entity_records(parsed).write.parquet(f"{work}/records")
+    parsed = K.run(files, work, snapshot, chunk_size, at_once)
+    P.entity_records(parsed).write.mode("overwrite").parquet(f"{work}/records")
     records = spark.read.parquet(f"{work}/records")
 
     found = put("file_index", P.file_index(parsed))
     top = F.regexp_replace("absolute_file_path", r"/[^/]*/[^/]*$", "")
     root = found.agg(F.coalesce(F.min(top), F.lit("")).alias("root")).first()["root"]
-    manifest = put("directory_manifest", S.directory_manifest(found, snapshot, root))
+    manifest = put("directory_manifest", S.directory_manifest(spark.read.parquet(f"{work}/plan"), snapshot, root))
     chunks = put("chunk_manifest", S.chunk_manifest(manifest, chunk_size))
     directories = put("directory_index", I.directory_index(found, manifest))
     put("entity_record_index", records)
@@ -72,13 +75,13 @@ def build(files: DataFrame, out: str, work: str, snapshot: str, subset: str = "f
     ended = datetime.now(UTC).replace(tzinfo=None)
     schema_hash = hashlib.sha256("\n".join(f"{t} {d}" for t, d in C.TABLES.items()).encode()).hexdigest()
     config_hash = hashlib.sha256(f"{snapshot}|{subset}|{chunk_size}|{VERSION}".encode()).hexdigest()
-    manifest_hash, chunk_hash = _digest(manifest, "manifest_row_id", "directory_accession"), _digest(chunks, "chunk_id", "row_count")
+    manifest_hash, chunk_hash = K.digest(manifest, "manifest_row_id", "directory_accession"), K.digest(chunks, "chunk_id", "row_count")
     by_directory = {"file_index": found, "entity_record_index": records, "external_accession_index": externals, "relation_index": relations}
     by_file = {"sample_attribute_core": attributes, **{n: t for n, (_, t) in cores.items()}}
-    put("chunk_status_summary", I.chunk_status(chunks, manifest, chunk_size, found, by_directory, by_file).withColumns({"input_manifest_hash": F.lit(manifest_hash), "started_at": F.lit(began), "finished_at": F.lit(ended), "exit_code": F.lit(0), "parser_version": F.lit(VERSION), "schema_version": F.lit("v1")}))
+    put("chunk_status_summary", I.chunk_status(chunks, manifest, chunk_size, found, by_directory, by_file).join(K.ledger(spark, work), "chunk_id").withColumns({"input_manifest_hash": F.lit(manifest_hash), "parser_version": F.lit(VERSION), "schema_version": F.lit("v1")}))
     put("build_manifest", spark.range(1).select(
         F.lit(snapshot).alias("source_snapshot_id"), F.lit(subset).alias("build_scope"), F.lit(label).alias("build_label"), F.lit(subset).alias("manifest_subset_type"), F.lit(rows["directory_manifest"]).alias("manifest_row_count"),
-        F.lit(root).alias("source_root"), F.lit(out).alias("output_root"), F.lit("v1").alias("schema_version"), F.lit(VERSION).alias("parser_version"), F.lit("").alias("parser_git_commit"), F.lit("succeeded").alias("build_status"),
+        F.lit(root).alias("source_root"), F.lit(final).alias("output_root"), F.lit("v1").alias("schema_version"), F.lit(VERSION).alias("parser_version"), F.lit("").alias("parser_git_commit"), F.lit("succeeded").alias("build_status"),
         F.lit(began).alias("started_at"), F.lit(ended).alias("finished_at"), F.lit(spark.sparkContext.defaultParallelism).alias("thread_count"), F.lit(False).alias("enable_selected_field_long"),
         F.lit(manifest_hash).alias("manifest_hash"), F.lit(chunk_hash).alias("chunk_manifest_hash"), F.lit(schema_hash).alias("schema_contract_hash"), F.lit(config_hash).alias("parser_config_hash"),
     ))

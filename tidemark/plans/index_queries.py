@@ -222,7 +222,7 @@ def register(add) -> None:
     add("v1_schema_validate", broken_tables, "SELECT 'relation_index' AS \"table\", NULL::VARCHAR AS \"column\", 'missing table' AS error UNION ALL SELECT 'entity_record_index', 'alias', 'missing column' UNION ALL SELECT 'entity_record_index', 'entity_ordinal', 'type int instead of bigint' UNION ALL SELECT 'entity_record_index', 'more', 'unexpected column' UNION ALL SELECT 'entity_record_index', 'file_id', 'null in required column'")
     def whole_build(s, d):
         """All tables of the contract from the files of all kinds, by one build; (table, rows)."""
-        return U.build(xml_files(s, d, *ALL), scratch(s, "build"), scratch(s, "work"), SNAPSHOT, chunk_size=20)
+        return U.build(xml_files(s, d, *ALL), scratch(s, "build"), scratch(s, "work"), SNAPSHOT, chunk_size=20, at_once=16)
 
     dirs = f"(SELECT DISTINCT dir FROM {_recs(*ALL)})"
     core_rows = " UNION ALL ".join(f"SELECT '{k}_core{r}' AS \"table\", count(*) AS rows FROM {t}" for k, t in (("run", "lineitem"), ("experiment", "orders JOIN customer ON o_custkey = c_custkey"), ("sample", "customer"), ("study", "nation")) for r in ("", "_raw"))

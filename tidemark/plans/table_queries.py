@@ -16,6 +16,7 @@ from tidemark.operators import sampling as S
 from tidemark.operators import validate as V
 from tidemark.plans.adapters import ASM_SQL, accessions, assemblies, in_duckdb, table, with_acc
 from tidemark.sources import tables as R
+from tidemark.sources import trees as T
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -39,15 +40,28 @@ def _tsv(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _directory():
+    return F.concat(F.substring(F.upper("source"), 1, 3), F.lpad(F.regexp_extract("source", "[0-9]+", 0), 3, "0"))
+
+
 def _tree(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as files of directories: source is the directory."""
     d = table(spark, sf, "documents")
-    return d.select(F.concat(F.substring(F.upper("source"), 1, 3), F.lpad(F.regexp_extract("source", "[0-9]+", 0), 3, "0")).alias("directory_accession"), F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("file_id"), F.octet_length("text").cast("long").alias("file_size"), "lang", F.when(F.col("doc_id") % 10 == 0, "empty_file").otherwise("ok").alias("parse_status"), F.when(F.col("doc_id") % 7 == 0, "mismatch").otherwise("consistent").alias("xml_kind_consistency_status"), F.lit(0).cast("long").alias("parser_warning_count"))
+    return d.select(_directory().alias("directory_accession"), F.concat(F.lit("f"), F.col("doc_id").cast("string")).alias("file_id"), F.octet_length("text").cast("long").alias("file_size"), "lang", F.when(F.col("doc_id") % 10 == 0, "empty_file").otherwise("ok").alias("parse_status"), F.when(F.col("doc_id") % 7 == 0, "mismatch").otherwise("consistent").alias("xml_kind_consistency_status"), F.lit(0).cast("long").alias("parser_warning_count"))
 
 
 _TREE = "SELECT upper(substr(source, 1, 3)) || lpad(regexp_extract(source, '[0-9]+'), 3, '0') AS directory_accession, 'f' || doc_id AS file_id, strlen(text)::BIGINT AS file_size, lang, CASE WHEN doc_id % 10 = 0 THEN 'empty_file' ELSE 'ok' END AS parse_status, CASE WHEN doc_id % 7 = 0 THEN 'mismatch' ELSE 'consistent' END AS xml_kind_consistency_status FROM documents"
 
 
+def _listing(spark: SparkSession, sf: str) -> DataFrame:
+    """A listing of a written tree: a file for each document, and an empty directory for each nation."""
+    text = F.coalesce(F.encode("text", "UTF-8"), F.lit("").cast("binary")).alias("content")
+    files = table(spark, sf, "documents").select(F.concat(_directory(), F.lit("/f"), F.col("doc_id").cast("string"), F.lit(".sample.xml")).alias("name"), text)
+    none = table(spark, sf, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("name"), F.lit(None).cast("binary").alias("content"))
+    T.write_files(files.union(none), root := scratch(spark, "tree"))
+    return T.listed(spark, root)
+
+
 def _hash(key: str, seed: object = 42) -> str:
     return f"md5({key} || ':{seed}'), {key}"
 
@@ -126,8 +140,9 @@ def register(add) -> None:
     # --- directories, manifests, samples
 
     dirs = f"SELECT DISTINCT directory_accession FROM ({_TREE})"
-    add("s4_dir_listing", lambda spark, sf: _tree(spark, sf).select("directory_accession").distinct(), dirs)
-    add("s5_file_listing", lambda spark, sf: _tree(spark, sf).groupBy("directory_accession").agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes")), f"SELECT directory_accession, count(*) AS files, sum(file_size)::BIGINT AS bytes FROM ({_TREE}) GROUP BY 1")
+    empty = "SELECT 'N' || n_nationkey AS directory_accession"
+    add("s4_dir_listing", lambda spark, sf: _listing(spark, sf).select("directory_accession").distinct(), f"{dirs} UNION ALL {empty} FROM nation")
+    add("s5_file_listing", lambda spark, sf: T.file_counts(_listing(spark, sf)), f"SELECT directory_accession, count(*) AS files, coalesce(sum(file_size), 0)::BIGINT AS bytes, count(*) FILTER (WHERE coalesce(file_size, 0) = 0) AS empty_files FROM ({_TREE}) GROUP BY 1 UNION ALL {empty}, 0, 0, 0 FROM nation")
     add("s6_dir_list_tsv", lambda spark, sf: S.listed_directories(_tree(spark, sf).where("lang = 'de'").select(F.concat(F.lit(" "), "directory_accession", F.lit(" ")).alias("directory_accession")), _tree(spark, sf).select("directory_accession").distinct()), f"SELECT DISTINCT directory_accession FROM ({_TREE}) WHERE lang = 'de'")
     unit = "'D' || lpad(c_custkey::VARCHAR, 8, '0')"
     customers = lambda spark, sf: table(spark, sf, "customer").select(F.concat(F.lit("D"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("directory_accession"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import contract as C
+from tidemark.sources.commit import staging
 
 #: Columns of an assembly summary that this library reads, in the file's order of 38.
 ASSEMBLY_FIELDS = (
@@ -97,11 +98,15 @@ def to_contract(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_contract(df: DataFrame, path: str, name: str) -> int:
-    """Writes a contract table, reads it back and compares names, types and rows."""
-    n = write_counted(to_contract(df, name), path)
-    back = df.sparkSession.read.parquet(path)
-    if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in C.schema(name)] or back.count() != n:
-        raise ValueError(f"{name}: written table differs")
+    """Writes a contract table beside ``path``, reads it back, compares names, types and rows, and only then puts it in place.
+
+    After an error the former table is as it was, and may be what ``df`` reads.
+    """
+    with staging(df.sparkSession, path) as staged:
+        n = write_counted(to_contract(df, name), staged)
+        back = df.sparkSession.read.parquet(staged)
+        if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in C.schema(name)] or back.count() != n:
+            raise ValueError(f"{name}: written table differs")
     return n
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
 from tidemark.functions.contract import ENTITY_TYPES
+from tidemark.sources import trees as T
 
 ENTITY = "array<struct<entity_type: string, ordinal: long, accession: string, accession_source: string, alias: string, primary_id: string, submitter_id: string, fields: map<string, string>, attributes: array<struct<tag: string, value: string>>>>"
 NODE = "array<struct<entity_type: string, accession: string, path: string, is_attribute: boolean, value: string>>"
@@ -155,8 +156,8 @@ def _nodes(root: ET.Element) -> list[dict]:
     return out
 
 
-def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int | None = None) -> DataFrame:
-    """A row a file: the file index's columns, ``entities`` and ``nodes``.
+def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A row a file: the file index's columns, ``entities`` and ``nodes``, and the string columns ``keep`` of ``files``.
 
     ``files`` has path, modificationTime, length, content. Files of any size are parsed; only where a caller gives
     ``largest``, those of more bytes are not and get the status oversized_xml. A file's entities are one row's array.
@@ -186,10 +187,11 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
             for k, n in _slices([len(c.as_buffer()) if c.is_valid else 0 for c in b.column(3)]):
                 p = b.slice(k, n)
                 rows = [one(c.as_py(), n.as_py()) for c, n in zip(p.column(3), p.column(2), strict=True)]
-                yield pa.RecordBatch.from_arrays([*(p.column(i) for i in (0, 1, 2)), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["path", "mtime", "file_size", *names])
+                yield pa.RecordBatch.from_arrays([*(p.column(i) for i in (0, 1, 2)), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)), *p.columns[4:]], names=["path", "mtime", "file_size", *names, *keep])
 
-    raw = files.select(F.col("path").cast("string").alias("path"), F.col("modificationTime").cast("string").alias("mtime"), F.col("length").cast("long").alias("file_size"), "content")
-    d = raw.mapInArrow(run, f"path string, mtime string, file_size long, parse_status string, root_tag string, error_type string, error_message string, entities {ENTITY}, nodes {NODE}")
+    raw = files.select(F.col("path").cast("string").alias("path"), F.col("modificationTime").cast("string").alias("mtime"), F.col("length").cast("long").alias("file_size"), "content", *keep)
+    kept = "".join(f", {c} string" for c in keep)
+    d = raw.mapInArrow(run, f"path string, mtime string, file_size long, parse_status string, root_tag string, error_type string, error_message string, entities {ENTITY}, nodes {NODE}{kept}")
     parts = F.split("path", "/")
     name, directory = F.element_at(parts, -1), F.element_at(parts, -2)
     by_name, by_root = X.kind_from_filename(name), X.kind_from_root("root_tag")
@@ -217,25 +219,13 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
         F.lit(0).cast("long").alias("parser_warning_count"),
         "entities",
         "nodes",
+        *keep,
     )
 
 
-def read_xml_tree(spark: SparkSession, root: str) -> DataFrame:
-    """The files below ``root``/<directory>/, contents included. Spark leaves out empty files; ``listed`` has them."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(f"{root}/*")
-
-
-def listed(spark: SparkSession, root: str) -> DataFrame:
-    """path, length, modificationTime of every ``*.xml`` one level below ``root``, empty files too.
-
-    Spark lists the files but leaves out empty ones; these come from one listing through Hadoop's file system.
-    """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(f"{root}/*").select("path", "length", "modificationTime")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    empty = [(s.getPath().toString(), 0, s.getModificationTime() / 1000) for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*.xml")) or [] if s.getLen() == 0]
-    rows = spark.createDataFrame(empty, "path string, length long, t double").select("path", "length", F.timestamp_seconds("t").alias("modificationTime"))
-    return found.unionByName(rows)
+def read_xml_tree(spark: SparkSession, *roots: str) -> DataFrame:
+    """The files below ``root``/<directory>/ with their contents, empty ones too, listed and read by tasks."""
+    return T.contents(T.listed(spark, *roots))
 
 
 # --- tables from parsed files ----------------------------------------------------------------------------------
@@ -244,7 +234,7 @@ _KEYS = ("source_snapshot_id", "file_id", "directory_id", "directory_accession",
 
 
 def file_index(parsed_files: DataFrame) -> DataFrame:
-    return parsed_files.drop("entities", "nodes")
+    return parsed_files.drop("entities", "nodes", "chunk_id")
 
 
 def entity_records(parsed_files: DataFrame) -> DataFrame:
