@@ -159,13 +159,35 @@ def closure_gate(qc: DataFrame) -> DataFrame:
     return qc
 
 
+_PATH = ("source_snapshot_id", "xml_kind", "root_tag", "entity_type", "path", "path_entity_relative", "is_attribute")
+
+
+def path_parts(nodes: DataFrame) -> DataFrame:
+    """Per path and file: nodes, non-empty ones, the longest value, a first example and the entities that have the path.
+
+    A file's nodes lie together, so this is done before anything is exchanged; the set holds entities of one file only.
+    """
+    filled = F.col("value") != ""
+    example = F.min(F.when(filled, F.struct("file_id", "accession", F.substring("value", 1, X.EXAMPLE_LIMIT).alias("value"), (F.length("value") > X.EXAMPLE_LIMIT).alias("cut")))).alias("example")
+    return nodes.groupBy(*_PATH, "file_id").agg(F.count(F.lit(1)).alias("nodes"), F.count_if(filled).alias("filled"), F.max(F.length("value")).cast("long").alias("longest"), example, F.collect_set("accession").alias("entities"))
+
+
+def merged_inventory(parts: DataFrame) -> DataFrame:
+    """The inventory from ``path_parts``, of one lot of files or of several: a file is one row of a path.
+
+    Files are rows, so they are counted, not compared; entities are made distinct by path first, then counted. No row
+    is copied for a second distinct count.
+    """
+    own = parts.groupBy(*_PATH).agg(F.sum("nodes").alias("node_occurrence_count"), F.sum("filled").alias("non_empty_occurrence_count"), F.count(F.lit(1)).alias("file_coverage_count"), F.max("longest").alias("max_value_length"), F.min("example").alias("x"))
+    entity = parts.select(*_PATH, F.explode("entities").alias("accession")).groupBy(*_PATH, "accession").agg(F.lit(1).alias("one"))
+    covered = entity.groupBy(*[F.col(c).alias(f"k_{c}") for c in _PATH]).agg(F.count(F.lit(1)).alias("entities"))
+    g = own.join(covered, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in _PATH], "left")  # a row for each path
+    return g.select(*_PATH[:4], F.col("path").alias("path_abs"), *_PATH[5:], "node_occurrence_count", "non_empty_occurrence_count", F.coalesce("entities", F.lit(0)).alias("entity_coverage_count"), "file_coverage_count", "max_value_length", F.col("x.value").alias("example_value"), F.coalesce("x.cut", F.lit(False)).alias("example_value_truncated"), F.col("x.file_id").alias("example_file_id"), F.col("x.accession").alias("example_entity_accession"))
+
+
 def path_inventory(nodes: DataFrame) -> DataFrame:
     """Per path: nodes, non-empty ones, distinct entities and files, the longest value and a first example."""
-    keys = ["source_snapshot_id", "xml_kind", "root_tag", "entity_type", "path", "path_entity_relative", "is_attribute"]
-    filled = F.col("value") != ""
-    example = F.min(F.when(filled, F.struct("file_id", "accession", F.substring("value", 1, X.EXAMPLE_LIMIT).alias("value"), (F.length("value") > X.EXAMPLE_LIMIT).alias("cut")))).alias("x")
-    g = nodes.groupBy(*keys).agg(F.count(F.lit(1)).alias("node_occurrence_count"), F.count_if(filled).alias("non_empty_occurrence_count"), F.count_distinct("accession").alias("entity_coverage_count"), F.count_distinct("file_id").alias("file_coverage_count"), F.max(F.length("value")).cast("long").alias("max_value_length"), example)
-    return g.select(*keys[:4], F.col("path").alias("path_abs"), *keys[5:], "node_occurrence_count", "non_empty_occurrence_count", "entity_coverage_count", "file_coverage_count", "max_value_length", F.col("x.value").alias("example_value"), F.coalesce("x.cut", F.lit(False)).alias("example_value_truncated"), F.col("x.file_id").alias("example_file_id"), F.col("x.accession").alias("example_entity_accession"))
+    return merged_inventory(path_parts(nodes))
 
 
 def parse_qc(files: DataFrame) -> DataFrame:
@@ -268,11 +290,16 @@ def abnormal_files(files: DataFrame) -> DataFrame:
 
 
 def chain(runs: DataFrame, experiments: DataFrame, samples: DataFrame, studies: DataFrame) -> DataFrame:
-    """Runs with their experiment, sample and study, whether found or not."""
+    """Runs with their experiment, sample and study, whether found or not.
+
+    Experiments meet samples and studies first, so the runs, by far the most rows, are joined once; where both are in
+    buckets of the experiment's accession, they aren't exchanged at all.
+    """
     e = experiments.select("experiment_accession", "sample_accession", "study_accession", "platform", "library_strategy")
     s = samples.select("sample_accession", "bio_sample_id", "taxon_id", "scientific_name")
     st = studies.select("study_accession", "bioproject_id", "study_title")
-    return runs.select("run_accession", "experiment_accession").join(e, "experiment_accession", "left").join(s, "sample_accession", "left").join(st, "study_accession", "left")
+    whole = e.join(s, "sample_accession", "left").join(st, "study_accession", "left")
+    return runs.select("run_accession", "experiment_accession").join(whole, "experiment_accession", "left")
 
 
 def back_to_source(table: DataFrame, files: DataFrame) -> DataFrame:

@@ -45,11 +45,12 @@ def link_runs(runs: DataFrame, assemblies: DataFrame) -> DataFrame:
 
 
 def enriched_runs(downloadable: DataFrame, experiments: DataFrame, samples: DataFrame, attributes: DataFrame, tags: list[str]) -> DataFrame:
-    """Downloadable runs with strategy, platform, sample ids and the listed attribute tags as columns."""
+    """Downloadable runs with strategy, platform, sample ids and the listed attribute tags as columns; the runs are joined once, last."""
     wide = attributes.where(F.col("tag").isin(*tags)).groupBy("sample_accession").pivot("tag", tags).agg(F.min("value"))
     e = experiments.select(F.col("experiment_accession").alias("Experiment"), "library_strategy", "platform", "sample_accession")
     s = samples.select("sample_accession", "bio_sample_id", "taxon_id")
-    return downloadable.select("Accession", "Experiment", "Spots_i64", "Bases_i64", "BioProject").join(e, "Experiment", "left").join(s, "sample_accession", "left").join(wide, "sample_accession", "left")
+    whole = e.join(s.join(wide, "sample_accession", "left"), "sample_accession", "left")
+    return downloadable.select("Accession", "Experiment", "Spots_i64", "Bases_i64", "BioProject").join(whole, "Experiment", "left")
 
 
 def selected_runs(linked: DataFrame, best: int = 1) -> DataFrame:

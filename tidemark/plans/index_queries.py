@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from tidemark.operators import sampling as S
 from tidemark.operators import validate as V
 from tidemark.plans.adapters import accessions, in_duckdb, ACC_SQL, xml_files
 from tidemark.plans.table_queries import scratch
+from tidemark.sources import commit as M
+from tidemark.sources import lookup as Y
 from tidemark.sources import tables as R
 from tidemark.sources import xml_files as P
 from tidemark.streaming.ingest import ingest
@@ -29,23 +32,55 @@ ALL = ("sample", "study", "experiment", "run")
 PATHS = 50
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _stored(s: SparkSession, sf: str, name: str, make: Callable[[str], None]) -> str:
+    """The path of a table that ``make`` writes once for an application and its input, in the shared folder: queries read the tables of one build."""
+    root = _STORES.setdefault((s.sparkContext.applicationId, sf), scratch(s, "stored"))
+    path = f"{root}/{name}"
+    if not M.exists(s, path):
+        make(path)
+    return path
+
+
+def _written(df: DataFrame, path: str) -> None:
+    with M.staging(df.sparkSession, path) as staged:
+        df.write.parquet(staged)
+
+
 def _parsed(spark, sf, *kinds, nodes=False) -> DataFrame:
     return P.parsed(xml_files(spark, sf, *kinds), SNAPSHOT, nodes)
 
 
 def _records(spark, sf, *kinds) -> DataFrame:
-    return P.entity_records(_parsed(spark, sf, *kinds))
+    """The entity records of the kinds, each kind parsed once."""
+    out = None
+    for kind in kinds:
+        d = spark.read.parquet(_stored(spark, sf, f"records_{kind}", lambda path, k=kind: _written(P.entity_records(_parsed(spark, sf, k)), path)))
+        out = d if out is None else out.union(d)
+    return out
 
 
 def _core(spark, sf, kind) -> DataFrame:
     return P.core(_records(spark, sf, kind), kind.upper())
 
 
-def _once(s, df, name="once") -> DataFrame:
-    """``df`` written in the shared folder and read back: what several branches need is computed once."""
-    path = scratch(s, name)
-    df.write.parquet(path)
-    return s.read.schema(df.schema).parquet(path)
+def _sorted(s, d, name: str, key: str, *others: str, of=None) -> DataFrame:
+    """A table laid out for lookups by ``key`` and ``others``: a core table, or what ``of`` gives."""
+    make = of or (lambda: _core(s, d, name.removesuffix("_core")))
+    return s.read.parquet(_stored(s, d, f"{name}_by_{key}", lambda path: Y.write_sorted(make(), path, key, others)))
+
+
+def _bucketed(s, d, name: str, *keys: str, of=None) -> DataFrame:
+    """A table in buckets of ``keys``."""
+    make = of or (lambda: _core(s, d, name.removesuffix("_core")))
+    path = _stored(s, d, f"{name}_in_buckets_of_{'_'.join(keys)}", lambda path: Y.bucketed(make(), path, *keys, name=_table_name(path)))
+    return s.table(_table_name(path))
+
+
+def _table_name(path: str) -> str:
+    return "_".join(path.split("/")[-3::2])
 
 
 def _n():
@@ -139,8 +174,8 @@ def register(add) -> None:
     add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(_n()), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
 
     def closed(s: SparkSession, d: str) -> DataFrame:
-        r = _once(s, _records(s, d, *ALL))
-        return I.closed_relations(I.relations(r), I.entity_index(r))
+        edges_ = _bucketed(s, d, "relations", "source_snapshot_id", "dst_type", "dst_accession", of=lambda: edges(s, d))
+        return I.closed_relations(edges_, _bucketed(s, d, "entity_index", "source_snapshot_id", "entity_type", "entity_accession", of=lambda: I.entity_index(_records(s, d, *ALL))))
 
     closed_sql = f"{_edges(*ALL)}, k AS (SELECT DISTINCT entity_type AS t, accession AS a FROM r), c AS (SELECT e.*, k.a IS NOT NULL AS hit FROM e LEFT JOIN k ON e.internal AND e.dst_type = k.t AND e.dst = k.a)"
     state = "CASE WHEN NOT internal THEN 'external_reference' WHEN hit THEN 'closed' ELSE 'missing_dst_entity' END"
@@ -149,8 +184,8 @@ def register(add) -> None:
     add("a19_relation_closure_qc", lambda s, d: I.closure_qc(closed(s, d)).drop("source_snapshot_id").withColumn("closure_rate", F.round("closure_rate", 6)), f"{closed_sql} {qc}")
     add("a31_hard_fail_count", lambda s, d: I.hard_fails(I.closure_qc(closed(s, d))), f"{closed_sql} SELECT count(*) FILTER (WHERE severity = 'hard_fail') AS hard_fail_count FROM ({qc})")
     add("v14_closure_gate", lambda s, d: I.closure_gate(I.closure_qc(closed(s, d))).select("relation_type", "closed_count"), f"{closed_sql} SELECT relation_type, count(*) FILTER (WHERE internal AND hit) AS closed_count FROM c GROUP BY ALL")
-    add("f13_out_edges", lambda s, d: I.lookup(edges(s, d), "src_accession", "SRX1").select("relation_type", "dst_accession"), f"{_edges('experiment')} SELECT relation_type, dst AS dst_accession FROM e WHERE src = 'SRX1'")
-    add("f14_edges_by_type", lambda s, d: I.lookup(edges(s, d), "relation_type", "RUN_TO_EXPERIMENT").select(F.col("src_accession").alias("run_accession"), F.col("dst_accession").alias("experiment_accession")), f"{_edges('run')} SELECT src AS run_accession, dst AS experiment_accession FROM e WHERE relation_type = 'RUN_TO_EXPERIMENT'")
+    add("f13_out_edges", lambda s, d: I.lookup(_sorted(s, d, "relations", "src_accession", of=lambda: edges(s, d)), "src_accession", "SRX1").select("relation_type", "dst_accession"), f"{_edges('experiment')} SELECT relation_type, dst AS dst_accession FROM e WHERE src = 'SRX1'")
+    add("f14_edges_by_type", lambda s, d: I.lookup(_sorted(s, d, "relations", "relation_type", "src_accession", of=lambda: edges(s, d)), "relation_type", "RUN_TO_EXPERIMENT").select(F.col("src_accession").alias("run_accession"), F.col("dst_accession").alias("experiment_accession")), f"{_edges('run')} SELECT src AS run_accession, dst AS experiment_accession FROM e WHERE relation_type = 'RUN_TO_EXPERIMENT'")
 
     # --- entities
 
@@ -161,7 +196,7 @@ def register(add) -> None:
     add("w1_canonical_record", lambda s, d: I.canonical_records(_records(s, d, "run")).select("entity_accession", "entity_record_id", "directory_accession"), f"SELECT accession AS entity_accession, record_id AS entity_record_id, dir AS directory_accession FROM ({ranked}) WHERE rn = 1 AND entity_type = 'RUN'")
     add("j4_canonical_join", lambda s, d: entities(s, d).where("record_count > 1").select("entity_accession", "canonical_entity_record_id"), f"SELECT entity_accession, canonical_entity_record_id FROM ({entity}) WHERE record_count > 1")
     add("v13_key_gate", lambda s, d: I.key_gate(entities(s, d), *C.KEYS["entity_index"]).groupBy("entity_type").agg(_n()), f"SELECT entity_type, count(*) AS n FROM ({entity}) GROUP BY 1")
-    add("f6_entity_lookup", lambda s, d: I.lookup(entities(s, d), "entity_accession", "SRS1").select("entity_type", "record_count"), f"SELECT entity_type, record_count FROM ({entity}) WHERE entity_accession = 'SRS1'")
+    add("f6_entity_lookup", lambda s, d: I.lookup(_sorted(s, d, "entity_index", "entity_accession", of=lambda: I.entity_index(_records(s, d, *ALL))), "entity_accession", "SRS1").select("entity_type", "record_count"), f"SELECT entity_type, record_count FROM ({entity}) WHERE entity_accession = 'SRS1'")
     half = lambda s, d: _records(s, d, "sample").withColumn("entity_accession", F.when(~F.col("entity_accession").endswith("5"), F.col("entity_accession")))
     add("f17_has_accession", lambda s, d: I.with_accession(half(s, d)).agg(_n()), "SELECT count(*) AS n FROM customer WHERE c_custkey % 10 <> 5")
     add("a21_entity_qc", lambda s, d: I.entity_qc(half(s, d)).drop("source_snapshot_id"), "SELECT 'SAMPLE' AS entity_type, count(*) AS entity_record_count, count(*) FILTER (WHERE c_custkey % 10 <> 5) AS unique_entity_accession_count, count(*) FILTER (WHERE c_custkey % 10 = 5) AS missing_accession_count, CASE WHEN count(*) FILTER (WHERE c_custkey % 10 = 5) > 0 THEN 'warning' ELSE 'report_only' END AS severity FROM customer")
@@ -179,34 +214,56 @@ def register(add) -> None:
 
     # --- reading
 
-    add("f7_run_lookup", lambda s, d: I.lookup(_core(s, d, "run"), "run_accession", "SRR1_1").select("alias", "experiment_accession"), f"SELECT alias, experiment_accession FROM {_recs('run')} WHERE accession = 'SRR1_1'")
-    add("f8_biosample_lookup", lambda s, d: I.lookup(_core(s, d, "sample"), "bio_sample_id", "SAMN3").select("sample_accession", "taxon_id"), "SELECT 'SRS3' AS sample_accession, c_nationkey::VARCHAR AS taxon_id FROM customer WHERE c_custkey = 3")
+    add("f7_run_lookup", lambda s, d: I.lookup(_sorted(s, d, "run_core", "run_accession"), "run_accession", "SRR1_1").select("alias", "experiment_accession"), f"SELECT alias, experiment_accession FROM {_recs('run')} WHERE accession = 'SRR1_1'")
+    add("f8_biosample_lookup", lambda s, d: I.lookup(_sorted(s, d, "sample_core", "sample_accession", "bio_sample_id"), "bio_sample_id", "SAMN3").select("sample_accession", "taxon_id"), "SELECT 'SRS3' AS sample_accession, c_nationkey::VARCHAR AS taxon_id FROM customer WHERE c_custkey = 3")
     add("f9_attribute_search", lambda s, d: I.attribute_search(attributes(s, d), "segm", "zzz"), f"SELECT sample_accession, bio_sample_id, tag, value FROM ({attrs}) WHERE lower(tag) LIKE '%segm%' OR lower(value) LIKE '%zzz%' ORDER BY sample_accession, tag, value LIMIT 100")
     add("f10_platform_filter", lambda s, d: I.platform_filter(_core(s, d, "experiment"), "ILLUMINA", "1-URGENT"), f"SELECT accession AS experiment_accession, study_accession, sample_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')} WHERE platform = 'ILLUMINA' AND library_strategy = '1-URGENT' ORDER BY 1 LIMIT 100")
-    add("j1_chain_join", lambda s, d: I.chain(*[_core(s, d, k) for k in ("run", "experiment", "sample", "study")]), f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
+    add("j1_chain_join", lambda s, d: I.chain(_bucketed(s, d, "run_core", "experiment_accession"), *[_core(s, d, k) for k in ("experiment", "sample", "study")]), f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
     add("j3_back_to_source", lambda s, d: I.back_to_source(_core(s, d, "run"), P.file_index(_parsed(s, d, "run"))).groupBy("relative_file_path", "xml_kind", "parse_status").agg(_n()), f"SELECT dir || '/' || dir || '.run.xml' AS relative_file_path, 'run' AS xml_kind, 'ok' AS parse_status, count(*) AS n FROM {_recs('run')} GROUP BY 1")
 
     # --- nodes and inventory
 
-    nodes = lambda s, d: P.xml_nodes(_parsed(s, d, "study", nodes=True))
-    paths = [("/STUDY_SET", None, None, False, None), ("/STUDY_SET/STUDY", None, None, False, None), ("/STUDY_SET/STUDY/@accession", None, None, True, "'SRP' || n_nationkey"), ("IDENTIFIERS", "STUDY", "/IDENTIFIERS", False, None), ("IDENTIFIERS/EXTERNAL_ID", "STUDY", "/IDENTIFIERS/EXTERNAL_ID", False, "'PRJNA' || n_nationkey"), ("IDENTIFIERS/EXTERNAL_ID/@namespace", "STUDY", "/IDENTIFIERS/EXTERNAL_ID/@namespace", True, "'BioProject'"), ("DESCRIPTOR", "STUDY", "/DESCRIPTOR", False, None), ("DESCRIPTOR/STUDY_TITLE", "STUDY", "/DESCRIPTOR/STUDY_TITLE", False, "n_name"), ("DESCRIPTOR/STUDY_TYPE", "STUDY", "/DESCRIPTOR/STUDY_TYPE", False, "''"), ("DESCRIPTOR/STUDY_TYPE/@existing_study_type", "STUDY", "/DESCRIPTOR/STUDY_TYPE/@existing_study_type", True, "'Other'")]
-    full = lambda p: p if p.startswith("/") else f"/STUDY_SET/STUDY/{p}"
-    inv = " UNION ALL ".join(f"SELECT {repr(t) if t else 'NULL::VARCHAR'} AS entity_type, '{full(p)}' AS path_abs, {repr(rel) if rel else 'NULL::VARCHAR'} AS path_entity_relative, {str(a).lower()} AS is_attribute, count(*) AS node_occurrence_count, {'0::BIGINT' if v == chr(39) * 2 else 'count(*)'} AS non_empty_occurrence_count, {'count(*)' if t else '0::BIGINT'} AS entity_coverage_count, count(*) AS file_coverage_count FROM nation" for p, t, rel, a, v in paths)
+    nodes = lambda s, d: s.read.parquet(_stored(s, d, "nodes", lambda path: _written(P.xml_nodes(_parsed(s, d, *ALL, nodes=True)), path)))
+    # (kind, path below the set's element, in the entity or not, nodes a record, value or null where it is longer text, condition)
+    text, no = "NULL", "''"
+    paths = [
+        ("sample", "", False, 1, text), ("sample", "@accession", False, 1, "accession"), ("sample", "@alias", False, 1, "alias"), ("sample", "IDENTIFIERS", True, 1, text), ("sample", "IDENTIFIERS/PRIMARY_ID", True, 1, "accession"),
+        ("sample", "IDENTIFIERS/EXTERNAL_ID", True, 1, "bio_sample_id"), ("sample", "IDENTIFIERS/EXTERNAL_ID/@namespace", True, 1, "'BioSample'"), ("sample", "SAMPLE_NAME", True, 1, text), ("sample", "SAMPLE_NAME/TAXON_ID", True, 1, "taxon_id"),
+        ("sample", "SAMPLE_NAME/SCIENTIFIC_NAME", True, 1, "scientific_name"), ("sample", "SAMPLE_ATTRIBUTES", True, 1, text), ("sample", "SAMPLE_ATTRIBUTES/SAMPLE_ATTRIBUTE", True, 2, text), ("sample", "SAMPLE_ATTRIBUTES/SAMPLE_ATTRIBUTE/TAG", True, 2, "'segment'"), ("sample", "SAMPLE_ATTRIBUTES/SAMPLE_ATTRIBUTE/VALUE", True, 1, "segment"),
+        ("study", "", False, 1, text), ("study", "@accession", False, 1, "accession"), ("study", "IDENTIFIERS", True, 1, text), ("study", "IDENTIFIERS/EXTERNAL_ID", True, 1, "bioproject_id"), ("study", "IDENTIFIERS/EXTERNAL_ID/@namespace", True, 1, "'BioProject'"),
+        ("study", "DESCRIPTOR", True, 1, text), ("study", "DESCRIPTOR/STUDY_TITLE", True, 1, "study_title"), ("study", "DESCRIPTOR/STUDY_TYPE", True, 1, no), ("study", "DESCRIPTOR/STUDY_TYPE/@existing_study_type", True, 1, "'Other'"),
+        ("run", "", False, 1, no), ("run", "@accession", False, 1, "accession"), ("run", "@alias", False, 1, "alias"), ("run", "EXPERIMENT_REF", True, 1, no), ("run", "EXPERIMENT_REF/@accession", True, 1, "experiment_accession"),
+        ("experiment", "", False, 1, text), ("experiment", "@accession", False, 1, "accession"), ("experiment", "STUDY_REF", True, 1, no), ("experiment", "STUDY_REF/@accession", True, 1, "study_accession"), ("experiment", "DESIGN", True, 1, text),
+        ("experiment", "DESIGN/SAMPLE_DESCRIPTOR", True, 1, no), ("experiment", "DESIGN/SAMPLE_DESCRIPTOR/@accession", True, 1, "sample_accession"), ("experiment", "DESIGN/LIBRARY_DESCRIPTOR", True, 1, text), ("experiment", "DESIGN/LIBRARY_DESCRIPTOR/LIBRARY_STRATEGY", True, 1, "library_strategy"),
+        ("experiment", "DESIGN/LIBRARY_DESCRIPTOR/LIBRARY_LAYOUT", True, 1, no), ("experiment", "DESIGN/LIBRARY_DESCRIPTOR/LIBRARY_LAYOUT/PAIRED", True, 1, no), ("experiment", "PLATFORM", True, 1, text),
+        *(("experiment", f"PLATFORM/{p}{end}", True, 1, value, f"platform = '{p}'") for p in ("ILLUMINA", "PACBIO_SMRT", "OXFORD_NANOPORE") for end, value in (("", text), ("/INSTRUMENT_MODEL", "instrument_model"))),
+    ]
+
+    def path_sql(kind, path, inside, times, value, where="true") -> dict[str, str]:
+        upper = kind.upper()
+        return {"kind": kind, "where": f"xml_kind = '{kind}' AND {where}", "entity_type": f"'{upper}'" if inside else "NULL::VARCHAR", "path": f"/{upper}_SET/{upper}{'/' if path else ''}{path}", "relative": f"'/{path}'" if inside else "NULL::VARCHAR", "is_attribute": str("@" in path).lower(), "times": str(times), "value": value, "inside": str(inside)}
+
+    every = [path_sql(*p) for p in paths]
+    one = lambda p: f"SELECT {p['entity_type']} AS entity_type, '{p['path']}' AS path_abs, {p['relative']} AS path_entity_relative, {p['is_attribute']} AS is_attribute, {p['times']} * count(*) AS node_occurrence_count, {'0::BIGINT' if p['value'] == no else p['times'] + ' * count(*)'} AS non_empty_occurrence_count, {'count(DISTINCT accession)' if p['inside'] == 'True' else '0::BIGINT'} AS entity_coverage_count, count(DISTINCT file_id) AS file_coverage_count FROM r WHERE {p['where']} HAVING count(*) > 0"
+    sets = f"SELECT NULL::VARCHAR, '/' || upper(xml_kind) || '_SET', NULL::VARCHAR, false, count(DISTINCT file_id), CASE WHEN xml_kind = 'run' THEN 0 ELSE count(DISTINCT file_id) END, 0::BIGINT, count(DISTINCT file_id) FROM r GROUP BY xml_kind"
+    inv = f"WITH r AS {_recs(*ALL)} {' UNION ALL '.join(map(one, every))} UNION ALL {sets}"
     inventory = lambda s, d: I.path_inventory(nodes(s, d))
     add("a26_path_inventory", lambda s, d: inventory(s, d).select("entity_type", "path_abs", "path_entity_relative", "is_attribute", "node_occurrence_count", "non_empty_occurrence_count", "entity_coverage_count", "file_coverage_count"), inv)
     add("x14_rel_path", lambda s, d: inventory(s, d).select("path_abs", "path_entity_relative"), f"SELECT path_abs, path_entity_relative FROM ({inv})")
-    add("p12_xml_nodes", lambda s, d: nodes(s, d).where("value <> ''").groupBy("path", "is_attribute").agg(_n(), F.max("value").alias("largest")).where("path like '%STUDY_TITLE' or is_attribute"), " UNION ALL ".join(f"SELECT '{full(p)}' AS path, {str(a).lower()} AS is_attribute, count(*) AS n, max({v}) AS largest FROM nation" for p, t, rel, a, v in paths if a or p.endswith("TITLE")))
-    add("f11_inventory_browse", lambda s, d: I.inventory_browse(inventory(s, d), "STUDY"), f"SELECT 'study' AS xml_kind, entity_type, path_abs, is_attribute, node_occurrence_count, non_empty_occurrence_count FROM ({inv}) WHERE entity_type = 'STUDY' ORDER BY node_occurrence_count DESC, path_abs LIMIT 100")
-    fields = lambda s, d: P.selected_fields(nodes(s, d), ["STUDY_TITLE", "EXTERNAL_ID"])
-    field_sql = "SELECT 'SRP' || n_nationkey AS entity_accession, 'STUDY' AS entity_type, 'STUDY_TITLE' AS field_name, '/STUDY_SET/STUDY/DESCRIPTOR/STUDY_TITLE' AS field_path, n_name AS value FROM nation UNION ALL SELECT 'SRP' || n_nationkey, 'STUDY', 'EXTERNAL_ID', '/STUDY_SET/STUDY/IDENTIFIERS/EXTERNAL_ID', 'PRJNA' || n_nationkey FROM nation"
+    valued = [p for p in every if p["value"] not in (text, no)]
+    add("p12_xml_nodes", lambda s, d: nodes(s, d).where("value <> ''").groupBy("path", "is_attribute").agg(_n(), F.max("value").alias("largest")).where(F.col("path").isin([p["path"] for p in valued])), f"WITH r AS {_recs(*ALL)} " + " UNION ALL ".join(f"SELECT '{p['path']}' AS path, {p['is_attribute']} AS is_attribute, {p['times']} * count(*) AS n, max({p['value']}) AS largest FROM r WHERE {p['where']} HAVING count(*) > 0" for p in valued))
+    add("f11_inventory_browse", lambda s, d: I.inventory_browse(inventory(s, d), "EXPERIMENT"), f"SELECT 'experiment' AS xml_kind, entity_type, path_abs, is_attribute, node_occurrence_count, non_empty_occurrence_count FROM ({inv}) WHERE entity_type = 'EXPERIMENT' ORDER BY node_occurrence_count DESC, path_abs LIMIT 100")
+    names = ("STUDY_TITLE", "EXTERNAL_ID", "TAXON_ID", "LIBRARY_STRATEGY", "INSTRUMENT_MODEL")
+    fields = lambda s, d: P.selected_fields(nodes(s, d), list(names))
+    field_sql = f"WITH r AS {_recs(*ALL)} " + " UNION ALL ".join(f"SELECT accession AS entity_accession, entity_type, '{p['path'].rpartition('/')[2]}' AS field_name, '{p['path']}' AS field_path, {p['value']} AS value FROM r WHERE {p['where']}" for p in valued if p["path"].rpartition("/")[2] in names)
     add("p14_selected_fields", fields, field_sql)
-    add("f12_selected_field_search", lambda s, d: I.field_search(fields(s, d), "STUDY_TITLE", "an"), f"SELECT * FROM ({field_sql}) WHERE field_name = 'STUDY_TITLE' AND lower(value) LIKE '%an%' ORDER BY 1 LIMIT 100")
+    add("f12_selected_field_search", lambda s, d: I.field_search(fields(s, d), "LIBRARY_STRATEGY", "urg"), f"SELECT * FROM ({field_sql}) WHERE field_name = 'LIBRARY_STRATEGY' AND lower(value) LIKE '%urg%' ORDER BY entity_accession, field_path, value LIMIT 100")
 
     # --- contract and checks
 
     def written(s, d):
         root = scratch(s, "index")
-        r = _once(s, _records(s, d, *ALL))
+        r = _records(s, d, *ALL)
         R.write_contract(r, f"{root}/entity_record_index.parquet", "entity_record_index")
         R.write_contract(I.entity_index(r), f"{root}/entity_index/data.parquet", "entity_index")
         return root
