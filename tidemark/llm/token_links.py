@@ -54,46 +54,39 @@ class Aligner:
         same = {self.bytes_b[i]: i for i in ids}  # whole pieces before single bytes, then the least id
         self.same = np.array([same.get(t, -1) if t else -1 for t in self.bytes_a], np.int64)
         # Strings of an id and what follows it: inside a group, at the end of its A half (A) or of the group (B).
-        self.text_a = [f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"]
-        self.text_b = [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
+        self.text = np.array([f"{i}{end}" for ids, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for i in range(len(ids)) for end in ends], object)
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both, or none."""
-        none = np.zeros(0, np.int64)
-        if not text:
-            return none, none
-        want = (" " + text).encode(errors="replace")
-        b = self.b.encode(text, num_threads=1)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != want:
-            return none, none
-        a = self.a.encode_ordinary(" " + text)
-        return (np.array(a, np.int64), np.array(b, np.int64)) if b"".join(map(self.bytes_a.__getitem__, a)) == want else (none, none)
-
-    def digest(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray) -> str:
-        """The hash of a document's groups as text; ``end_*`` tells the last tokens of groups."""
-        if not len(a):
-            return ""
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        keys = np.concatenate([2 * a + end_a, 2 * (b + len(self.bytes_a)) + end_b])[order]
-        h, table_a, table_b, start = hashlib.sha256(), self.text_a, self.text_b, 2 * len(self.bytes_a)
-        for k in range(0, len(keys), 1 << 16):
-            last = k + (1 << 16) >= len(keys)
-            part = "".join([table_a[x] if x < start else table_b[x - start] for x in keys[k : k + (1 << 16)].tolist()])
-            h.update((part[:-1] if last else part).encode())
-        return h.hexdigest()
+        """Ids of both, or none. A's tokens always join to the text; B's model may have changed characters."""
+        if text:
+            b = self.b.EncodeAsIds(text)
+            if b"".join(map(self.bytes_b.__getitem__, b)) == (" " + text).encode():
+                return self.a.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), np.array(b, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def digests(self, keys: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The hash of each document's groups as text, from its tokens' places in ``text``."""
+        out, to = [], 0
+        for n in sizes.tolist():
+            own = "".join(self.text[keys[to : to + n]].tolist())
+            out.append(hashlib.sha256(own[:-1].encode()).hexdigest() if n else "")
+            to += n
+        return out
 
     def block(self, texts: list[str]) -> tuple[dict, np.ndarray]:
         """Columns of a block's row, and the one-to-one links by A's id."""
         both = [self.tokens(t) for t in texts]
         n_a, n_b = (np.array([len(t[k]) for t in both]) for k in (0, 1))
         a, b = (np.concatenate([t[k] for t in both]) for k in (0, 1))
-        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
-        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
-        # Overlaps are the stretches between neighbouring ends of either.
-        ends = np.union1d(ends_a, ends_b)
+        # Overlaps are the stretches between neighbouring ends of either; a stable sort merges the two ascending rows.
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.diff(ends, prepend=0) > 0]
         i, j = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        both_end = (ends_a[i] == ends) & (ends_b[j] == ends)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[i[both_end]] = last_b[j[both_end]] = True
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         la, lb = a[i], b[j]
         single = (np.bincount(group_a) == 1) & (np.bincount(group_b) == 1) if len(a) else np.zeros(0, bool)
         identity = single[group_a[i]] & (self.same[la] == lb)
@@ -101,13 +94,14 @@ class Aligner:
         pairs, at, n = np.unique((la << 32 | lb)[~identity], return_inverse=True, return_counts=True)
         ref = -1 - la  # of one-to-one links A's id, of the others the place among the block's pairs
         ref[~identity] = at
-        of = np.repeat(np.arange(len(texts)), n_a)[i]
+        text_of = np.repeat(np.arange(len(texts)), n_a)
+        of = text_of[i]
         known, times = np.unique((of << 32) + (ref + (1 << 31)), return_counts=True)
         per = np.bincount(known >> 32, minlength=len(texts))
-        cut = lambda x, to, size: [x[e - s : e] for e, s in zip(to, size, strict=True)]
-        digests = [self.digest(*p) for p in zip(*(cut(x, to_a if side == "a" else to_b, n_a if side == "a" else n_b) for x, side in ((a, "a"), (b, "b"), (last_a, "a"), (last_b, "b"), (group_a, "a"), (group_b, "b"))), strict=True)]
-        groups = np.bincount(np.repeat(np.arange(len(texts)), n_a)[last_a], minlength=len(texts))
-        return {"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": np.bincount(of, minlength=len(texts)), "digest": digests, "refs_of": per, "refs": (known & _LOW) - (1 << 31), "times": times, "pairs": pairs, "n": n}, vector
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        keys = np.concatenate([2 * a + last_a, 2 * (b + len(self.bytes_a)) + last_b])[order]
+        groups = np.bincount(text_of[last_a], minlength=len(texts))
+        return {"n_a": n_a, "n_b": n_b, "n_groups": groups, "n_links": np.bincount(of, minlength=len(texts)), "digest": self.digests(keys, n_a + n_b), "refs_of": per, "refs": (known & _LOW) - (1 << 31), "times": times, "pairs": pairs, "n": n}, vector
 
 
 @lru_cache(2)
