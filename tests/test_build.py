@@ -1,5 +1,6 @@
 import os
 import shutil
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tidemark.operators import build as U
 from tidemark.operators import chunks as K
 from tidemark.operators import index as I
 from tidemark.operators import validate as V
+from tidemark.operators import validation as W
 from tidemark.sources import commit as M
 from tidemark.sources import tables as R
 from tidemark.sources import trees as T
@@ -145,3 +147,35 @@ def test_second_reading_finds_extraction_errors(files):
     wrong = lambda k, v: F.when(k == "taxon_id", "8").when(k == "experiment_accession", "X9").otherwise(v)
     fields, edges, _ = checks(wrong)
     assert fields == {"bio_sample_id": 1, "taxon_id": 0, "scientific_name": 1} and edges == (4, 3, 3)
+
+
+MORE = {
+    "A4/A4.submission.xml": '<SUBMISSION_SET><SUBMISSION accession="U1" alias="u" center_name="c" lab_name="l"/></SUBMISSION_SET>',
+    "A4/A4.analysis.xml": '<ANALYSIS_SET><ANALYSIS accession="Z1" alias="z" center_name="c"><TITLE>t</TITLE></ANALYSIS></ANALYSIS_SET>',
+    "A5/A5.study.xml": '<STUDY_SET><STUDY><IDENTIFIERS><PRIMARY_ID>P2</PRIMARY_ID></IDENTIFIERS><STUDY_LINKS><STUDY_LINK><XREF_LINK><DB>bioproject</DB><ID>7</ID><LABEL>J2</LABEL></XREF_LINK></STUDY_LINK></STUDY_LINKS><DESCRIPTOR><STUDY_TYPE>Own</STUDY_TYPE></DESCRIPTOR></STUDY></STUDY_SET>',
+    "A5/A5.experiment.xml": '<EXPERIMENT_SET><EXPERIMENT accession="X2"><DESIGN><LIBRARY_DESCRIPTOR><LIBRARY_SOURCE>s</LIBRARY_SOURCE><LIBRARY_SELECTION>e</LIBRARY_SELECTION></LIBRARY_DESCRIPTOR></DESIGN><PLATFORM><PACBIO_SMRT instrument_model="own"><INSTRUMENT_MODEL>other</INSTRUMENT_MODEL></PACBIO_SMRT></PLATFORM></EXPERIMENT></EXPERIMENT_SET>',
+}
+
+
+def test_validation_of_all_kinds_and_fields(spark, tmp_path):
+    rows = [(f"/root/{p}", x.encode(), len(x)) for p, x in (FILES | MORE).items()]
+    files = spark.createDataFrame(rows, "path string, content binary, length long").withColumn("modificationTime", F.lit("2026-01-01").cast("timestamp"))
+    parsed = P.parsed(files, SNAPSHOT)
+
+    def found(wrong=lambda k, v: v, n=100):
+        r = P.entity_records(parsed).withColumn("fields", F.transform_values("fields", wrong))
+        tables = {f"{k.lower()}_core": P.core(r, k) for k in B.KINDS} | {"relation_index": I.relations(r), "sample_attribute_core": P.sample_attributes(r)}
+        return W.compared(files, P.file_index(parsed), tables, SNAPSHOT, str(tmp_path / uuid.uuid4().hex), n)
+
+    whole = found().collect()
+    assert [x for x in whole if x["checks"] != x["matches"]] == []
+    assert {(x["table"], x["column"]) for x in whole} == {(f"{k.lower()}_core", c) for k, (key, cs) in P._CORE.items() for c in (key, *cs)} | {("relation_index", None), ("sample_attribute_core", None)}
+    assert {x["metric"]: x["status"] for x in W.judged(found()).collect()} == {"core": "pass", "ids": "pass", "edges": "pass", "attributes": "report_only"}
+    for field, metric in (("instrument_model", "core"), ("taxon_id", "ids"), ("lab_name", "core"), ("library_selection", "core")):
+        worse = {x["metric"]: x["status"] for x in W.judged(found(_changed(field))).collect()}
+        assert worse[metric] == "fail", field
+    assert sum(x["checks"] for x in found(n=1).collect()) < sum(x["checks"] for x in whole)
+
+
+def _changed(field):
+    return lambda k, v: F.when(k == field, "wrong").otherwise(v)

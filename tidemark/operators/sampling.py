@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import stable_id
-
-
-STRATA, PARTS = 10_000, 64
+from tidemark.operators.apportion import quotas
 
 
 def hash_order(key: str, seed: int | str) -> Column:
@@ -46,42 +44,22 @@ def largest(files: DataFrame, unit: str, size: str, n: int, seed: int | str) ->
     return pool.orderBy(F.desc("bytes"), F.desc(unit)).limit(n)
 
 
-def quotas(counts: dict[str, int], n: int) -> dict[str, int]:
-    """How many of each stratum: its share rounded half to even, 1 at least, then changed until they make ``n``.
-
-    Too many: the largest quota gives one up. Too few: the stratum with most members left gets one. Ties by name.
-    """
-    total = sum(counts.values())
-    out = {k: min(c, max(1, round(n * c / total))) for k, c in sorted(counts.items())}
-    while (over := sum(out.values()) - n) != 0:
-        if over > 0:
-            k = max(out, key=lambda k: (out[k], k))
-            out[k] -= 1
-        else:
-            k = max(out, key=lambda k: (counts[k] - out[k], k))
-            if counts[k] == out[k]:
-                break
-            out[k] += 1
-    return out
-
-
 def stratified(df: DataFrame, key: str, stratum: Column, n: int, seed: int | str) -> DataFrame:
-    """``n`` rows in proportion to the strata, at most ``STRATA`` of them, whose counts come to the driver; more are an error.
+    """``n`` rows in proportion to the strata, of which there may be any number (``apportion.quotas``).
 
-    Each of ``PARTS`` parts of a stratum, dealt by the rows' hashes, gives its first rows; only these meet in the
-    stratum's own window, so no task sorts a stratum whole.
+    A stratum's rows lie in 256 ranges of their hashes, whose sizes tell which ranges its quota reaches into; only rows of
+    these are exchanged and ordered, each range by itself, so no task orders a whole stratum.
     """
-    d = df.withColumn("stratum", stratum)
-    counted = d.groupBy("stratum").count().limit(STRATA + 1).collect()
-    if len(counted) > STRATA:
-        raise ValueError(f"more than {STRATA} strata")
-    q = quotas({r["stratum"]: r["count"] for r in counted}, n)
-    allowed = F.coalesce(F.create_map(*[x for k, v in q.items() for x in (F.lit(k), F.lit(v))])[F.col("stratum")], F.lit(0)) if q else F.lit(0)
-    most = max(q.values(), default=0)  # a literal, so that Spark limits each stratum before the shuffle
-    part = Window.partitionBy("stratum", "part").orderBy(hash_order(key, seed), key)
-    d = d.withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS))).withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= most).drop("rn", "part")
-    w = Window.partitionBy("stratum").orderBy(hash_order(key, seed), key)
-    return d.withColumn("rn", F.row_number().over(w)).where((F.col("rn") <= most) & (F.col("rn") <= allowed)).drop("rn", "stratum")
+    d = df.withColumn("stratum", stratum).withColumn("order", hash_order(key, seed))
+    q = quotas(d.groupBy("stratum").agg(F.count(F.lit(1)).alias("count")), n)
+    d = d.withColumn("part", F.substring("order", 1, 2))  # the first of 256 ranges of the hash's order
+    sizes = d.groupBy("stratum", "part").agg(F.count(F.lit(1)).alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("stratum").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = sizes.join(q, sizes["stratum"].eqNullSafe(q["stratum"])).select(sizes["stratum"].alias("s"), "part", "quota", "size").withColumn("stratum", F.col("s"))
+    ranges = ranges.withColumn("left", F.col("quota") - before).where("left > 0").select("s", F.col("part").alias("p"), "left")
+    own = d.join(ranges, d["stratum"].eqNullSafe(ranges["s"]) & (d["part"] == ranges["p"])).drop("s", "p")
+    rn = F.row_number().over(Window.partitionBy("stratum", "part").orderBy("order", key))
+    return own.withColumn("rn", rn).where((F.col("rn") <= n) & (F.col("rn") <= F.col("left"))).drop("rn", "stratum", "part", "order", "left")
 
 
 def mixed(files: DataFrame, unit: str, size: str, n: int, seed: int | str) -> DataFrame:

@@ -65,12 +65,6 @@ def field_check(expected: DataFrame, actual: DataFrame, keys: list[str], columns
     return long.groupBy("column").agg(F.count(F.lit(1)).alias("checks"), n("match").alias("matches"), n("missing_row").alias("missing_rows"), n("extra_row").alias("extra_rows"), n("mismatch").alias("mismatches"))
 
 
-def accuracy(checks: DataFrame, group: str) -> DataFrame:
-    """``checks`` (group, ok) as checks, matches, mismatches and accuracy by group."""
-    g = checks.groupBy(group).agg(F.count(F.lit(1)).alias("checks"), F.count_if("ok").alias("matches"))
-    return g.withColumns({"mismatches": F.col("checks") - F.col("matches"), "accuracy": safe_ratio("matches", "checks")})
-
-
 def edge_check(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return multiset_compare(expected, actual, "file_id", ["src_accession", "src_type", "relation_type", "dst_accession", "dst_type"])
 

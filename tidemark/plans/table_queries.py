@@ -14,7 +14,7 @@ from tidemark.operators import compare as K
 from tidemark.operators import linkage as L
 from tidemark.operators import sampling as S
 from tidemark.operators import validate as V
-from tidemark.plans.adapters import ASM_SQL, accessions, assemblies, in_duckdb, table, with_acc
+from tidemark.plans.adapters import ASM_SQL, accessions, assemblies, in_duckdb, in_spark, table, with_acc
 from tidemark.sources import tables as R
 from tidemark.sources import trees as T
 
@@ -71,7 +71,21 @@ def register(add) -> None:
         return _by_type(R.read_tsv(spark, _tsv(spark, sf)))
 
     add("s1_tsv_scan", s1, with_acc(_BY_TYPE.format(w="")))
-    add("s2_tsv_shape_check", lambda spark, sf: R.tsv_shape(spark, _tsv(spark, sf)).groupBy("fields", "ok").agg((F.sum("n") > 0).alias("seen")), "SELECT 20 AS fields, true AS ok, true AS seen")
+    names = C.ACCESSION_COLUMNS
+    row = "concat('DRA', s_suppkey" + "".join(f", chr(9), '{'live' if c == 'Status' else '-'}'" for c in names[1:])
+    cut = f"concat('DRA', s_suppkey, chr(9), 'live')"  # noqa: F541
+    lines = f"SELECT s_nationkey AS f, s_suppkey AS k, 0 AS o, CASE s_suppkey % 4 WHEN 0 THEN {cut} WHEN 1 THEN {row}, chr(9), 'more') WHEN 2 THEN {row}, chr(13)) ELSE {row}) END AS text FROM {{supplier}} UNION ALL SELECT s_nationkey, s_suppkey, 1, '' FROM {{supplier}} WHERE s_suppkey % 3 = 0 UNION ALL SELECT n_nationkey, -1, 0, CASE WHEN n_nationkey % 5 = 0 THEN concat('No', '{chr(9)}', 'header') ELSE '{chr(9).join(names)}' END FROM {{nation}}"
+
+    def faults(spark, sf):
+        """Files of suppliers' rows, one for each nation, with planted faults."""
+        rows = in_spark(spark, sf, lines)
+        text = F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "o", "text"))), lambda x: x["text"]), "\n"), F.lit("\n"))
+        files = rows.groupBy("f").agg(text.alias("text")).select(F.concat(F.lit("t/"), F.col("f").cast("string"), F.lit(".tsv")).alias("name"), F.encode("text", "UTF-8").alias("content"))
+        T.write_files(files, root := scratch(spark, "tsv"))
+        return R.tsv_faults(spark, f"{root}/t").select(F.element_at(F.split("file", "/"), -1).alias("file"), "line", "offset", "fields", "fault")
+
+    placed = f"SELECT f, text, row_number() OVER w AS line, (coalesce(sum(strlen(text) + 1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS o, (len(text) - len(replace(text, chr(9), '')) + 1)::BIGINT AS fields FROM ({in_duckdb(lines)}) WINDOW w AS (PARTITION BY f ORDER BY k, o)"
+    add("s2_tsv_shape_check", faults, f"SELECT f || '.tsv' AS file, line, o AS \"offset\", fields, fault FROM (SELECT *, CASE WHEN line = 1 THEN CASE WHEN text LIKE 'No%' THEN 'header' END WHEN text = '' THEN 'blank' WHEN ends_with(text, chr(13)) THEN 'carriage_return' WHEN fields < 20 THEN 'short' WHEN fields > 20 THEN 'long' END AS fault FROM ({placed})) WHERE fault IS NOT NULL")
 
     def by_type(spark, sf):
         path = scratch(spark, "acc")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +35,43 @@ def tsv_shape(spark: SparkSession, path: str, columns: int = len(C.ACCESSION_COL
     return lines.groupBy(F.size(F.split("v", "\t")).alias("fields")).agg(F.count(F.lit(1)).alias("n")).withColumn("ok", F.col("fields") == columns)
 
 
+def tsv_faults(spark: SparkSession, path: str, columns: tuple[str, ...] = C.ACCESSION_COLUMNS) -> DataFrame:
+    """The malformed lines below ``path``: file, line (from 1), offset (bytes), fields, fault, record.
+
+    A fault is ``header`` (a file's first line isn't the columns' names), ``blank``, ``carriage_return`` (at the line's
+    end), ``short`` or ``long`` (fields). Lines are read in parts of files, as Spark cuts them; a task counts lines and
+    bytes of its parts and keeps only faulty lines, and the sums of the parts before give their place in the file.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    tab, head = len(columns) - 1, "\t".join(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, line, offset = None, 0, 0
+        for b in batches:
+            files, blocks = b.column(1).to_pylist(), b.column(2).to_pylist()
+            cuts = [k for k in range(1, len(files)) if (files[k], blocks[k]) != (files[k - 1], blocks[k - 1])]
+            for lo, hi in zip([0, *cuts], [*cuts, len(files)], strict=True):
+                if (files[lo], blocks[lo]) != at:
+                    at, line, offset = (files[lo], blocks[lo]), 0, 0
+                v = b.column(0).slice(lo, hi - lo)
+                tabs, cr, size = pc.count_substring(v, "\t").to_numpy(), pc.ends_with(v, "\r").to_numpy(zero_copy_only=False), pc.binary_length(v).to_numpy().astype(np.int64)
+                blank = size - cr == 0
+                first = np.zeros(hi - lo, bool)
+                first[0] = blocks[lo] == 0 and line == 0
+                wrong = np.array([first[0] and v[0].as_py().removesuffix("\r") != head] + [False] * (hi - lo - 1))
+                starts = offset + np.cumsum(size + 1) - size - 1
+                kind = np.select([wrong, blank, cr, ~first & (tabs < tab), ~first & (tabs > tab)], ["header", "blank", "carriage_return", "short", "long"], "")
+                if len(bad := np.flatnonzero(kind != "")):
+                    yield pa.RecordBatch.from_arrays([pa.array([at[0]] * len(bad)), pa.array([at[1]] * len(bad), pa.int64()), pa.array(bad + line), pa.array(starts[bad]), pa.array(tabs[bad] + 1).cast(pa.int64()), pa.array(kind[bad].tolist()), v.take(pa.array(bad))], names=["file", "block", "line", "offset", "fields", "fault", "record"])
+                line, offset = line + hi - lo, int(starts[-1] + size[-1] + 1)
+
+    found = raw.mapInArrow(run, "file string, block long, line long, offset long, fields long, fault string, record string")
+    parts = raw.groupBy("file", "block").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    before = lambda c: F.coalesce(F.sum(c).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = found.join(parts.select("file", "block", before("lines").alias("l"), before("bytes").alias("o")), ["file", "block"])
+    return placed.select("file", (F.col("line") + F.col("l") + 1).alias("line"), (F.col("offset") + F.col("o")).alias("offset"), "fields", "fault", "record")
+
+
 def read_partition(spark: SparkSession, root: str, kind: str | None = None) -> DataFrame:
     """A table written by ``write_by_type``, or one type of it by partition pruning."""
     d = spark.read.parquet(root)
