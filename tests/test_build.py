@@ -16,6 +16,7 @@ from tidemark.sources import commit as M
 from tidemark.sources import tables as R
 from tidemark.sources import trees as T
 from tidemark.sources import xml_files as P
+from tidemark.streaming import ingest as I1
 
 SNAPSHOT = "2026-01-01"
 FILES = {
@@ -133,6 +134,32 @@ def test_a_build_without_files(files, tmp_path):
     assert {t for t, n in got.items() if n} == {"build_manifest"}
 
 
+def test_lots_equal_one_build(spark, tmp_path):
+    """Files that come in lots, the target of an edge after the edge, give the tables of one build, whether by stream or by listing."""
+    tree, out = str(tmp_path / "tree"), str(tmp_path / "out")
+    lots = [["A1/A1.run.xml", "A3/A3.study.xml"], ["A2/A2.study.xml", "A1/A1.experiment.xml"], [], ["A2/A2.sample.xml", "A4/A4.run.xml"]]
+    texts = FILES | {"A4/A4.run.xml": FILES["A1/A1.run.xml"].replace('alias="a"', 'alias="b"')}
+    states = []
+    for lot in lots:
+        if lot:
+            T.write_files(spark.createDataFrame([(p, texts[p].encode()) for p in lot], "name string, content binary"), tree)
+        I1.ingest_listed(spark, tree, out, SNAPSHOT, buckets=4)
+        I1.ingest(spark, tree, f"{out}-stream", str(tmp_path / "log"), SNAPSHOT, buckets=4)
+        states.append({(r["src_accession"], r["relation_type"]): r["closure_status"] for r in I1.relation_index(spark, out).collect()})
+    assert states[0] == {("R1", "RUN_TO_EXPERIMENT"): "missing_dst_entity", ("R2", "RUN_TO_EXPERIMENT"): "missing_dst_entity"}
+    assert states[1][("R1", "RUN_TO_EXPERIMENT")] == "closed" and states[1][("X1", "EXPERIMENT_TO_SAMPLE")] == "missing_dst_entity" and states[3][("X1", "EXPERIMENT_TO_SAMPLE")] == "closed"
+    U.build(T.listed(spark, tree), str(tmp_path / "whole"), str(tmp_path / "work"), SNAPSHOT)
+    whole = {t: R.open_table(spark, str(tmp_path / "whole"), t) for t in C.TABLES}
+    for root in (out, f"{out}-stream"):
+        got = {"entity_index": I1.entity_index(spark, root), "relation_index": I1.relation_index(spark, root), "xml_path_inventory": I1.inventory(spark, root)}
+        got |= {t: spark.read.parquet(f"{root}/{t}") for t in ("run_core", "experiment_core", "sample_core", "study_core", "sample_attribute_core", "external_accession_index", "entity_record_index", "file_index")}
+        for name, d in got.items():
+            want = whole[name].where("file_size > 0") if name == "file_index" and root != out else whole[name]
+            columns = [c for c in want.columns if c not in ("mtime", "absolute_file_path")]
+            assert sorted(map(str, d.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect())), (root, name)
+    assert {r["batch"] for r in spark.read.parquet(f"{out}/file_index").select("batch").distinct().collect()} == {0, 1, 2}
+
+
 def test_second_reading_finds_extraction_errors(files):
     def checks(wrong=lambda k, v: v):
         r = P.entity_records(P.parsed(files, SNAPSHOT)).withColumn("fields", F.transform_values("fields", wrong))

@@ -43,17 +43,26 @@ def canonical_records(records: DataFrame) -> DataFrame:
     return with_accession(records).withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
 
+def entity_parts(records: DataFrame) -> DataFrame:
+    """Counts by entity and file, and the file's best record: parts of different files add up to the entity index."""
+    d = with_accession(records)
+    primary = (F.col("occurrence_role") == "primary") & (F.col("parse_status") == "ok")
+    best = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order())], "entity_record_id", "directory_id")).alias("best")
+    return d.groupBy(*ENTITY, "file_id", "directory_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(primary).alias("n_primary"), best)
+
+
 def entity_index(records: DataFrame) -> DataFrame:
     """One row for each entity; the canonical record is a minimum, so no record is sorted.
 
     Records are first counted by entity and file, so that a file is one row, and an entity of very many records is
     spread over its files; directories are then the only distinct count, which needs no expanded rows.
     """
-    d = with_accession(records)
-    primary = (F.col("occurrence_role") == "primary") & (F.col("parse_status") == "ok")
-    best = F.min(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_order())], "entity_record_id", "directory_id")).alias("best")
-    by_file = d.groupBy(*ENTITY, "file_id", "directory_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(primary).alias("n_primary"), best)
-    g = by_file.groupBy(*ENTITY).agg(F.sum("n").alias("record_count"), F.sum("n_primary").alias("primary_record_count"), F.count("file_id").alias("file_count"), F.count_distinct("directory_id").alias("directory_count"), F.min("best").alias("best"))
+    return merged_entities(entity_parts(records))
+
+
+def merged_entities(parts: DataFrame) -> DataFrame:
+    """The entity index from ``entity_parts``."""
+    g = parts.groupBy(*ENTITY).agg(F.sum("n").alias("record_count"), F.sum("n_primary").alias("primary_record_count"), F.count("file_id").alias("file_count"), F.count_distinct("directory_id").alias("directory_count"), F.min("best").alias("best"))
     has = F.col("primary_record_count") > 0
     return g.select(
         *ENTITY,

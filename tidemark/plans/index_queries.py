@@ -24,6 +24,8 @@ from tidemark.sources import commit as M
 from tidemark.sources import lookup as Y
 from tidemark.sources import tables as R
 from tidemark.sources import xml_files as P
+from tidemark.sources import trees as T
+from tidemark.streaming import ingest as E
 from tidemark.streaming.ingest import ingest
 
 SNAPSHOT = "2026-05-16"
@@ -350,19 +352,19 @@ def register(add) -> None:
     add("j10_run_enrichment", lambda s, d: L.enriched_runs(A.runs_nonzero_typed(accessions(s, d)), _core(s, d, "experiment"), _core(s, d, "sample"), attributes(s, d), ["segment"]), f"SELECT t.*, e.library_strategy, e.platform, e.sample_accession, s.bio_sample_id, s.taxon_id, s.segment FROM ({typed}) t LEFT JOIN {_recs('experiment')} e ON t.Experiment = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession")
 
     def incremental(s, d):
-        """Files written in two lots, taken in by two calls; the second sees the new lot only."""
+        """Files of all kinds written in two lots, dealt by their directories' hash, and taken in by two calls; the second sees the new lot only."""
         root, out, log = scratch(s, "xml"), scratch(s, "tables"), scratch(s, "log")
-        files_ = xml_files(s, d, *SMALL)
-        for kind in SMALL:
-            rows = files_.where(F.col("path").endswith(f".{kind}.xml")).select(F.element_at(F.split("path", "/"), -2).alias("dir"), F.decode("content", "UTF-8").alias("value"))
-            rows.repartition("dir").write.partitionBy("dir").text(f"{root}/{kind}.tmp")
-            jvm = s._jvm.org.apache.hadoop.fs
-            fs = jvm.Path(root).getFileSystem(s.sparkContext._jsc.hadoopConfiguration())
-            for st in fs.globStatus(jvm.Path(f"{root}/{kind}.tmp/dir=*/part-*")):
-                name = st.getPath().getParent().getName()[4:]
-                fs.mkdirs(jvm.Path(f"{root}/in/{name}"))
-                fs.rename(st.getPath(), jvm.Path(f"{root}/in/{name}/{name}.{kind}.xml"))
-            ingest(s, f"{root}/in", out, log, SNAPSHOT)
-        return s.read.parquet(f"{out}/entity_record_index").groupBy("entity_type").agg(_n(), F.count_distinct("entity_record_id").alias("records"))
-
-    add("i1_incremental_ingest", incremental, f"SELECT entity_type, count(*) AS n, count(DISTINCT record_id) AS records FROM {_recs(*SMALL)} GROUP BY 1")
+        files_ = xml_files(s, d, *ALL).select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("name"), "content")
+        for lot in (0, 1):
+            T.write_files(files_.where(F.pmod(F.xxhash64("name"), F.lit(2)) == lot), root)
+            ingest(s, root, out, log, SNAPSHOT, buckets=8)
+        e, r = E.entity_index(s, out), E.relation_index(s, out)
+        of_entities = e.groupBy(F.lit("entity").alias("what"), F.col("entity_type").alias("name")).agg(_n(), F.sum("record_count").alias("records"), F.sum("file_count").alias("files"), F.sum("directory_count").alias("directories"))
+        of_edges = r.groupBy(F.lit("relation").alias("what"), F.col("relation_type").alias("name")).agg(_n(), F.count_if(F.col("closure_status") == "closed").alias("records"), F.count_distinct("file_id").alias("files"), F.count_distinct("directory_id").alias("directories"))
+        paths_ = E.inventory(s, out).groupBy(F.lit("paths").alias("what"), F.col("xml_kind").alias("name")).agg(_n(), F.sum("node_occurrence_count").alias("records"), F.sum("file_coverage_count").alias("files"), F.sum("entity_coverage_count").alias("directories"))
+        return of_entities.union(of_edges).union(paths_)
+
+    per = "SELECT entity_type, accession, count(*) AS n, count(DISTINCT file_id) AS f, count(DISTINCT dir) AS d FROM r GROUP BY ALL"
+    taken = f"{closed_sql} SELECT 'entity' AS what, entity_type AS name, count(*) AS n, sum(n)::BIGINT AS records, sum(f)::BIGINT AS files, sum(d)::BIGINT AS directories FROM ({per}) GROUP BY ALL UNION ALL SELECT 'relation', relation_type, count(*), count(*) FILTER (WHERE internal AND hit), count(DISTINCT file_id), count(DISTINCT dir) FROM (SELECT c.*, r.dir FROM c JOIN (SELECT record_id, dir FROM r) r USING (record_id)) GROUP BY relation_type"
+    taken += f" UNION ALL SELECT 'paths', lower(split_part(substr(path_abs, 2), '_SET', 1)), count(*), sum(node_occurrence_count)::BIGINT, sum(file_coverage_count)::BIGINT, sum(entity_coverage_count)::BIGINT FROM ({inv}) GROUP BY ALL"
+    add("i1_incremental_ingest", incremental, taken)
