@@ -254,7 +254,8 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
 
     A star is a centre with all that was compared with it. Take two members as their differences from the centre. If
     they share none, they are no more alike than the one that isn't linked to the centre is to it. To be linked they
-    must share so many differences that, with rare ones first, their first few have one in common (prefix filter).
+    must share so many differences that, with rare ones first, their first few have one in common (prefix filter). Only
+    differences that members of two components have count as shared.
     """
     t = percent / 100
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_c"))
@@ -270,7 +271,8 @@ def open_pairs(compared: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     at_least = F.greatest(F.lit(1.0), F.ceil(F.when(F.col("a_c") == F.col("b_c"), F.greatest(far, with_far)).otherwise(far) - 1e-6))
     own = own.withColumn("first", F.col("size") - at_least + 1).select("a", "b", "b_c", "n_b", "size", "first", (F.col("a_c") == F.col("b_c")).alias("near"), F.explode("items").alias("item"))
     own = written(own)
-    common = written(own.groupBy("a", "item").agg(F.count("*").alias("f")).where("f > 1"))
+    # Items of one component only aren't shared by any pair that is sought; a cluster alike in itself has no others, whatever its size.
+    common = written(own.groupBy("a", "item").agg(F.count("*").alias("f"), F.min("b_c").alias("least"), F.max("b_c").alias("most")).where("least < most").drop("least", "most"))
     held = own.join(common.hint("merge"), ["a", "item"])
     by_member = Window.partitionBy("a", "b")
     held = held.withColumn("rank", F.row_number().over(by_member.orderBy("f", "item"))).withColumn("alone", F.col("size") - F.count("*").over(by_member))
