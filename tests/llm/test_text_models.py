@@ -86,6 +86,19 @@ def test_recall_and_precision_of_spellings():
     assert right >= 0.9 * planted and right >= 0.9 * added
 
 
+def test_prose_with_web_addresses_is_left_alone():
+    """A plain ``at`` before a name with dots is prose, also near numbers; with a spelt dot it is an address."""
+    r = random.Random(9)
+    texts = [f"some words write to {''.join(r.choices('abcdef', k=5))}@{r.choice(['mail', 'post'])}.example.com or call +1 ({r.randint(100, 999)}) 555-{r.randint(1000, 9999)} and {r.randint(10, 99)} more" for _ in range(120)]
+    w = pii_crf.fit(texts)
+    found = lambda text: [text[s:e] for _, s, e, _ in pii_crf.all_spans(text, w)]
+    verbs, hosts, ends = ("look", "met", "looked", "arrived 12", "in room 7", "sold 3"), ("www.example.com", "openai.example", "example.org", "news.site.example.net"), ("", " in 2019", " today", " for more, 15 in all")
+    cases = [f"please {v} at {h}{e}" for v in verbs for h in hosts for e in ends]
+    assert [c for c in cases if found(c)] == []
+    right = sum("ann lee at mail dot example"[4:] in found(f"please write to ann lee at mail dot example{e}") for e in ends)
+    assert right == len(ends)
+
+
 def test_scores_are_sums_of_table_entries():
     """A score is the sum of one entry of each table, chosen by counting the edges that a value reaches."""
     r = np.random.default_rng(6)

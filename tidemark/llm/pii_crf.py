@@ -3,7 +3,8 @@
 The patterns give the base spans. The field cuts the text around triggers into tokens and scores whole candidate
 segments of up to ``LONGEST`` tokens by their features; a dynamic programme over segment ends chooses boundaries and
 types together. Triggers are digits, ``@``, bracketed ``at``, and ``at`` between spaces after a local part and before a
-name with a dot or a spelt ``dot``, in either case of letters. A candidate holds a whole trigger, and a stretch reaches
+name with a spelt ``dot``, in either case of letters; prose has names after ``at`` too (``look at www.example.com``), but
+none with a spelt dot. A candidate holds a whole trigger, and a stretch reaches
 ``LONGEST`` whole tokens to either side of one, so leaving out the rest is exact.
 A span of the field is added where it touches no base span.
 
@@ -46,7 +47,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _AT, _SPELT = r"[\[(][Aa][Tt][\])]", r"(?:\s?[\[(][Dd][Oo][Tt][\])]\s?|\s[Dd][Oo][Tt]\s)"
 _DOT = rf"(?:\.|{_SPELT})"
-_TRIGGER = re.compile(rf"[0-9]+|@|{_AT}|(?<=[A-Za-z0-9._%+-])\s[Aa][Tt]\s(?=[A-Za-z0-9-]+{_DOT}[A-Za-z0-9-])")
+_NAME = "[A-Za-z0-9-]+"
+#: A domain with a spelt dot at least.
+_SPELT_DOMAIN = rf"{_NAME}(?:\.{_NAME})*{_SPELT}{_NAME}"
+_TRIGGER = re.compile(rf"[0-9]+|@|{_AT}|(?<=[A-Za-z0-9._%+-])\s[Aa][Tt]\s(?={_SPELT_DOMAIN})")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
@@ -99,7 +103,8 @@ FEATURES = (
 _SIGNS = frozenset("+-.()@_%")
 _GOES_ON, _COMES_ON = re.compile(rf"{_DOT}[A-Za-z0-9-]"), re.compile(rf"[A-Za-z0-9._%+-]{_SPELT}\Z")
 _IP_SHAPE = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
-_PARTS = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_SPELT}[A-Za-z0-9._%+-]+)*(?:@|\s?{_AT}\s?|\s[Aa][Tt]\s)[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
+_PARTS = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_SPELT}[A-Za-z0-9._%+-]+)*(?:(?:@|\s?{_AT}\s?){_NAME}(?:{_DOT}{_NAME})+|\s[Aa][Tt]\s{_SPELT_DOMAIN}(?:{_DOT}{_NAME})*)")
+_DOT_WORD = re.compile(_SPELT)
 
 
 def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
@@ -108,8 +113,9 @@ def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
     n = len(digits)
     left, right = text[start - 1 : start], text[end : end + 1]
     low = s.lower()
+    dot_word = _DOT_WORD.search(s) is not None
     values = (
-        True, s[0] == "+", "@" in s, " at " in low or "(at)" in low or "[at]" in low, " dot " in low or "(dot)" in low or "[dot]" in low, 3 <= n <= 7, 8 <= n <= 15, 16 <= n <= 19, n > 19, n == 0,
+        True, s[0] == "+", "@" in s, (" at " in low and dot_word) or "(at)" in low or "[at]" in low, dot_word, 3 <= n <= 7, 8 <= n <= 15, 16 <= n <= 19, n > 19, n == 0,
         16 <= n <= 19 and luhn(digits), bool(_IP_SHAPE.fullmatch(s)) and _ip_ok(s), "(" in s and ")" in s, "-" in s, " " in s, any(c.isalpha() for c in s), not (s[-1].isalnum()), bool(_PARTS.fullmatch(s)), left.isalpha(),
         (left.isdigit() and s[0].isdigit()) or (right.isdigit() and s[-1].isdigit()), (left != "" and left in "@._%+-") or right == "@", tokens == 1, any(not (c.isalnum() or c in _SIGNS or c == " ") for c in s), _GOES_ON.match(text, end) is not None or _COMES_ON.search(text[max(0, start - 8) : start]) is not None,
     )
