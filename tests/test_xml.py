@@ -4,6 +4,8 @@ import re
 import xml.etree.ElementTree as ET
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import index as I
@@ -91,5 +93,33 @@ def test_streamed_entities_equal_the_trees():
             with pytest.raises(ET.ParseError, match=re.escape(str(e))):
                 P._streamed(body.encode())
         else:
-            root, entities = P._streamed(body.encode())
-            assert (root.tag, entities) == (tree.tag, P._entities(tree))
+            for paths in (None, P._Paths()):
+                root, entities = P._streamed(body.encode(), paths)
+                assert (root.tag, entities) == (tree.tag, P._entities(tree))
+            counts = P._Paths()
+            for n in P._nodes(tree):
+                counts.add(n["entity_type"], n["accession"], n["path"], n["is_attribute"], n["value"], len(n["value"]))
+            assert paths.of == counts.of
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", " ", "\n b ", "<G>", "</G>", "<G/>", "<RUN accession='R1'>", "</RUN>", "<RUN/>", "<SAMPLE accession='S'>x", "</SAMPLE>", "é" * 300, "<H k=' v  w '/>"]), max_size=14).map("".join))
+def test_counts_of_paths_are_those_of_the_nodes(inner):
+    body = f"<RUN_SET>{inner}</RUN_SET>"
+    try:
+        tree = ET.fromstring(body)
+    except ET.ParseError:
+        return
+    counts, paths = P._Paths(), P._Paths()
+    for n in P._nodes(tree):
+        counts.add(n["entity_type"], n["accession"], n["path"], n["is_attribute"], n["value"], len(n["value"]))
+    P._streamed(body.encode(), paths)
+    assert paths.of == counts.of
+
+
+def test_path_counts_equal_parts_of_nodes(spark):
+    rows = [(f"/x/{p}", len(t), bytearray(t.encode())) for p, t in FILES.items()]
+    d = spark.createDataFrame(rows, "path string, length long, content binary").withColumn("modificationTime", F.current_timestamp())
+    flat = lambda x: sorted(str(r) for r in x.withColumn("entities", F.array_sort("entities")).select(sorted(x.columns)).collect())
+    got = flat(P.path_counts(P.parsed(d, "s", with_paths=True)))
+    assert got == flat(I.path_parts(P.xml_nodes(P.parsed(d, "s", with_nodes=True)))) and len(got) > 30

@@ -60,7 +60,7 @@ def _parse(files: DataFrame, chosen: DataFrame, into: str, snapshot: str) -> Non
     keyed = files.withColumn("directory_accession", F.element_at(F.split("path", "/"), -2)).where("path is not null")
     own = keyed.join(F.broadcast(chosen.select("directory_accession", "chunk_id")), "directory_accession").drop("directory_accession")
     own = own if "content" in files.columns else T.contents(own)
-    P.parsed(own, snapshot, with_nodes=True, keep=("chunk_id",)).write.partitionBy("chunk_id").parquet(into)
+    P.parsed(own, snapshot, with_paths=True, keep=("chunk_id",)).write.partitionBy("chunk_id").parquet(into)
 
 
 def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_once: int = 8, retries: int = 1) -> DataFrame:
@@ -109,7 +109,7 @@ def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_
     if failed:
         raise Incomplete(f"failed chunks: {', '.join(failed[:20])}{' ...' if len(failed) > 20 else ''}")
     M.delete(spark, f"{work}/_parsing")
-    shape = P.parsed(files.where("false") if "content" in files.columns else T.contents(files.where("false")), snapshot, with_nodes=True).schema.add("chunk_id", "string")
+    shape = P.parsed(files.where("false") if "content" in files.columns else T.contents(files.where("false")), snapshot, with_paths=True).schema.add("chunk_id", "string")
     if not M.exists(spark, f"{work}/parsed"):
         return spark.createDataFrame([], shape)
     return spark.read.schema(shape).parquet(f"{work}/parsed")

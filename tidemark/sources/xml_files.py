@@ -21,6 +21,7 @@ from tidemark.sources import trees as T
 
 ENTITY = "array<struct<entity_type: string, ordinal: long, accession: string, accession_source: string, alias: string, primary_id: string, submitter_id: string, fields: map<string, string>, attributes: array<struct<tag: string, value: string>>>>"
 NODE = "array<struct<entity_type: string, accession: string, path: string, is_attribute: boolean, value: string>>"
+PATH = "array<struct<entity_type: string, path: string, is_attribute: boolean, nodes: long, filled: long, longest: long, accession: string, value: string, cut: boolean, entities: array<string>>>"
 _SPACE = re.compile(r"\s+")
 
 
@@ -106,27 +107,91 @@ def _entities(root: ET.Element, seen: dict[str, int] | None = None) -> list[dict
     return out
 
 
-def _streamed(content: bytes) -> tuple[ET.Element, list[dict]]:
-    """The root, without what it held, and the entities as ``_entities`` gives them; only one outermost entity's tree is held at a time."""
+class _Text:
+    """The cleaned text of an element whose pieces come one by one: its length and its first characters."""
+
+    def __init__(self):
+        self.size, self.head, self.gap = 0, "", False
+
+    def add(self, piece: str) -> None:
+        words = piece.split()
+        if words:
+            text = (" " if self.size and (self.gap or piece[0].isspace()) else "") + " ".join(words)
+            self.size += len(text)
+            self.head += text[: X.EXAMPLE_LIMIT - len(self.head)]
+        self.gap = piece[-1].isspace() if words else True
+
+
+class _Paths:
+    """Counts by path of one file: nodes, filled ones, the longest value, the least example and the entities."""
+
+    def __init__(self):
+        self.of: dict[tuple, list] = {}
+
+    def add(self, kind: str | None, accession: str | None, path: str, is_attribute: bool, head: str, size: int) -> None:
+        c = self.of.setdefault((kind, path, is_attribute), [0, 0, 0, None, set()])
+        c[0] += 1
+        c[1] += size > 0
+        c[2] = max(c[2], size)
+        if size and (c[3] is None or (accession is not None, accession or "", head) <= c[3][:3]):
+            example = (accession is not None, accession or "", head[: X.EXAMPLE_LIMIT], size > X.EXAMPLE_LIMIT)
+            c[3] = example if c[3] is None else min(c[3], example)
+        if accession is not None:
+            c[4].add(accession)
+
+    def rows(self) -> list[dict]:
+        return [{"entity_type": k, "path": p, "is_attribute": a, "nodes": n, "filled": f, "longest": m, "accession": e[1] if e and e[0] else None, "value": e[2] if e else None, "cut": e[3] if e else None, "entities": sorted(s)} for (k, p, a), (n, f, m, e, s) in self.of.items()]
+
+
+def _streamed(content: bytes, paths: _Paths | None = None) -> tuple[ET.Element, list[dict]]:
+    """The root, without what it held, and the entities as ``_entities`` gives them; only one outermost entity's tree is held at a time.
+
+    ``paths`` gets the counts of all nodes, as ``_nodes`` gives them.
+    """
     seen: dict[str, int] = {}
     out: list[dict] = []
-    around: list[ET.Element] = []
+    around: list[tuple[ET.Element, str, _Text]] = []
+    last: ET.Element | None = None  # the child that ended last; its tail comes with the next event
     inside = 0
+
+    def pieces(*found: str | None) -> None:
+        for piece in found:
+            if piece:
+                for _, _, text in around:
+                    text.add(piece)
+
     for event, node in ET.iterparse(io.BytesIO(content), ("start", "end")):
         entity = _name(node) in ENTITY_TYPES
         if event == "start":
-            around.append(node)
+            if not inside:
+                if around:
+                    pieces(around[-1][0].text if last is None else last.tail)
+                if not entity:
+                    around.append((node, f"{around[-1][1] if around else ''}/{_name(node)}", _Text()))
+                last = None
             inside += entity
             continue
-        around.pop()
         inside -= entity
-        if not inside:
-            if entity:
-                out += _entities(node, seen)
-            if around:
-                around[-1].remove(node)
-            else:
-                root = node
+        if inside:
+            continue
+        if entity:
+            out += _entities(node, seen)
+            if paths is not None:
+                for row in _nodes(node, f"{around[-1][1] if around else ''}/{_name(node)}"):
+                    paths.add(row["entity_type"], row["accession"], row["path"], row["is_attribute"], row["value"], len(row["value"]))
+                pieces(*node.itertext())
+        else:
+            pieces(node.text if last is None else last.tail)
+            _, path, text = around.pop()
+            if paths is not None:
+                paths.add(None, None, path, False, text.head, text.size)
+                for k, v in node.attrib.items():
+                    paths.add(None, None, f"{path}/@{k.rpartition('}')[2]}", True, _clean(v), len(_clean(v)))
+        if around:
+            around[-1][0].remove(node)
+        else:
+            root = node
+        last = node
     return root, out
 
 
@@ -142,9 +207,9 @@ def _slices(lengths: list[int]) -> Iterator[tuple[int, int]]:
         yield first, len(lengths) - first
 
 
-def _nodes(root: ET.Element) -> list[dict]:
+def _nodes(root: ET.Element, path: str | None = None) -> list[dict]:
     """Every element and attribute; an entity's own element still belongs to what stands around it."""
-    out, todo = [], [(root, f"/{_name(root)}", None, None)]
+    out, todo = [], [(root, path or f"/{_name(root)}", None, None)]
     while todo:
         node, path, kind, accession = todo.pop()
         row = {"entity_type": kind, "accession": accession}
@@ -156,8 +221,11 @@ def _nodes(root: ET.Element) -> list[dict]:
     return out
 
 
-def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row a file: the file index's columns, ``entities`` and ``nodes``, and the string columns ``keep`` of ``files``.
+def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: int | None = None, keep: tuple[str, ...] = (), with_paths: bool = False) -> DataFrame:
+    """A row a file: the file index's columns, ``entities``, ``nodes`` and ``paths``, and the string columns ``keep`` of ``files``.
+
+    ``nodes`` are filled only if asked (the file's tree is then held as a whole), and so are ``paths``, their counts,
+    which are made while the file is read, an outermost entity at a time.
 
     ``files`` has path, modificationTime, length, content. Files of any size are parsed; only where a caller gives
     ``largest``, those of more bytes are not and get the status oversized_xml. A file's entities are one row's array.
@@ -165,22 +233,24 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
 
     def one(content: bytes | None, length: int) -> tuple:
         if largest is not None and length > largest:
-            return "oversized_xml", "unknown", "oversized_xml", None, [], []
+            return "oversized_xml", "unknown", "oversized_xml", None, [], [], []
         if not content:
-            return "empty_file", "unknown", "xml_syntax", None, [], []
+            return "empty_file", "unknown", "xml_syntax", None, [], [], []
+        paths = _Paths() if with_paths else None
         try:
-            root, entities = (tree := ET.fromstring(content), _entities(tree)) if with_nodes else _streamed(content)
+            root, entities = (tree := ET.fromstring(content), _entities(tree)) if with_nodes else _streamed(content, paths)
         except ET.ParseError as e:
-            return "xml_parse_error", "unknown", "xml_syntax", str(e), [], []
+            return "xml_parse_error", "unknown", "xml_syntax", str(e), [], [], []
         except (ValueError, LookupError) as e:
-            return "xml_parse_error", "unknown", "encoding", str(e), [], []
+            return "xml_parse_error", "unknown", "encoding", str(e), [], [], []
         known = _name(root) in X.ROOT_OF_KIND.values()
-        return "ok" if known else "unsupported_root", _name(root), "none" if known else "unexpected_root", None, entities, _nodes(root) if with_nodes else []
+        return "ok" if known else "unsupported_root", _name(root), "none" if known else "unexpected_root", None, entities, _nodes(root) if with_nodes else [], paths.rows() if paths else []
 
     entity = pa.struct([(n, pa.string()) for n in ("entity_type",)] + [("ordinal", pa.int64())] + [(n, pa.string()) for n in ("accession", "accession_source", "alias", "primary_id", "submitter_id")] + [("fields", pa.map_(pa.string(), pa.string())), ("attributes", pa.list_(pa.struct([("tag", pa.string()), ("value", pa.string())])))])
     node = pa.struct([("entity_type", pa.string()), ("accession", pa.string()), ("path", pa.string()), ("is_attribute", pa.bool_()), ("value", pa.string())])
-    types = [pa.string()] * 4 + [pa.list_(entity), pa.list_(node)]
-    names = ["parse_status", "root_tag", "error_type", "error_message", "entities", "nodes"]
+    path = pa.struct([("entity_type", pa.string()), ("path", pa.string()), ("is_attribute", pa.bool_()), *[(n, pa.int64()) for n in ("nodes", "filled", "longest")], ("accession", pa.string()), ("value", pa.string()), ("cut", pa.bool_()), ("entities", pa.list_(pa.string()))])
+    types = [pa.string()] * 4 + [pa.list_(entity), pa.list_(node), pa.list_(path)]
+    names = ["parse_status", "root_tag", "error_type", "error_message", "entities", "nodes", "paths"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,7 +261,7 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
 
     raw = files.select(F.col("path").cast("string").alias("path"), F.col("modificationTime").cast("string").alias("mtime"), F.col("length").cast("long").alias("file_size"), "content", *keep)
     kept = "".join(f", {c} string" for c in keep)
-    d = raw.mapInArrow(run, f"path string, mtime string, file_size long, parse_status string, root_tag string, error_type string, error_message string, entities {ENTITY}, nodes {NODE}{kept}")
+    d = raw.mapInArrow(run, f"path string, mtime string, file_size long, parse_status string, root_tag string, error_type string, error_message string, entities {ENTITY}, nodes {NODE}, paths {PATH}{kept}")
     parts = F.split("path", "/")
     name, directory = F.element_at(parts, -1), F.element_at(parts, -2)
     by_name, by_root = X.kind_from_filename(name), X.kind_from_root("root_tag")
@@ -219,6 +289,7 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool = False, largest: i
         F.lit(0).cast("long").alias("parser_warning_count"),
         "entities",
         "nodes",
+        "paths",
         *keep,
     )
 
@@ -234,7 +305,7 @@ _KEYS = ("source_snapshot_id", "file_id", "directory_id", "directory_accession",
 
 
 def file_index(parsed_files: DataFrame) -> DataFrame:
-    return parsed_files.drop("entities", "nodes", "chunk_id")
+    return parsed_files.drop("entities", "nodes", "paths", "chunk_id")
 
 
 def entity_records(parsed_files: DataFrame) -> DataFrame:
@@ -299,6 +370,13 @@ def xml_nodes(parsed_files: DataFrame) -> DataFrame:
     return n.withColumn("path_entity_relative", X.relative_path("path", "entity_type"))
 
 
+def path_counts(parsed_files: DataFrame) -> DataFrame:
+    """A row for each path of a file, as ``index.path_parts`` makes it from nodes."""
+    p = parsed_files.select("source_snapshot_id", "xml_kind", "root_tag", "file_id", F.explode("paths").alias("p"))
+    example = F.when(F.col("p.filled") > 0, F.struct("file_id", "p.accession", "p.value", "p.cut")).alias("example")
+    return p.select("source_snapshot_id", "xml_kind", "root_tag", "p.entity_type", "p.path", X.relative_path("p.path", "p.entity_type").alias("path_entity_relative"), "p.is_attribute", "file_id", "p.nodes", "p.filled", "p.longest", example, "p.entities")
+
+
 def selected_fields(nodes: DataFrame, names: list[str]) -> DataFrame:
     """Non-empty values of listed elements: entity, field name, path, value."""
     field = F.element_at(F.split("path", "/"), -1)
