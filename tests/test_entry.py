@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
 ROOT = Path(entry.__file__).resolve().parent
-SOME = ["flagship", "a10_grouping_sets", "a17_entity_index", "a26_path_inventory", "j1_chain_join", "j5_relation_closure", "j9_assembly_run_link", "k1_partitioned_write", "p10_external_ids", "t6_largest_dirs", "u3_multiset_compare", "v7_backcheck_fields", "w2_manifest_row_id", "i1_incremental_ingest"]
+SOME = ["flagship", "a10_grouping_sets", "a17_entity_index", "a26_path_inventory", "j1_chain_join", "j5_relation_closure", "j9_assembly_run_link", "k1_partitioned_write", "p10_external_ids", "t6_largest_dirs", "u3_multiset_compare", "v7_backcheck_fields", "w2_manifest_row_id", "i1_incremental_ingest", "s2_tsv_shape_check", "s5_file_listing", "t8_prefix_stratified", "v12_thresholds", "f6_entity_lookup"]
 
 
 def plain(value):

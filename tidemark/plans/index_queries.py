@@ -217,7 +217,13 @@ def register(add) -> None:
 
     # --- reading
 
-    add("f7_run_lookup", lambda s, d: I.lookup(_sorted(s, d, "run_core", "run_accession"), "run_accession", "SRR1_1").select("alias", "experiment_accession"), f"SELECT alias, experiment_accession FROM {_recs('run')} WHERE accession = 'SRR1_1'")
+
+    def run_lookup(s, d):
+        """The rows of the first run."""
+        runs = _sorted(s, d, "run_core", "run_accession")
+        return I.lookup(runs, "run_accession", runs.agg(F.min("run_accession")).first()[0]).select("run_accession", "alias", "experiment_accession")
+
+    add("f7_run_lookup", run_lookup, f"WITH r AS {_recs('run')} SELECT accession AS run_accession, alias, experiment_accession FROM r WHERE accession = (SELECT min(accession) FROM r)")
     add("f8_biosample_lookup", lambda s, d: I.lookup(_sorted(s, d, "sample_core", "sample_accession", "bio_sample_id"), "bio_sample_id", "SAMN3").select("sample_accession", "taxon_id"), "SELECT 'SRS3' AS sample_accession, c_nationkey::VARCHAR AS taxon_id FROM customer WHERE c_custkey = 3")
     add("f9_attribute_search", lambda s, d: I.attribute_search(attributes(s, d), "segm", "zzz"), f"SELECT sample_accession, bio_sample_id, tag, value FROM ({attrs}) WHERE lower(tag) LIKE '%segm%' OR lower(value) LIKE '%zzz%' ORDER BY sample_accession, tag, value LIMIT 100")
     add("f10_platform_filter", lambda s, d: I.platform_filter(_core(s, d, "experiment"), "ILLUMINA", "1-URGENT"), f"SELECT accession AS experiment_accession, study_accession, sample_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')} WHERE platform = 'ILLUMINA' AND library_strategy = '1-URGENT' ORDER BY 1 LIMIT 100")
@@ -280,9 +286,48 @@ def register(add) -> None:
         return V.schema_errors(s, {"entity_record_index": worse, "entity_index": R.to_contract(I.entity_index(r), "entity_index")}, ["entity_record_index", "entity_index", "relation_index"])
 
     add("v1_schema_validate", broken_tables, "SELECT 'relation_index' AS \"table\", NULL::VARCHAR AS \"column\", 'missing table' AS error UNION ALL SELECT 'entity_record_index', 'alias', 'missing column' UNION ALL SELECT 'entity_record_index', 'entity_ordinal', 'type int instead of bigint' UNION ALL SELECT 'entity_record_index', 'more', 'unexpected column' UNION ALL SELECT 'entity_record_index', 'file_id', 'null in required column'")
+    def built(s, d) -> str:
+        """The root of all tables of the contract from the files of all kinds, by one build."""
+        return _stored(s, d, "build", lambda path: U.build(xml_files(s, d, *ALL), path, scratch(s, "work"), SNAPSHOT, chunk_size=20, at_once=16))
+
     def whole_build(s, d):
-        """All tables of the contract from the files of all kinds, by one build; (table, rows)."""
-        return U.build(xml_files(s, d, *ALL), scratch(s, "build"), scratch(s, "work"), SNAPSHOT, chunk_size=20, at_once=16)
+        """(table, rows) of one build."""
+        root, out = built(s, d), None
+        for t in C.TABLES:
+            n = R.open_table(s, root, t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")
+            out = n if out is None else out.union(n)
+        return out
+
+    def contents(s, d):
+        """A sum of hashes of the rows of the largest tables of one build: equal sums, equal rows in any order."""
+        out = None
+        for t, columns in hashed.items():
+            text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
+            n = R.open_table(s, built(s, d), t).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("content")).select(F.lit(t).alias("table"), "rows", "content")
+            out = n if out is None else out.union(n)
+        return out
+
+    hashed = {
+        "entity_record_index": ("entity_record_id", "entity_accession", "entity_type", "xml_kind", "alias", "entity_ordinal", "file_id", "directory_id"),
+        "run_core": ("entity_record_id", "run_accession", "alias", "experiment_accession", "file_id"),
+        "experiment_core": ("entity_record_id", "experiment_accession", "sample_accession", "study_accession", "library_strategy", "platform", "instrument_model"),
+        "sample_core": ("entity_record_id", "sample_accession", "bio_sample_id", "taxon_id", "scientific_name"),
+        "study_core": ("entity_record_id", "study_accession", "bioproject_id", "study_title"),
+        "external_accession_index": ("entity_record_id", "namespace", "external_accession"),
+        "relation_index": ("src_entity_record_id", "src_accession", "relation_type", "dst_accession", "dst_type", "relation_ordinal", "closure_status"),
+    }
+    of_core = lambda kind, *columns: f"SELECT record_id, accession, {', '.join(columns)} FROM r WHERE xml_kind = '{kind}'"
+    same = {
+        "entity_record_index": "SELECT record_id, accession, entity_type, xml_kind, alias, ord, file_id, directory_id FROM r",
+        "run_core": of_core("run", "alias", "experiment_accession", "file_id"),
+        "experiment_core": of_core("experiment", "sample_accession", "study_accession", "library_strategy", "platform", "instrument_model"),
+        "sample_core": of_core("sample", "bio_sample_id", "taxon_id", "scientific_name"),
+        "study_core": of_core("study", "bioproject_id", "study_title"),
+        "external_accession_index": " UNION ALL ".join(f"SELECT record_id, '{space}', {field} FROM r WHERE entity_type = '{kind}' AND {field} IS NOT NULL" for kind, space, field, _, _ in I.EXTERNALS),
+        "relation_index": f"SELECT record_id, src, relation_type, dst, dst_type, ordinal, {state} FROM c",
+    }
+    hash_sql = lambda t, sql: f"SELECT '{t}' AS \"table\", count(*) AS rows, sum(('0x' || substr(md5(concat_ws('|', {', '.join(f'coalesce(x{i}::VARCHAR, chr(126))' for i in range(len(hashed[t])))})), 1, 8))::BIGINT)::BIGINT AS content FROM ({sql}) AS t({', '.join(f'x{i}' for i in range(len(hashed[t])))})"
+    add("k6_build_contents", contents, f"{closed_sql} " + " UNION ALL ".join(hash_sql(t, sql) for t, sql in same.items()))
 
     dirs = f"(SELECT DISTINCT dir FROM {_recs(*ALL)})"
     core_rows = " UNION ALL ".join(f"SELECT '{k}_core{r}' AS \"table\", count(*) AS rows FROM {t}" for k, t in (("run", "lineitem"), ("experiment", "orders JOIN customer ON o_custkey = c_custkey"), ("sample", "customer"), ("study", "nation")) for r in ("", "_raw"))

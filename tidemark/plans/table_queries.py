@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +20,35 @@ from tidemark.operators import validate as V
 from tidemark.plans.adapters import ASM_SQL, accessions, assemblies, in_duckdb, in_spark, table, with_acc
 from tidemark.sources import tables as R
 from tidemark.sources import trees as T
+from tidemark.sources.commit import delete
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: below ``spark.checkpoint.dir``, else a temporary one (one machine)."""
-    import tempfile
+    """A new folder that all executors share: below ``spark.checkpoint.dir``; where that is unset, a temporary one, on one machine only.
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}/{name}"
+    Temporary folders go when the process ends; those below ``spark.checkpoint.dir`` when the application does.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-scratch-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    if spark.sparkContext.applicationId not in _MADE:
+        atexit.register(_forget, spark, _MADE.setdefault(spark.sparkContext.applicationId, []))
+    _MADE[spark.sparkContext.applicationId].append(path)
+    return f"{path}/{name}"
+
+
+_MADE: dict[str, list[str]] = {}
+
+
+def _forget(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch folders where the application still runs at the end of the process."""
+    if spark.sparkContext._jsc is not None:
+        for path in paths:
+            delete(spark, path)
 
 
 def _by_type(d: DataFrame) -> DataFrame:
@@ -237,6 +261,13 @@ def register(add) -> None:
     with_links = lambda sql: with_acc("").rstrip() + f", {links} {sql}"
     add("j9_assembly_run_link", lambda spark, sf: linked(spark, sf).groupBy("run", "tier").agg(F.sum("n").alias("n"), F.min("least").alias("least")), with_links("SELECT run, tier, count(*) AS n, min(assembly_accession) AS least FROM l GROUP BY ALL"))
 
+    def members(spark, sf):
+        """Every link of the runs: a run's row of its best tier with the assemblies that share the key."""
+        own = core_of(spark, sf).where("version_status = 'latest' and assembly_level = 'Chromosome'")
+        return linked(spark, sf).select("tier", "value").distinct().join(L.tier_members(own), ["tier", "value"])
+
+    add("j9_tier_members", members, with_links("SELECT DISTINCT 1 AS tier, biosample AS value, assembly_accession FROM r JOIN a USING (biosample) UNION SELECT 2, bioproject, assembly_accession FROM r2 JOIN a USING (bioproject) WHERE bioproject NOT IN ('', '-') UNION SELECT 3, taxid, assembly_accession FROM r3 JOIN a USING (taxid)"))
+
     def k7(spark, sf):
         R.write_tsv(L.selected_runs(linked(spark, sf), 2).select("run", "tier", "assembly_accession"), path := scratch(spark, "selected.tsv"), one=False)
         return spark.read.schema("run string, tier int, assembly_accession string").options(sep="\t", header=True).csv(path)
