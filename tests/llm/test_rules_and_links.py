@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from tidemark.llm import link_graph as G
 from tidemark.llm import quality_rules as Q
 from tidemark.llm import winnowing as W
@@ -136,6 +138,31 @@ def test_rank_reaches_its_fixed_point(spark):
     assert all(abs(got[f"h{k}"] - 0.15 * 0.85**k / (1 - 0.85**n)) < 1e-5 for k in range(n)) and len(got) == n
 
 
+def test_order_of_ranks_is_that_of_a_dense_solve(spark):
+    """It may end long before the ranks settle, but no host's larger rank is then the smaller one."""
+    r = np.random.default_rng(3)
+    n = 40
+    links = [(u, v) for u in range(n) for v in r.choice(n, 3, replace=False).tolist() if u != v]
+    kinds = {"trust": links, "distrust": [(v, u) for u, v in links]}
+    seeds = {"trust": [0, 1, 2], "distrust": [3, 4]}
+    edges, want = [], {}
+    for kind, own in kinds.items():
+        a = np.zeros((n, n))
+        for u, v in own:
+            a[v, u] += 1
+        a /= np.maximum(a.sum(axis=0), 1)
+        edges += [(kind, f"h{u}", f"h{v}", float(a[v, u])) for v in range(n) for u in range(n) if a[v, u]]
+        start = np.zeros(n)
+        start[seeds[kind]] = 0.15 / len(seeds[kind])
+        want[kind] = np.linalg.solve(np.eye(n) - 0.85 * a, start)
+    e = spark.createDataFrame(edges, "kind string, src string, dst string, share double")
+    s = spark.createDataFrame([(k, f"h{h}", 1 / len(hs)) for k, hs in seeds.items() for h in hs], "kind string, host string, seed double")
+    got = {(x["kind"], x["host"]): x["rank"] for x in G.propagate(e, s, order=True).collect()}
+    for h in range(n):
+        gap = want["distrust"][h] - want["trust"][h]
+        assert abs(gap) < 1e-12 or (got.get(("distrust", f"h{h}"), 0) > got.get(("trust", f"h{h}"), 0)) == (gap > 0), h
+
+
 LINK = re.compile(r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)""")
 
 

@@ -19,8 +19,9 @@ from tidemark.llm.common import written
 #: (verdict, host and path); the longest that fits wins.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 DAMPING = 0.85
-#: Rank has settled when all ranks together change by less than this over ``CUT_EVERY`` rounds and reach no new host.
-TOLERANCE, CUT_EVERY = 1e-6, 6
+#: Ranks are looked at after so many rounds. They have settled when all together change by less than ``TOLERANCE``
+#: meanwhile; where only their order is asked for, what no host can still change by more than (``TIE``) is a tie.
+CUT_EVERY, TOLERANCE, TIE = 6, 1e-6, 1e-12
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -58,12 +59,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.union(up).union(down).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, order: bool = False) -> DataFrame:
     """Personalised PageRank for each ``kind``: edges (kind, src, dst, share), seeds (kind, host, seed) -> (kind, host, rank).
 
     ``share`` is an edge's part of its source's weight. All kinds take one pass a round; the ranks are cut from their
     lineage every few rounds, when they are also held against those of the last cut. The change shrinks by ``damping``
-    a round at least. Rank that reaches a host without edges is not passed on. ``rounds``: so many, settled or not.
+    a round at least, which bounds what any one host's rank can still change by. It ends when no new host is reached and
+    the ranks have settled; with ``order``, when every host's ranks of two kinds are further apart than both can still
+    change, so that the larger one stays the larger, however many hosts there are. Rank that reaches a host without
+    edges is not passed on. ``rounds``: so many, settled or not.
     """
     ranks = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
     start = last = ranks
@@ -77,7 +81,10 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
             if rounds is None:
                 both = ranks.join(last.withColumnRenamed("rank", "was"), ["kind", "host"], "left")
                 moved = both.agg(F.sum(F.abs(F.col("rank") - F.coalesce("was", F.lit(0.0)))).alias("change"), F.count_if(F.col("was").isNull()).alias("new")).first()
-                if (moved["change"] or 0.0) < TOLERANCE and not moved["new"]:
+                change, shrunk = moved["change"] or 0.0, damping**CUT_EVERY
+                left = change * shrunk / (1 - shrunk)  # all that is still to come
+                gaps = ranks.groupBy("host").agg((2 * F.max("rank") - F.sum("rank")).alias("gap"))
+                if not moved["new"] and (left < TIE or not gaps.where(F.col("gap") <= left).limit(1).count() if order else change < TOLERANCE):
                     break
                 last = ranks
     return ranks
@@ -100,7 +107,7 @@ def host_verdicts(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES,
     both = written(both)
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     shares = written(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")))
-    ranks = propagate(shares, seeds).groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))).alias("distrust"))
+    ranks = propagate(shares, seeds, order=margin == 0).groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))).alias("trust"), F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))).alias("distrust"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
     judged = hosts.join(ranks, "host", "left").select("host", zero("trust"), zero("distrust"))
     return judged.withColumn("verdict", F.when(F.col("distrust") - F.col("trust") > margin, "block").otherwise("allow"))
