@@ -149,6 +149,16 @@ def test_chains_over_buckets_dont_exchange_runs(spark, tmp_path):
         exchanges = lambda d: [x for x in d._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(experiment_accession" in x]
         assert len(exchanges(chained)) == 1 and len(exchanges(plain)) == 2  # the experiments' side alone
         assert sorted(map(str, chained.collect())) == sorted(map(str, plain.collect()))
+        # A third of the runs belong to one experiment: they are dealt to many buckets, and nothing else changes.
+        skewed = runs.union(spark.range(5000, 6500).select(F.concat(F.lit("R"), F.col("id")), F.lit("X7")))
+        hot = Y.frequent(skewed, "experiment_accession")
+        spread = Y.bucketed(Y.salted(skewed, hot, "experiment_accession"), str(tmp_path / "skewed"), "experiment_accession", "salt", buckets=6)
+        assert [r[0] for r in hot.collect()] == ["X7"] and spread.where("experiment_accession = 'X7'").select("salt").distinct().count() == Y.SALTS
+        most = spread.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        assert most < 1200 < 4500 / 3
+        again = I.chain(spread, e, s, st, hot)
+        assert len([x for x in exchanges(again) if "salt" in x]) == 1
+        assert sorted(map(str, again.select(plain.columns).collect())) == sorted(map(str, I.chain(skewed, e, s, st).collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
+from tidemark.sources import lookup as Y
 
 CORE_RELATIONS = ("RUN_TO_EXPERIMENT", "EXPERIMENT_TO_SAMPLE", "EXPERIMENT_TO_STUDY")
 #: (source type, relation, field, target type, internal), in the order in which a record's edges are numbered.
@@ -135,10 +136,15 @@ def relations(records: DataFrame) -> DataFrame:
     )
 
 
-def closed_relations(edges: DataFrame, entities: DataFrame) -> DataFrame:
-    """Edges with their target looked up among entities that have a primary record; external edges pass through."""
+def closed_relations(edges: DataFrame, entities: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Edges with their target looked up among entities that have a primary record; external edges pass through.
+
+    ``hot``: the frequent targets (as source_snapshot_id, dst_type, dst_accession) by which ``edges`` have a salt.
+    """
     target = entities.where("has_primary_record").select("source_snapshot_id", F.col("entity_type").alias("dst_type"), F.col("entity_accession").alias("dst_accession"), F.col("canonical_entity_record_id").alias("dst_entity_record_id"))
-    j = edges.join(target, ["source_snapshot_id", "dst_type", "dst_accession"], "left")
+    keys = ["source_snapshot_id", "dst_type", "dst_accession"]
+    j = edges.join(target, keys, "left") if hot is None else edges.join(Y.copied(target, hot, *keys), [*keys, "salt"], "left").drop("salt")
+    edges = edges.drop("salt") if hot is not None else edges
     hit, internal = F.col("dst_entity_record_id").isNotNull(), F.col("dst_is_internal_entity")
     return j.select(
         *edges.columns,
@@ -298,17 +304,20 @@ def abnormal_files(files: DataFrame) -> DataFrame:
     return files.where((F.col("parse_status") != "ok") | (F.col("xml_kind_consistency_status") != "consistent") | (F.col("parser_warning_count") > 0))
 
 
-def chain(runs: DataFrame, experiments: DataFrame, samples: DataFrame, studies: DataFrame) -> DataFrame:
+def chain(runs: DataFrame, experiments: DataFrame, samples: DataFrame, studies: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Runs with their experiment, sample and study, whether found or not.
 
     Experiments meet samples and studies first, so the runs, by far the most rows, are joined once; where both are in
-    buckets of the experiment's accession, they aren't exchanged at all.
+    buckets of the experiment's accession, they aren't exchanged at all. ``hot``: the experiments of very many runs, by
+    which ``runs`` have a salt.
     """
     e = experiments.select("experiment_accession", "sample_accession", "study_accession", "platform", "library_strategy")
     s = samples.select("sample_accession", "bio_sample_id", "taxon_id", "scientific_name")
     st = studies.select("study_accession", "bioproject_id", "study_title")
     whole = e.join(s, "sample_accession", "left").join(st, "study_accession", "left")
-    return runs.select("run_accession", "experiment_accession").join(whole, "experiment_accession", "left")
+    if hot is None:
+        return runs.select("run_accession", "experiment_accession").join(whole, "experiment_accession", "left")
+    return runs.select("run_accession", "experiment_accession", "salt").join(Y.copied(whole, hot, "experiment_accession"), ["experiment_accession", "salt"], "left").drop("salt")
 
 
 def back_to_source(table: DataFrame, files: DataFrame) -> DataFrame:

@@ -75,11 +75,12 @@ def _sorted(s, d, name: str, key: str, *others: str, of=None) -> DataFrame:
     return s.read.parquet(_stored(s, d, f"{name}_by_{key}", lambda path: Y.write_sorted(make(), path, key, others)))
 
 
-def _bucketed(s, d, name: str, *keys: str, of=None) -> DataFrame:
-    """A table in buckets of ``keys``."""
+def _bucketed(s, d, name: str, *keys: str, of=None) -> tuple[DataFrame, DataFrame]:
+    """A table in buckets of ``keys`` and a salt, and its frequent keys."""
     make = of or (lambda: _core(s, d, name.removesuffix("_core")))
-    path = _stored(s, d, f"{name}_in_buckets_of_{'_'.join(keys)}", lambda path: Y.bucketed(make(), path, *keys, name=_table_name(path)))
-    return s.table(_table_name(path))
+    hot = s.read.parquet(_stored(s, d, f"{name}_frequent_{'_'.join(keys)}", lambda path: _written(Y.frequent(make(), *keys), path)))
+    path = _stored(s, d, f"{name}_in_buckets_of_{'_'.join(keys)}", lambda path: Y.bucketed(Y.salted(make(), hot, *keys), path, *keys, "salt", name=_table_name(path)))
+    return s.table(_table_name(path)), hot
 
 
 def _table_name(path: str) -> str:
@@ -177,8 +178,9 @@ def register(add) -> None:
     add("w6_relation_ordinal", lambda s, d: edges(s, d).groupBy("relation_type", "relation_ordinal").agg(_n()), f"{_edges(*ALL)} SELECT relation_type, ordinal AS relation_ordinal, count(*) AS n FROM e GROUP BY ALL")
 
     def closed(s: SparkSession, d: str) -> DataFrame:
-        edges_ = _bucketed(s, d, "relations", "source_snapshot_id", "dst_type", "dst_accession", of=lambda: edges(s, d))
-        return I.closed_relations(edges_, _bucketed(s, d, "entity_index", "source_snapshot_id", "entity_type", "entity_accession", of=lambda: I.entity_index(_records(s, d, *ALL))))
+        edges_, hot = _bucketed(s, d, "relations", "source_snapshot_id", "dst_type", "dst_accession", of=lambda: edges(s, d))
+        entities_ = s.read.parquet(_stored(s, d, "entity_index", lambda path: _written(I.entity_index(_records(s, d, *ALL)), path)))
+        return I.closed_relations(edges_, entities_, hot)
 
     closed_sql = f"{_edges(*ALL)}, k AS (SELECT DISTINCT entity_type AS t, accession AS a FROM r), c AS (SELECT e.*, k.a IS NOT NULL AS hit FROM e LEFT JOIN k ON e.internal AND e.dst_type = k.t AND e.dst = k.a)"
     state = "CASE WHEN NOT internal THEN 'external_reference' WHEN hit THEN 'closed' ELSE 'missing_dst_entity' END"
@@ -227,7 +229,11 @@ def register(add) -> None:
     add("f8_biosample_lookup", lambda s, d: I.lookup(_sorted(s, d, "sample_core", "sample_accession", "bio_sample_id"), "bio_sample_id", "SAMN3").select("sample_accession", "taxon_id"), "SELECT 'SRS3' AS sample_accession, c_nationkey::VARCHAR AS taxon_id FROM customer WHERE c_custkey = 3")
     add("f9_attribute_search", lambda s, d: I.attribute_search(attributes(s, d), "segm", "zzz"), f"SELECT sample_accession, bio_sample_id, tag, value FROM ({attrs}) WHERE lower(tag) LIKE '%segm%' OR lower(value) LIKE '%zzz%' ORDER BY sample_accession, tag, value LIMIT 100")
     add("f10_platform_filter", lambda s, d: I.platform_filter(_core(s, d, "experiment"), "ILLUMINA", "1-URGENT"), f"SELECT accession AS experiment_accession, study_accession, sample_accession, library_strategy, NULL::VARCHAR AS library_source, NULL::VARCHAR AS library_selection, platform, instrument_model FROM {_recs('experiment')} WHERE platform = 'ILLUMINA' AND library_strategy = '1-URGENT' ORDER BY 1 LIMIT 100")
-    add("j1_chain_join", lambda s, d: I.chain(_bucketed(s, d, "run_core", "experiment_accession"), *[_core(s, d, k) for k in ("experiment", "sample", "study")]), f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
+    def chained(s, d):
+        runs, hot = _bucketed(s, d, "run_core", "experiment_accession")
+        return I.chain(runs, *[_core(s, d, k) for k in ("experiment", "sample", "study")], hot)
+
+    add("j1_chain_join", chained, f"SELECT r.accession AS run_accession, r.experiment_accession, e.sample_accession, e.study_accession, e.platform, e.library_strategy, s.bio_sample_id, s.taxon_id, s.scientific_name, st.bioproject_id, st.study_title FROM {_recs('run')} r LEFT JOIN {_recs('experiment')} e ON r.experiment_accession = e.accession LEFT JOIN {_recs('sample')} s ON e.sample_accession = s.accession LEFT JOIN {_recs('study')} st ON e.study_accession = st.accession")
     add("j3_back_to_source", lambda s, d: I.back_to_source(_core(s, d, "run"), P.file_index(_parsed(s, d, "run"))).groupBy("relative_file_path", "xml_kind", "parse_status").agg(_n()), f"SELECT dir || '/' || dir || '.run.xml' AS relative_file_path, 'run' AS xml_kind, 'ok' AS parse_status, count(*) AS n FROM {_recs('run')} GROUP BY 1")
 
     # --- nodes and inventory

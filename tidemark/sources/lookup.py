@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.sources.commit import staging
 
@@ -16,9 +17,10 @@ def write_sorted(df: DataFrame, path: str, key: str, others: tuple[str, ...] = (
     """Parquet in ranges of ``key``, sorted by it, with bloom filters on ``key`` and ``others``.
 
     A condition on ``key`` leaves, by the row groups' least and greatest values, one file's row group or a few; one on a
-    column of ``others`` leaves those whose filter may hold the value. Very frequent keys span several row groups.
+    column of ``others`` leaves those whose filter may hold the value. Ranges are of ``key`` and ``others`` together, so a
+    very frequent key is spread over several tasks where the others differ.
     """
-    w = df.repartitionByRange(key).sortWithinPartitions(key).write.option("parquet.block.size", group)
+    w = df.repartitionByRange(key, *others).sortWithinPartitions(key, *others).write.option("parquet.block.size", group)
     for c in (key, *others):
         w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
     with staging(df.sparkSession, path) as staged:
@@ -34,6 +36,28 @@ def bucketed(df: DataFrame, path: str, *keys: str, buckets: int | None = None, n
     return spark.table(name)
 
 
+#: Keys with more than one in so many rows are frequent; their rows are dealt to so many salts.
+SHARE, SALTS = 1_000, 64
+
+
+def frequent(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys that more than one in ``SHARE`` rows have: fewer than ``SHARE`` of them, so they may be broadcast."""
+    least = df.count() / SHARE
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > F.greatest(F.lit(least), F.lit(float(SALTS)))).drop("n")
+
+
+def salted(df: DataFrame, hot: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with ``salt``: for rows of frequent keys one of ``SALTS`` by their hash, else 0. In buckets of keys and salt no bucket holds a frequent key whole."""
+    salt = F.when(F.col("frequent"), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))).otherwise(0).cast("int")
+    return df.join(F.broadcast(hot.withColumn("frequent", F.lit(True))), list(keys), "left").select(*df.columns, salt.alias("salt"))
+
+
+def copied(df: DataFrame, hot: DataFrame, *keys: str) -> DataFrame:
+    """The other side of a join with ``salted`` rows: rows of frequent keys once for each salt, others once."""
+    salts = F.when(F.col("frequent"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return df.join(F.broadcast(hot.withColumn("frequent", F.lit(True))), list(keys), "left").select(*df.columns, F.explode(salts).alias("salt"))
+
+
 def rows_read(df: DataFrame) -> int:
     """Runs ``df`` and returns how many rows its scans gave, after row groups and pages were left out."""
     df.collect()
