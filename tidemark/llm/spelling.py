@@ -9,7 +9,7 @@ leave it.
 
 Defined cases: a null or empty text has no words; a null ``doc_id`` is read as an empty one; repeated rows count again;
 of forms with equal counts the least word in code-point order is taken; other columns are ignored; an empty table
-gives an empty result.
+gives an empty result. The words of one text are one array, so a task holds those of its longest text.
 """
 
 from __future__ import annotations
