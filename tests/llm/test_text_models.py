@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -296,6 +297,33 @@ def test_sum_of_squares_choice():
         list(p.place(i, 0, b"\0" * 4 * size, size))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 63), max_size=120), st.sampled_from([1, 4, 7, 16, 64]))
+def test_levels_of_any_width_keep_every_id(sizes, step):
+    """With levels of any width each id lies in one piece, windows are full until the end, and the counts are those of the open windows."""
+    p = packing.Packer(64, 0, step)
+    rows, ids = [], {}
+    for doc, size in enumerate(sizes):
+        ids[doc] = np.arange(doc * 100, doc * 100 + size, dtype="<u4").tobytes()
+        rows += p.place(doc, 0, ids[doc], size)
+        assert {k: len(v) for k, v in p.open.items()} == {k: int(n) for k, n in enumerate(p.counts) if n}
+        assert all(p.fills[k] == v[-1][0] == sum(len(x[2]) // 4 for x in v[-1][1]) for k, v in p.open.items())
+    full = pd.DataFrame(rows, columns=[c.split()[0] for c in packing.SCHEMA.split(", ")])
+    assert (full.groupby("sequence_id")["length"].sum() == 64).all()
+    every = pd.DataFrame([*rows, *p.finish()], columns=full.columns)
+    fill = every.groupby("sequence_id")["length"].sum()
+    assert packing.read_back(every, ids) and every["length"].sum() == sum(sizes) and ((fill & (fill - 1)) == 0).all()
+
+
+def test_most_is_placed_by_the_rule():
+    """A small input leaves few ids to be poured together at its end."""
+    r = random.Random(8)
+    p = packing.Packer(2048, 0, packing.STEP)
+    sizes = [r.choice([r.randint(1, 700), r.randint(1, 2047)]) for _ in range(1000)]
+    placed = sum(row[2] for k, size in enumerate(sizes) for row in p.place(k, 0, bytes(4 * size), size))
+    assert placed > 0.9 * sum(sizes)
+
+
 def test_word_ids_equal_the_library():
     from tokenizers import Tokenizer
 

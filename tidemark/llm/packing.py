@@ -1,8 +1,10 @@
 """Packing of tokenised documents into windows by the sum-of-squares rule.
 
 Each document ends with an end id and is cut into full windows and a rest. A rest is placed online into the fill level
-that makes the sum of squared counts of partially filled windows least, tracked in an array over the levels. At its
-input's end a packer pours what is left in open windows into full ones, and cuts the remainder into powers of two.
+that makes the sum of squared counts of partially filled windows least, tracked in an array over the levels, which are
+``STEP`` ids apart; a window that lacks less than that is topped up with the head of the next rest. So a few windows are
+open at any time. At its input's end a packer pours what is left in these into full ones, and cuts the remainder into
+powers of two.
 
 Every input partition is packed by itself and in its own order, so nothing is shuffled, a lost task gives the same
 rows again, and padding doesn't grow with the number of documents.
@@ -30,6 +32,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import Memory, id_and_text
 
 WINDOW, END_ID = 2048, 1
+#: Ids between two fill levels. With fewer levels fewer windows are open at the end, and more rests are cut once.
+STEP = 32
 #: Distinct words, and parts of words, whose ids a worker remembers.
 REMEMBERED = 300_000
 #: Sequence ids are the partition's number times this, plus a running number.
@@ -106,45 +110,73 @@ class WordIds:
 
 
 class Packer:
-    """Sum-of-squares packing of byte strings of 4-byte ids into windows of ``window`` ids."""
+    """Sum-of-squares packing of byte strings of 4-byte ids into windows of ``window`` ids.
 
-    def __init__(self, window: int, first: int):
-        self.window, self.next = window, first
-        self.counts = np.zeros(window + 1, np.int64)  # open windows at each fill level
-        self.open: dict[int, list[list[tuple[int, int, bytes, int]]]] = {}  # by level: windows, each a list of pieces
+    Levels are ``step`` ids apart. A window that lacks less than a step is topped up with the head of the next rest.
+    """
+
+    def __init__(self, window: int, first: int, step: int = 1):
+        self.window, self.next, self.step = window, first, step
+        self.full = self.level(window)
+        self.counts = np.zeros(self.full + 1, np.int64)  # open windows at each level
+        self.fills = np.full(self.full + 1, window + 1, np.int64)  # ids in the last one of each level
+        self.open: dict[int, list[tuple[int, list[tuple]]]] = {}  # by level: fill and pieces of each window
+        self.short: tuple[int, list[tuple]] | None = None  # the window to be topped up
+
+    def level(self, fill):
+        return -(-fill // self.step)
 
     def level_for(self, size: int) -> int:
         """The level to add ``size`` ids to, 0 for a new window: of the least sum of squares, then the fullest."""
-        room, counts = self.window - size, self.counts
-        levels = np.flatnonzero(counts[1 : room + 1]) + 1
-        alone = 2 * int(counts[size]) + 1  # a new window
+        counts, last = self.counts, self.level(self.window - size)
+        levels = np.flatnonzero(self.fills[1 : last + 1] + size <= self.window) + 1
+        own = self.level(size)
+        alone = 0 if own == self.full else 2 * int(counts[own]) + 1  # a new window
         if not len(levels):
             return 0
-        change = 2 * (counts[levels + size] - counts[levels]) + 2
-        if levels[-1] == room:  # a full window is closed and counts no more
-            change[-1] = 1 - 2 * counts[room]
+        after = self.level(self.fills[levels] + size)
+        # A window that moves up leaves one level and joins another; a full one is closed and counts no more.
+        change = np.where(after == self.full, 1 - 2 * counts[levels], np.where(after == levels, 0, 2 * (counts[after] - counts[levels]) + 2))
         best = int(change.min())
         return 0 if alone < best else int(levels[np.flatnonzero(change == best)[-1]])
 
     def place(self, doc: int | None, start: int, ids: bytes, total: int) -> Iterator[tuple]:
-        """Places a rest; yields the rows of a window that it fills."""
+        """Places a rest; yields the rows of windows that it fills."""
+        if self.short:
+            (fill, window), self.short = self.short, None
+            room = 4 * (self.window - fill)
+            window.append((doc, start, ids[:room], total))
+            if len(ids) < room:
+                self.short = fill + len(ids) // 4, window
+                return
+            yield from self.close(window)
+            start, ids = start + room // 4, ids[room:]
+            if not ids:
+                return
         size = len(ids) // 4
         level = self.level_for(size)
-        if level:
-            at = self.open[level]
-            window = at.pop()
-            if not at:
-                del self.open[level]
-            self.counts[level] -= 1
-        else:
-            window = []
+        fill, window = self.taken(level) if level else (0, [])
         window.append((doc, start, ids, total))
-        filled = level + size
-        if filled == self.window:
+        fill += size
+        level = self.level(fill)
+        if fill == self.window:
             yield from self.close(window)
+        elif level == self.full:
+            self.short = fill, window
         else:
-            self.open.setdefault(filled, []).append(window)
-            self.counts[filled] += 1
+            self.open.setdefault(level, []).append((fill, window))
+            self.counts[level] += 1
+            self.fills[level] = fill
+
+    def taken(self, level: int) -> tuple[int, list[tuple]]:
+        """The last window of a level, no longer open."""
+        at = self.open[level]
+        found = at.pop()
+        self.counts[level] -= 1
+        self.fills[level] = at[-1][0] if at else self.window + 1
+        if not at:
+            del self.open[level]
+        return found
 
     def close(self, window: list[tuple]) -> Iterator[tuple]:
         offset = 0
@@ -155,9 +187,9 @@ class Packer:
 
     def finish(self) -> Iterator[tuple]:
         """Pours the open windows together: full windows, then the remainder in windows of powers of two."""
-        pieces = [p for level in sorted(self.open, reverse=True) for w in self.open[level] for p in w]
+        pieces = [*(self.short[1] if self.short else ()), *(p for level in sorted(self.open, reverse=True) for _, w in self.open[level] for p in w)]
         left = sum(len(p[2]) for p in pieces) // 4
-        self.open, pieces = {}, pieces[::-1]
+        self.open, self.short, pieces = {}, None, pieces[::-1]
         while left:
             size = self.window if left >= self.window else 1 << (left.bit_length() - 1)
             left -= size
@@ -175,7 +207,7 @@ class Packer:
 
 def pack(batches: Iterable[tuple[list, list[bytes]]], path: str, part: int, window: int = WINDOW, end_id: int = END_ID) -> Iterator[list[tuple]]:
     """Rows of ``SCHEMA`` for batches of (doc_ids, texts), a list for each batch and one for the end."""
-    words, packer = WordIds(path), Packer(window, part * SEQUENCES)
+    words, packer = WordIds(path), Packer(window, part * SEQUENCES, STEP)
     end = np.array([end_id], "<u4").tobytes()
     for ids, texts in batches:
         rows: list[tuple] = []
