@@ -4,12 +4,16 @@ import hashlib
 import random
 import re
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from threading import Event
 
 import numpy as np
+import pytest
 
 from tidemark.llm import link_graph as G
 from tidemark.llm import quality_rules as Q
 from tidemark.llm import winnowing as W
+from tidemark.llm.common import temporary, written
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -103,6 +107,37 @@ def test_repeated_ids_follow_each_other(frame):
     assert W.with_next(W.id_and_text(frame(rows)), ["text"], 4).count() == 5
 
 
+def test_only_null_ids_follow_each_other(frame):
+    got = W.with_next(W.id_and_text(frame([(None, "a"), (None, "b"), (None, "c")])), ["text"], 4).collect()
+    assert sorted(x["next_text"] for x in got) == ["a", "b", "c"]
+
+
+def test_scopes_of_threads_are_apart(frame):
+    """Two threads' scopes, ended in the order in which they began: each deletes its own copies only."""
+    d, first, second = frame([(1, "a")]), Event(), Event()
+
+    def early():
+        with temporary(d.sparkSession):
+            copy = written(d)
+            first.set()
+            second.wait(60)
+        return copy
+
+    def late():
+        first.wait(60)
+        with temporary(d.sparkSession):
+            copy = written(d)
+            second.set()
+            gone.result(60)
+            return copy.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        gone = pool.submit(early)
+        assert pool.submit(late).result(120) == 1
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found|no such"):
+        gone.result().collect()
+
+
 URLS = {1: "http://a.com/x", 2: "https://B.example.COM/en/1?q", 3: "http://www.example.com/en/2", 4: "http://x.net/es/", 5: "http://x.net", 6: None, 7: "nothing", 8: "http://com/", 9: "http://acom/", 10: "http://q.org/a#b"}
 
 

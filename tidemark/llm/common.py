@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,14 @@ def words_of(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset (tests, one machine) below a temporary one.
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, below a temporary one, on one machine only.
 
     A SparkContext without a checkpoint folder gets this root as well, so that ``checkpoint()`` works.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         app = spark.sparkContext.applicationId
         root = _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="spark-shared-"))
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -43,18 +47,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-_SCOPES: list[list[str]] = []
+#: The scopes around, outermost first; each thread has its own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
     """What ``written`` writes inside is deleted at the end, but for what is written for the scope around (``outer``)."""
     made: list[str] = []
-    _SCOPES.append(made)
+    around = _SCOPES.set((*_SCOPES.get(), made))
     try:
         yield
     finally:
-        _SCOPES.remove(made)
+        _SCOPES.reset(around)
         for path in made:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -65,8 +70,9 @@ def written(df: DataFrame, outer: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
-    if len(_SCOPES) > outer:
-        _SCOPES[-1 - outer].append(path)
+    scopes = _SCOPES.get()
+    if len(scopes) > outer:
+        scopes[-1 - outer].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

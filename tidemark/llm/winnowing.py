@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,21 +77,22 @@ def with_next(df: DataFrame, columns: list[str], buckets: int) -> DataFrame:
     """``df`` (doc_id, text, ...) with ``next_<c>`` of the row that follows by descending doc_id; the first follows the last.
 
     The rows are dealt by ranges of doc_id whose bounds are ids of the table, so that a range's follower is the row at
-    the bound below it, which is dealt to both ranges. Only the bounds, at most ``buckets``, come to the driver. A row
-    finds its range in two steps, among every so many bounds and then between two of these. Ties of doc_id are ordered
-    by a hash of the text, then the text; null ids come last.
+    the bound below it, which is dealt to both ranges. Only the bounds, at most ``buckets``, come to the driver; each
+    list of them is one value of the plan, however many there are. A row finds its range in two steps, among every so
+    many bounds and then between two of these. Ties of doc_id are ordered by a hash of the text, then the text; null
+    ids come last.
     """
-    found = df.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("q"), F.max("doc_id").alias("top")).first()
+    shares = F.lit(np.arange(1, buckets + 1) / buckets)
+    found = df.agg(F.percentile_approx("doc_id", shares, 10 * buckets).alias("q"), F.max("doc_id").alias("top")).first()
     bounds = sorted({*(found["q"] or []), *([] if found["top"] is None else [found["top"]])})
     if bounds:
         step = math.isqrt(len(bounds)) + 1
-        groups = [bounds[k : k + step] for k in range(0, len(bounds), step)]
-        longs = lambda v: F.array(*[F.lit(b).cast("long") for b in v])
+        every, firsts = (F.lit(np.array(x, np.int64)) for x in (bounds, bounds[::step]))
         doc = F.coalesce("doc_id", F.lit(bounds[0]))
         below = lambda v: F.size(F.filter(v, lambda b: b < doc))
-        group = F.greatest(below(longs([g[0] for g in groups])) - 1, F.lit(0))
-        own = group * step + below(F.get(F.array(*map(longs, groups)), group))
-        at = F.coalesce(F.get(longs(bounds), own) == F.col("doc_id"), F.lit(False))
+        group = F.greatest(below(firsts) - 1, F.lit(0))
+        own = group * step + below(F.slice(every, group * step + 1, step))
+        at = F.coalesce(F.get(every, own) == F.col("doc_id"), F.lit(False))
         after = F.pmod(own + 1, F.lit(len(bounds)))
     else:
         own, at, after = F.lit(0), F.lit(True), F.lit(0)
