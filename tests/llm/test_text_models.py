@@ -147,6 +147,18 @@ def test_stretches_hold_every_candidate(text):
     assert [s for p in parts for s in spans(p)] == spans(every)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["ann", " ", " at ", " dot ", " At", "\tdot\n", ".", "é", "²", "١", "12", "10.0.0.1", "4111 1111 1111 1111", "+1 (243)", "-", "@", "(at)", "(at]", "[AT]", "[dot)", "%", "#", "\ud800", "İ"]), max_size=40).map("".join), st.integers(0, 3), st.integers(0, 3))
+def test_features_of_many_equal_those_of_one(text, before, after):
+    """Counted features are those of each segment by itself, for every segment of stretches inside a text."""
+    a, b = min(before, len(text)), max(min(before, len(text)), len(text) - after)
+    ends = pii_crf.token_ends(text, a, b)
+    pairs = [(i, j) for i in range(len(ends)) for j in range(i + 1, min(len(ends), i + 13))]
+    if pairs:
+        got = pii_crf.Shape(text, ends).features(*np.array(pairs).T)
+        assert (got == np.array([pii_crf.features(text, ends[i], ends[j], j - i) for i, j in pairs])).all()
+
+
 def test_fit_uses_the_whole_sample():
     """Documents full of dates before those with base spans, and base spans in long stretches, don't stop the fit from learning."""
     r = random.Random(3)

@@ -22,6 +22,7 @@ weights are zero and nothing is added; other columns are kept by ``redacted`` an
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from array import array
 from bisect import bisect_left, bisect_right
@@ -108,6 +109,7 @@ _DOT_WORD = re.compile(_SPELT)
 
 
 def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
+    """One segment's features, as they are defined; ``Shape`` has those of many at once."""
     s = text[start:end]
     digits = "".join(c for c in s if c in "0123456789")
     n = len(digits)
@@ -122,6 +124,56 @@ def features(text: str, start: int, end: int, tokens: int) -> np.ndarray:
     return np.fromiter(values, np.float64, len(FEATURES))
 
 
+#: What must be in a segment for some features; each pattern finds strings of one length.
+_AT_CORE, _DOT_CORE = re.compile(r"(?=\x20[Aa][Tt]\x20|\([Aa][Tt]\)|\[[Aa][Tt]\])"), re.compile(r"(?=\s[Dd][Oo][Tt]\s|[\[(][Dd][Oo][Tt][\])])")
+_PARTS_CORE = re.compile(r"(?=[\s\[(][Aa][Tt][\s\])])")
+
+
+class Shape:
+    """What the features of a stretch's segments are read from: signs counted up to each token's end, and those beside it."""
+
+    def __init__(self, text: str, ends: array):
+        self.text, self.ends = text, np.array(ends, np.int64)
+        a, b = ends[0], ends[-1]
+        codes, of = np.unique(np.frombuffer(text[a:b].encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+        signs = [(c in "0123456789", c == "@", c == "(", c == ")", c == "-", c == " ", c.isalpha(), not (c.isalnum() or c in _SIGNS or c == " ")) for c in map(chr, codes.tolist())]
+        counts = np.zeros((len(ends), 8), np.int32)
+        if b > a:
+            np.cumsum(np.add.reduceat(np.array(signs, bool)[of], self.ends[:-1] - a, axis=0, dtype=np.int32), axis=0, out=counts[1:])
+        self.counts = counts.T
+        self.at_cores, self.dot_cores, self.parts_cores = (np.array([m.start() for m in p.finditer(text, a, b)], np.int64) for p in (_AT_CORE, _DOT_CORE, _PARTS_CORE))
+        left, right = [text[p - 1 : p] for p in ends], [text[p : p + 1] for p in ends]
+        bits = lambda x: np.fromiter(x, bool, len(ends))
+        self.left_alpha, self.left_alnum, self.left_digit = bits(map(str.isalpha, left)), bits(map(str.isalnum, left)), bits(map(str.isdigit, left))
+        self.left_glue, self.right_plus, self.right_at = bits(c != "" and c in "@._%+-" for c in left), bits(c == "+" for c in right), bits(c == "@" for c in right)
+        self.right_digit = bits(map(str.isdigit, right))
+        self.goes_on = bits(_GOES_ON.match(text, p) is not None for p in ends)
+        spelt = _DOT_WORD.search(text, max(0, a - 8), b) is not None
+        self.comes_on = bits(spelt and _COMES_ON.search(text[max(0, p - 8) : p]) is not None for p in ends)
+
+    def _holds(self, cores: np.ndarray, size: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return np.searchsorted(cores, end - size, "right") > np.searchsorted(cores, start, "left")
+
+    def features(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The values of ``FEATURES`` for the segments from token ``i`` up to ``j``, a row each."""
+        text, start, end = self.text, self.ends[i], self.ends[j]
+        n, at, opened, closed, dashes, spaces, letters, odd = self.counts[:, j] - self.counts[:, i]
+        dot_word = self._holds(self.dot_cores, 5, start, end)
+        at_core = self._holds(self.at_cores, 4, start, end)
+        none = np.zeros(len(i), bool)
+        found = lambda which, test: np.fromiter((bool(w and test(text[a:b])) for w, a, b in zip(which.tolist(), start.tolist(), end.tolist(), strict=True)), bool, len(i)) if which.any() else none
+        plain_at = found(at_core & ~dot_word, lambda s: "(at)" in s.lower() or "[at]" in s.lower())
+        return np.stack(
+            [
+                np.ones(len(i), bool), self.right_plus[i], at > 0, (at_core & dot_word) | plain_at, dot_word, (n >= 3) & (n <= 7), (n >= 8) & (n <= 15), (n >= 16) & (n <= 19), n > 19, n == 0,
+                found((n >= 16) & (n <= 19), lambda s: luhn("".join(c for c in s if c in "0123456789"))), found((end - start == n + 3) & (j - i == 7), lambda s: _IP_SHAPE.fullmatch(s) and _ip_ok(s)), (opened > 0) & (closed > 0), dashes > 0, spaces > 0, letters > 0, ~self.left_alnum[j],
+                found((at > 0) | self._holds(self.parts_cores, 4, start, end), _PARTS.fullmatch), self.left_alpha[i],
+                (self.left_digit[i] & self.right_digit[i]) | (self.right_digit[j] & self.left_digit[j]), self.left_glue[i] | self.right_at[j], j - i == 1, odd > 0, self.goes_on[j] | self.comes_on[i],
+            ],
+            axis=1,
+        )
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
     """Stretches of ``text`` around triggers, ``LONGEST`` whole tokens to either side, joined where they meet."""
     out: list[list[int]] = []
@@ -170,8 +222,9 @@ def best(text: str, a: int, b: int, w: np.ndarray) -> list[tuple[str, int, int]]
     """
     ends = token_ends(text, a, b)
     n = len(ends) - 1
-    value, top = np.zeros(n + 1), np.full(n + 1, -np.inf)
-    start, kind = np.full(n + 1, -1, np.int64), np.zeros(n + 1, np.int8)
+    shape = Shape(text, ends)
+    value, top = array("d", [0.0]) * (n + 1), array("d", [-np.inf]) * (n + 1)
+    start, kind = array("q", [-1]) * (n + 1), array("b", [0]) * (n + 1)
     settled = 0
 
     def settle(upto: int) -> None:
@@ -185,7 +238,7 @@ def best(text: str, a: int, b: int, w: np.ndarray) -> list[tuple[str, int, int]]
 
     segments = candidates(text, ends)
     while block := list(islice(segments, BLOCK)):
-        scores = np.array([features(text, ends[i], ends[j], j - i) for i, j in block]) @ w.T
+        scores = shape.features(*np.array(block, np.int64).T) @ w.T
         for (i, j), k, s in zip(block, scores.argmax(1).tolist(), scores.max(1).tolist(), strict=True):
             settle(i)
             if (v := value[i] + s) > top[j] + 1e-12:
@@ -196,7 +249,7 @@ def best(text: str, a: int, b: int, w: np.ndarray) -> list[tuple[str, int, int]]
         if start[j] < 0:
             j -= 1
         else:
-            i = int(start[j])
+            i = start[j]
             out.append((KINDS[kind[j]], ends[i], ends[j]))
             j = i
     return out[::-1]
@@ -210,7 +263,7 @@ class Lattice:
         self.ends = token_ends(text, a, b)
         self.n = len(self.ends) - 1
         self.segments = list(candidates(text, self.ends))
-        self.x = np.array([features(text, self.ends[i], self.ends[j], j - i) for i, j in self.segments]).reshape(-1, len(FEATURES))
+        self.x = Shape(text, self.ends).features(*np.array(self.segments, np.int64).reshape(-1, 2).T).astype(np.float64)
 
     def best(self, w: np.ndarray) -> list[tuple[str, int, int]]:
         return best(self.text, self.a, self.b, w)
@@ -220,21 +273,28 @@ class Lattice:
         return _marginals(np.array(self.segments, np.int32).reshape(-1, 2), self.x, self.n, w)
 
 
+def _log_sum(terms: list[float]) -> float:
+    """The logarithm of the sum of exponentials; plain numbers, as the lists are short."""
+    most = max(terms)
+    return most + math.log(sum([math.exp(t - most) for t in terms]))
+
+
 def _marginals(at: np.ndarray, x: np.ndarray, n: int, w: np.ndarray) -> np.ndarray:
     scores = x @ w.T
     top = np.logaddexp.reduce(scores, axis=1) if len(scores) else np.zeros(0)
     by_end = np.argsort(at[:, 1], kind="stable")
     opens, closes = np.searchsorted(at[:, 0], np.arange(n + 2)).tolist(), np.searchsorted(at[by_end, 1], np.arange(n + 2)).tolist()
-    start, end, score = at[by_end, 0], at[:, 1], top[by_end]
-    f, b = np.zeros(n + 1), np.zeros(n + 1)
+    start, end, score, tops = at[by_end, 0].tolist(), at[:, 1].tolist(), top[by_end].tolist(), top.tolist()
+    f, b = [0.0] * (n + 1), [0.0] * (n + 1)
     for j in range(1, n + 1):
         f[j] = f[j - 1]
         if (lo := closes[j]) < (hi := closes[j + 1]):
-            f[j] = np.logaddexp(f[j], np.logaddexp.reduce(f[start[lo:hi]] + score[lo:hi]))
+            f[j] = _log_sum([f[j], *[f[i] + s for i, s in zip(start[lo:hi], score[lo:hi], strict=True)]])
     for i in range(n - 1, -1, -1):
         b[i] = b[i + 1]
         if (lo := opens[i]) < (hi := opens[i + 1]):
-            b[i] = np.logaddexp(b[i], np.logaddexp.reduce(b[end[lo:hi]] + top[lo:hi]))
+            b[i] = _log_sum([b[i], *[b[j] + s for j, s in zip(end[lo:hi], tops[lo:hi], strict=True)]])
+    f, b = np.array(f), np.array(b)
     return np.exp(scores + (f[at[:, 0]] + b[at[:, 1]] - f[n])[:, None])
 
 
