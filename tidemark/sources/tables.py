@@ -117,8 +117,22 @@ def write_counted(df: DataFrame, path: str) -> int:
 
 
 def write_pilot(acc: DataFrame, path: str, n: int = 1_000_000) -> int:
-    """The first ``n`` rows; an error unless min(n, all) were written."""
-    found, want = write_counted(acc.limit(n), path), min(n, acc.count())
+    """The first ``n`` rows, by partition and place in it; an error unless min(n, all) were written.
+
+    Partitions are counted, and each then writes its own share, so no task reads the rows of all. A number a partition
+    comes to the driver.
+    """
+    at = acc.withColumn("_at", F.monotonically_increasing_id())
+    sizes = {r["p"]: r["rows"] for r in at.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count(F.lit(1)).alias("rows")).collect()}
+    want = min(n, sum(sizes.values()))
+    last, left = -1, want  # the partition that the n-th row is in, and how many of its rows are among the first n
+    for p in sorted(sizes):
+        if left <= 0:
+            break
+        last, taken = p, min(left, sizes[p])
+        left -= taken
+    end = (last << 33) + taken if last >= 0 else 0
+    found = write_counted(at.where(F.col("_at") < end).drop("_at"), path)
     if found != want:
         raise ValueError(f"{found} rows written, {want} expected")
     return found
