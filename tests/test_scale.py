@@ -2,9 +2,13 @@
 
 import os
 
+from pyspark.sql import functions as F
 
+from tidemark.operators import index as I
+from tidemark.plans import adapters
 from tidemark.plans import index_queries as Q
 from tidemark.plans.adapters import xml_files
+from tidemark.sources import tables as R
 from tidemark.sources import xml_files as P
 
 DATA = "/root/testdata/sf0.001"
@@ -56,3 +60,40 @@ def test_edges_are_kept_without_ids(spark):
     assert not [c for c in kept.columns if c.endswith("_id") and c != "source_snapshot_id"]
     names = {f for _, _, found in os.walk(root) for f in found if f.endswith(".parquet")}
     assert names and all(".zstd" in f for f in names)
+
+
+def test_tasks_grow_with_the_elements(spark, monkeypatch):
+    monkeypatch.setattr(adapters, "ELEMENTS", 100)
+    orders = adapters.table(spark, DATA, "orders").count()
+    assert orders > 400 and xml_files(spark, DATA, "experiment").rdd.getNumPartitions() == -(-orders // 100)
+
+
+def test_pilot_rows_come_from_the_tasks_that_have_them(spark, tmp_path):
+    assert R.write_pilot(spark.range(0, 80, 1, 8), str(tmp_path / "p"), 25) == 25
+    d = spark.read.parquet(str(tmp_path / "p"))
+    assert sorted(r[0] for r in d.collect()) == list(range(25)) and d.select(F.input_file_name()).distinct().count() == 3
+
+
+def test_records_are_exchanged_once_for_the_entity_index(spark):
+    records = P.entity_records(P.parsed(xml_files(spark, DATA, "sample", "study"), "s")).localCheckpoint()
+    rows = lambda d: sorted(str(r) for r in d.collect())
+    both = I.entity_index(P.stripped(records)), I.merged_entities(I.entity_parts(records))
+    assert both[0]._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1  # the plan before it runs
+    assert rows(both[0]) == rows(both[1])
+
+
+def test_conflicts_are_found_before_columns_become_rows(spark):
+    rows = [("s", "r1", "f1", "A", "x", "1"), ("s", "r2", "f2", "A", "y", None), ("s", "r3", "f1", "B", None, "2"), ("s", "r4", "f0", "A", "x", None)]
+    found = I.core_conflicts(spark.createDataFrame(rows, "source_snapshot_id string, entity_record_id string, file_id string, k0 string, p string, q string"), "RUN", "k0")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Generate ") < plan.rindex("Aggregate ")
+    got = {r["field_name"]: (r["entity_count"], r["conflicted_entity_count"], r["example_entity_accession"], r["example_values"], r["example_file_ids"]) for r in found.collect()}
+    assert got == {"p": (1, 1, "A", "x;y", "f0;f2"), "q": (2, 0, None, None, None)}
+
+
+def test_only_nodes_of_the_names_are_taken_out(spark):
+    files, names = xml_files(spark, DATA, "sample", "study"), ("TAXON_ID", "STUDY_TYPE", "@namespace")
+    rows = lambda d: sorted(str(r) for r in d.collect())
+    few, every = (P.xml_nodes(P.parsed(files, "s", with_nodes=w)) for w in (names, True))
+    assert rows(P.selected_fields(few, list(names))) == rows(P.selected_fields(every, list(names)))
+    assert {r[0].rpartition("/")[2] for r in few.select("path").collect()} == {"TAXON_ID", "@namespace"}
