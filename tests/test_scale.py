@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import chunks as K
 from tidemark.operators import index as I
 from tidemark.plans import adapters
 from tidemark.plans import index_queries as Q
@@ -97,3 +98,30 @@ def test_only_nodes_of_the_names_are_taken_out(spark):
     few, every = (P.xml_nodes(P.parsed(files, "s", with_nodes=w)) for w in (names, True))
     assert rows(P.selected_fields(few, list(names))) == rows(P.selected_fields(every, list(names)))
     assert {r[0].rpartition("/")[2] for r in few.select("path").collect()} == {"TAXON_ID", "@namespace"}
+
+
+def test_files_of_a_build_are_made_once(spark, tmp_path):
+    """Every job of a build reads its own files, however many jobs there are."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    files = xml_files(spark, DATA, "sample", "study")
+    files = files.mapInArrow(counted, files.schema)
+    parsed = K.run(files.where("content is not null"), str(tmp_path), "s", chunk_size=5, at_once=1)
+    jobs, rows = K.ledger(spark, str(tmp_path)).count(), parsed.count()
+    assert jobs > 5 and rows == xml_files(spark, DATA, "sample", "study").count() and made.value < 5 * rows
+
+
+def test_ingested_edges_are_kept_without_ids(spark, tmp_path):
+    files = xml_files(spark, DATA, "sample", "study")
+    Q.E.take(files, str(tmp_path), 0, "s", buckets=2)
+    kept = spark.read.parquet(f"{tmp_path}/edges")
+    assert {c for c in kept.columns if c.endswith("_id")} == {"source_snapshot_id", "file_id"}
+    want = I.closed_relations(I.relations(r := P.entity_records(P.parsed(files, "s"))), I.entity_index(r))
+    rows = lambda d: sorted(str(x) for x in d.select(*want.columns).collect())
+    assert rows(Q.E.relation_index(spark, str(tmp_path))) == rows(want)
+    assert all(".zstd" in f for _, _, found in os.walk(tmp_path) for f in found if f.endswith(".parquet"))

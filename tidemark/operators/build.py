@@ -42,8 +42,9 @@ def _tables(files: DataFrame, out: str, final: str, work: str, snapshot: str, su
         return R.open_table(spark, out, name)
 
     parsed = K.run(files, work, snapshot, chunk_size, at_once)
-    P.entity_records(parsed).write.mode("overwrite").parquet(f"{work}/records")
-    records = spark.read.parquet(f"{work}/records")
+    P.stripped(P.entity_records(parsed)).write.mode("overwrite").option("compression", "zstd").parquet(f"{work}/records")
+    kept = spark.read.parquet(f"{work}/records")
+    records = P.restored(kept)
 
     found = put("file_index", P.file_index(parsed))
     top = F.regexp_replace("absolute_file_path", r"/[^/]*/[^/]*$", "")
@@ -52,7 +53,7 @@ def _tables(files: DataFrame, out: str, final: str, work: str, snapshot: str, su
     chunks = put("chunk_manifest", S.chunk_manifest(manifest, chunk_size))
     directories = put("directory_index", I.directory_index(found, manifest))
     put("entity_record_index", records)
-    entities = put("entity_index", I.key_gate(I.entity_index(records), *C.KEYS["entity_index"]))
+    entities = put("entity_index", I.key_gate(I.entity_index(kept), *C.KEYS["entity_index"]))
     externals = put("external_accession_index", I.external_ids(records))
     relations = put("relation_index", I.closed_relations(I.relations(records), entities))
     for kind in ("run", "experiment", "sample", "study"):

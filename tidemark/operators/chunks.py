@@ -55,19 +55,42 @@ def plan(files: DataFrame, work: str, snapshot: str, chunk_size: int) -> DataFra
     return made
 
 
-def _parse(files: DataFrame, chosen: DataFrame, into: str, snapshot: str) -> None:
-    """Parses the files of the chosen directories into a folder for each chunk. ``chosen`` holds ``at_once`` chunks' directories, so it may be broadcast."""
-    keyed = files.withColumn("directory_accession", F.element_at(F.split("path", "/"), -2)).where("path is not null")
-    own = keyed.join(F.broadcast(chosen.select("directory_accession", "chunk_id")), "directory_accession").drop("directory_accession")
-    own = own if "content" in files.columns else T.contents(own)
-    P.parsed(own, snapshot, with_paths=True, keep=("chunk_id",)).write.partitionBy("chunk_id").parquet(into)
+def _keyed(files: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``files`` of the directories in ``chosen``, with its other columns."""
+    d = files.withColumn("directory_accession", F.element_at(F.split("path", "/"), -2)).where("path is not null")
+    return d.join(chosen, "directory_accession").drop("directory_accession")
+
+
+def _deal(files: DataFrame, made: DataFrame, jobs: list[list[str]], into: str) -> bool:
+    """Writes the files of all jobs once, a folder for each, so that no job makes or lists the others' files again.
+
+    False where that fails: a job then takes its files from ``files``, so that only chunks with the fault fail.
+    """
+    spark = files.sparkSession
+    M.delete(spark, into)
+    of = spark.createDataFrame([(i, k) for k, ids in enumerate(jobs) for i in ids], "chunk_id string, job int")
+    own = _keyed(files, made.select("directory_accession", "chunk_id").join(F.broadcast(of), "chunk_id"))
+    try:
+        own.repartition(len(jobs), "job").write.option("compression", "zstd").partitionBy("job").parquet(into)
+    except Exception:  # noqa: BLE001  told by the job that meets it again
+        M.delete(spark, into)
+        return False
+    return True
+
+
+def _parse(own: DataFrame, ids: list[str], into: str, snapshot: str) -> None:
+    """Parses files, which have a chunk_id, into a folder for each chunk; a chunk's files are parsed by a few tasks, so its folder has few."""
+    n = max(len(ids), int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = own.repartition(n, "chunk_id", F.pmod(F.xxhash64("path"), F.lit(n // len(ids))))
+    own = own if "content" in own.columns else T.contents(own)
+    P.parsed(own, snapshot, with_paths=True, keep=("chunk_id",)).write.option("compression", "zstd").partitionBy("chunk_id").parquet(into)
 
 
 def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_once: int = 8, retries: int = 1) -> DataFrame:
     """Parses ``files`` by chunks of ``chunk_size`` directories and returns all parsed files, with their chunk_id.
 
-    ``files`` has path, modificationTime, length, and content unless tasks shall read it. ``at_once`` chunks are one Spark
-    job; each is then put in place and noted in the ledger by itself. If a job fails, its chunks are tried one by one,
+    ``files`` has path, modificationTime, length, and content unless tasks shall read it; they are dealt to the jobs once,
+    and a job reads its own only. ``at_once`` chunks are one Spark job; each is then put in place and noted in the ledger by itself. If a job fails, its chunks are tried one by one,
     ``retries`` times more; one that still fails is noted with its error, and ``Incomplete`` is raised after the others
     are done. A call with the same ``work`` parses only chunks that no ledger row calls done.
     """
@@ -76,13 +99,18 @@ def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_
     chunks = made.select("chunk_id", "number").distinct()
     failed: list[str] = []
 
-    def attempt(ids: list[str], attempts: int) -> Exception | None:
+    def attempt(ids: list[str], attempts: int, job: int) -> Exception | None:
         began = datetime.now(UTC).replace(tzinfo=None)
         error = None
         into = f"{work}/_parsing"
         M.delete(spark, into)
         try:
-            _parse(files, made.where(F.col("chunk_id").isin(ids)), into, snapshot)
+            if M.exists(spark, f"{work}/_files"):
+                own = spark.read.schema(shape).parquet(part).where(F.col("chunk_id").isin(ids)) if M.exists(spark, part := f"{work}/_files/job={job}") else None
+            else:
+                own = _keyed(files, F.broadcast(made.where(F.col("chunk_id").isin(ids)).select("directory_accession", "chunk_id")))
+            if own is not None:  # chunks of empty directories have no files
+                _parse(own, ids, into, snapshot)
             for i in ids:
                 if M.exists(spark, part := f"{into}/chunk_id={i}"):
                     M.commit(spark, part, f"{work}/parsed/chunk_id={i}")
@@ -96,20 +124,22 @@ def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_
             spark.createDataFrame([(i, int(error is not None), began, ended, attempts, row) for i in ids], LEDGER).coalesce(1).write.parquet(staged)
         return error
 
-    last = -1
-    while True:
-        todo = S.pending(chunks, ledger(spark, work)).where(F.col("number") > last).orderBy("number").limit(at_once).collect()
-        if not todo:
-            break
-        last, ids = todo[-1]["number"], [r["chunk_id"] for r in todo]
-        if len(ids) == 1 or attempt(ids, 1) is not None:
+    todo = [r["chunk_id"] for r in S.pending(chunks, ledger(spark, work)).orderBy("number").collect()]  # a row a chunk
+    jobs = [todo[k : k + at_once] for k in range(0, len(todo), at_once)]
+    shape = _keyed(files, made.select("directory_accession", "chunk_id")).schema
+    M.delete(spark, f"{work}/_files")
+    if len(jobs) > 1:
+        _deal(files, made, jobs, f"{work}/_files")
+    for job, ids in enumerate(jobs):
+        if len(ids) == 1 or attempt(ids, 1, job) is not None:
             for i in ids:
-                if not any(attempt([i], k + 1) is None for k in range(1 + retries)):
+                if not any(attempt([i], k + 1, job) is None for k in range(1 + retries)):
                     failed.append(i)
+    M.delete(spark, f"{work}/_files")
     if failed:
         raise Incomplete(f"failed chunks: {', '.join(failed[:20])}{' ...' if len(failed) > 20 else ''}")
     M.delete(spark, f"{work}/_parsing")
-    shape = P.parsed(files.where("false") if "content" in files.columns else T.contents(files.where("false")), snapshot, with_paths=True).schema.add("chunk_id", "string")
+    parsed_shape = P.parsed(files.where("false") if "content" in files.columns else T.contents(files.where("false")), snapshot, with_paths=True).schema.add("chunk_id", "string")
     if not M.exists(spark, f"{work}/parsed"):
-        return spark.createDataFrame([], shape)
-    return spark.read.schema(shape).parquet(f"{work}/parsed")
+        return spark.createDataFrame([], parsed_shape)
+    return spark.read.schema(parsed_shape).parquet(f"{work}/parsed")
