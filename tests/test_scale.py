@@ -125,3 +125,27 @@ def test_ingested_edges_are_kept_without_ids(spark, tmp_path):
     rows = lambda d: sorted(str(x) for x in d.select(*want.columns).collect())
     assert rows(Q.E.relation_index(spark, str(tmp_path))) == rows(want)
     assert all(".zstd" in f for _, _, found in os.walk(tmp_path) for f in found if f.endswith(".parquet"))
+
+
+def test_inventory_exchanges_entities_once_for_all_their_paths(spark):
+    """An entity in several files, by other paths there, counts once a path; files are parsed once."""
+    body = lambda *inner: bytearray(f"<SAMPLE_SET>{''.join(inner)}</SAMPLE_SET>".encode())
+    a, b, more = '<SAMPLE accession="A"><TITLE>t</TITLE></SAMPLE>', '<SAMPLE accession="B"/>', '<SAMPLE accession="A"><TITLE/><X y="1"/></SAMPLE>'
+    rows = [(f"/x/{d}/{d}.sample.xml", c, len(c)) for d, c in (("D1", body(a, b)), ("D2", body(more)), ("D3", body(a, more)), ("D4", body()), ("D5", bytearray()))]
+    files = spark.createDataFrame(rows, "path string, content binary, length long").withColumn("modificationTime", F.current_timestamp())
+    files = files.unionByName(xml_files(spark, DATA, "sample", "experiment", "broken"))
+    sets = P.path_sets(P.parsed(files, "s", with_paths=True)).localCheckpoint()
+    text = lambda d: sorted(str(r) for r in d.collect())
+    got = I.inventory_of_sets(sets, P.path_counts(sets))
+    assert text(got) == text(I.merged_inventory(P.path_counts(sets)))
+    covered = {r["path_abs"]: r["entity_coverage_count"] for r in got.where("root_tag = 'SAMPLE_SET'").collect()}
+    assert covered["/SAMPLE_SET/SAMPLE/X"] == 1 and covered["/SAMPLE_SET/SAMPLE/TITLE"] == 1
+    samples = sets.where("xml_kind = 'sample' and size(entities) > 100").selectExpr("file_id", "size(paths) as n").collect()
+    assert all(r["n"] > 5 for r in samples) and len({r["file_id"] for r in samples}) == len(samples)
+
+
+def test_inventory_parses_files_once(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["a26_path_inventory"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan

@@ -60,7 +60,7 @@ def _tables(files: DataFrame, out: str, final: str, work: str, snapshot: str, su
         raw = put(f"{kind}_core_raw", P.core(records, kind.upper()))
         put(f"{kind}_core", raw)
     attributes = put("sample_attribute_core", P.sample_attributes(records))
-    put("xml_path_inventory", I.merged_inventory(P.path_counts(parsed)))
+    put("xml_path_inventory", I.inventory_of_sets(P.path_sets(parsed), P.path_counts(parsed).drop("entities")))
     put("parse_qc_summary", I.parse_qc(found))
     put("entity_qc_summary", I.entity_qc(records))
     put("relation_closure_qc", I.closure_gate(I.closure_qc(relations)))
