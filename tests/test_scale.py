@@ -149,3 +149,26 @@ def test_inventory_parses_files_once(spark):
 
     plan = queries()["a26_path_inventory"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan
+
+
+def test_one_parse_gives_records_and_files(spark):
+    parsed = P.parsed(xml_files(spark, DATA, "sample", "study", "broken"), "s").localCheckpoint()
+    both = P.stripped(P.records_with_files(parsed)).localCheckpoint()
+    rows = lambda d: sorted(str(r) for r in d.collect())
+    assert rows(P.files_of(both)) == rows(P.file_index(parsed)) and P.files_of(both).columns == P.file_index(parsed).columns
+    assert parsed.where("entity_count = 0").count() > 0
+    records = P.restored(P.only_records(both))
+    assert records.columns == P.entity_records(parsed).columns and rows(records) == rows(P.entity_records(parsed))
+
+
+def test_validation_makes_tables_of_drawn_files_only(spark, monkeypatch):
+    """A kind is parsed once for records and files, and edges are made of the drawn files' records."""
+    from __spark_entry__ import queries
+
+    monkeypatch.setattr(Q, "_STORES", {})
+    parsed, edges, parse, relations = [], [], Q._parsed, I.relations
+    monkeypatch.setattr(Q, "_parsed", lambda s, d, *kinds, **more: parsed.extend(kinds) or parse(s, d, *kinds, **more))
+    monkeypatch.setattr(Q, "_file_index", lambda s, d, *kinds: parsed.extend(kinds) or P.file_index(parse(s, d, *kinds)))
+    monkeypatch.setattr(Q.I, "relations", lambda r: edges.append(r.select("file_id").distinct().count()) or relations(r))
+    assert queries()["a29_accuracy_metrics"](spark, DATA).count() == 4
+    assert sorted(parsed) == sorted(Q.ALL) and edges == [40]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,17 +51,19 @@ def _multiset(found: DataFrame, name: str, metric: str) -> DataFrame:
     return found.agg(n(F.col("matched") + F.col("missing") + F.col("extra")).alias("checks"), n("matched").alias("matches"), n("missing").alias("missing_rows"), n("extra").alias("extra_rows")).select(F.lit(name).alias("table"), F.lit(None).cast("string").alias("column"), F.lit(metric).alias("metric"), "checks", "matches", "missing_rows", "extra_rows", F.lit(0).cast("long").alias("mismatches"))
 
 
-def compared(files: DataFrame, file_index: DataFrame, tables: dict[str, DataFrame], snapshot: str, work: str, n: int = 1_000, seed: int | str = 42, abnormal: int | None = None) -> DataFrame:
+def compared(files: DataFrame, file_index: DataFrame, tables: dict[str, DataFrame] | Callable[[DataFrame], dict[str, DataFrame]], snapshot: str, work: str, n: int = 1_000, seed: int | str = 42, abnormal: int | None = None) -> DataFrame:
     """The rows of ``fields`` for all core tables, and one for the edges and one for the attributes.
 
-    ``files`` has path and content, ``tables`` core tables, relation_index and sample_attribute_core by name. The drawn
-    files are written below ``work`` once, then read by kind.
+    ``files`` has path and content, ``tables`` core tables, relation_index and sample_attribute_core by name, or makes
+    them of the drawn files (file_id), so that tables that are no files needn't be made whole. The drawn files are
+    written below ``work`` once, then read by kind.
     """
     spark = files.sparkSession
     drawn(file_index, n, seed, abnormal).distinct().write.parquet(f"{work}/drawn")
     chosen = spark.read.parquet(f"{work}/drawn")
     _own(files.select("path", "content", B.file_id(snapshot)), chosen).write.parquet(f"{work}/files")
     own = spark.read.parquet(f"{work}/files")
+    tables = tables(chosen) if callable(tables) else tables
     again = {k: B.reread(own, snapshot, k) for k in B.KINDS}
     edges = reduce(DataFrame.union, [B.edges(again[k], k) for k in B.KINDS if k in B.EDGES])
     out = fields(again, tables, chosen)

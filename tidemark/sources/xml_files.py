@@ -446,6 +446,7 @@ def read_xml_tree(spark: SparkSession, *roots: str) -> DataFrame:
 # --- tables from parsed files ----------------------------------------------------------------------------------
 
 _KEYS = ("source_snapshot_id", "file_id", "directory_id", "directory_accession", "xml_kind", "root_tag")
+_FILE = ("source_snapshot_id", "file_id", "directory_id", "directory_accession", "xml_kind", "xml_kind_from_filename", "xml_kind_from_root_tag", "xml_kind_consistency_status", "file_name", "relative_file_path", "absolute_file_path", "file_size", "mtime", "parse_status", "root_tag", "root_entity_set_type", "entity_count", "error_type", "error_message", "parser_warning_count")
 
 
 def file_index(parsed_files: DataFrame) -> DataFrame:
@@ -478,7 +479,30 @@ def restored(kept: DataFrame) -> DataFrame:
 
 def entity_records(parsed_files: DataFrame) -> DataFrame:
     """The entity record index, with ``fields`` and ``attributes`` besides."""
-    e = parsed_files.select(*_KEYS, F.explode("entities").alias("e"))
+    return _records(parsed_files.select(*_KEYS, F.explode("entities").alias("e")))
+
+
+def records_with_files(parsed_files: DataFrame) -> DataFrame:
+    """``entity_records`` and, in the first row of each file, ``file``, the rest of its row of the file index, so that one parse gives both.
+
+    A file without entities has one row, which is no record; ``only_records`` and ``files_of`` take the parts out again.
+    """
+    rest = F.struct(*[c for c in file_index(parsed_files).columns if c not in _KEYS])
+    e = parsed_files.select(*_KEYS, rest.alias("file"), F.posexplode_outer("entities").alias("at", "e"))
+    return _records(e.withColumn("file", F.when(F.coalesce("at", F.lit(0)) == 0, F.col("file"))), "file")
+
+
+def only_records(both: DataFrame) -> DataFrame:
+    return both.where(F.col("entity_type").isNotNull()).drop("file")
+
+
+def files_of(both: DataFrame) -> DataFrame:
+    """The file index from ``records_with_files``."""
+    rest = both.schema["file"].dataType.names
+    return both.where(F.col("file").isNotNull()).select(*[F.col(f"file.{c}" if c in rest else c) for c in _FILE])
+
+
+def _records(e: DataFrame, *others: str) -> DataFrame:
     empty = lambda c: F.nullif(F.col(f"e.{c}"), F.lit("")).alias(c)
     ok = F.col("e.accession") != ""
     return e.select(
@@ -497,6 +521,7 @@ def entity_records(parsed_files: DataFrame) -> DataFrame:
         F.when(ok, "ok").otherwise("missing_accession").alias("parse_status"),
         F.col("e.fields").alias("fields"),
         F.col("e.attributes").alias("attributes"),
+        *others,
     )
 
 
