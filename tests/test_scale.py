@@ -172,3 +172,12 @@ def test_validation_makes_tables_of_drawn_files_only(spark, monkeypatch):
     monkeypatch.setattr(Q.I, "relations", lambda r: edges.append(r.select("file_id").distinct().count()) or relations(r))
     assert queries()["a29_accuracy_metrics"](spark, DATA).count() == 4
     assert sorted(parsed) == sorted(Q.ALL) and edges == [40]
+
+
+def test_entities_become_columns_without_dictionaries():
+    """An entity is one tuple and its names come from its kind: a parse makes no dictionary for each of them."""
+    root = P.ET.fromstring('<S><a:RUN xmlns:a="u" accession="R"><EXPERIMENT_REF accession=" X "/></a:RUN><ANALYSIS lab_name="l"><PRIMARY_ID>A</PRIMARY_ID></ANALYSIS></S>')
+    found = P._entities(root)
+    assert found == [("RUN", 1, "R", "@accession", "", "", "", ("X",), ()), ("ANALYSIS", 1, "A", "PRIMARY_ID", "", "A", "", ("", "l", ""), ())]
+    names = [P._FIELDS.get(e[0], P._OTHER) for e in found]
+    assert [len(n) for n in names] == [len(e[7]) for e in found]

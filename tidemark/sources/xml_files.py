@@ -6,7 +6,6 @@ are data, never failures of the job. Names are compared without namespace; "firs
 
 from __future__ import annotations
 
-import functools
 import io
 import itertools
 import xml.etree.ElementTree as ET
@@ -28,13 +27,21 @@ PATH = "array<struct<entities: array<string>, paths: array<struct<entity_type: s
 TREE = 4 << 20
 
 
-@functools.lru_cache(4_096)
-def _local(tag) -> str:
-    return tag.rpartition("}")[2] if isinstance(tag, str) else ""
+class _Names(dict):
+    """Tags without namespace by tag; a look into a dictionary is the cheapest of all, and there is one for each element."""
+
+    def __missing__(self, tag) -> str:
+        if len(self) >= 4_096:
+            self.clear()
+        self[tag] = name = tag.rpartition("}")[2] if isinstance(tag, str) else ""
+        return name
+
+
+_LOCAL = _Names()
 
 
 def _name(node: ET.Element) -> str:
-    return _local(node.tag)
+    return _LOCAL[node.tag]
 
 
 def _clean(text: str | None) -> str:
@@ -52,11 +59,12 @@ class _Element:
     def __init__(self, node: ET.Element):
         self.node = node
         self.first = first = {}
-        below = node.iter()
-        next(below)
-        for x in below:
-            if (name := _local(x.tag)) not in first:
-                first[name] = x
+        if len(node):
+            below = node.iter()
+            next(below)
+            for x in below:
+                if (name := _LOCAL[x.tag]) not in first:
+                    first[name] = x
 
     def attribute(self, name: str) -> str:
         return _clean(self.node.get(name))
@@ -92,37 +100,51 @@ def _accession(e: _Element) -> tuple[str, str]:
     return found, "PRIMARY_ID" if found else ""
 
 
-def _fields(kind: str, e: _Element) -> dict[str, str]:
+#: The fields of each kind, in the order of ``_fields``.
+_FIELDS = {
+    "RUN": ("experiment_accession",),
+    "EXPERIMENT": ("library_strategy", "library_source", "library_selection", "title", "design_description", "sample_accession", "study_accession", "platform", "instrument_model", "library_layout", "center_name"),
+    "SAMPLE": ("bio_sample_id", "bioproject_id", "taxon_id", "scientific_name"),
+    "STUDY": ("bioproject_id", "bioproject_by", "study_type", "study_title"),
+}
+_OTHER = ("center_name", "lab_name", "title")
+
+
+def _fields(kind: str, e: _Element) -> tuple[str, ...]:
     if kind == "RUN":
-        return {"experiment_accession": e.of("EXPERIMENT_REF", "accession")}
+        return (e.of("EXPERIMENT_REF", "accession"),)
     if kind == "EXPERIMENT":
         platform = e.children("PLATFORM")
         model = next((m for c in platform if (m := _clean(c.get("instrument_model")))), "") or e.text("INSTRUMENT_MODEL")
         layout = e.children("LIBRARY_LAYOUT")
         text = e.text
-        return {"library_strategy": text("LIBRARY_STRATEGY"), "library_source": text("LIBRARY_SOURCE"), "library_selection": text("LIBRARY_SELECTION"), "title": text("TITLE"), "design_description": text("DESIGN_DESCRIPTION"), "sample_accession": e.of("SAMPLE_DESCRIPTOR", "accession"), "study_accession": e.of("STUDY_REF", "accession"), "platform": _name(platform[0]) if platform else "", "instrument_model": model, "library_layout": _name(layout[0]) if layout else "", "center_name": e.attribute("center_name")}
+        return text("LIBRARY_STRATEGY"), text("LIBRARY_SOURCE"), text("LIBRARY_SELECTION"), text("TITLE"), text("DESIGN_DESCRIPTION"), e.of("SAMPLE_DESCRIPTOR", "accession"), e.of("STUDY_REF", "accession"), _name(platform[0]) if platform else "", model, _name(layout[0]) if layout else "", e.attribute("center_name")
     if kind == "SAMPLE":
-        return {"bio_sample_id": e.external("BioSample"), "bioproject_id": e.linked("bioproject"), "taxon_id": e.text("TAXON_ID"), "scientific_name": e.text("SCIENTIFIC_NAME")}
+        return e.external("BioSample"), e.linked("bioproject"), e.text("TAXON_ID"), e.text("SCIENTIFIC_NAME")
     if kind == "STUDY":
         own, other = e.external("BioProject"), e.linked("bioproject")
-        return {"bioproject_id": own or other, "bioproject_by": "EXTERNAL_ID" if own else "XREF_LINK", "study_type": e.text("STUDY_TYPE") or e.of("STUDY_TYPE", "existing_study_type"), "study_title": e.text("STUDY_TITLE")}
-    return {"center_name": e.attribute("center_name"), "lab_name": e.attribute("lab_name"), "title": e.text("TITLE")}
+        return own or other, "EXTERNAL_ID" if own else "XREF_LINK", e.text("STUDY_TYPE") or e.of("STUDY_TYPE", "existing_study_type"), e.text("STUDY_TITLE")
+    return e.attribute("center_name"), e.attribute("lab_name"), e.text("TITLE")
 
 
 _KINDS = frozenset(ENTITY_TYPES)
 
 
-def _entities(root: ET.Element, seen: dict[str, int] | None = None) -> list[dict]:
-    """The entities of ``root`` in document order, numbered by kind from those ``seen`` on."""
+def _entities(root: ET.Element, seen: dict[str, int] | None = None) -> list[tuple]:
+    """The entities of ``root`` in document order, numbered by kind from those ``seen`` on.
+
+    Each has entity type, ordinal, accession, its source, alias, primary id, submitter id, the values of ``_FIELDS``
+    and the attributes (tag, value): tuples, which become columns with far less work than dictionaries.
+    """
     seen = {} if seen is None else seen
     out = []
     for node in root.iter():
-        if (kind := _local(node.tag)) in _KINDS:
+        if (kind := _LOCAL[node.tag]) in _KINDS:
             e = _Element(node)
             accession, source = _accession(e)
-            seen[kind] = seen.get(kind, 0) + 1
-            attributes = [{"tag": a.text("TAG"), "value": a.text("VALUE")} for x in node.iter() if _name(x) == "SAMPLE_ATTRIBUTE" for a in [_Element(x)]] if kind == "SAMPLE" and "SAMPLE_ATTRIBUTE" in e.first else []
-            out.append({"entity_type": kind, "ordinal": seen[kind], "accession": accession, "accession_source": source, "alias": e.attribute("alias"), "primary_id": e.text("PRIMARY_ID"), "submitter_id": e.text("SUBMITTER_ID"), "fields": list(_fields(kind, e).items()), "attributes": attributes})
+            seen[kind] = ordinal = seen.get(kind, 0) + 1
+            attributes = [(a.text("TAG"), a.text("VALUE")) for x in node.iter() if _name(x) == "SAMPLE_ATTRIBUTE" for a in [_Element(x)]] if kind == "SAMPLE" and "SAMPLE_ATTRIBUTE" in e.first else ()
+            out.append((kind, ordinal, accession, source, e.attribute("alias"), e.text("PRIMARY_ID"), e.text("SUBMITTER_ID"), _fields(kind, e), attributes))
     return out
 
 
@@ -194,23 +216,30 @@ class _Paths:
         todo = [(root, self._step(None, path or f"/{_name(root)}", _name(root)), None, None)]
         while todo:
             node, step, kind, accession = todo.pop()
-            value = _whole(node)
-            _count(step.counts, accession, value, len(value))
-            for k, v in node.attrib.items():
+            inside = len(node)
+            value = _whole(node) if inside else node.text
+            if value:
+                value = value if inside else " ".join(value.split())
+                _count(step.counts, accession, value, len(value))
+            else:  # most elements have no text
+                step.counts[0] += 1
+                if accession is not None:
+                    step.counts[4].add(accession)
+            for k, v in node.items():
                 own = step.own.get(k)
                 if own is None:
                     own = step.own[k] = self._counts(kind, f"{step.path}/@{k.rpartition('}')[2]}", True)
                 value = _clean(v)
                 _count(own, accession, value, len(value))
-            if not len(node):
+            if not inside:
                 continue
-            if _local(node.tag) in _KINDS:
+            if _LOCAL[node.tag] in _KINDS:
                 accession = _clean(node.get("accession")) or _accession(_Element(node))[0] or accession
             inner, below = step.inner, step.below
             for x in node:
                 tag = x.tag
                 if tag not in below:
-                    name = _local(tag)
+                    name = _LOCAL[tag]
                     below[tag] = self._step(inner, f"{step.path}/{name}", name) if name else None
                 if (to := below[tag]) is not None:
                     todo.append((x, to, inner, accession))
@@ -299,7 +328,7 @@ def _node_rows(root: ET.Element, names: frozenset[str] | None = None) -> Iterato
     below: dict[tuple, str] = {}
     while todo:
         node, path, kind, accession = todo.pop()
-        name = _local(node.tag)
+        name = _LOCAL[node.tag]
         if every or name in names:
             value = _whole(node)
             if every or value:
@@ -315,7 +344,7 @@ def _node_rows(root: ET.Element, names: frozenset[str] | None = None) -> Iterato
         if name in _KINDS:
             kind, accession = name, _clean(node.get("accession")) or _accession(_Element(node))[0] or accession
         for x in reversed(node):
-            if tag := _local(x.tag):
+            if tag := _LOCAL[x.tag]:
                 to = below.get((path, tag)) or below.setdefault((path, tag), f"{path}/{tag}")
                 todo.append((x, to, kind, accession))
 
@@ -339,16 +368,16 @@ def _listed(lists: list[list], kind: pa.ListType) -> pa.ListArray:
     return pa.ListArray.from_arrays(_offsets(lists), _struct([x for of in lists for x in of], kind.value_type), type=kind)
 
 
-def _entity_lists(lists: list[list[dict]], kind: pa.ListType) -> pa.ListArray:
+def _entity_lists(lists: list[list[tuple]], kind: pa.ListType) -> pa.ListArray:
     """Lists of entities, as ``_entities`` gives them, by column."""
     every = [e for of in lists for e in of]
     of = kind.value_type
-    columns = [pa.array([e[name] for e in every], type_) for name, type_ in [(f.name, f.type) for f in of][:-2]]
-    fields = [e["fields"] for e in every]
-    pairs = [p for f in fields for p in f]
-    mapped = pa.MapArray.from_arrays(_offsets(fields), pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], pa.string()))
-    attributes = _listed([[(a["tag"], a["value"]) for a in e["attributes"]] for e in every], of.field("attributes").type)
-    return pa.ListArray.from_arrays(_offsets(lists), pa.StructArray.from_arrays([*columns, mapped.cast(of.field("fields").type), attributes], fields=list(of)), type=kind)
+    *plain, fields, attributes = zip(*every, strict=True) if every else [()] * of.num_fields
+    columns = [pa.array(c, of.field(i).type) for i, c in enumerate(plain)]
+    names = [n for e in every for n in _FIELDS.get(e[0], _OTHER)]
+    mapped = pa.MapArray.from_arrays(_offsets(fields), pa.array(names, pa.string()), pa.array([v for f in fields for v in f], pa.string()))
+    tagged = _listed(attributes, of.field("attributes").type)
+    return pa.ListArray.from_arrays(_offsets(lists), pa.StructArray.from_arrays([*columns, mapped.cast(of.field("fields").type), tagged], fields=list(of)), type=kind)
 
 
 def parsed(files: DataFrame, snapshot: str, with_nodes: bool | tuple[str, ...] = False, largest: int | None = None, keep: tuple[str, ...] = (), with_paths: bool = False, with_entities: bool = True) -> DataFrame:
@@ -374,7 +403,7 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool | tuple[str, ...] =
             if with_nodes or len(content) <= TREE:
                 root = ET.fromstring(content)
                 entities = _entities(root) if with_entities else []
-                count = len(entities) if with_entities else sum(_local(x.tag) in _KINDS for x in root.iter())
+                count = len(entities) if with_entities else sum(_LOCAL[x.tag] in _KINDS for x in root.iter())
                 if paths is not None:
                     paths.tree(root)
             else:
