@@ -3,6 +3,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators import chunks as K
 from tidemark.operators import index as I
@@ -181,3 +182,20 @@ def test_entities_become_columns_without_dictionaries():
     assert found == [("RUN", 1, "R", "@accession", "", "", "", ("X",), ()), ("ANALYSIS", 1, "A", "PRIMARY_ID", "", "A", "", ("", "l", ""), ())]
     names = [P._FIELDS.get(e[0], P._OTHER) for e in found]
     assert [len(n) for n in names] == [len(e[7]) for e in found]
+
+
+def test_entities_of_a_large_file_become_columns_piece_by_piece(spark, monkeypatch):
+    """Python's objects are of so many entities at most, however many a file has; rows and numbers are those of its tree."""
+    monkeypatch.setattr(P, "HELD", 7)
+    held, make = [], P._entity_struct
+    monkeypatch.setattr(P, "_entity_struct", lambda found, of: held.append(len(found)) or make(found, of))
+    kind = to_arrow_schema(spark.createDataFrame([], f"e {P.ENTITY}").schema).field("e").type
+    for content in xml_files(spark, DATA, "sample", "study", "experiment").limit(6).toPandas()["content"]:
+        tree = P._entities(P.ET.fromstring(bytes(content)))
+        held.clear()
+        root, pieces, count = P._in_columns(P.pa.py_buffer(content), None, kind.value_type)
+        entities = P.pa.concat_arrays(pieces)
+        assert max(held) <= 7 and sum(held) == count == len(tree) and root.tag == P.ET.fromstring(bytes(content)).tag
+        assert P._entity_lists([entities], kind).to_pylist() == P._entity_lists([tree], kind).to_pylist()
+        assert P._entity_lists([entities, tree[:2]], kind).to_pylist() == P._entity_lists([tree, tree[:2]], kind).to_pylist()
+        assert P._in_columns(bytes(content), None, None)[1:] == ([], count)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import io
 import itertools
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +25,8 @@ NODE = "array<struct<entity_type: string, accession: string, path: string, is_at
 PATH = "array<struct<entities: array<string>, paths: array<struct<entity_type: string, path: string, is_attribute: boolean, nodes: long, filled: long, longest: long, accession: string, value: string, cut: boolean>>>>"
 #: Bytes of a file up to which its tree is held as a whole; larger files are read an outermost entity at a time.
 TREE = 4 << 20
+#: Entities of such a larger file that are held as Python's objects; then they become columns, which take a fraction.
+HELD = 10_000
 
 
 class _Names(dict):
@@ -251,13 +253,14 @@ class _Paths:
         return [{"entities": sorted(s), "paths": of} for s, of in sets.items()]
 
 
-def _streamed(content: bytes, paths: _Paths | None = None) -> tuple[ET.Element, list[dict]]:
+def _streamed(content: bytes | pa.Buffer, paths: _Paths | None = None, full: Callable[[list[tuple]], None] | None = None) -> tuple[ET.Element, list[tuple]]:
     """The root, without what it held, and the entities as ``_entities`` gives them; only one outermost entity's tree is held at a time.
 
-    ``paths`` gets the counts of all nodes, as ``_nodes`` gives them.
+    ``paths`` gets the counts of all nodes, as ``_nodes`` gives them. ``full`` gets the entities whenever there are ``HELD``
+    of them, and only those after the last call are returned.
     """
     seen: dict[str, int] = {}
-    out: list[dict] = []
+    out: list[tuple] = []
     around: list[tuple[ET.Element, str, _Text]] = []
     last: ET.Element | None = None  # the child that ended last; its tail comes with the next event
     inside = 0
@@ -268,7 +271,7 @@ def _streamed(content: bytes, paths: _Paths | None = None) -> tuple[ET.Element,
                 for _, _, text in around:
                     text.add(piece)
 
-    for event, node in ET.iterparse(io.BytesIO(content), ("start", "end")):
+    for event, node in ET.iterparse(io.BytesIO(content) if isinstance(content, bytes) else pa.BufferReader(content), ("start", "end")):
         entity = _name(node) in ENTITY_TYPES
         if event == "start":
             if not inside:
@@ -284,6 +287,9 @@ def _streamed(content: bytes, paths: _Paths | None = None) -> tuple[ET.Element,
             continue
         if entity:
             out += _entities(node, seen)
+            if full is not None and len(out) >= HELD:
+                full(out)
+                out = []
             if paths is not None:
                 paths.tree(node, f"{around[-1][1] if around else ''}/{_name(node)}")
                 pieces(*node.itertext())
@@ -353,7 +359,7 @@ def _nodes(root: ET.Element) -> list[dict]:
     return [dict(zip(("entity_type", "accession", "path", "is_attribute", "value"), r, strict=True)) for r in _node_rows(root)]
 
 
-def _offsets(lists: list[list]) -> pa.Array:
+def _offsets(lists: list) -> pa.Array:
     return pa.array([0, *itertools.accumulate(map(len, lists))], pa.int32())
 
 
@@ -368,16 +374,37 @@ def _listed(lists: list[list], kind: pa.ListType) -> pa.ListArray:
     return pa.ListArray.from_arrays(_offsets(lists), _struct([x for of in lists for x in of], kind.value_type), type=kind)
 
 
-def _entity_lists(lists: list[list[tuple]], kind: pa.ListType) -> pa.ListArray:
-    """Lists of entities, as ``_entities`` gives them, by column."""
-    every = [e for of in lists for e in of]
-    of = kind.value_type
+def _entity_struct(every: list[tuple], of: pa.StructType) -> pa.StructArray:
+    """Entities, as ``_entities`` gives them, by column."""
     *plain, fields, attributes = zip(*every, strict=True) if every else [()] * of.num_fields
     columns = [pa.array(c, of.field(i).type) for i, c in enumerate(plain)]
     names = [n for e in every for n in _FIELDS.get(e[0], _OTHER)]
     mapped = pa.MapArray.from_arrays(_offsets(fields), pa.array(names, pa.string()), pa.array([v for f in fields for v in f], pa.string()))
     tagged = _listed(attributes, of.field("attributes").type)
-    return pa.ListArray.from_arrays(_offsets(lists), pa.StructArray.from_arrays([*columns, mapped.cast(of.field("fields").type), tagged], fields=list(of)), type=kind)
+    return pa.StructArray.from_arrays([*columns, mapped.cast(of.field("fields").type), tagged], fields=list(of))
+
+
+def _entity_lists(lists: list[list[tuple] | pa.StructArray], kind: pa.ListType) -> pa.ListArray:
+    """A list for each file: of its entities as ``_entities`` gives them, or as columns already."""
+    if len(lists) == 1 and isinstance(lists[0], pa.StructArray):
+        every = lists[0]
+    elif any(isinstance(of, pa.StructArray) for of in lists):
+        every = pa.concat_arrays([of if isinstance(of, pa.StructArray) else _entity_struct(of, kind.value_type) for of in lists])
+    else:
+        every = _entity_struct([e for of in lists for e in of], kind.value_type)
+    return pa.ListArray.from_arrays(_offsets(lists), every, type=kind)
+
+
+def _in_columns(content: bytes | pa.Buffer, paths: _Paths | None, of: pa.StructType | None) -> tuple[ET.Element, list[pa.StructArray], int]:
+    """The root, the entities by column in pieces (without ``of``: none) and their number, read as ``_streamed`` does.
+
+    Python holds ``HELD`` entities and an outermost one's at once, however many the file has.
+    """
+    pieces: list = []
+    add = lambda found: pieces.append(len(found) if of is None else _entity_struct(found, of))
+    root, rest = _streamed(content, paths, add)
+    add(rest)
+    return (root, [], sum(pieces)) if of is None else (root, pieces, sum(map(len, pieces)))
 
 
 def parsed(files: DataFrame, snapshot: str, with_nodes: bool | tuple[str, ...] = False, largest: int | None = None, keep: tuple[str, ...] = (), with_paths: bool = False, with_entities: bool = True) -> DataFrame:
@@ -393,26 +420,28 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool | tuple[str, ...] =
 
     names_of = frozenset(with_nodes) if isinstance(with_nodes, tuple) else None
 
-    def one(content: bytes | None, length: int) -> tuple:
+    def one(content: pa.Buffer | None, length: int) -> tuple:
         if largest is not None and length > largest:
             return "oversized_xml", "unknown", "oversized_xml", None, 0, [], [], []
         if not content:
             return "empty_file", "unknown", "xml_syntax", None, 0, [], [], []
         paths = _Paths() if with_paths else None
+        entities, pieces = [], []
         try:
             if with_nodes or len(content) <= TREE:
-                root = ET.fromstring(content)
+                root = ET.fromstring(content.to_pybytes())
                 entities = _entities(root) if with_entities else []
                 count = len(entities) if with_entities else sum(_LOCAL[x.tag] in _KINDS for x in root.iter())
                 if paths is not None:
                     paths.tree(root)
             else:
-                root, entities = _streamed(content, paths)
-                entities, count = entities if with_entities else [], len(entities)
+                root, pieces, count = _in_columns(content, paths, entity if with_entities else None)
         except ET.ParseError as e:
             return "xml_parse_error", "unknown", "xml_syntax", str(e), 0, [], [], []
         except (ValueError, LookupError) as e:
             return "xml_parse_error", "unknown", "encoding", str(e), 0, [], [], []
+        if pieces:
+            entities = pa.concat_arrays(pieces)
         known = _name(root) in X.ROOT_OF_KIND.values()
         return "ok" if known else "unsupported_root", _name(root), "none" if known else "unexpected_root", None, count, entities, list(_node_rows(root, names_of)) if with_nodes else [], paths.rows() if paths else []
 
@@ -428,7 +457,7 @@ def parsed(files: DataFrame, snapshot: str, with_nodes: bool | tuple[str, ...] =
         for b in batches:
             for k, n in _slices([len(c.as_buffer()) if c.is_valid else 0 for c in b.column(3)]):
                 p = b.slice(k, n)
-                rows = [one(c.as_py(), n.as_py()) for c, n in zip(p.column(3), p.column(2), strict=True)]
+                rows = [one(c.as_buffer(), n.as_py()) for c, n in zip(p.column(3), p.column(2), strict=True)]
                 columns = [make(list(c), t) for c, t, make in zip(zip(*rows, strict=True), types, makers, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(p.column(i) for i in (0, 1, 2)), *columns, *p.columns[4:]], names=["path", "mtime", "file_size", *names, *keep])
 
