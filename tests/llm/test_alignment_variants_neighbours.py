@@ -9,9 +9,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 
-from tidemark.llm import hamming_index, spelling, token_links
+from tidemark.llm import common, hamming_index, spelling, token_links
 
 # --- alignment
 
@@ -90,6 +91,26 @@ def test_blocks_of_alignment(tokenizers):
     assert all(al.bytes_a[i] == bytes(table[c] for c in t) for t, i in a.get_vocab().items() if t != "<|endoftext|>")
 
 
+def test_a_block_is_a_row_group(frame, tokenizers, monkeypatch):
+    """Arrays of a row group's rows are decoded together, so a task that reads blocks must not hold those of a whole file."""
+    kept = []
+
+    def written(*a, **b):
+        d = common.written(*a, **b)
+        if "refs" in d.columns:
+            metas = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in d.inputFiles()]
+            kept.extend([m.row_group(k).num_rows for k in range(m.num_row_groups)] for m in metas)
+        return d
+
+    monkeypatch.setattr(token_links, "BLOCK", 40)
+    monkeypatch.setattr(token_links, "written", written)
+    rows = [(k, f"{t or ''} and some more words {k}") for k, t in enumerate(ALIGNED)]
+    d = token_links.op12_token_links(frame(rows).coalesce(1))
+    got = sorted(tuple(x) for x in d.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect())
+    assert got == plain_alignment(rows, tokenizers)
+    assert max(map(len, kept)) > 3 and all(n == 1 for groups in kept for n in groups)
+
+
 # --- spelling variants
 
 

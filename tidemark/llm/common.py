@@ -65,11 +65,11 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def written(df: DataFrame, outer: bool = False) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: cuts lineage and survives lost executors."""
+def written(df: DataFrame, outer: bool = False, options: dict[str, str | int] | None = None) -> DataFrame:
+    """``df`` written as Parquet, with the writer's ``options``, in the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     scopes = _SCOPES.get()
     if len(scopes) > outer:
         scopes[-1 - outer].append(path)

@@ -30,6 +30,9 @@ from tidemark.llm.common import id_and_text, temporary, written
 
 #: Bytes of text after which a block of documents ends.
 BLOCK = 3 << 20
+#: A row group for each block: Spark decodes arrays of up to 4,096 rows of a row group at once, so a task that reads
+#: blocks would hold all of a file, and the more the larger the part of the input that made it.
+GROUPS = {"parquet.block.row.count.limit": 1}
 _LOW = (1 << 32) - 1
 
 
@@ -162,7 +165,7 @@ def aligned(docs: DataFrame, ranks_path: str, pattern: str, piece_path: str) ->
     spark = docs.sparkSession
     al = aligner(ranks_path, pattern, piece_path)
     with temporary(spark):
-        found = written(blocks(docs, ranks_path, pattern, piece_path))
+        found = written(blocks(docs, ranks_path, pattern, piece_path), options=GROUPS)
         counts = written(pair_counts(found))
         a = np.flatnonzero(al.same >= 0)
         ids = spark.createDataFrame(pa.table({"pair": a << 32 | al.same[a]}))  # no more than A's vocabulary
