@@ -199,3 +199,26 @@ def test_entities_of_a_large_file_become_columns_piece_by_piece(spark, monkeypat
         assert P._entity_lists([entities], kind).to_pylist() == P._entity_lists([tree], kind).to_pylist()
         assert P._entity_lists([entities, tree[:2]], kind).to_pylist() == P._entity_lists([tree, tree[:2]], kind).to_pylist()
         assert P._in_columns(bytes(content), None, None)[1:] == ([], count)
+
+
+def test_jobs_of_a_build_overlap(spark, tmp_path):
+    """What the driver does for a job must not keep the tasks of all others waiting."""
+    files = xml_files(spark, DATA, "sample", "run")
+    got = K.run(files, str(tmp_path), "s", chunk_size=2, at_once=3)
+    assert got.count() == files.count()
+    rows = K.ledger(spark, str(tmp_path)).collect()
+    times = sorted({(r["started_at"], r["finished_at"]) for r in rows})
+    assert all(r["exit_code"] == 0 and r["attempts"] == 1 for r in rows) and len(times) > 2
+    assert any(later[0] < former[1] for former, later in zip(times, times[1:]))
+    assert not any(p.name.startswith("_") for p in tmp_path.iterdir())
+
+
+def test_a_build_exchanges_edges_without_ids(spark, tmp_path):
+    """The ids are made after the join, and equal those made before it."""
+    records = P.entity_records(P.parsed(xml_files(spark, DATA, "sample", "study", "experiment", "run"), "s"))
+    entities = I.entity_index(P.stripped(records))
+    bare = I.closed_relations(I.bare_relations(records), entities)
+    assert not {"relation_id", "src_entity_record_id", "directory_id"} & set(bare.columns)
+    whole, plain = I.whole_relations(bare), I.closed_relations(I.relations(records), entities)
+    rows = lambda d: sorted(str(r) for r in d.select(*sorted(plain.columns)).collect())
+    assert sorted(whole.columns) == sorted(plain.columns) and rows(whole) == rows(plain)

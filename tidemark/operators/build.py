@@ -53,9 +53,9 @@ def _tables(files: DataFrame, out: str, final: str, work: str, snapshot: str, su
     chunks = put("chunk_manifest", S.chunk_manifest(manifest, chunk_size))
     directories = put("directory_index", I.directory_index(found, manifest))
     put("entity_record_index", records)
-    entities = put("entity_index", I.key_gate(I.entity_index(kept), *C.KEYS["entity_index"]))
+    entities = I.key_gate(put("entity_index", I.entity_index(kept)), *C.KEYS["entity_index"])  # of the written table: the index is made once
     externals = put("external_accession_index", I.external_ids(records))
-    relations = put("relation_index", I.closed_relations(I.relations(records), entities))
+    relations = put("relation_index", I.whole_relations(I.closed_relations(I.bare_relations(records), entities)))
     for kind in ("run", "experiment", "sample", "study"):
         raw = put(f"{kind}_core_raw", P.core(records, kind.upper()))
         put(f"{kind}_core", raw)

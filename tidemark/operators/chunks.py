@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from tidemark.sources import commit as M
 from tidemark.sources import trees as T
 from tidemark.sources import xml_files as P
 
+#: Jobs that run at the same time: the driver puts one's chunks in place while tasks parse another's.
+ABREAST = 4
 LEDGER = "chunk_id string, exit_code long, started_at timestamp_ntz, finished_at timestamp_ntz, attempts long, error string"
 
 
@@ -41,8 +44,9 @@ def plan(files: DataFrame, work: str, snapshot: str, chunk_size: int) -> DataFra
     own = files.select(F.element_at(F.split("path", "/"), -2).alias("directory_accession")).where("directory_accession is not null")
     if "directory_accession" in files.columns:  # a listing, which has empty directories too
         own = files.select("directory_accession")
-    own = own.distinct()
-    path = f"{work}/plan"
+    path, names = f"{work}/plan", f"{work}/_directories"
+    own.distinct().write.mode("overwrite").parquet(names)  # read several times; the files may be costly to make
+    own = spark.read.parquet(names)
     if not M.exists(spark, path):
         manifest = S.directory_manifest(own, snapshot).select("manifest_row_id", "directory_accession")
         number = F.floor(F.col("manifest_row_id") / chunk_size)
@@ -50,7 +54,9 @@ def plan(files: DataFrame, work: str, snapshot: str, chunk_size: int) -> DataFra
         with M.staging(spark, path) as staged:
             manifest.withColumn("number", number).join(chunks, "number").select("directory_accession", "chunk_id", "number").write.parquet(staged)
     made = spark.read.parquet(path)
-    if digest(made, "directory_accession") != digest(own, "directory_accession"):
+    same = digest(made, "directory_accession") == digest(own, "directory_accession")
+    M.delete(spark, names)
+    if not same:
         raise ValueError(f"{work} belongs to other directories")
     return made
 
@@ -90,19 +96,19 @@ def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_
     """Parses ``files`` by chunks of ``chunk_size`` directories and returns all parsed files, with their chunk_id.
 
     ``files`` has path, modificationTime, length, and content unless tasks shall read it; they are dealt to the jobs once,
-    and a job reads its own only. ``at_once`` chunks are one Spark job; each is then put in place and noted in the ledger by itself. If a job fails, its chunks are tried one by one,
+    and a job reads its own only. ``at_once`` chunks are one Spark job, and ``ABREAST`` jobs run at a time; each chunk is
+    then put in place and noted in the ledger by itself. If a job fails, its chunks are tried one by one,
     ``retries`` times more; one that still fails is noted with its error, and ``Incomplete`` is raised after the others
     are done. A call with the same ``work`` parses only chunks that no ledger row calls done.
     """
     spark = files.sparkSession
     made = plan(files, work, snapshot, chunk_size)
     chunks = made.select("chunk_id", "number").distinct()
-    failed: list[str] = []
 
     def attempt(ids: list[str], attempts: int, job: int) -> Exception | None:
         began = datetime.now(UTC).replace(tzinfo=None)
         error = None
-        into = f"{work}/_parsing"
+        into = f"{work}/_parsing/{job}"
         M.delete(spark, into)
         try:
             if M.exists(spark, f"{work}/_files"):
@@ -130,11 +136,16 @@ def run(files: DataFrame, work: str, snapshot: str, chunk_size: int = 5_000, at_
     M.delete(spark, f"{work}/_files")
     if len(jobs) > 1:
         _deal(files, made, jobs, f"{work}/_files")
-    for job, ids in enumerate(jobs):
-        if len(ids) == 1 or attempt(ids, 1, job) is not None:
-            for i in ids:
-                if not any(attempt([i], k + 1, job) is None for k in range(1 + retries)):
-                    failed.append(i)
+
+    def done(job: int) -> list[str]:
+        """The chunks of a job that failed."""
+        ids = jobs[job]
+        if len(ids) > 1 and attempt(ids, 1, job) is None:
+            return []
+        return [i for i in ids if not any(attempt([i], k + 1, job) is None for k in range(1 + retries))]
+
+    with ThreadPoolExecutor(ABREAST) as pool:
+        failed = [i for ids in pool.map(done, range(len(jobs))) for i in ids]
     M.delete(spark, f"{work}/_files")
     if failed:
         raise Incomplete(f"failed chunks: {', '.join(failed[:20])}{' ...' if len(failed) > 20 else ''}")
