@@ -222,3 +222,18 @@ def test_a_build_exchanges_edges_without_ids(spark, tmp_path):
     whole, plain = I.whole_relations(bare), I.closed_relations(I.relations(records), entities)
     rows = lambda d: sorted(str(r) for r in d.select(*sorted(plain.columns)).collect())
     assert sorted(whole.columns) == sorted(plain.columns) and rows(whole) == rows(plain)
+
+
+def test_ingested_entities_are_exchanged_once(spark, tmp_path):
+    """By bucket and part, without ids that follow from others; edges are kept so too, and are whole when they are read."""
+    files = xml_files(spark, DATA, "sample", "study", "experiment")
+    Q.E.take(files, str(tmp_path), 0, "s", buckets=2)
+    merged = Q.E._merged(spark.read.parquet(f"{tmp_path}/entity_parts"), 2)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    want = I.entity_index(records := P.entity_records(P.parsed(files, "s")))
+    rows = lambda d, of: sorted(str(x) for x in d.select(*of.columns).collect())
+    assert rows(Q.E.entity_index(spark, str(tmp_path)), want) == rows(want, want)
+    closed = I.closed_relations(I.relations(records), want)
+    assert rows(Q.E.relation_index(spark, str(tmp_path)), closed) == rows(closed, closed)
+    assert not {"relation_id", "src_entity_record_id"} & set(spark.read.parquet(f"{tmp_path}/closed_relations").columns)
